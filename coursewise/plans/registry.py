@@ -347,3 +347,353 @@ SELECT history_id, course_id, title, course_url, CAST(list_price AS DOUBLE) AS l
 FROM fct_price_history""")
 def f15_price_history(spark, sf):
     return W(spark, sf).fct_price_history
+
+
+# =============================================================================== G: serving (courses)
+
+PER_COURSE_OUT = """
+SELECT course_id, title, category, language, level, CAST(rating AS DOUBLE) AS rating, num_students,
+       num_reviews, CAST(list_price AS DOUBLE) AS list_price, CAST(sale_price AS DOUBLE) AS sale_price,
+       duration_hours, course_url, scraped_at, CAST(rating_1 AS BIGINT) AS rating_1,
+       CAST(rating_2 AS BIGINT) AS rating_2, CAST(rating_3 AS BIGINT) AS rating_3,
+       CAST(rating_4 AS BIGINT) AS rating_4, CAST(rating_5 AS BIGINT) AS rating_5"""
+METRIC_OUT = """, CAST(est_revenue AS DOUBLE) AS est_revenue, CAST(pct_h AS DOUBLE) / 100 AS pct_review,
+       price_tier, duration_tier, rating_tier"""
+
+
+@register("g1_latest_courses", O.with_(*O.COURSE_BASE, O.LATEST) + PER_COURSE_OUT + " FROM latest")
+def g1_latest_courses(spark, sf):
+    """G1: latest titled record per course."""
+    return serving.latest_courses(W(spark, sf).stg_courses)
+
+
+@register("j2_course_instructor", O.with_(*O.GOLD_BASE) + PER_COURSE_OUT + """, i.instructor_name
+FROM latest LEFT JOIN stg_instructors i USING (course_id)""")
+def j2_course_instructor(spark, sf):
+    """Latest course rows fanned out to their instructors."""
+    w = W(spark, sf)
+    return serving.course_instructors(serving.latest_courses(w.stg_courses), w.stg_instructors)
+
+
+@register("g3_est_revenue", O.with_(*O.GOLD_BASE) + """
+SELECT course_id, num_students, CAST(sale_price AS DOUBLE) AS sale_price, CAST(est_revenue AS DOUBLE) AS est_revenue
+FROM metrics""")
+def g3_est_revenue(spark, sf):
+    m = serving.course_metrics(serving.latest_courses(W(spark, sf).stg_courses))
+    return m.select("course_id", "num_students", "sale_price", "est_revenue")
+
+
+@register("g4_pct_review", O.with_(*O.GOLD_BASE) + """
+SELECT course_id, num_students, num_reviews, CAST(pct_h AS DOUBLE) / 100 AS pct_review FROM metrics""")
+def g4_pct_review(spark, sf):
+    m = serving.course_metrics(serving.latest_courses(W(spark, sf).stg_courses))
+    return m.select("course_id", "num_students", "num_reviews", "pct_review")
+
+
+@register("g5_price_tier", O.with_(*O.GOLD_BASE) + """
+SELECT course_id, CAST(sale_price AS DOUBLE) AS sale_price, price_tier FROM metrics""")
+def g5_price_tier(spark, sf):
+    m = serving.course_metrics(serving.latest_courses(W(spark, sf).stg_courses))
+    return m.select("course_id", "sale_price", "price_tier")
+
+
+@register("g6_duration_tier", O.with_(*O.GOLD_BASE) + """
+SELECT course_id, duration_hours, duration_tier FROM metrics""")
+def g6_duration_tier(spark, sf):
+    m = serving.course_metrics(serving.latest_courses(W(spark, sf).stg_courses))
+    return m.select("course_id", "duration_hours", "duration_tier")
+
+
+@register("g7_rating_tier", O.with_(*O.GOLD_BASE) + """
+SELECT course_id, CAST(rating AS DOUBLE) AS rating, rating_tier FROM metrics""")
+def g7_rating_tier(spark, sf):
+    m = serving.course_metrics(serving.latest_courses(W(spark, sf).stg_courses))
+    return m.select("course_id", "rating", "rating_tier")
+
+
+@register("g8_course_mart", O.with_(*O.GOLD_BASE) + PER_COURSE_OUT + METRIC_OUT + """, i.instructor_name
+FROM metrics LEFT JOIN stg_instructors i USING (course_id)""")
+def g8_course_mart(spark, sf):
+    """The dashboard's base table (one row per course x instructor row)."""
+    w = W(spark, sf)
+    return serving.course_mart(w.stg_courses, w.stg_instructors)
+
+
+# Filter settings of the query set: a category, a tier and a rating tier present in the fixtures.
+G9_ARGS = dict(category="Brand#13", price_tier="Very High Price (> 1.5M)", level=None,
+               rating_tier="Good (4 - 5)")
+
+
+@register("g9_filters", O.with_(*O.GOLD_BASE) + PER_COURSE_OUT + METRIC_OUT + """, instructor_name
+FROM per_course WHERE category = 'Brand#13' AND price_tier = 'Very High Price (> 1.5M)'
+  AND rating_tier = 'Good (4 - 5)'""")
+def g9_filters(spark, sf):
+    """Conjunctive dashboard filters ("All" = off)."""
+    return serving.apply_filters(W(spark, sf).per_course, **G9_ARGS)
+
+
+@register("g10_facets", O.with_(*O.GOLD_BASE) + """
+SELECT DISTINCT category FROM per_course WHERE category IS NOT NULL""")
+def g10_facets(spark, sf):
+    """Sorted distinct categories for the filter box."""
+    return serving.facets(W(spark, sf).per_course, "category")
+
+
+@register("g11_dedupe_course", O.with_(*O.GOLD_BASE) + PER_COURSE_OUT + METRIC_OUT + """, instructor_name
+FROM per_course""")
+def g11_dedupe_course(spark, sf):
+    """One row per course (first instructor by name)."""
+    return W(spark, sf).per_course
+
+
+def kpi_sql(where: str = "") -> str:
+    return f"""
+SELECT count(DISTINCT course_id) AS total_courses,
+       CAST(COALESCE(sum(num_students), 0) AS BIGINT) AS total_enroll,
+       CAST(COALESCE(sum(est_revenue), 0) AS DOUBLE) AS total_revenue,
+       COALESCE(CAST(sum(sale_price) FILTER (WHERE sale_price > 0) AS DOUBLE)
+                / count(sale_price) FILTER (WHERE sale_price > 0), 0) AS avg_price,
+       COALESCE(CAST(sum(pct_h) FILTER (WHERE num_students > 0) AS DOUBLE) / 100
+                / count(pct_h) FILTER (WHERE num_students > 0), 0) AS pct_review_avg,
+       COALESCE(CAST(sum(rating) FILTER (WHERE rating > 0) AS DOUBLE)
+                / count(rating) FILTER (WHERE rating > 0), 0) AS avg_rating
+FROM per_course {where}"""
+
+
+@register("g12_overview_kpis", O.with_(*O.GOLD_BASE) + kpi_sql())
+def g12_overview_kpis(spark, sf):
+    """G12 (flagship): overview KPIs over the whole model graph."""
+    return serving.overview_kpis(W(spark, sf).per_course)
+
+
+@register("g13_category_perf", O.with_(*O.GOLD_BASE) + """
+SELECT category, count(DISTINCT course_id) AS total_courses, CAST(sum(num_students) AS BIGINT) AS total_enroll,
+       count(DISTINCT instructor_name) AS total_instructors, CAST(sum(est_revenue) AS DOUBLE) AS total_revenue
+FROM per_course WHERE category IS NOT NULL GROUP BY category""")
+def g13_category_perf(spark, sf):
+    return serving.category_performance(W(spark, sf).per_course)
+
+
+TIER_ORDER_SQL = "list_position([{}], {})"
+
+
+def _tier_list(labels):
+    return ", ".join("'" + x + "'" for x in labels)
+
+
+@register("g14_by_price", O.with_(*O.GOLD_BASE) + f"""
+SELECT price_tier, count(DISTINCT course_id) AS course_count,
+       CAST(list_position([{_tier_list(serving.PRICE_TIERS)}], price_tier) AS BIGINT) AS tier_order
+FROM per_course GROUP BY price_tier""")
+def g14_by_price(spark, sf):
+    return serving.courses_by_price_tier(W(spark, sf).per_course)
+
+
+@register("g15_by_level", O.with_(*O.GOLD_BASE) + """
+SELECT level, count(DISTINCT course_id) AS course_count FROM per_course WHERE level IS NOT NULL GROUP BY level""")
+def g15_by_level(spark, sf):
+    return serving.courses_by_level(W(spark, sf).per_course)
+
+
+@register("g16_by_rating", O.with_(*O.GOLD_BASE) + """
+SELECT rating_tier, count(DISTINCT course_id) AS course_count FROM per_course
+WHERE rating_tier <> 'No Rating' GROUP BY rating_tier""")
+def g16_by_rating(spark, sf):
+    return serving.courses_by_rating(W(spark, sf).per_course)
+
+
+@register("g17_by_duration", O.with_(*O.GOLD_BASE) + f"""
+SELECT duration_tier, count(DISTINCT course_id) AS course_count,
+       CAST(list_position([{_tier_list(serving.DURATION_TIERS)}], duration_tier) AS BIGINT) AS tier_order
+FROM per_course WHERE duration_tier <> 'Unknown' GROUP BY duration_tier""")
+def g17_by_duration(spark, sf):
+    return serving.courses_by_duration(W(spark, sf).per_course)
+
+
+@register("g18_share", O.with_(*O.GOLD_BASE) + """
+SELECT level, course_count,
+       """ + O.rdiv("course_count * 100", "sum(course_count) OVER ()", 1) + """ AS share_pct
+FROM (SELECT level, count(DISTINCT course_id) AS course_count FROM per_course
+      WHERE level IS NOT NULL GROUP BY level)""")
+def g18_share(spark, sf):
+    """Level shares of all leveled courses (percent labels of the donut)."""
+    return serving.share_of_total(serving.courses_by_level(W(spark, sf).per_course))
+
+
+@register("g19_best_courses", O.with_(*O.GOLD_BASE) + """
+SELECT course_id, title, num_students, CAST(est_revenue AS DOUBLE) AS est_revenue, CAST(rating AS DOUBLE) AS rating,
+       CAST(pct_h AS DOUBLE) / 100 AS pct_review, CAST(list_price AS DOUBLE) AS list_price, level, category,
+       course_url, instructor_name
+FROM per_course""")
+def g19_best_courses(spark, sf):
+    return serving.best_courses(W(spark, sf).per_course)
+
+
+G20_QUERY = "almond|(?:^| )blue"
+
+
+@register("g20_search", O.with_(*O.GOLD_BASE) + f"""
+SELECT course_id, title FROM per_course WHERE COALESCE(regexp_matches(title, '{G20_QUERY}', 'i'), false)""")
+def g20_search(spark, sf):
+    """Regex title search, case-insensitive."""
+    return serving.search_title(W(spark, sf).per_course, G20_QUERY).select("course_id", "title")
+
+
+@register("g21_filtered_kpis", O.with_(*O.GOLD_BASE) + """
+SELECT total_courses, total_enroll, total_revenue, avg_rating FROM (""" + kpi_sql(
+    "WHERE category = 'Brand#13' AND price_tier = 'Very High Price (> 1.5M)' AND rating_tier = 'Good (4 - 5)'") + ")")
+def g21_filtered_kpis(spark, sf):
+    return serving.filtered_kpis(serving.apply_filters(W(spark, sf).per_course, **G9_ARGS))
+
+
+# =============================================================================== G: serving (prices)
+
+HIST_OUT = """
+SELECT course_id, title, course_url, CAST(list_price AS DOUBLE) AS list_price,
+       CAST(sale_price AS DOUBLE) AS sale_price, recorded_at, discount_percentage, is_lowest_price_ever, category"""
+PH = O.with_(*O.ENRICHED)
+
+
+@register("g2_price_history_enriched", PH + HIST_OUT + " FROM history")
+def g2_price_history_enriched(spark, sf):
+    return W(spark, sf).price_history
+
+
+@register("g22_price_type", PH + HIST_OUT + " FROM history WHERE list_price > 0")
+def g22_price_type(spark, sf):
+    return serving.price_type_filter(W(spark, sf).price_history, "Paid")
+
+
+@register("g23_tracker_category", PH + HIST_OUT + " FROM history WHERE category = 'Brand#13'")
+def g23_tracker_category(spark, sf):
+    return serving.tracker_category_filter(W(spark, sf).price_history, "Brand#13")
+
+
+TOP2 = """
+top2 AS (
+SELECT course_id, sale_price, rn FROM (
+  SELECT course_id, sale_price,
+         row_number() OVER (PARTITION BY course_id ORDER BY recorded_at DESC NULLS LAST, sale_price) AS rn
+  FROM history WHERE sale_price > 0) WHERE rn <= 2),
+dropped AS (
+SELECT course_id, max(CASE WHEN rn = 1 THEN sale_price END) AS last_price,
+       max(CASE WHEN rn = 2 THEN sale_price END) AS previous_price
+FROM top2 GROUP BY course_id HAVING max(CASE WHEN rn = 1 THEN sale_price END) < max(CASE WHEN rn = 2 THEN sale_price END))"""
+PH2 = O.with_(*O.ENRICHED, TOP2)
+
+
+@register("g25_dropped_courses", PH2 + """
+SELECT course_id, CAST(last_price AS DOUBLE) AS last_price, CAST(previous_price AS DOUBLE) AS previous_price
+FROM dropped""")
+def g25_dropped_courses(spark, sf):
+    return serving.dropped_courses(W(spark, sf).price_history)
+
+
+@register("g24_drop_only", PH2 + HIST_OUT + " FROM history WHERE course_id IN (SELECT course_id FROM dropped)")
+def g24_drop_only(spark, sf):
+    return serving.drop_only(W(spark, sf).price_history)
+
+
+@register("g26_selector", PH + """
+SELECT course_id, title, title || '  (ID: ' || CAST(course_id AS VARCHAR) || ')' AS label FROM (
+  SELECT course_id, title, row_number() OVER (PARTITION BY course_id ORDER BY recorded_at NULLS LAST, title) AS rn
+  FROM history) WHERE rn = 1""")
+def g26_selector(spark, sf):
+    return serving.course_selector(W(spark, sf).price_history)
+
+
+CURPREV = """
+latest_row AS (
+SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY course_id
+               ORDER BY recorded_at DESC NULLS LAST, sale_price) AS rn FROM history) WHERE rn = 1),
+cp AS (
+SELECT l.course_id, l.title, l.course_url, l.category, l.sale_price AS current_price, l.list_price,
+       l.discount_percentage, l.is_lowest_price_ever, l.recorded_at AS latest_at, t.sale_price AS previous_price
+FROM latest_row l LEFT JOIN top2 t ON l.course_id = t.course_id AND t.rn = 2)"""
+PH3 = O.with_(*O.ENRICHED, TOP2, CURPREV)
+CP_OUT = """
+SELECT course_id, title, course_url, category, CAST(current_price AS DOUBLE) AS current_price,
+       CAST(list_price AS DOUBLE) AS list_price, discount_percentage, is_lowest_price_ever, latest_at,
+       CAST(previous_price AS DOUBLE) AS previous_price"""
+DROPPED_SQL = "(previous_price IS NOT NULL AND current_price > 0 AND current_price < previous_price)"
+
+
+def pct_change_sql(old: str, new: str, scale: int = 1) -> str:
+    return O.rdiv_signed(f"({O.cents(old)} - {O.cents(new)}) * 100", O.cents(old), scale)
+
+
+@register("g27_current_previous", PH3 + CP_OUT + " FROM cp")
+def g27_current_previous(spark, sf):
+    """Current price and the previous positive price for every course."""
+    return serving.current_and_previous_price(W(spark, sf).price_history)
+
+
+@register("g28_display_discount", PH3 + CP_OUT + f""",
+       CASE WHEN {DROPPED_SQL} THEN {pct_change_sql('previous_price', 'current_price')}
+            ELSE discount_percentage END AS display_discount
+FROM cp""")
+def g28_display_discount(spark, sf):
+    return serving.display_discount(serving.current_and_previous_price(W(spark, sf).price_history))
+
+
+@register("g29_price_alerts", PH3 + f"""
+SELECT course_id, title, CAST(current_price AS DOUBLE) AS current_price,
+       CAST(previous_price AS DOUBLE) AS previous_price, CAST(list_price AS DOUBLE) AS list_price,
+       COALESCE({DROPPED_SQL}, false) AS price_dropped,
+       (is_lowest_price_ever AND current_price > 0) AS all_time_low,
+       CAST(CASE WHEN {DROPPED_SQL} THEN previous_price - current_price END AS DOUBLE) AS drop_amount
+FROM cp WHERE COALESCE({DROPPED_SQL}, false) OR (is_lowest_price_ever AND current_price > 0)""")
+def g29_price_alerts(spark, sf):
+    return serving.price_alerts(serving.current_and_previous_price(W(spark, sf).price_history))
+
+
+CHART = """
+chart AS (
+SELECT h.* FROM history h
+JOIN (SELECT course_id, count(*) FILTER (WHERE sale_price > 0) AS npos FROM history GROUP BY course_id) c
+  USING (course_id)
+WHERE c.npos <= 1 OR h.sale_price > 0)"""
+
+
+@register("g30_chart_series", O.with_(*O.ENRICHED, CHART) + HIST_OUT + " FROM chart")
+def g30_chart_series(spark, sf):
+    return serving.chart_series(W(spark, sf).price_history)
+
+
+@register("g31_lowest_points", O.with_(*O.ENRICHED, CHART) + HIST_OUT + " FROM chart WHERE is_lowest_price_ever")
+def g31_lowest_points(spark, sf):
+    return serving.lowest_points(W(spark, sf).price_history)
+
+
+@register("g32_history_drop", PH + f"""
+SELECT course_id, CAST(recorded_at AS DATE) AS recorded_date, CAST(list_price AS DOUBLE) AS list_price,
+       CAST(sale_price AS DOUBLE) AS sale_price, CAST(prev_price AS DOUBLE) AS prev_price,
+       CASE WHEN prev_price IS NOT NULL AND sale_price > 0 AND prev_price > sale_price
+            THEN {pct_change_sql('prev_price', 'sale_price')} ELSE discount_percentage END AS discount_percentage,
+       is_lowest_price_ever
+FROM (SELECT *, lag(sale_price) OVER (PARTITION BY course_id ORDER BY recorded_at) AS prev_price FROM history)""")
+def g32_history_drop(spark, sf):
+    return serving.history_with_drop(W(spark, sf).price_history)
+
+
+REF = "COALESCE(previous_price, list_price)"
+
+
+@register("g33_alert_reasons", PH3 + f"""
+SELECT course_id, title, CAST(current_price AS DOUBLE) AS current_price, CAST({REF} AS DOUBLE) AS reference_price,
+       CASE WHEN {REF} > 0 THEN {pct_change_sql(REF, 'current_price')}
+            WHEN list_price > 0 THEN {pct_change_sql('list_price', 'current_price')} ELSE 0 END AS drop_pct,
+       COALESCE(NULLIF(concat_ws(', ',
+           CASE WHEN {REF} <> 0 AND current_price < {REF} THEN '{serving.REASON_DROPPED}' END,
+           CASE WHEN is_lowest_price_ever THEN '{serving.REASON_LOWEST}' END), ''),
+           '{serving.REASON_OTHER}') AS reasons
+FROM cp""")
+def g33_alert_reasons(spark, sf):
+    return serving.alert_reasons(serving.current_and_previous_price(W(spark, sf).price_history))
+
+
+@register("g34_alert_eligible", PH3 + f"""
+SELECT course_id, COALESCE({DROPPED_SQL} OR (is_lowest_price_ever AND current_price > 0), false) AS alert_eligible
+FROM cp""")
+def g34_alert_eligible(spark, sf):
+    return serving.alert_eligible(serving.current_and_previous_price(W(spark, sf).price_history))
