@@ -238,3 +238,46 @@ FROM fct_price_history f
 LEFT JOIN dim_course d ON f.course_id = d.course_id
 LEFT JOIN dim_category c ON d.category_id = c.category_id
 WHERE f.title IS NOT NULL)""")
+
+
+# ---------------------------------------------------------------- display formatting
+
+def _fixed_text(c: str, unit_cents: int, digits: int) -> str:
+    """Text of round(c / unit_cents, digits) HALF_UP with exactly ``digits`` decimals (c >= 0)."""
+    m = 10 ** digits
+    q = f"((2 * CAST({c} AS HUGEINT) * {m} + {unit_cents}) // (2 * CAST({unit_cents} AS HUGEINT)))"
+    if digits == 0:
+        return f"CAST({q} AS VARCHAR)"
+    return f"(CAST({q} // {m} AS VARCHAR) || '.' || lpad(CAST({q} % {m} AS VARCHAR), {digits}, '0'))"
+
+
+def _thousands(v: str) -> str:
+    return f"format('{{:,}}', CAST(trunc({v}) AS BIGINT))"
+
+
+def fmt_k_sql(v: str) -> str:
+    c = cents(v)
+    return (f"CASE WHEN {v} >= 1000000 THEN {_fixed_text(c, 100_000_000, 2)} || 'M' "
+            f"WHEN {v} >= 1000 THEN {_fixed_text(c, 100_000, 1)} || 'K' "
+            f"ELSE CAST(CAST(trunc({v}) AS BIGINT) AS VARCHAR) END")
+
+
+def fmt_vnd_sql(v: str) -> str:
+    c = cents(v)
+    return (f"CASE WHEN {v} <= 0 THEN 'Free' "
+            f"WHEN {v} >= 1000000000 THEN {_fixed_text(c, 100_000_000_000, 2)} || 'T d' "
+            f"WHEN {v} >= 1000000 THEN {_fixed_text(c, 100_000_000, 0)} || 'M d' "
+            f"ELSE {_thousands(v)} || ' d' END")
+
+
+def fmt_bn_sql(v: str) -> str:
+    c = cents(v)
+    return (f"CASE WHEN {v} <= 0 THEN '0' "
+            f"WHEN {v} >= 1000000000000 THEN {_fixed_text(c, 100_000_000_000_000, 2)} || 'T d' "
+            f"WHEN {v} >= 1000000000 THEN {_fixed_text(c, 100_000_000_000, 1)} || 'B d' "
+            f"WHEN {v} >= 1000000 THEN {_fixed_text(c, 100_000_000, 0)} || 'M d' "
+            f"ELSE {_thousands(v)} END")
+
+
+def fixed_sql(v: str, digits: int) -> str:
+    return _fixed_text(cents(v), 100, digits)

@@ -697,3 +697,70 @@ SELECT course_id, COALESCE({DROPPED_SQL} OR (is_lowest_price_ever AND current_pr
 FROM cp""")
 def g34_alert_eligible(spark, sf):
     return serving.alert_eligible(serving.current_and_previous_price(W(spark, sf).price_history))
+
+
+# =============================================================================== X: display formats
+
+CAT_TOTALS = """
+cat_totals AS (
+SELECT category, sum(num_students) AS total_enroll, sum(est_revenue) AS total_revenue
+FROM per_course WHERE category IS NOT NULL GROUP BY category)"""
+
+
+def _cat_totals(spark, sf):
+    return (W(spark, sf).per_course.filter(F.col("category").isNotNull()).groupBy("category")
+            .agg(F.sum("num_students").alias("total_enroll"), F.sum("est_revenue").alias("total_revenue")))
+
+
+@register("x12_fmt_k", O.with_(*O.GOLD_BASE, CAT_TOTALS) + f"""
+SELECT category, {O.fmt_k_sql('total_enroll')} AS enroll_text, {O.fmt_k_sql('total_revenue')} AS revenue_text,
+       {O.fmt_k_sql('total_enroll / 100')} AS small_text
+FROM cat_totals""")
+def x12_fmt_k(spark, sf):
+    """K / M abbreviations of per-category totals."""
+    t = _cat_totals(spark, sf)
+    small = (F.col("total_enroll").cast("decimal(20,0)") / 100).cast("decimal(20,2)")
+    return t.select("category", fmt.fmt_k(F.col("total_enroll")).alias("enroll_text"),
+                    fmt.fmt_k(F.col("total_revenue")).alias("revenue_text"),
+                    fmt.fmt_k(small).alias("small_text"))
+
+
+@register("x13_fmt_vnd", O.with_(*O.GOLD_BASE, CAT_TOTALS) + f"""
+SELECT p.course_id, {O.fmt_vnd_sql('p.sale_price')} AS sale_text, {O.fmt_vnd_sql('p.est_revenue')} AS revenue_text,
+       {O.fmt_vnd_sql('t.total_revenue')} AS category_revenue_text
+FROM per_course p LEFT JOIN cat_totals t USING (category)""")
+def x13_fmt_vnd(spark, sf):
+    """Free / M d / T d / thousands of prices and revenues."""
+    p = W(spark, sf).per_course
+    t = _cat_totals(spark, sf).select("category", "total_revenue")
+    j = p.join(t, "category", "left")
+    return j.select("course_id", fmt.fmt_vnd(F.col("sale_price")).alias("sale_text"),
+                    fmt.fmt_vnd(F.col("est_revenue")).alias("revenue_text"),
+                    fmt.fmt_vnd(F.col("total_revenue")).alias("category_revenue_text"))
+
+
+@register("x14_fmt_bn", O.with_(*O.GOLD_BASE, CAT_TOTALS) + f"""
+SELECT p.course_id, {O.fmt_bn_sql('p.est_revenue')} AS revenue_text,
+       {O.fmt_bn_sql('t.total_revenue * 1000')} AS scaled_text, {O.fmt_bn_sql('p.sale_price')} AS price_text
+FROM per_course p LEFT JOIN cat_totals t USING (category)""")
+def x14_fmt_bn(spark, sf):
+    """0 / M d / B d / T d revenue labels."""
+    p = W(spark, sf).per_course
+    t = _cat_totals(spark, sf).select("category", "total_revenue")
+    j = p.join(t, "category", "left")
+    return j.select("course_id", fmt.fmt_bn(F.col("est_revenue")).alias("revenue_text"),
+                    fmt.fmt_bn(F.col("total_revenue") * 1000).alias("scaled_text"),
+                    fmt.fmt_bn(F.col("sale_price")).alias("price_text"))
+
+
+@register("x15_display_format", O.with_(*O.GOLD_BASE) + f"""
+SELECT course_id, title AS course,
+       CASE WHEN num_students > 0 THEN {O.fmt_k_sql('num_students')} ELSE '0' END AS total_subscribers,
+       {O.fmt_bn_sql('est_revenue')} AS total_revenue,
+       CASE WHEN rating > 0 THEN {O.fixed_sql('rating', 2)} ELSE '-' END AS rating,
+       CASE WHEN pct_h > 0 THEN {O._fixed_text('pct_h', 100, 2)} || '%' ELSE '-' END AS pct_review,
+       CASE WHEN list_price > 0 THEN {O._thousands('list_price')} ELSE 'Free' END AS list_price
+FROM per_course""")
+def x15_display_format(spark, sf):
+    """The ranking's display strings."""
+    return serving.display_best_courses(serving.best_courses(W(spark, sf).per_course))
