@@ -764,3 +764,269 @@ FROM per_course""")
 def x15_display_format(spark, sf):
     """The ranking's display strings."""
     return serving.display_best_courses(serving.best_courses(W(spark, sf).per_course))
+
+
+# =============================================================================== S: sources, sinks, ingest
+
+from coursewise.operators import cleaning  # noqa: E402
+from coursewise.session import read_table, work_dir  # noqa: E402
+from coursewise.sources import files, ledger  # noqa: E402
+
+PART_COLS = ["p_partkey", "p_name", "p_brand", "p_type", "p_size", "p_retailprice"]
+PART_SQL = "SELECT p_partkey, p_name, p_brand, p_type, CAST(p_size AS BIGINT) AS p_size, p_retailprice FROM part"
+
+
+@register("s1_scan_parquet", PART_SQL)
+def s1_scan_parquet(spark, sf):
+    """A landing folder of parquet files read with an explicit schema."""
+    part = read_table(spark, sf, "part")
+    root = work_dir(spark, "s1")
+    files.write_parquet(part.repartition(3), root, "snappy")
+    return files.read_parquet_dir(spark, root, part.schema).select(*PART_COLS)
+
+
+@register("s2_recursive_scan", PART_SQL)
+def s2_recursive_scan(spark, sf):
+    """Parquet files at any depth under a root; other files ignored."""
+    part = read_table(spark, sf, "part")
+    root = work_dir(spark, "s2")
+    files.write_parquet(part.filter("p_size % 2 = 0"), f"{root}/even", "snappy")
+    files.write_parquet(part.filter("p_size % 2 = 1"), f"{root}/odd/deeper", "snappy")
+    files.write_csv(part, f"{root}/odd/not_parquet")
+    return files.read_parquet_tree(spark, root, schema=part.schema).select(*PART_COLS)
+
+
+SUPP_SQL = "SELECT s_suppkey, s_name, CAST(s_nationkey AS BIGINT) AS s_nationkey, s_acctbal FROM supplier"
+
+
+@register("s3_csv_roundtrip", SUPP_SQL)
+def s3_csv_roundtrip(spark, sf):
+    """S3: CSV with header read back with an explicit schema."""
+    supp = read_table(spark, sf, "supplier")
+    path = files.write_csv(supp, work_dir(spark, "s3"))
+    return files.read_csv(spark, path, supp.schema)
+
+
+@register("s4_csv_to_parquet", """
+SELECT 'part' AS table_name, count(*) AS row_count FROM part
+UNION ALL SELECT 'supplier', count(*) FROM supplier""")
+def s4_csv_to_parquet(spark, sf):
+    """Named CSVs converted to named parquet targets, rows reported."""
+    root = work_dir(spark, "s4")
+    mapping = {}
+    for name in ("part", "supplier"):
+        t = read_table(spark, sf, name)
+        files.write_csv(t, f"{root}/csv/{name}")
+        mapping[f"{root}/parquet/{name}"] = (f"{root}/csv/{name}", t.schema)
+    rep = files.csv_to_parquet(spark, mapping)
+    return rep.select(F.regexp_extract("target", r"([^/]+)$", 1).alias("table_name"), "row_count")
+
+
+LI_COLS = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
+           "l_discount", "l_shipdate"]
+
+
+@register("s5_parquet_gzip", "SELECT l_orderkey, l_partkey, l_suppkey, CAST(l_linenumber AS BIGINT) AS "
+          "l_linenumber, l_quantity, l_extendedprice, l_discount, l_shipdate FROM lineitem")
+def s5_parquet_gzip(spark, sf):
+    """Gzip-compressed batch output read back."""
+    li = read_table(spark, sf, "lineitem").select(*LI_COLS)
+    path = files.write_parquet(li, work_dir(spark, "s5"), "gzip")
+    return spark.read.parquet(path)
+
+
+BATCH = "TEST_dashboard_group1_p1-2_20240101_000000"
+
+
+@register("s6_route_files", O.with_(O.FX_COURSES, O.FX_OFFERS, O.FX_INSTRUCTORS) + """
+SELECT 'courses' AS target, count(*) AS row_count FROM fx_courses
+UNION ALL SELECT 'price_tracker', count(*) FROM fx_offers
+UNION ALL SELECT 'instructors', count(*) FROM fx_instructors
+UNION ALL SELECT NULL, count(*) FROM part""")
+def s6_route_files(spark, sf):
+    """Routing of landed files to raw tables by object name."""
+    root = work_dir(spark, "s6")
+    files.write_parquet(fixtures.fx_courses(spark, sf), f"{root}/dashboard/{BATCH}_courses.parquet")
+    files.write_parquet(fixtures.fx_instructors(spark, sf), f"{root}/dashboard/{BATCH}_instructors.parquet")
+    files.write_parquet(fixtures.fx_offers(spark, sf),
+                        f"{root}/tracker/PROD_tracker_group1_p1-2_20240101_000000_courses.parquet")
+    files.write_parquet(read_table(spark, sf, "part"), f"{root}/misc/notes_other.parquet")
+    landed = spark.read.option("recursiveFileLookup", "true").option("mergeSchema", "true").parquet(root)
+    routed = ledger.route_by_filename(landed.select(F.col("_metadata.file_path").alias("_source_file")))
+    return routed.groupBy("target").agg(F.count(F.lit(1)).alias("row_count"))
+
+
+@register("s7_pending_files", O.with_(O.FX_LISTING, O.FX_LEDGER) + """
+SELECT filename FROM fx_listing WHERE filename NOT IN (SELECT filename FROM fx_ledger WHERE status = 'SUCCESS')""")
+def s7_pending_files(spark, sf):
+    """Listed files without a successful load."""
+    return ledger.pending_files(fixtures.fx_listing(spark, sf), fixtures.fx_ledger(spark, sf))
+
+
+LATEST_LEDGER = """
+latest_ledger AS (
+SELECT filename, status, loaded_at, o_orderkey FROM (
+  SELECT *, row_number() OVER (PARTITION BY filename ORDER BY loaded_at DESC NULLS LAST, o_orderkey DESC) AS rn
+  FROM fx_ledger) WHERE rn = 1)"""
+
+
+def _latest_ledger(spark, sf):
+    return ledger.upsert_ledger(fixtures.fx_ledger(spark, sf),
+                                order=[F.col("loaded_at").desc_nulls_last(), F.col("o_orderkey").desc()])
+
+
+@register("s8_ledger_upsert", O.with_(O.FX_LEDGER, LATEST_LEDGER) + "SELECT * FROM latest_ledger")
+def s8_ledger_upsert(spark, sf):
+    """Insert-or-replace per file name (newest record wins)."""
+    return _latest_ledger(spark, sf)
+
+
+@register("s9_append_raw", """
+SELECT p_partkey, p_name, p_brand, p_type, CAST(p_size AS BIGINT) AS p_size,
+       CASE WHEN p_size > 25 THEN p_retailprice END AS p_retailprice FROM part""")
+def s9_append_raw(spark, sf):
+    """Two appended batches, the second with an extra column; union by name."""
+    part = read_table(spark, sf, "part")
+    path = work_dir(spark, "s9")
+    ledger.append_raw(part.filter("p_size <= 25").drop("p_retailprice"), path)
+    ledger.append_raw(part.filter("p_size > 25"), path)
+    return ledger.read_raw(spark, path).select(*PART_COLS)
+
+
+@register("s11_load_report", O.with_(O.FX_LEDGER, LATEST_LEDGER) + """
+SELECT status, count(*) AS n_files, CAST(NULL AS BIGINT) AS n_rows, min(loaded_at) AS first_loaded,
+       max(loaded_at) AS last_loaded FROM latest_ledger GROUP BY status""")
+def s11_load_report(spark, sf):
+    """Success / failed counts over the current ledger."""
+    return ledger.load_report(_latest_ledger(spark, sf))
+
+
+@register("s13_export_csv", """
+SELECT 'nation' AS table_name, count(*) AS row_count FROM nation
+UNION ALL SELECT 'region', count(*) FROM region
+UNION ALL SELECT 'customer', count(*) FROM customer""")
+def s13_export_csv(spark, sf):
+    """Tables exported as CSV with header; rows written per table."""
+    tables = {n: read_table(spark, sf, n) for n in ("nation", "region", "customer")}
+    return files.export_csv(spark, tables, work_dir(spark, "s13")).select("table_name", "row_count")
+
+
+@register("s14_materialize", O.with_(*O.PRICE_BASE) + """
+SELECT history_id, course_id, title, course_url, CAST(list_price AS DOUBLE) AS list_price,
+       CAST(sale_price AS DOUBLE) AS sale_price, recorded_at, discount_percentage, is_lowest_price_ever
+FROM fct_price_history""")
+def s14_materialize(spark, sf):
+    """A mart materialised as a table (rebuild) and read back."""
+    out = W(spark, sf).build(work_dir(spark, "s14"), ("fct_price_history",))
+    return spark.read.parquet(out["fct_price_history"])
+
+
+@register("s15_partitioned_layout", O.with_(O.FX_OFFERS) + """
+SELECT course_id, CAST(l_linenumber AS BIGINT) AS l_linenumber, l_orderkey, strftime(scraped_at, '%Y-%m') AS ingest_month,
+       'tracker' AS job, 'PROD' AS mode FROM fx_offers WHERE year(scraped_at) = 1995""")
+def s15_partitioned_layout(spark, sf):
+    """Batches partitioned by job/mode/month; a month filter prunes folders."""
+    offers = fixtures.fx_offers(spark, sf).select("course_id", "l_linenumber", "l_orderkey",
+                                                   F.col("scraped_at").alias("_scraped_at"))
+    laid = files.batch_layout(offers, "tracker", "PROD", "group1", 1, 2)
+    path = files.write_partitioned(laid, work_dir(spark, "s15"))
+    back = spark.read.parquet(path)
+    return (back.filter(F.col("ingest_month").startswith("1995-"))
+                .select("course_id", "l_linenumber", "l_orderkey", "ingest_month", "job", "mode"))
+
+
+# =============================================================================== C: bronze cleaning
+
+MESSY = {"course_id": " Course ID", "title": "TITLE ", "original_price": "Original Price",
+         "discount_price": "Discount  Price", "_category": " _Category"}
+
+
+@register("c1_normalize_columns", O.with_(O.FX_OFFERS) + """
+SELECT course_id, title, CAST(original_price AS DOUBLE) AS original_price,
+       CAST(discount_price AS DOUBLE) AS discount__price, _category FROM fx_offers""")
+def c1_normalize_columns(spark, sf):
+    """Header clean-up of a CSV-style frame."""
+    o = fixtures.fx_offers(spark, sf).select(*[F.col(k).alias(v) for k, v in MESSY.items()])
+    return cleaning.normalize_columns(o)
+
+
+@register("c2_nested_to_json", """
+SELECT p_partkey, to_json(struct_pack(p_partkey := p_partkey, p_name := p_name, p_size := p_size)) AS meta,
+       to_json([p_brand, p_type]) AS tags FROM part""")
+def c2_nested_to_json(spark, sf):
+    """Nested columns written as JSON text."""
+    part = read_table(spark, sf, "part")
+    nested = part.select("p_partkey", F.struct("p_partkey", "p_name", "p_size").alias("meta"),
+                         F.array("p_brand", "p_type").alias("tags"))
+    return cleaning.nested_to_json(nested)
+
+
+NAN_SQL = """
+SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, course_id,
+       CASE WHEN l_linenumber = 3 THEN NULL ELSE num_students END AS num_students,
+       num_reviews, avg_rating_score, course_duration_seconds FROM fx_courses"""
+
+
+@register("c3_nan_to_null", O.with_(O.FX_COURSES) + NAN_SQL)
+def c3_nan_to_null(spark, sf):
+    """NaN in float columns -> NULL."""
+    c = fixtures.fx_courses(spark, sf)
+    c = c.withColumn("num_students", F.when(F.col("l_linenumber") == 3, F.lit(float("nan")))
+                                      .otherwise(F.col("num_students")))
+    return cleaning.nan_to_null(c.select("l_orderkey", "l_linenumber", "course_id", "num_students",
+                                         "num_reviews", "avg_rating_score", "course_duration_seconds"))
+
+
+@register("c4_try_numeric", """
+SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber,
+       CASE WHEN l_linenumber = 5 THEN NULL ELSE l_quantity END AS qty FROM lineitem""")
+def c4_try_numeric(spark, sf):
+    """C4: text numbers with junk -> DOUBLE, junk -> NULL."""
+    li = read_table(spark, sf, "lineitem")
+    t = li.select("l_orderkey", "l_linenumber",
+                  F.when(F.col("l_linenumber") == 5, F.lit("n/a"))
+                   .otherwise(F.col("l_quantity").cast("string")).alias("qty"))
+    return cleaning.to_numeric(t, ["qty"])
+
+
+@register("c5_split_parent_child", """
+SELECT o_orderkey AS course_id, CAST(l_suppkey AS VARCHAR) AS instructor_id, CAST(l_linenumber AS BIGINT) AS l_linenumber,
+       l_quantity FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE o_orderstatus <> 'P'""")
+def c5_split_parent_child(spark, sf):
+    """Nested order records -> child rows with the parent id; id-less records dropped.
+
+    The nested input is built per order (at most 7 lines per order in the
+    driver's schema, so each child list is small).
+    """
+    li = read_table(spark, sf, "lineitem")
+    orders = read_table(spark, sf, "orders")
+    kids = li.groupBy("l_orderkey").agg(F.collect_list(F.struct(
+        F.col("l_suppkey").cast("string").alias("instructor_id"), "l_linenumber", "l_quantity")).alias("instructors"))
+    rec = orders.join(kids, orders.o_orderkey == kids.l_orderkey).select(
+        F.struct(F.when(F.col("o_orderstatus") != "P", F.col("o_orderkey")).alias("course_id"),
+                 "o_orderstatus", "o_totalprice").alias("course_data"), "instructors")
+    _, children = cleaning.split_parent_child(rec)
+    return children
+
+
+@register("c6_flatten", """
+SELECT p_partkey AS "course_data.course_id", p_name AS "course_data.title",
+       p_brand AS "course_data.meta.brand", CAST(p_size AS BIGINT) AS "course_data.meta.size" FROM part""")
+def c6_flatten(spark, sf):
+    """Nested record -> dotted leaf columns."""
+    part = read_table(spark, sf, "part")
+    nested = part.select(F.struct(F.col("p_partkey").alias("course_id"), F.col("p_name").alias("title"),
+                                  F.struct(F.col("p_brand").alias("brand"), F.col("p_size").alias("size"))
+                                  .alias("meta")).alias("course_data"))
+    return cleaning.flatten(nested)
+
+
+@register("c7_fill_defaults", O.with_(O.FX_OFFERS) + """
+SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, course_id,
+       CAST(COALESCE(original_price, 0) AS DOUBLE) AS original_price,
+       CAST(COALESCE(discount_price, 0) AS DOUBLE) AS discount_price FROM fx_offers""")
+def c7_fill_defaults(spark, sf):
+    """NULL prices -> 0."""
+    o = fixtures.fx_offers(spark, sf).select("l_orderkey", "l_linenumber", "course_id",
+                                             "original_price", "discount_price")
+    return cleaning.fill_defaults(o, ["original_price", "discount_price"])
