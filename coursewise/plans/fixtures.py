@@ -122,3 +122,80 @@ def fx_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # Tie-break columns that make (course, scrape time) duplicates totally ordered.
 FIXTURE_TIE_BREAK = ["l_orderkey", "l_linenumber"]
+
+
+PAGE_SITE = "https://courses.example.com"
+PAGE_ID_BASE = 100000
+
+
+def _num(c):
+    """Price text with thousands separators and two decimals."""
+    return F.format_number(c, 2)
+
+
+def fx_course_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Course pages rendered from the offers: one page per line item.
+
+    Each line number puts the price in a different place (meta tag, JSON-LD
+    object / @graph / list, body payload JSON, visible price text, nowhere),
+    so the extraction jobs see every source.  Counts appear as page text.
+    """
+    li = read_table(spark, sf_dir, "lineitem")
+    part = read_table(spark, sf_dir, "part")
+    j = li.join(part, li.l_partkey == part.p_partkey)
+    ln = F.col("l_linenumber")
+    L = F.when(F.col("l_tax") == 0, F.lit(None).cast(MONEY)).otherwise((F.col("l_extendedprice") * 20).cast(MONEY))
+    p = _sale_price()
+    cid = (F.col("l_partkey") + PAGE_ID_BASE).cast("string")
+    title = F.trim(F.col("p_name"))
+
+    def offer(v):
+        return F.when(v.isNotNull(), F.concat(F.lit('{"price":"'), v.cast("string"), F.lit('"}')))
+
+    meta = F.when((ln == 1) & p.isNotNull(), F.concat(
+        F.lit('<meta property="product:price" content="'),
+        F.when(p == 0, F.lit("Free")).otherwise(F.concat(F.lit("₫"), _num(p))), F.lit('">')))
+    ld_body = (F.when(ln == 2, F.concat(F.lit('{"@type":"Course","name":"'), title, F.lit('","offers":['),
+                                        F.concat_ws(",", offer(L), offer(p)), F.lit("]}")))
+                .when((ln == 3) & p.isNotNull(), F.concat(
+                    F.lit('{"@graph":[{"@type":"WebPage","name":"home"},{"@type":"Course","name":"'), title,
+                    F.lit('","offers":'), offer(p), F.lit("}]}")))
+                .when((ln == 4) & L.isNotNull(), F.concat(
+                    F.lit('[{"@type":"Product","name":"'), title, F.lit('","offers":'), offer(L), F.lit("}]"))))
+    ld = F.when(ld_body.isNotNull(), F.concat(F.lit('<script type="application/ld+json">'), ld_body,
+                                              F.lit("</script>")))
+
+    def amount(v):
+        return F.when(v.isNotNull(), F.concat(F.lit('{"amount":'), v.cast("string"), F.lit("}")))
+
+    prices = F.concat_ws(",", F.when(p.isNotNull(), F.concat(F.lit('"amount":'), p.cast("string"))),
+                         F.when(L.isNotNull(), F.concat(F.lit('"list_price":'), amount(L))))
+    payload = F.concat(
+        F.lit('{"course_id":"'), cid, F.lit('","serverSideProps":{"course":{"title":"'), title,
+        F.lit('","price_text_data":{'), prices, F.lit('},"visible_instructors":[{"id":"'),
+        F.col("l_suppkey").cast("string"), F.lit('","display_name":"Instructor '),
+        F.col("l_suppkey").cast("string"), F.lit('","job_title":"'), F.col("p_type"),
+        F.lit('","num_students":'), F.col("l_quantity").cast("bigint").cast("string"), F.lit("}]}}}"))
+    body_attr = F.when(ln == 5, F.concat(F.lit(' data-module-args="'), F.replace(payload, F.lit('"'), F.lit("&quot;")),
+                                         F.lit('"'))).otherwise(F.lit(""))
+
+    def span(v):
+        return F.when(v.isNotNull(), F.concat(F.lit("<span>₫"), _num(v), F.lit("</span>")))
+
+    visible = F.when(ln == 6, F.concat(F.lit('<div data-purpose="course-price-text">'),
+                                       F.concat_ws("", span(L), span(p)), F.lit("</div>")))
+    students = (F.col("l_quantity") * 1000).cast("bigint") + ln
+    html = F.concat(
+        F.lit("<!DOCTYPE html><html><head><title>"), title, F.lit(" | Courses</title>"),
+        F.coalesce(meta, F.lit("")), F.coalesce(ld, F.lit("")), F.lit("</head><body"), body_attr, F.lit(">"),
+        F.lit("<h1>"), title, F.lit("</h1>"), F.coalesce(visible, F.lit("")),
+        F.lit('<div data-purpose="enrollment">'), F.format_number(students, 0), F.lit(" students</div>"),
+        F.lit('<span data-purpose="rating-number">'), (F.col("l_quantity") / 10).cast("decimal(4,1)").cast("string"),
+        F.lit("</span>"), F.lit('<a data-purpose="rating">('), F.format_number(F.col("l_orderkey") % 100000, 0),
+        F.lit(" ratings)</a>"), F.lit('<script>window.app={courseId: "'), cid, F.lit('"};</script>'),
+        F.lit("</body></html>"))
+    return j.select(
+        (F.col("l_orderkey") * 10 + ln).alias("page_id"),
+        F.concat(F.lit(PAGE_SITE + "/course/"), cid, F.lit("/")).alias("url"),
+        F.col("p_brand").alias("category"),
+        html.alias("html"))

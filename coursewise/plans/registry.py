@@ -1030,3 +1030,276 @@ def c7_fill_defaults(spark, sf):
     o = fixtures.fx_offers(spark, sf).select("l_orderkey", "l_linenumber", "course_id",
                                              "original_price", "discount_price")
     return cleaning.fill_defaults(o, ["original_price", "discount_price"])
+
+
+# =============================================================================== E: page extraction
+
+from coursewise.operators import pages as P  # noqa: E402
+
+E1_SQL = r"""
+WITH src AS (
+  SELECT page_id, regexp_extract(url, '^(https?://[^/?#]+)', 1) AS base,
+         CASE WHEN regexp_matches(html, '>\s*All [^<]*courses\s*<')
+              THEN substr(html, strpos(html, regexp_extract(html, '>\s*All [^<]*courses\s*<', 0)))
+              ELSE html END AS section
+  FROM pages),
+hrefs AS (SELECT page_id, base, unnest(regexp_extract_all(section, '<a\s[^>]*?href="([^"]*)"', 1)) AS href FROM src),
+norm AS (
+  SELECT page_id, base,
+         regexp_replace(split_part(CASE WHEN starts_with(href, '/') THEN base || href ELSE href END, '?', 1),
+                        '/+$', '') || '/' AS link
+  FROM hrefs WHERE contains(href, '/')),
+links AS (SELECT DISTINCT page_id, link FROM norm WHERE starts_with(link, base || '/'))
+"""
+
+
+def _links(spark, sf):
+    return P.extract_links(read_table(spark, sf, "pages"), path_filter="/")
+
+
+@register("e1_extract_links", E1_SQL + "SELECT page_id, link FROM links")
+def e1_extract_links(spark, sf):
+    """Links of every page (path filter '/'), distinct per page."""
+    return _links(spark, sf)
+
+
+@register("e2_normalize_url", r"""
+SELECT page_id, url, regexp_extract(url, '^(https?://[^/?#]+)', 1) AS site,
+       regexp_replace(split_part(url, '?', 1), '/+$', '') || '/' AS normalized
+FROM pages""")
+def e2_normalize_url(spark, sf):
+    """Page URLs without query string, one trailing slash."""
+    pg = read_table(spark, sf, "pages")
+    site = P.site_of(F.col("url"))
+    return pg.select("page_id", "url", site.alias("site"), P.normalize_url(F.col("url"), site).alias("normalized"))
+
+
+@register("e3_dedupe_links", E1_SQL + "SELECT DISTINCT link FROM links")
+def e3_dedupe_links(spark, sf):
+    """The link set over all pages."""
+    return P.dedupe_links(_links(spark, sf))
+
+
+@register("e4_clean_price", O.with_(O.FX_OFFERS) + """
+SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, CAST(discount_price AS DOUBLE) AS price
+FROM fx_offers""")
+def e4_clean_price(spark, sf):
+    """Price text (currency sign, thousands commas, 'Free') -> number."""
+    o = fixtures.fx_offers(spark, sf)
+    d = F.col("discount_price")
+    text = (F.when(d == 0, F.lit("Free"))
+             .when(F.col("l_linenumber") % 2 == 1, F.concat(F.lit("₫"), F.format_number(d, 2)))
+             .otherwise(F.concat(F.lit("$ "), F.format_number(d, 2), F.lit(" "))))
+    return o.select("l_orderkey", "l_linenumber", P.clean_price(text).alias("price"))
+
+
+FX_PAGES = """
+fx_pages AS (
+SELECT l_orderkey * 10 + l_linenumber AS page_id, CAST(l_partkey + 100000 AS VARCHAR) AS course_id,
+       trim(p_name) AS title, l_linenumber AS ln, l_suppkey, p_type, l_quantity, l_orderkey, p_size,
+       CAST(CASE WHEN l_tax = 0 THEN NULL ELSE CAST(l_extendedprice * 20 AS DECIMAL(18,2)) END AS DOUBLE) AS L,
+       CAST(CASE WHEN l_linenumber = 7 THEN NULL WHEN l_discount = 0 THEN CAST(0 AS DECIMAL(18,2))
+            ELSE CAST(l_extendedprice * 20 * (1 - l_discount) AS DECIMAL(18,2)) END AS DOUBLE) AS P
+FROM lineitem JOIN part ON l_partkey = p_partkey),
+fx_cands AS (
+SELECT *, list_distinct(list_filter(CASE ln
+    WHEN 1 THEN [P]
+    WHEN 2 THEN list_filter([L, P], lambda x: x > 0)
+    WHEN 3 THEN list_filter([P], lambda x: x > 0)
+    WHEN 4 THEN list_filter([L], lambda x: x > 0)
+    WHEN 5 THEN [P, L]
+    WHEN 6 THEN list_filter([L, P], lambda x: x > 0)
+    ELSE CAST([] AS DOUBLE[]) END, lambda x: x IS NOT NULL)) AS c
+FROM fx_pages),
+fx_prices AS (SELECT *, list_max(c) AS original_price, list_min(c) AS discount_price FROM fx_cands)"""
+
+
+def _course_pages(spark, sf):
+    return fixtures.fx_course_pages(spark, sf)
+
+
+@register("e5_price_candidates", O.with_(FX_PAGES) + """
+SELECT page_id, CAST(len(c) AS BIGINT) AS n_candidates, list_max(c) AS max_candidate, list_min(c) AS min_candidate
+FROM fx_cands""")
+def e5_price_candidates(spark, sf):
+    """E5: price candidates from meta tag, JSON-LD, payload JSON and visible text."""
+    cands = F.array_distinct(P.price_candidates(F.col("html")))
+    return _course_pages(spark, sf).select("page_id", F.size(cands).cast("bigint").alias("n_candidates"),
+                                           F.array_max(cands).alias("max_candidate"),
+                                           F.array_min(cands).alias("min_candidate"))
+
+
+@register("e6_list_sale_price", O.with_(FX_PAGES) + "SELECT page_id, original_price, discount_price FROM fx_prices")
+def e6_list_sale_price(spark, sf):
+    """(list, sale) = (max, min) of distinct candidates; one value -> both."""
+    lp, sp = P.list_and_sale_price(P.price_candidates(F.col("html")))
+    return _course_pages(spark, sf).select("page_id", lp.alias("original_price"), sp.alias("discount_price"))
+
+
+@register("e7_page_payload")
+def e7_page_payload(spark, sf):
+    """The course payload JSON of each page (rows-only)."""
+    return _course_pages(spark, sf).select("page_id", P.page_payload(F.col("html")).alias("payload"))
+
+
+@register("e8_id_title", r"""
+SELECT page_id, NULLIF(regexp_extract(html, 'courseId[^\d]*(\d{5,8})', 1), '') AS course_id,
+       CASE WHEN regexp_matches(html, '<title.*?>(.*?)</title>')
+            THEN trim(replace(replace(regexp_extract(html, '<title.*?>(.*?)</title>', 1), ' | Courses', ''),
+                              '&trade;', '™')) END AS title
+FROM pages""")
+def e8_id_title(spark, sf):
+    """Course id and title of the driver's web pages."""
+    pg = read_table(spark, sf, "pages")
+    return pg.select("page_id", P.course_id_of(F.col("html")).alias("course_id"),
+                     P.title_of(F.col("html")).alias("title"))
+
+
+@register("e9_instructors", O.with_(FX_PAGES) + """
+SELECT page_id, CAST(l_suppkey AS VARCHAR) AS instructor_id, 'Instructor ' || CAST(l_suppkey AS VARCHAR) AS name,
+       p_type AS job_title, CAST(CAST(l_quantity AS BIGINT) AS DOUBLE) AS num_students FROM fx_pages WHERE ln = 5""")
+def e9_instructors(spark, sf):
+    """Instructor rows from the page payload."""
+    pg = _course_pages(spark, sf)
+    ins = pg.select("page_id", F.explode(P.instructors_of(P.page_payload(F.col("html")))).alias("i"))
+    return ins.select("page_id", "i.instructor_id", "i.name", "i.job_title", "i.num_students")
+
+
+@register("e10_counts", O.with_(FX_PAGES) + """
+SELECT page_id, CAST(l_quantity * 1000 AS BIGINT) + ln AS num_students,
+       CAST(CAST(l_quantity / 10 AS DECIMAL(4,1)) AS DOUBLE) AS avg_rating_score,
+       CAST(l_orderkey % 100000 AS BIGINT) AS num_reviews FROM fx_pages""")
+def e10_counts(spark, sf):
+    """Students, rating and reviews from page text."""
+    pg = _course_pages(spark, sf)
+    c = P.counts_from_text(F.col("html"))
+    return pg.select("page_id", *[v.alias(k) for k, v in c.items()])
+
+
+@register("e11_iso_duration", """
+SELECT p_partkey, text, CAST(p_size * 3600 + (p_partkey % 60) * 60 + CASE WHEN p_partkey % 7 = 0 THEN 0
+       ELSE p_partkey % 50 END AS BIGINT) AS seconds
+FROM (SELECT *, 'PT' || CAST(p_size AS VARCHAR) || 'H' || CAST(p_partkey % 60 AS VARCHAR) || 'M'
+               || CASE WHEN p_partkey % 7 = 0 THEN '' ELSE CAST(p_partkey % 50 AS VARCHAR) || 'S' END AS text
+      FROM part)""")
+def e11_iso_duration(spark, sf):
+    """ISO-8601 durations -> seconds."""
+    part = read_table(spark, sf, "part")
+    k = F.col("p_partkey")
+    text = F.concat(F.lit("PT"), F.col("p_size").cast("string"), F.lit("H"), (k % 60).cast("string"), F.lit("M"),
+                    F.when(k % 7 == 0, F.lit("")).otherwise(F.concat((k % 50).cast("string"), F.lit("S"))))
+    return part.select("p_partkey", text.alias("text"), P.iso_duration_seconds(text).alias("seconds"))
+
+
+@register("e12_course_records", O.with_(FX_PAGES) + """
+SELECT page_id, course_id, title, original_price, discount_price,
+       CAST(CAST(l_quantity * 1000 AS BIGINT) + ln AS DOUBLE) AS num_students,
+       CAST(CAST(l_orderkey % 100000 AS BIGINT) AS DOUBLE) AS num_reviews,
+       CAST(CAST(l_quantity / 10 AS DECIMAL(4,1)) AS DOUBLE) AS avg_rating_score,
+       CAST(CASE WHEN ln = 5 THEN 1 ELSE 0 END AS BIGINT) AS n_instructors
+FROM fx_prices""")
+def e12_course_records(spark, sf):
+    """Full nested course records (flattened here for comparison)."""
+    rec = P.course_records(_course_pages(spark, sf))
+    return rec.select("page_id", "course_data.course_id", "course_data.title", "course_data.original_price",
+                      "course_data.discount_price", "course_data.num_students", "course_data.num_reviews",
+                      "course_data.avg_rating_score", F.size("instructors").cast("bigint").alias("n_instructors"))
+
+
+@register("e13_price_records", O.with_(FX_PAGES) + """
+SELECT page_id, course_id, title, original_price, discount_price FROM fx_prices""")
+def e13_price_records(spark, sf):
+    """Price-only records (id, title, list, sale)."""
+    return P.price_records(_course_pages(spark, sf))
+
+
+@register("e14_rating_json", """
+SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber,
+       CASE l_linenumber % 3 WHEN 0 THEN NULL
+            WHEN 1 THEN to_json([{'rating': 1, 'count': l_linenumber}])
+            ELSE to_json([{'rating': 1, 'count': l_linenumber}, {'rating': 2, 'count': CAST(l_quantity AS INTEGER)}])
+       END AS rating_distribution
+FROM lineitem""")
+def e14_rating_json(spark, sf):
+    """Rating-distribution list -> JSON text when non-empty."""
+    li = read_table(spark, sf, "lineitem")
+    ln = F.col("l_linenumber")
+    one = F.struct(F.lit(1).alias("rating"), ln.alias("count"))
+    two = F.struct(F.lit(2).alias("rating"), F.col("l_quantity").cast("int").alias("count"))
+    arr = (F.when(ln % 3 == 0, F.array().cast("array<struct<rating:int,count:int>>"))
+            .when(ln % 3 == 1, F.array(one)).otherwise(F.array(one, two)))
+    return li.select("l_orderkey", "l_linenumber", P.rating_dist_from_array(arr).alias("rating_distribution"))
+
+
+LOOKUP_SQL = """
+lookup AS (
+SELECT CAST(p_partkey + 100000 AS VARCHAR) AS course_id,
+       CASE WHEN p_size % 4 = 0 THEN NULL ELSE p_retailprice * 20 END AS list_amount,
+       CASE WHEN p_size % 3 = 0 THEN NULL ELSE p_retailprice * 10 END AS discount_amount,
+       CASE WHEN p_size % 5 = 0 THEN NULL ELSE p_retailprice * 15 END AS current_amount
+FROM part)"""
+
+
+def _price_lookup(spark, sf):
+    part = read_table(spark, sf, "part")
+    s, r = F.col("p_size"), F.col("p_retailprice")
+    return part.select((F.col("p_partkey") + fixtures.PAGE_ID_BASE).cast("string").alias("course_id"),
+                       F.when(s % 4 == 0, F.lit(None)).otherwise(r * 20).alias("list_amount"),
+                       F.when(s % 3 == 0, F.lit(None)).otherwise(r * 10).alias("discount_amount"),
+                       F.when(s % 5 == 0, F.lit(None)).otherwise(r * 15).alias("current_amount"))
+
+
+@register("e15_merge_price", O.with_(FX_PAGES, LOOKUP_SQL) + """
+SELECT page_id, f.course_id, title,
+       CASE WHEN need THEN COALESCE(list_amount, current_amount, original_price) ELSE original_price END AS original_price,
+       CASE WHEN need THEN COALESCE(discount_amount, current_amount, discount_price) ELSE discount_price END
+           AS discount_price
+FROM (SELECT *, (original_price IS NULL OR discount_price IS NULL OR original_price = discount_price) AS need
+      FROM fx_prices) f LEFT JOIN lookup l ON f.course_id = l.course_id""")
+def e15_merge_price(spark, sf):
+    """Prices completed from a second source when missing or equal."""
+    return P.merge_price_lookup(P.price_records(_course_pages(spark, sf)), _price_lookup(spark, sf))
+
+
+@register("e16_merge_instructors", """
+SELECT l_orderkey AS course_id, CAST(l_suppkey AS VARCHAR) AS instructor_id
+FROM lineitem LEFT JOIN orders ON l_orderkey = o_orderkey WHERE o_orderkey IS NULL OR o_orderkey % 3 <> 0
+UNION ALL
+SELECT o_orderkey, 'L' || CAST(o_custkey AS VARCHAR) FROM orders
+WHERE o_orderkey % 3 = 0 AND o_orderkey IN (SELECT l_orderkey FROM lineitem)""")
+def e16_merge_instructors(spark, sf):
+    """Instructor lists replaced by a non-empty lookup list."""
+    li = read_table(spark, sf, "lineitem")
+    orders = read_table(spark, sf, "orders")
+    recs = (li.groupBy(F.col("l_orderkey").alias("course_id"))
+              .agg(F.collect_list(F.struct(F.col("l_suppkey").cast("string").alias("instructor_id")))
+                   .alias("instructors")))
+    arr_t = "array<struct<instructor_id:string>>"
+    lookup = orders.select(F.col("o_orderkey").alias("course_id"), F.when(
+        F.col("o_orderkey") % 3 == 0,
+        F.array(F.struct(F.concat(F.lit("L"), F.col("o_custkey").cast("string")).alias("instructor_id"))))
+        .when(F.col("o_orderkey") % 3 == 1, F.array().cast(arr_t)).alias("instructors"))
+    merged = P.merge_instructor_lookup(recs, lookup)
+    return merged.select("course_id", F.explode("instructors").alias("i")).select("course_id", "i.instructor_id")
+
+
+_CATS = [c for cats in P.CATEGORY_GROUPS.values() for c in cats]
+
+
+def _sql_str(s):
+    return "'" + s.replace("'", "''") + "'"
+
+
+@register("e17_category_group", f"""
+SELECT p_partkey, category, CASE {' '.join(f"WHEN category = {_sql_str(c)} THEN '{g}'"
+                                           for g, cs in P.CATEGORY_GROUPS.items() for c in cs)} END AS category_group
+FROM (SELECT p_partkey, CASE WHEN p_size % 11 = 0 THEN 'Other' ELSE
+      list_extract([{', '.join(_sql_str(c) for c in _CATS)}], CAST(p_partkey % 10 + 1 AS INTEGER)) END AS category
+      FROM part)""")
+def e17_category_group(spark, sf):
+    """Crawl category -> crawl group (literal lookup; unknown -> NULL)."""
+    part = read_table(spark, sf, "part")
+    names = F.array(*[F.lit(c) for c in _CATS])
+    cat = F.when(F.col("p_size") % 11 == 0, F.lit("Other")).otherwise(
+        F.element_at(names, (F.col("p_partkey") % 10 + 1).cast("int")))
+    return part.select("p_partkey", cat.alias("category"), P.category_group(cat).alias("category_group"))
