@@ -102,9 +102,64 @@ def _arr(*cols: Column) -> Column:
     return F.filter(F.array(*cols), lambda x: x.isNotNull())
 
 
+def with_page_parts(pages: DataFrame, meta_property: str = META_PRICE_PROPERTY) -> DataFrame:
+    """Extract each page block once (meta price, JSON-LD items, payload JSON,
+    price text, title tag) so later expressions reuse columns instead of
+    re-scanning the HTML; the second projection keeps them from being inlined."""
+    html = F.col("html")
+    parts = pages.withColumns({
+        "__meta": F.regexp_extract(html, r'<meta[^>]*property="' + meta_property.replace(".", r"\.")
+                                   + r'"[^>]*content="([^"]*)"', 1),
+        "__ld": F.filter(json_ld_items(html), lambda it: it.getField("@type").isin(*ITEM_TYPES)),
+        "__module": module_json(html),
+        "__next": F.regexp_extract(html, r'<script[^>]*id="__NEXT_DATA__"[^>]*>(.*?)</script>', 1),
+        "__price_div": F.regexp_extract(html, r'<div[^>]*data-purpose="' + PRICE_TEXT_PURPOSE
+                                        + r'"[^>]*>(.*?)</div>', 1),
+    })
+    return parts.withColumn("__course", module_course(F.col("__module")))
+
+
+PART_COLS = ["__meta", "__ld", "__module", "__next", "__price_div", "__course"]
+
+
+def price_candidates_of_parts() -> Column:
+    """E5 over ``with_page_parts`` columns."""
+    meta_p = F.when(F.col("__meta") != "", clean_price(F.col("__meta")))
+
+    def offer_prices(it):
+        o = F.trim(it.getField("offers"))
+        lst = F.when(o.startswith("["), F.from_json(o, "array<struct<price:string>>")) \
+               .otherwise(F.array(F.from_json(o, "struct<price:string>")))
+        return F.transform(F.coalesce(lst, F.array().cast("array<struct<price:string>>")),
+                           lambda x: x.getField("price").try_cast("double"))
+
+    items = F.coalesce(F.col("__ld"), F.array().cast(f"array<{_LD_ITEM}>"))
+    ld = F.filter(F.flatten(F.transform(items, offer_prices)), lambda p: p > 0)
+    course = F.col("__course")
+    mod = _arr(*[F.get_json_object(course, p).try_cast("double") for p in
+                 ("$.price_text_data.amount", "$.price_text_data.list_price.amount",
+                  "$.discount.list_price.amount", "$.base_price.amount")])
+    spans = F.regexp_extract_all(F.col("__price_div"), F.lit(r"<span[^>]*>([^<]*)</span>"), 1)
+    vis = F.filter(F.transform(F.filter(spans, lambda s: s.rlike(r"\d")), lambda s: clean_price(s)),
+                   lambda p: p.isNotNull() & (p > 0))
+    return F.concat(_arr(meta_p), ld, mod, vis)
+
+
+def payload_of_parts() -> Column:
+    """E7 over ``with_page_parts`` columns."""
+    nxt = F.col("__next")
+    from_next = F.when(nxt != "", F.get_json_object(nxt, "$.props.pageProps.course"))
+    items = F.col("__ld")
+    from_ld = F.when(F.size(items) > 0, F.to_json(F.struct(F.get(items, 0).getField("name").alias("title"))))
+    return F.coalesce(F.col("__course"), from_next, from_ld)
+
+
 def price_candidates(html: Column, meta_property: str = META_PRICE_PROPERTY) -> Column:
     """E5: candidate prices from the meta tag, JSON-LD offers (> 0), module JSON
-    (price text, discount list price, base price) and visible price text (> 0)."""
+    (price text, discount list price, base price) and visible price text (> 0).
+
+    Column form for a single use; jobs over many fields use ``with_page_parts``.
+    """
     meta = F.regexp_extract(html, r'<meta[^>]*property="' + meta_property.replace(".", r"\.")
                             + r'"[^>]*content="([^"]*)"', 1)
     meta_p = F.when(meta != "", clean_price(meta))
@@ -159,13 +214,17 @@ def course_id_of(html: Column) -> Column:
     return F.coalesce(from_payload, F.when(from_text != "", from_text))
 
 
+def title_tag(html: Column, suffix: str = TITLE_SUFFIX) -> Column:
+    """``<title>`` text with the site suffix cut; NULL without a title tag."""
+    t = F.regexp_extract(html, r"<title.*?>(.*?)</title>", 1)
+    from_tag = F.trim(F.replace(F.replace(t, F.lit(suffix), F.lit("")), F.lit("&trade;"), F.lit("™")))
+    return F.when(html.rlike(r"<title.*?>(.*?)</title>"), from_tag)
+
+
 def title_of(html: Column, suffix: str = TITLE_SUFFIX) -> Column:
     """Title from the payload, else ``<title>`` with the site suffix cut."""
     from_payload = F.get_json_object(page_payload(html), "$.title")
-    t = F.regexp_extract(html, r"<title.*?>(.*?)</title>", 1)
-    from_tag = F.trim(F.replace(F.replace(t, F.lit(suffix), F.lit("")), F.lit("&trade;"), F.lit("™")))
-    has_tag = html.rlike(r"<title.*?>(.*?)</title>")
-    return F.coalesce(F.nullif(from_payload, F.lit("")), F.when(has_tag, from_tag))
+    return F.coalesce(F.nullif(from_payload, F.lit("")), title_tag(html, suffix))
 
 
 INSTRUCTOR = T.StructType([T.StructField(n, t) for n, t in [
@@ -239,16 +298,19 @@ def iso_duration_seconds(text: Column) -> Column:
 def course_records(pages: DataFrame, category_col: str = "category",
                    stamp: Column | None = None) -> DataFrame:
     """Full nested course record (course_data + instructors) per page."""
-    html = F.col("html")
-    payload = page_payload(html)
-    list_p, sale_p = list_and_sale_price(price_candidates(html))
+    parts = with_page_parts(pages).withColumn("__payload", payload_of_parts())
+    parts = parts.withColumn("__cands", price_candidates_of_parts())
+    html, payload = F.col("html"), F.col("__payload")
+    list_p, sale_p = list_and_sale_price(F.col("__cands"))
     counts = counts_from_text(html, payload)
     dur = F.coalesce(F.get_json_object(payload, "$.contentLengthVideo").try_cast("double"),
                      iso_duration_seconds(F.get_json_object(payload, "$.estimatedContentLength_text"))
                      .cast("double"))
     stamp = stamp if stamp is not None else F.date_format(F.current_timestamp(), "yyyy-MM-dd HH:mm")
+    from_payload_id = F.get_json_object(F.col("__module"), "$.course_id")
     course = F.struct(
-        course_id_of(html).alias("course_id"), title_of(html).alias("title"),
+        F.coalesce(from_payload_id, course_id_of(html)).alias("course_id"),
+        F.coalesce(F.nullif(F.get_json_object(payload, "$.title"), F.lit("")), title_tag(html)).alias("title"),
         F.get_json_object(payload, "$.headline").alias("headline"),
         F.get_json_object(payload, "$.localeSimpleEnglishTitle").alias("language"),
         F.coalesce(F.get_json_object(payload, "$.instructionalLevel"),
@@ -262,20 +324,24 @@ def course_records(pages: DataFrame, category_col: str = "category",
         counts["num_students"].cast("double").alias("num_students"),
         counts["num_reviews"].cast("double").alias("num_reviews"),
         counts["avg_rating_score"].alias("avg_rating_score"),
-        rating_dist_json(F.get_json_object(module_json(html), "$.serverSideProps.reviewsRatings.ratingDistribution"))
+        rating_dist_json(F.get_json_object(F.col("__module"), "$.serverSideProps.reviewsRatings.ratingDistribution"))
         .alias("rating_distribution"),
         F.col("url").alias("_url"),
         (F.col(category_col) if category_col in pages.columns else F.lit(None).cast("string")).alias("_category"),
         stamp.alias("_scraped_datetime"),
     )
-    return pages.select("page_id", course.alias("course_data"), instructors_of(payload).alias("instructors"))
+    return parts.select("page_id", course.alias("course_data"), instructors_of(payload).alias("instructors"))
 
 
 def price_records(pages: DataFrame) -> DataFrame:
     """Price-only record (id, title, list and sale price) per page with an id."""
+    parts = with_page_parts(pages).withColumn("__payload", payload_of_parts())
+    parts = parts.withColumn("__cands", price_candidates_of_parts())
     html = F.col("html")
-    list_p, sale_p = list_and_sale_price(price_candidates(html))
-    out = pages.select("page_id", course_id_of(html).alias("course_id"), title_of(html).alias("title"),
+    list_p, sale_p = list_and_sale_price(F.col("__cands"))
+    cid = F.coalesce(F.get_json_object(F.col("__module"), "$.course_id"), course_id_of(html))
+    title = F.coalesce(F.nullif(F.get_json_object(F.col("__payload"), "$.title"), F.lit("")), title_tag(html))
+    out = parts.select("page_id", cid.alias("course_id"), title.alias("title"),
                        list_p.alias("original_price"), sale_p.alias("discount_price"))
     return out.filter(F.col("course_id").isNotNull())
 

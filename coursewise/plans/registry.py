@@ -1123,8 +1123,9 @@ SELECT page_id, CAST(len(c) AS BIGINT) AS n_candidates, list_max(c) AS max_candi
 FROM fx_cands""")
 def e5_price_candidates(spark, sf):
     """E5: price candidates from meta tag, JSON-LD, payload JSON and visible text."""
-    cands = F.array_distinct(P.price_candidates(F.col("html")))
-    return _course_pages(spark, sf).select("page_id", F.size(cands).cast("bigint").alias("n_candidates"),
+    parts = P.with_page_parts(_course_pages(spark, sf))
+    cands = F.array_distinct(P.price_candidates_of_parts())
+    return parts.select("page_id", F.size(cands).cast("bigint").alias("n_candidates"),
                                            F.array_max(cands).alias("max_candidate"),
                                            F.array_min(cands).alias("min_candidate"))
 
@@ -1132,14 +1133,15 @@ def e5_price_candidates(spark, sf):
 @register("e6_list_sale_price", O.with_(FX_PAGES) + "SELECT page_id, original_price, discount_price FROM fx_prices")
 def e6_list_sale_price(spark, sf):
     """(list, sale) = (max, min) of distinct candidates; one value -> both."""
-    lp, sp = P.list_and_sale_price(P.price_candidates(F.col("html")))
-    return _course_pages(spark, sf).select("page_id", lp.alias("original_price"), sp.alias("discount_price"))
+    parts = P.with_page_parts(_course_pages(spark, sf))
+    lp, sp = P.list_and_sale_price(P.price_candidates_of_parts())
+    return parts.select("page_id", lp.alias("original_price"), sp.alias("discount_price"))
 
 
 @register("e7_page_payload")
 def e7_page_payload(spark, sf):
     """The course payload JSON of each page (rows-only)."""
-    return _course_pages(spark, sf).select("page_id", P.page_payload(F.col("html")).alias("payload"))
+    return P.with_page_parts(_course_pages(spark, sf)).select("page_id", P.payload_of_parts().alias("payload"))
 
 
 @register("e8_id_title", r"""
@@ -1161,7 +1163,8 @@ SELECT page_id, CAST(l_suppkey AS VARCHAR) AS instructor_id, 'Instructor ' || CA
 def e9_instructors(spark, sf):
     """Instructor rows from the page payload."""
     pg = _course_pages(spark, sf)
-    ins = pg.select("page_id", F.explode(P.instructors_of(P.page_payload(F.col("html")))).alias("i"))
+    parts = P.with_page_parts(pg)
+    ins = parts.select("page_id", F.explode(P.instructors_of(P.payload_of_parts())).alias("i"))
     return ins.select("page_id", "i.instructor_id", "i.name", "i.job_title", "i.num_students")
 
 
@@ -1303,3 +1306,85 @@ def e17_category_group(spark, sf):
     cat = F.when(F.col("p_size") % 11 == 0, F.lit("Other")).otherwise(
         F.element_at(names, (F.col("p_partkey") % 10 + 1).cast("int")))
     return part.select("p_partkey", cat.alias("category"), P.category_group(cat).alias("category_group"))
+
+
+# =============================================================================== V: data quality, H: trends
+
+from coursewise.operators import quality, trends  # noqa: E402
+
+
+@register("v1_unique", O.with_(O.FX_OFFERS) + """
+SELECT course_id, scraped_at, count(*) AS n_rows FROM fx_offers GROUP BY course_id, scraped_at HAVING count(*) > 1""")
+def v1_unique(spark, sf):
+    """V1: duplicate (course, scrape time) pairs in the raw offers."""
+    return quality.check_unique(fixtures.fx_offers(spark, sf), ["course_id", "scraped_at"])
+
+
+V2_COLS = ["level", "num_students", "discount_price", "rating_distribution"]
+
+
+@register("v2_not_null", O.with_(O.FX_COURSES) + " UNION ALL ".join(
+    f"SELECT '{c}' AS column_name, count(*) FILTER (WHERE {c} IS NULL) AS null_count FROM fx_courses"
+    for c in V2_COLS))
+def v2_not_null(spark, sf):
+    """V2: NULL counts of course columns."""
+    return quality.check_not_null(fixtures.fx_courses(spark, sf), V2_COLS)
+
+
+@register("v3_relationship", """
+SELECT o_custkey, count(*) AS n_rows FROM orders
+WHERE o_custkey IS NOT NULL AND o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_custkey IS NOT NULL)
+GROUP BY o_custkey""")
+def v3_relationship(spark, sf):
+    """V3: orders whose customer is missing."""
+    return quality.check_relationship(read_table(spark, sf, "orders"),
+                                      read_table(spark, sf, "customer"), "o_custkey", "c_custkey")
+
+
+@register("v4_accepted_values", """
+SELECT o_orderstatus, count(*) AS n_rows FROM orders
+WHERE o_orderstatus IS NOT NULL AND o_orderstatus NOT IN ('F', 'O') GROUP BY o_orderstatus""")
+def v4_accepted_values(spark, sf):
+    """V4: order states outside the accepted set."""
+    return quality.check_accepted_values(read_table(spark, sf, "orders"), "o_orderstatus", ["F", "O"])
+
+
+@register("v5_cast_rejects", O.with_(O.FX_COURSES) + """
+SELECT 'published_date' AS column_name,
+       count(*) FILTER (WHERE NULLIF(trim(publishes_date), '') IS NOT NULL
+                        AND try_strptime(trim(publishes_date), '%d/%m/%Y') IS NULL) AS rejects FROM fx_courses
+UNION ALL
+SELECT 'rating_1', count(*) FILTER (WHERE NULLIF(trim(rating_distribution), '') IS NOT NULL
+                        AND TRY_CAST(json_extract_string(NULLIF(rating_distribution, 'None'), '$[0].count') AS INTEGER)
+                            IS NULL) FROM fx_courses""")
+def v5_cast_rejects(spark, sf):
+    """V5: raw values that fail their cast (text 'None' JSON counts as a reject)."""
+    from coursewise.functions.dates import parse_date
+    c = fixtures.fx_courses(spark, sf)
+    return quality.cast_rejects(c, {
+        "published_date": ("publishes_date", parse_date(F.col("publishes_date"))),
+        "rating_1": ("rating_distribution", staging.rating_counts(F.col("rating_distribution"))["rating_1"]),
+    })
+
+
+@register("h1_student_growth", O.with_(*O.COURSE_BASE) + """
+SELECT course_id, scraped_at, num_students, prev_students, num_students - prev_students AS growth
+FROM (SELECT course_id, scraped_at, num_students,
+             lag(num_students) OVER (PARTITION BY course_id ORDER BY scraped_at) AS prev_students FROM stg_courses)""")
+def h1_student_growth(spark, sf):
+    """H1: student growth between consecutive snapshots."""
+    return trends.student_growth(W(spark, sf).stg_courses)
+
+
+@register("h2_price_by_month", O.with_(*O.COURSE_BASE, BOUNDS_SQL, *O.PRICE_BASE[:1], O.STG_PRICE,
+                                        O.PRICE_HISTORY) + """
+SELECT strftime(d.date_day, '%Y-%m') AS year_month, count(*) AS n_prices,
+       CAST(sum(sale_price) AS DOUBLE) / count(sale_price) AS avg_sale_price,
+       CAST(min(sale_price) AS DOUBLE) AS min_sale_price, CAST(max(sale_price) AS DOUBLE) AS max_sale_price,
+       count(*) FILTER (WHERE is_lowest_price_ever) AS n_all_time_lows
+FROM fct_price_history f JOIN spine d ON CAST(f.recorded_at AS DATE) = d.date_day
+GROUP BY 1""")
+def h2_price_by_month(spark, sf):
+    """H2: price statistics per calendar month."""
+    w = W(spark, sf)
+    return trends.price_by_month(w.fct_price_history, w.dim_date)
