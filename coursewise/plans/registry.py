@@ -1388,3 +1388,54 @@ def h2_price_by_month(spark, sf):
     """H2: price statistics per calendar month."""
     w = W(spark, sf)
     return trends.price_by_month(w.fct_price_history, w.dim_date)
+
+
+# =============================================================================== streaming
+
+from coursewise.streaming import alerts as stream_alerts  # noqa: E402
+from coursewise.streaming import incremental  # noqa: E402
+
+OFFER_COLS = ["course_id", "title", "original_price", "discount_price", "_url", "_category", "scraped_at",
+              "l_orderkey", "l_linenumber"]
+
+
+def _land_offers(spark, sf, landing: str, second: bool) -> None:
+    """Land the offers as two tracker batches (years up to 1996, then later years)."""
+    o = fixtures.fx_offers(spark, sf)
+    early = F.year("scraped_at") <= 1996
+    part = o.filter(~early) if second else o.filter(early)
+    tag = "B" if second else "A"
+    files.write_parquet(part, f"{landing}/PROD_tracker_group1_p1-1_{tag}_courses.parquet", "gzip")
+
+
+@register("s10_incremental_load", O.with_(O.FX_OFFERS) + """
+SELECT course_id, title, CAST(original_price AS DOUBLE) AS original_price,
+       CAST(discount_price AS DOUBLE) AS discount_price, _url, _category, scraped_at, l_orderkey,
+       CAST(l_linenumber AS BIGINT) AS l_linenumber FROM fx_offers""")
+def s10_incremental_load(spark, sf):
+    """Two landing runs (the second adds a file); each file is loaded exactly once."""
+    root = work_dir(spark, "s10")
+    landing, raw, ckpt = f"{root}/landing", f"{root}/raw", f"{root}/checkpoints"
+    schema = fixtures.fx_offers(spark, sf).schema
+    inst = fixtures.fx_instructors(spark, sf)
+    files.write_parquet(inst, f"{landing}/TEST_dashboard_group1_p1-1_A_instructors.parquet")
+    _land_offers(spark, sf, landing, second=False)
+    schemas = {"price_tracker": schema, "instructors": inst.schema}
+    incremental.incremental_load(spark, landing, schemas, raw, ckpt)
+    _land_offers(spark, sf, landing, second=True)
+    incremental.incremental_load(spark, landing, schemas, raw, ckpt)
+    return incremental.read_raw_table(spark, raw, "price_tracker").select(*OFFER_COLS)
+
+
+@register("g35_alert_feed")
+def g35_alert_feed(spark, sf):
+    """Alert rows produced by two landed price batches (rows-only)."""
+    root = work_dir(spark, "g35")
+    landing = f"{root}/landing"
+    schema = fixtures.fx_offers(spark, sf).schema
+    glob = f"{landing}/*tracker*_courses.parquet"
+    for second in (False, True):
+        _land_offers(spark, sf, landing, second)
+        stream_alerts.run_alert_feed(spark, glob, schema, f"{root}/out", f"{root}/checkpoint",
+                                     tie_break=["l_orderkey", "l_linenumber"])
+    return stream_alerts.read_alerts(spark, f"{root}/out")
