@@ -61,6 +61,8 @@ def dedupe_links(links: DataFrame, col: str = "link") -> DataFrame:
 META_PRICE_PROPERTY = "product:price"
 PRICE_TEXT_PURPOSE = "course-price-text"
 ITEM_TYPES = ["Course", "Product"]
+# Suffix the site appends to page titles (cut from extracted titles).
+TITLE_SUFFIX = " | Courses"
 
 _LD_ITEM = "struct<`@type`:string,offers:string,name:string>"
 
@@ -103,23 +105,57 @@ def _arr(*cols: Column) -> Column:
 
 
 def with_page_parts(pages: DataFrame, meta_property: str = META_PRICE_PROPERTY) -> DataFrame:
-    """Extract each page block once (meta price, JSON-LD items, payload JSON,
-    price text, title tag) so later expressions reuse columns instead of
-    re-scanning the HTML; the second projection keeps them from being inlined."""
+    """Extract each page block once, then parse the blocks.
+
+    Level 1 runs every regular expression over the HTML exactly once (meta
+    price, JSON-LD block, payload attribute, next-data script, price text,
+    title tag, ``courseId`` text); level 2 parses those short strings.  The
+    second projection references level-1 columns several times, so Catalyst
+    keeps the projections apart instead of re-inlining the HTML scans.
+    """
     html = F.col("html")
-    parts = pages.withColumns({
+    lvl1 = pages.withColumns({
         "__meta": F.regexp_extract(html, r'<meta[^>]*property="' + meta_property.replace(".", r"\.")
                                    + r'"[^>]*content="([^"]*)"', 1),
-        "__ld": F.filter(json_ld_items(html), lambda it: it.getField("@type").isin(*ITEM_TYPES)),
-        "__module": module_json(html),
+        "__ld_block": F.trim(json_ld(html)),
+        "__module_sq": F.regexp_extract(html, r"<body[^>]*data-module-args='([^']*)'", 1),
+        "__module_dq": F.regexp_extract(html, r'<body[^>]*data-module-args="([^"]*)"', 1),
         "__next": F.regexp_extract(html, r'<script[^>]*id="__NEXT_DATA__"[^>]*>(.*?)</script>', 1),
         "__price_div": F.regexp_extract(html, r'<div[^>]*data-purpose="' + PRICE_TEXT_PURPOSE
                                         + r'"[^>]*>(.*?)</div>', 1),
+        "__title_raw": F.when(html.rlike(r"<title.*?>(.*?)</title>"),
+                              F.regexp_extract(html, r"<title.*?>(.*?)</title>", 1)),
+        "__cid_text": F.regexp_extract(html, r"courseId[^\d]*(\d{5,8})", 1),
+    })
+    block = F.col("__ld_block")
+    raw = F.when(F.col("__module_sq") != "", F.col("__module_sq")).otherwise(F.col("__module_dq"))
+    lvl2 = lvl1.withColumns({
+        "__ld": F.filter(
+            F.when(block.startswith("["), F.from_json(block, f"array<{_LD_ITEM}>"))
+             .when(block.contains('"@graph"'),
+                   F.from_json(block, f"struct<`@graph`:array<{_LD_ITEM}>>").getField("@graph"))
+             .when(block.startswith("{"), F.array(F.from_json(block, _LD_ITEM))),
+            lambda it: it.getField("@type").isin(*ITEM_TYPES)),
+        "__module": F.when(raw != "", _unescape(raw)),
     })
-    return parts.withColumn("__course", module_course(F.col("__module")))
+    return lvl2.withColumn("__course", module_course(F.col("__module")))
 
 
-PART_COLS = ["__meta", "__ld", "__module", "__next", "__price_div", "__course"]
+def parts_course_id() -> Column:
+    """E8 over page parts: payload id, else the ``courseId`` text."""
+    t = F.col("__cid_text")
+    return F.coalesce(F.get_json_object(F.col("__module"), "$.course_id"), F.when(t != "", t))
+
+
+def parts_title(suffix: str = TITLE_SUFFIX) -> Column:
+    """E8 over page parts: payload title, else the title tag without the site suffix."""
+    tag = F.trim(F.replace(F.replace(F.col("__title_raw"), F.lit(suffix), F.lit("")), F.lit("&trade;"),
+                           F.lit("™")))
+    return F.coalesce(F.nullif(F.get_json_object(F.col("__payload"), "$.title"), F.lit("")), tag)
+
+
+PART_COLS = ["__meta", "__ld_block", "__module_sq", "__module_dq", "__next", "__price_div", "__title_raw",
+             "__cid_text", "__ld", "__module", "__course"]
 
 
 def price_candidates_of_parts() -> Column:
@@ -194,8 +230,6 @@ def list_and_sale_price(cands: Column) -> tuple[Column, Column]:
 
 # --------------------------------------------------------------------------- identity, counts
 
-# Suffix the site appends to page titles (cut from extracted titles).
-TITLE_SUFFIX = " | Courses"
 
 
 def page_payload(html: Column) -> Column:
@@ -307,10 +341,8 @@ def course_records(pages: DataFrame, category_col: str = "category",
                      iso_duration_seconds(F.get_json_object(payload, "$.estimatedContentLength_text"))
                      .cast("double"))
     stamp = stamp if stamp is not None else F.date_format(F.current_timestamp(), "yyyy-MM-dd HH:mm")
-    from_payload_id = F.get_json_object(F.col("__module"), "$.course_id")
     course = F.struct(
-        F.coalesce(from_payload_id, course_id_of(html)).alias("course_id"),
-        F.coalesce(F.nullif(F.get_json_object(payload, "$.title"), F.lit("")), title_tag(html)).alias("title"),
+        parts_course_id().alias("course_id"), parts_title().alias("title"),
         F.get_json_object(payload, "$.headline").alias("headline"),
         F.get_json_object(payload, "$.localeSimpleEnglishTitle").alias("language"),
         F.coalesce(F.get_json_object(payload, "$.instructionalLevel"),
@@ -337,11 +369,8 @@ def price_records(pages: DataFrame) -> DataFrame:
     """Price-only record (id, title, list and sale price) per page with an id."""
     parts = with_page_parts(pages).withColumn("__payload", payload_of_parts())
     parts = parts.withColumn("__cands", price_candidates_of_parts())
-    html = F.col("html")
     list_p, sale_p = list_and_sale_price(F.col("__cands"))
-    cid = F.coalesce(F.get_json_object(F.col("__module"), "$.course_id"), course_id_of(html))
-    title = F.coalesce(F.nullif(F.get_json_object(F.col("__payload"), "$.title"), F.lit("")), title_tag(html))
-    out = parts.select("page_id", cid.alias("course_id"), title.alias("title"),
+    out = parts.select("page_id", parts_course_id().alias("course_id"), parts_title().alias("title"),
                        list_p.alias("original_price"), sale_p.alias("discount_price"))
     return out.filter(F.col("course_id").isNotNull())
 
