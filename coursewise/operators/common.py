@@ -6,9 +6,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Rows a side may hold before we hint a broadcast; beyond it the planner
-# (sort-merge join, AQE skew splitting) decides.
-BROADCAST_MAX_ROWS = 2_000_000
+# Rows a side may hold before we hint a broadcast (a two-column lookup of this
+# size is a few tens of MB); beyond it the planner (sort-merge join, AQE skew
+# splitting, AQE runtime broadcast) decides.
+BROADCAST_MAX_ROWS = 500_000
+# Rows one task may number with a global window before switching to the
+# range-partitioned numbering.
+SINGLE_TASK_MAX_ROWS = 2_000_000
 
 
 def top_n_per_key(df: DataFrame, keys: list[str], order: list[Column], n: int = 1,
@@ -38,12 +42,13 @@ def checked_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> Data
     planner chooses (AQE still converts to a broadcast at runtime when the
     shuffle output is small).
     """
+    df = df.persist()  # counted once, then reused by the join
     n = df.count()
     return F.broadcast(df) if n <= max_rows else df
 
 
 def sequential_ids(df: DataFrame, order_col: str, id_col: str,
-                   max_single_task_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+                   max_single_task_rows: int = SINGLE_TASK_MAX_ROWS) -> DataFrame:
     """Ids 1..n in ascending ``order_col`` order over a DISTINCT set.
 
     Small sets use a global ``row_number`` (one task, bounded by the count
@@ -51,6 +56,7 @@ def sequential_ids(df: DataFrame, order_col: str, id_col: str,
     locally and adds the row count of all earlier partitions, so no single task
     sees more than one range.
     """
+    df = df.persist()  # the DISTINCT set is computed once for both the count and the ids
     n = df.count()
     if n <= max_single_task_rows:
         w = Window.orderBy(F.col(order_col).asc_nulls_last())

@@ -191,6 +191,12 @@ def best_courses(per_course: DataFrame) -> DataFrame:
             .orderBy(F.col("num_students").desc(), F.col("course_id")))
 
 
+def top_k(df: DataFrame, k: int, order: list[Column]) -> DataFrame:
+    """T4: the first ``k`` rows under a total order (planned as TakeOrderedAndProject:
+    each task keeps its own top k, the driver merges k rows per task)."""
+    return df.orderBy(*order).limit(k)
+
+
 def display_best_courses(best: DataFrame) -> DataFrame:
     """The ranking's display strings."""
     return best.select(
@@ -222,7 +228,7 @@ HISTORY_COLUMNS = ["course_id", "title", "course_url", "list_price", "sale_price
 
 def price_history_enriched(fct_price_history: DataFrame, dim_course: DataFrame,
                            dim_category: DataFrame) -> DataFrame:
-    """Price history with category name; titled rows.
+    """Price history with category name; titled rows.
 
     dim_course has one row per course (a plain equi-join the planner sizes
     at runtime); dim_category is small and broadcast after a count check.
@@ -232,7 +238,12 @@ def price_history_enriched(fct_price_history: DataFrame, dim_course: DataFrame,
     out = (fct_price_history.filter(F.col("title").isNotNull())
            .join(d, "course_id", "left")
            .join(cat, "category_id", "left"))
-    return out.select(*HISTORY_COLUMNS).orderBy("course_id", "recorded_at")
+    return out.select(*HISTORY_COLUMNS)
+
+
+def ordered_history(history: DataFrame) -> DataFrame:
+    """G2 presentation order (course, time); applied only where the rows are shown."""
+    return history.orderBy("course_id", "recorded_at")
 
 
 def price_type_filter(history: DataFrame, kind: str = "All") -> DataFrame:

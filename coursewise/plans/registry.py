@@ -556,7 +556,8 @@ PH = O.with_(*O.ENRICHED)
 
 @register("g2_price_history_enriched", PH + HIST_OUT + " FROM history")
 def g2_price_history_enriched(spark, sf):
-    return W(spark, sf).price_history
+    """History + category, titled rows, in course/time order."""
+    return serving.ordered_history(W(spark, sf).price_history)
 
 
 @register("g22_price_type", PH + HIST_OUT + " FROM history WHERE list_price > 0")
@@ -1439,3 +1440,12 @@ def g35_alert_feed(spark, sf):
         stream_alerts.run_alert_feed(spark, glob, schema, f"{root}/out", f"{root}/checkpoint",
                                      tie_break=["l_orderkey", "l_linenumber"])
     return stream_alerts.read_alerts(spark, f"{root}/out")
+
+
+@register("t4_top_k", O.with_(*O.GOLD_BASE) + """
+SELECT course_id, title, num_students, CAST(est_revenue AS DOUBLE) AS est_revenue FROM per_course
+ORDER BY num_students DESC, course_id LIMIT 10""")
+def t4_top_k(spark, sf):
+    """T4: top-10 courses by enrolments (the limit is the report)."""
+    pc = W(spark, sf).per_course.select("course_id", "title", "num_students", "est_revenue")
+    return serving.top_k(pc, 10, [F.col("num_students").desc(), F.col("course_id")])
