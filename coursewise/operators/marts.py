@@ -19,6 +19,23 @@ def lookup_dim(stg: DataFrame, col: str, id_col: str, name_col: str) -> DataFram
     return sequential_ids(values, name_col, id_col).select(id_col, name_col)
 
 
+LOOKUPS = {"category": ("category_id", "category_name"),
+           "language": ("language_id", "language_name"),
+           "level": ("level_id", "level_name")}
+
+
+def lookup_dims(stg_courses: DataFrame) -> dict[str, DataFrame]:
+    """F1-F3 in one pass: the distinct (kind, value) pairs of all three lookup
+    columns are computed and cached once, then each dimension is numbered from
+    its slice (each count then reads the small cached set, not the courses)."""
+    pairs = F.array(*[F.struct(F.lit(k).alias("kind"), F.col(k).cast("string").alias("value")) for k in LOOKUPS])
+    vals = (stg_courses.select(F.explode(pairs).alias("kv")).select("kv.*")
+                       .filter(F.col("value").isNotNull()).distinct().persist())
+    return {k: sequential_ids(vals.filter(F.col("kind") == k).select(F.col("value").alias(name)), name, idc)
+               .select(idc, name)
+            for k, (idc, name) in LOOKUPS.items()}
+
+
 def dim_category(stg_courses: DataFrame) -> DataFrame:
     return lookup_dim(stg_courses, "category", "category_id", "category_name")
 

@@ -991,21 +991,28 @@ def c4_try_numeric(spark, sf):
 
 
 @register("c5_split_parent_child", """
-SELECT o_orderkey AS course_id, CAST(l_suppkey AS VARCHAR) AS instructor_id, CAST(l_linenumber AS BIGINT) AS l_linenumber,
-       l_quantity FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE o_orderstatus <> 'P'""")
+SELECT l_orderkey * 10 + l_linenumber AS course_id, CAST(l_suppkey AS VARCHAR) AS instructor_id, l_quantity
+FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE o_orderstatus <> 'P'
+UNION ALL
+SELECT l_orderkey * 10 + l_linenumber, 'P' || CAST(l_partkey AS VARCHAR), l_quantity / 2
+FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE o_orderstatus <> 'P' AND l_linenumber % 2 = 0""")
 def c5_split_parent_child(spark, sf):
-    """Nested order records -> child rows with the parent id; id-less records dropped.
+    """Nested records -> child rows with the parent id; id-less records dropped.
 
-    The nested input is built per order (at most 7 lines per order in the
-    driver's schema, so each child list is small).
+    One nested record per line item (its own one or two instructors), so no
+    list is gathered across rows.
     """
     li = read_table(spark, sf, "lineitem")
-    orders = read_table(spark, sf, "orders")
-    kids = li.groupBy("l_orderkey").agg(F.collect_list(F.struct(
-        F.col("l_suppkey").cast("string").alias("instructor_id"), "l_linenumber", "l_quantity")).alias("instructors"))
-    rec = orders.join(kids, orders.o_orderkey == kids.l_orderkey).select(
-        F.struct(F.when(F.col("o_orderstatus") != "P", F.col("o_orderkey")).alias("course_id"),
-                 "o_orderstatus", "o_totalprice").alias("course_data"), "instructors")
+    orders = read_table(spark, sf, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
+    j = li.join(orders, li.l_orderkey == orders.o_orderkey)
+    first = F.struct(F.col("l_suppkey").cast("string").alias("instructor_id"), F.col("l_quantity"))
+    second = F.struct(F.concat(F.lit("P"), F.col("l_partkey").cast("string")).alias("instructor_id"),
+                      (F.col("l_quantity") / 2).alias("l_quantity"))
+    rec = j.select(
+        F.struct(F.when(F.col("o_orderstatus") != "P", F.col("l_orderkey") * 10 + F.col("l_linenumber"))
+                 .alias("course_id"), "o_orderstatus", "o_totalprice").alias("course_data"),
+        F.when(F.col("l_linenumber") % 2 == 0, F.array(first, second)).otherwise(F.array(first))
+         .alias("instructors"))
     _, children = cleaning.split_parent_child(rec)
     return children
 
@@ -1266,23 +1273,23 @@ def e15_merge_price(spark, sf):
 
 
 @register("e16_merge_instructors", """
-SELECT l_orderkey AS course_id, CAST(l_suppkey AS VARCHAR) AS instructor_id
-FROM lineitem LEFT JOIN orders ON l_orderkey = o_orderkey WHERE o_orderkey IS NULL OR o_orderkey % 3 <> 0
-UNION ALL
-SELECT o_orderkey, 'L' || CAST(o_custkey AS VARCHAR) FROM orders
-WHERE o_orderkey % 3 = 0 AND o_orderkey IN (SELECT l_orderkey FROM lineitem)""")
+SELECT concat_ws('-', l_orderkey, l_linenumber, l_partkey, strftime(l_shipdate, '%Y%m%d')) AS course_id,
+       CASE WHEN (l_orderkey + l_linenumber) % 3 = 0 THEN 'L' || CAST(l_partkey AS VARCHAR)
+            ELSE CAST(l_suppkey AS VARCHAR) END AS instructor_id
+FROM lineitem""")
 def e16_merge_instructors(spark, sf):
-    """Instructor lists replaced by a non-empty lookup list."""
+    """Instructor lists replaced by a non-empty lookup list (empty lookups keep the record's)."""
     li = read_table(spark, sf, "lineitem")
-    orders = read_table(spark, sf, "orders")
-    recs = (li.groupBy(F.col("l_orderkey").alias("course_id"))
-              .agg(F.collect_list(F.struct(F.col("l_suppkey").cast("string").alias("instructor_id")))
-                   .alias("instructors")))
+    # (order, line, part, ship day) is unique in the driver's line items
+    cid = F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey",
+                      F.date_format("l_shipdate", "yyyyMMdd")).alias("course_id")
+    recs = li.select(cid, F.array(F.struct(F.col("l_suppkey").cast("string").alias("instructor_id")))
+                     .alias("instructors"))
     arr_t = "array<struct<instructor_id:string>>"
-    lookup = orders.select(F.col("o_orderkey").alias("course_id"), F.when(
-        F.col("o_orderkey") % 3 == 0,
-        F.array(F.struct(F.concat(F.lit("L"), F.col("o_custkey").cast("string")).alias("instructor_id"))))
-        .when(F.col("o_orderkey") % 3 == 1, F.array().cast(arr_t)).alias("instructors"))
+    k = (F.col("l_orderkey") + F.col("l_linenumber")) % 3
+    lookup = li.select(cid, F.when(k == 0, F.array(F.struct(
+        F.concat(F.lit("L"), F.col("l_partkey").cast("string")).alias("instructor_id"))))
+        .when(k == 1, F.array().cast(arr_t)).alias("instructors"))
     merged = P.merge_instructor_lookup(recs, lookup)
     return merged.select("course_id", F.explode("instructors").alias("i")).select("course_id", "i.instructor_id")
 

@@ -55,16 +55,20 @@ class Warehouse:
 
     # gold ---------------------------------------------------------------
     @cached_property
+    def lookup_dims(self) -> dict[str, DataFrame]:
+        return marts.lookup_dims(self.stg_courses)
+
+    @property
     def dim_category(self) -> DataFrame:
-        return marts.dim_category(self.stg_courses)
+        return self.lookup_dims["category"]
 
-    @cached_property
+    @property
     def dim_language(self) -> DataFrame:
-        return marts.dim_language(self.stg_courses)
+        return self.lookup_dims["language"]
 
-    @cached_property
+    @property
     def dim_level(self) -> DataFrame:
-        return marts.dim_level(self.stg_courses)
+        return self.lookup_dims["level"]
 
     @cached_property
     def dim_course(self) -> DataFrame:

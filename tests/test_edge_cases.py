@@ -198,3 +198,26 @@ def test_cleaning_helpers(spark):
     df = spark.createDataFrame([(1.0, float("nan"), "x")], "`A b ` double, c double, d string")
     out = cleaning.nan_to_null(cleaning.normalize_columns(df))
     assert out.columns == ["a_b", "c", "d"] and out.collect()[0].c is None
+
+
+def test_route_names(spark):
+    from coursewise.sources.ledger import route_of
+    names = ["s3a://b/dashboard/PROD_dashboard_g1_p1-2_20240101_000000_courses.parquet",
+             "/x/TEST_tracker_g1_p1-1_20240101_courses.parquet/part-0.parquet",
+             "/x/PROD_dashboard_g1_p1-2_20240101_000000_Instructors.parquet",
+             "/x/notes.parquet", "/x/courses.csv"]
+    df = spark.createDataFrame([(n,) for n in names], "p string")
+    got = [r.t for r in df.select(route_of(F.col("p")).alias("t")).collect()]
+    assert got == ["courses", "price_tracker", "instructors", None, None]
+
+
+def test_pending_files_retries_failed(spark):
+    from coursewise.sources.ledger import pending_files, upsert_ledger
+    listing = spark.createDataFrame([("a",), ("b",), ("c",)], "filename string")
+    led = spark.createDataFrame([("a", "SUCCESS", dt.datetime(2024, 1, 1)), ("b", "FAILED", dt.datetime(2024, 1, 1))],
+                                "filename string, status string, loaded_at timestamp")
+    assert sorted(r.filename for r in pending_files(listing, led).collect()) == ["b", "c"]
+    upd = spark.createDataFrame([("b", "SUCCESS", dt.datetime(2024, 1, 2))],
+                                "filename string, status string, loaded_at timestamp")
+    cur = upsert_ledger(led, upd)
+    assert {r.filename: r.status for r in cur.collect()} == {"a": "SUCCESS", "b": "SUCCESS"}

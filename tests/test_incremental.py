@@ -27,3 +27,18 @@ def test_second_run_loads_only_new_files(spark):
     led = incremental.read_ledger(spark, raw)
     assert led.select("filename").distinct().count() == led.count()       # each file once
     assert led.agg(F.sum("row_count")).collect()[0][0] == offers.count()
+
+
+def test_corrupt_and_unroutable_files_are_skipped(spark):
+    import os
+    root = work_dir(spark, "test-inc-bad")
+    landing, raw, ckpt = f"{root}/landing", f"{root}/raw", f"{root}/ckpt"
+    offers = fixtures.fx_offers(spark, SF)
+    files.write_parquet(offers, f"{landing}/PROD_tracker_g_p1-1_A_courses.parquet")
+    bad = f"{landing}/PROD_tracker_g_p1-1_BAD_courses.parquet"
+    os.makedirs(bad, exist_ok=True)
+    with open(f"{bad}/part-00000.parquet", "wb") as fh:
+        fh.write(b"not a parquet file")
+    files.write_parquet(offers, f"{landing}/unrelated_notes.parquet")
+    incremental.incremental_load(spark, landing, {"price_tracker": offers.schema}, raw, ckpt)
+    assert incremental.read_raw_table(spark, raw, "price_tracker").count() == offers.count()
