@@ -20,9 +20,11 @@ from coursewise.plans import fixtures
 class Warehouse:
     def __init__(self, spark: SparkSession, sf_dir: str,
                  courses: DataFrame | None = None, instructors: DataFrame | None = None,
-                 offers: DataFrame | None = None, tie_break: list[str] | None = None):
+                 offers: DataFrame | None = None, tie_break: list[str] | None = None,
+                 silver: dict[str, DataFrame] | None = None):
         self.spark, self.sf_dir = spark, sf_dir
         self._courses, self._instructors, self._offers = courses, instructors, offers
+        self._silver = silver or {}
         self.tie_break = tie_break if tie_break is not None else (
             fixtures.FIXTURE_TIE_BREAK if courses is None else None)
 
@@ -43,14 +45,20 @@ class Warehouse:
     # silver -------------------------------------------------------------
     @cached_property
     def stg_courses(self) -> DataFrame:
+        if "stg_courses" in self._silver:
+            return self._silver["stg_courses"]
         return staging.stg_courses(self.raw_courses, self.tie_break)
 
     @cached_property
     def stg_instructors(self) -> DataFrame:
+        if "stg_instructors" in self._silver:
+            return self._silver["stg_instructors"]
         return staging.stg_instructors(self.raw_instructors)
 
     @cached_property
     def stg_price_tracker(self) -> DataFrame:
+        if "stg_price_tracker" in self._silver:
+            return self._silver["stg_price_tracker"]
         return staging.stg_price_tracker(self.raw_offers, self.tie_break)
 
     # gold ---------------------------------------------------------------
@@ -106,10 +114,31 @@ class Warehouse:
     MARTS = ("dim_category", "dim_language", "dim_level", "dim_course", "dim_date", "dim_instructor",
              "bridge_course_instructors", "fct_course_snapshot", "fct_price_history")
 
-    def build(self, target_dir: str, names: tuple[str, ...] = MARTS) -> dict[str, str]:
-        """Write each gold table (overwrite = rebuild and swap); return name -> path."""
+    # the staging model each mart is built from
+    NEEDS = {"dim_category": "stg_courses", "dim_language": "stg_courses", "dim_level": "stg_courses",
+             "dim_course": "stg_courses", "dim_date": "stg_courses", "fct_course_snapshot": "stg_courses",
+             "dim_instructor": "stg_instructors", "bridge_course_instructors": "stg_instructors",
+             "fct_price_history": "stg_price_tracker"}
+
+    def build(self, target_dir: str, names: tuple[str, ...] = MARTS,
+              materialize_silver: bool = True) -> dict[str, str]:
+        """Write each gold table (overwrite = rebuild and swap); return name -> path.
+
+        With ``materialize_silver`` the three staging models are written first
+        and every mart reads them back, so bronze is scanned and de-duplicated
+        once per build instead of once per mart; the written silver also cuts
+        lineage (a lost executor recomputes from silver, not from bronze).
+        """
         from coursewise.sources.files import materialize
+        root = target_dir.rstrip("/")
+        src = self
         out = {}
+        if materialize_silver:
+            silver = {}
+            for name in sorted({self.NEEDS[m] for m in names}):
+                out[name] = materialize(getattr(self, name), f"{root}/silver/{name}", "table")
+                silver[name] = self.spark.read.parquet(out[name])
+            src = Warehouse(self.spark, self.sf_dir, tie_break=self.tie_break, silver=silver)
         for name in names:
-            out[name] = materialize(getattr(self, name), f"{target_dir.rstrip('/')}/{name}", "table")
+            out[name] = materialize(getattr(src, name), f"{root}/{name}", "table")
         return out

@@ -38,7 +38,7 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
         builder = builder.config(k, v)
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-        builder = builder.config("coursewise.scan.minPartitions", str(shuffle_partitions))
+        builder = builder.config("spark.coursewise.scan.minPartitions", str(shuffle_partitions))
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
@@ -76,7 +76,7 @@ def read_table(spark: SparkSession, sf_dir: str, name: str):
 
 
 def spread_scan(df):
-    """Give a scan at least ``coursewise.scan.minPartitions`` tasks.
+    """Give a scan at least ``spark.coursewise.scan.minPartitions`` tasks.
 
     A parquet file with a single row group is read by a single task, so all
     work before the first shuffle would run on one core.  Inputs with fewer
@@ -85,7 +85,7 @@ def spread_scan(df):
     to turn it off.
     """
     spark = df.sparkSession
-    want = int(spark.conf.get("coursewise.scan.minPartitions", "0") or 0)
+    want = int(spark.conf.get("spark.coursewise.scan.minPartitions", "0") or 0)
     if want > 1 and df.rdd.getNumPartitions() * 2 <= want:
         return df.repartition(want)
     return df

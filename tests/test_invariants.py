@@ -52,3 +52,13 @@ def test_share_sums_to_100(spark):
     w = Warehouse(spark, SF)
     s = serving.share_of_total(serving.courses_by_level(w.per_course)).agg(F.sum("share_pct")).collect()[0][0]
     assert abs(float(s) - 100) < 0.5
+
+
+def test_build_reads_materialized_silver(spark):
+    from coursewise.session import work_dir
+    w = Warehouse(spark, SF)
+    out = w.build(work_dir(spark, "test-build"))
+    assert set(Warehouse.MARTS) <= set(out) and "stg_courses" in out
+    snap = spark.read.parquet(out["fct_course_snapshot"])
+    assert snap.count() == w.fct_course_snapshot.count()
+    assert spark.read.parquet(out["dim_category"]).count() == w.dim_category.count()
