@@ -241,6 +241,17 @@ def price_history_enriched(fct_price_history: DataFrame, dim_course: DataFrame,
     return out.select(*HISTORY_COLUMNS)
 
 
+def price_history_with_category(fct_price_history: DataFrame, stg_courses: DataFrame) -> DataFrame:
+    """G2 without the surrogate-key round trip: category_id -> category_name is
+    the identity on the best course record's category, so joining that
+    category directly gives the same rows while skipping the dimension build
+    (and its sizing pass).  Used when the gold dimensions are not materialised."""
+    from coursewise.operators.marts import best_course_record
+    cat = best_course_record(stg_courses).select("course_id", "category")
+    out = fct_price_history.filter(F.col("title").isNotNull()).join(cat, "course_id", "left")
+    return out.select(*HISTORY_COLUMNS)
+
+
 def ordered_history(history: DataFrame) -> DataFrame:
     """G2 presentation order (course, time); applied only where the rows are shown."""
     return history.orderBy("course_id", "recorded_at")
@@ -290,15 +301,27 @@ def course_selector(history: DataFrame) -> DataFrame:
     return first.select("course_id", "title", label.alias("label")).orderBy("title", "course_id")
 
 
-def current_and_previous_price(history: DataFrame) -> DataFrame:
-    """Per course the latest row (any price) and the second-latest positive price (Q20)."""
+def current_and_previous_price(history: DataFrame, categories: DataFrame | None = None) -> DataFrame:
+    """Per course the latest row (any price) and the second-latest positive price (Q20).
+
+    With ``categories`` (course_id, category) the history carries no category;
+    it is joined once to the per-course result, so the two window branches do
+    not each recompute the history's category join.
+    """
+    if categories is not None:
+        history = history.withColumn("category", F.lit(None).cast("string"))
     latest = best_row(history, ["course_id"], _time_desc()).select(
         "course_id", "title", "course_url", "category",
         F.col("sale_price").alias("current_price"), "list_price", "discount_percentage",
         "is_lowest_price_ever", F.col("recorded_at").alias("latest_at"))
     top2 = top_n_per_key(history.filter(F.col("sale_price") > 0), ["course_id"], _time_desc(), 2, "rn")
     prev = top2.filter(F.col("rn") == 2).select("course_id", F.col("sale_price").alias("previous_price"))
-    return latest.join(prev, "course_id", "left")
+    out = latest.join(prev, "course_id", "left")
+    if categories is not None:
+        out = (out.drop("category").join(categories, "course_id", "left")
+                  .select("course_id", "title", "course_url", "category", "current_price", "list_price",
+                          "discount_percentage", "is_lowest_price_ever", "latest_at", "previous_price"))
+    return out
 
 
 def _dropped(cp: DataFrame) -> Column:

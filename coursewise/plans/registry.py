@@ -556,8 +556,8 @@ PH = O.with_(*O.ENRICHED)
 
 @register("g2_price_history_enriched", PH + HIST_OUT + " FROM history")
 def g2_price_history_enriched(spark, sf):
-    """History + category, titled rows, in course/time order."""
-    return serving.ordered_history(W(spark, sf).price_history)
+    """History + category through dim_course and dim_category (J3), in course/time order."""
+    return serving.ordered_history(W(spark, sf).price_history_via_dims)
 
 
 @register("g22_price_type", PH + HIST_OUT + " FROM history WHERE list_price > 0")
@@ -626,7 +626,7 @@ def pct_change_sql(old: str, new: str, scale: int = 1) -> str:
 @register("g27_current_previous", PH3 + CP_OUT + " FROM cp")
 def g27_current_previous(spark, sf):
     """Current price and the previous positive price for every course."""
-    return serving.current_and_previous_price(W(spark, sf).price_history)
+    return W(spark, sf).current_previous
 
 
 @register("g28_display_discount", PH3 + CP_OUT + f""",
@@ -634,7 +634,7 @@ def g27_current_previous(spark, sf):
             ELSE discount_percentage END AS display_discount
 FROM cp""")
 def g28_display_discount(spark, sf):
-    return serving.display_discount(serving.current_and_previous_price(W(spark, sf).price_history))
+    return serving.display_discount(W(spark, sf).current_previous)
 
 
 @register("g29_price_alerts", PH3 + f"""
@@ -645,7 +645,7 @@ SELECT course_id, title, CAST(current_price AS DOUBLE) AS current_price,
        CAST(CASE WHEN {DROPPED_SQL} THEN previous_price - current_price END AS DOUBLE) AS drop_amount
 FROM cp WHERE COALESCE({DROPPED_SQL}, false) OR (is_lowest_price_ever AND current_price > 0)""")
 def g29_price_alerts(spark, sf):
-    return serving.price_alerts(serving.current_and_previous_price(W(spark, sf).price_history))
+    return serving.price_alerts(W(spark, sf).current_previous)
 
 
 CHART = """
@@ -690,14 +690,14 @@ SELECT course_id, title, CAST(current_price AS DOUBLE) AS current_price, CAST({R
            '{serving.REASON_OTHER}') AS reasons
 FROM cp""")
 def g33_alert_reasons(spark, sf):
-    return serving.alert_reasons(serving.current_and_previous_price(W(spark, sf).price_history))
+    return serving.alert_reasons(W(spark, sf).current_previous)
 
 
 @register("g34_alert_eligible", PH3 + f"""
 SELECT course_id, COALESCE({DROPPED_SQL} OR (is_lowest_price_ever AND current_price > 0), false) AS alert_eligible
 FROM cp""")
 def g34_alert_eligible(spark, sf):
-    return serving.alert_eligible(serving.current_and_previous_price(W(spark, sf).price_history))
+    return serving.alert_eligible(W(spark, sf).current_previous)
 
 
 # =============================================================================== X: display formats

@@ -72,10 +72,29 @@ def table_path(sf_dir: str, name: str) -> str:
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str):
-    return spread_scan(spark.read.parquet(table_path(sf_dir, name)))
+    path = table_path(sf_dir, name)
+    return spread_scan(spark.read.parquet(path), path)
 
 
-def spread_scan(df):
+# input split counts per (path, size, mtime): planning a scan to learn its split
+# count costs a few hundred ms, and it only changes when the files do
+_SPLITS: dict[tuple, int] = {}
+
+
+def _split_count(df, key: str | None) -> int:
+    stamp = None
+    if key and "://" not in key and os.path.exists(key):
+        st = os.stat(key)
+        stamp = (key, st.st_size, st.st_mtime_ns)
+    if stamp is not None and stamp in _SPLITS:
+        return _SPLITS[stamp]
+    n = df._jdf.rdd().getNumPartitions()
+    if stamp is not None:
+        _SPLITS[stamp] = n
+    return n
+
+
+def spread_scan(df, key: str | None = None):
     """Give a scan at least ``spark.coursewise.scan.minPartitions`` tasks.
 
     A parquet file with a single row group is read by a single task, so all
@@ -86,6 +105,6 @@ def spread_scan(df):
     """
     spark = df.sparkSession
     want = int(spark.conf.get("spark.coursewise.scan.minPartitions", "0") or 0)
-    if want > 1 and df.rdd.getNumPartitions() * 2 <= want:
+    if want > 1 and _split_count(df, key) * 2 <= want:
         return df.repartition(want)
     return df

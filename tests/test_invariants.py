@@ -62,3 +62,9 @@ def test_build_reads_materialized_silver(spark):
     snap = spark.read.parquet(out["fct_course_snapshot"])
     assert snap.count() == w.fct_course_snapshot.count()
     assert spark.read.parquet(out["dim_category"]).count() == w.dim_category.count()
+
+
+def test_history_category_paths_agree(spark):
+    w = Warehouse(spark, SF)
+    a, b = w.price_history, w.price_history_via_dims
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
