@@ -61,11 +61,13 @@ def sequential_ids(df: DataFrame, order_col: str, id_col: str,
     if n <= max_single_task_rows:
         w = Window.orderBy(F.col(order_col).asc_nulls_last())
         return df.withColumn(id_col, F.row_number().over(w).cast("bigint"))
-    parts = max(1, n // 1_000_000)
+    parts = max(1, -(-n // max_single_task_rows))  # each range holds about the single-task bound
     ranged = (df.repartitionByRange(parts, F.col(order_col))
                 .sortWithinPartitions(order_col)
                 .withColumn("__pid", F.spark_partition_id())
                 .withColumn("__mid", F.monotonically_increasing_id()))
+    from coursewise.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(df.sparkSession)
     ranged = ranged.checkpoint()  # pin range bounds and ids across re-computation
     counts = ranged.groupBy("__pid").agg(F.count(F.lit(1)).alias("__n"),
                                           F.min("__mid").alias("__first"))

@@ -1,11 +1,19 @@
 """Price-alert feed over newly landed price batches.
 
-The reference's manual "send mail" button becomes a table sink: each new
-micro-batch of price-tracker rows is appended to the price history, then the
-courses touched by the batch are re-evaluated against their whole history
-(current vs previous positive price, all-time low) and eligible alerts are
-written to ``<out>/alerts/batch_id=<n>``.  Outputs are overwritten per batch
-id, so a replayed batch does not duplicate alerts.
+The reference's manual "send mail" button becomes a table sink.  The alert
+rules only need, per course: the latest observation, the two newest positive
+prices and the minimum positive price.  That is kept as a one-row-per-course
+state table, so a micro-batch costs O(batch + courses) instead of re-reading
+the whole price history:
+
+* state for batch ``n`` is written to ``<out>/state/v=<n>`` from ``v=<n-1>``
+  merged with the batch (row_number group limits per course, partial MIN);
+* alerts for the courses the batch touched go to ``<out>/alerts/batch_id=<n>``.
+
+Both outputs are overwritten by batch id, so a replayed batch reproduces the
+same result instead of duplicating it.  (Stream batch ids are consecutive.)
+An observation of a (course, time) already seen in an earlier batch counts as
+a new observation; within a batch, duplicates are removed as in staging.
 """
 
 from __future__ import annotations
@@ -14,24 +22,82 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from coursewise.operators import marts, serving, staging
+from coursewise.functions.prices import discount_percentage
+from coursewise.operators import serving, staging
+from coursewise.operators.common import best_row, top_n_per_key
+
+STATE_COLUMNS = ["course_id", "title", "course_url", "latest_at", "latest_sale", "latest_list",
+                 "p1_at", "p1_price", "p2_at", "p2_price", "min_pos"]
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    jvm = spark._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+
+def merge_state(state: DataFrame | None, obs: DataFrame) -> DataFrame:
+    """New per-course state from the old state and a batch of price observations.
+
+    ``obs`` has course_id, title, course_url, list_price, sale_price, scraped_at.
+    """
+    rows = obs.select("course_id", "title", "course_url", F.col("scraped_at").alias("at"),
+                      F.col("sale_price").alias("sale"), F.col("list_price").alias("list"))
+    if state is not None:
+        old_latest = state.select("course_id", "title", "course_url", F.col("latest_at").alias("at"),
+                                  F.col("latest_sale").alias("sale"), F.col("latest_list").alias("list"))
+        latest_in = rows.unionByName(old_latest)
+        old_pos = (state.select("course_id", F.col("p1_at").alias("at"), F.col("p1_price").alias("sale"))
+                   .unionByName(state.select("course_id", F.col("p2_at").alias("at"),
+                                             F.col("p2_price").alias("sale")))
+                   .filter(F.col("sale").isNotNull()))
+        pos_in = rows.select("course_id", "at", "sale").filter(F.col("sale") > 0).unionByName(old_pos)
+        mins_in = (rows.filter(F.col("sale") > 0).select("course_id", F.col("sale").alias("m"))
+                   .unionByName(state.select("course_id", F.col("min_pos").alias("m"))))
+    else:
+        latest_in = rows
+        pos_in = rows.select("course_id", "at", "sale").filter(F.col("sale") > 0)
+        mins_in = rows.filter(F.col("sale") > 0).select("course_id", F.col("sale").alias("m"))
+    order = [F.col("at").desc_nulls_last(), F.col("sale").asc_nulls_last()]
+    latest = best_row(latest_in, ["course_id"], order).select(
+        "course_id", "title", "course_url", F.col("at").alias("latest_at"),
+        F.col("sale").alias("latest_sale"), F.col("list").alias("latest_list"))
+    top2 = top_n_per_key(pos_in, ["course_id"], order, 2, "rn")
+    pos = top2.groupBy("course_id").agg(
+        F.max(F.when(F.col("rn") == 1, F.col("at"))).alias("p1_at"),
+        F.max(F.when(F.col("rn") == 1, F.col("sale"))).alias("p1_price"),
+        F.max(F.when(F.col("rn") == 2, F.col("at"))).alias("p2_at"),
+        F.max(F.when(F.col("rn") == 2, F.col("sale"))).alias("p2_price"))
+    mins = mins_in.groupBy("course_id").agg(F.min("m").alias("min_pos"))
+    return (latest.join(pos, "course_id", "left").join(mins, "course_id", "left").select(*STATE_COLUMNS))
+
+
+def alerts_from_state(state: DataFrame) -> DataFrame:
+    """G27-shaped rows from the state, then reasons, eligibility and flags."""
+    cp = state.select(
+        "course_id", "title", "course_url", F.lit(None).cast("string").alias("category"),
+        F.col("latest_sale").alias("current_price"), F.col("latest_list").alias("list_price"),
+        discount_percentage(F.col("latest_list"), F.col("latest_sale")).alias("discount_percentage"),
+        F.coalesce((F.col("latest_sale") > 0) & (F.col("latest_sale") <= F.col("min_pos")), F.lit(False))
+        .alias("is_lowest_price_ever"),
+        F.col("latest_at"), F.col("p2_price").alias("previous_price"))
+    return (serving.alert_reasons(cp)
+            .join(serving.alert_eligible(cp), "course_id")
+            .join(serving.price_alerts(cp).select("course_id", "price_dropped", "all_time_low", "drop_amount"),
+                  "course_id", "left")
+            .filter("alert_eligible"))
 
 
 def _alert_writer(spark: SparkSession, out_dir: str, tie_break: list[str] | None):
     def write(batch: DataFrame, batch_id: int) -> None:
-        stg = staging.stg_price_tracker(batch, tie_break)
-        stg.write.mode("overwrite").parquet(f"{out_dir}/history/batch_id={batch_id}")
-        history = spark.read.parquet(f"{out_dir}/history").drop("batch_id")
-        touched = stg.select("course_id").distinct()
-        hist = history.join(touched, "course_id", "left_semi")
-        one = staging.dedupe(hist, ["course_id", "scraped_at"], ["title", "list_price", "sale_price", "course_url"])
-        fct = marts.fct_price_history(one).withColumn("category", F.lit(None).cast("string"))
-        cp = serving.current_and_previous_price(fct)
-        alerts = (serving.alert_reasons(cp)
-                  .join(serving.alert_eligible(cp), "course_id")
-                  .join(serving.price_alerts(cp).select("course_id", "price_dropped", "all_time_low",
-                                                        "drop_amount"), "course_id", "left")
-                  .filter("alert_eligible"))
+        obs = staging.stg_price_tracker(batch, tie_break).filter(F.col("title").isNotNull())
+        prev = f"{out_dir}/state/v={batch_id - 1}"
+        state = spark.read.parquet(prev) if batch_id > 0 and _exists(spark, prev) else None
+        touched = obs.select("course_id").distinct()
+        merged = merge_state(state, obs)  # every course of the old state carries over
+        merged.write.mode("overwrite").parquet(f"{out_dir}/state/v={batch_id}")
+        new_state = spark.read.parquet(f"{out_dir}/state/v={batch_id}")
+        alerts = alerts_from_state(new_state.join(touched, "course_id", "left_semi"))
         alerts.write.mode("overwrite").parquet(f"{out_dir}/alerts/batch_id={batch_id}")
     return write
 

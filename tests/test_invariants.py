@@ -68,3 +68,12 @@ def test_history_category_paths_agree(spark):
     w = Warehouse(spark, SF)
     a, b = w.price_history, w.price_history_via_dims
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_sequential_ids_distributed_path(spark):
+    from coursewise.operators.common import sequential_ids
+    vals = spark.range(0, 5000).selectExpr("concat('v', lpad(cast(id AS string), 5, '0')) AS name")
+    out = sequential_ids(vals, "name", "id", max_single_task_rows=100)
+    rows = sorted((r.id, r.name) for r in out.collect())
+    assert [r[0] for r in rows] == list(range(1, 5001))
+    assert [r[1] for r in rows] == sorted(r[1] for r in rows)
