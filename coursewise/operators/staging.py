@@ -60,6 +60,11 @@ def rating_counts(dist_json: Column, n: int = 5, prefix: str = "rating_") -> dic
             for i in range(n)}
 
 
+def json_field(text: Column, path: str, dtype: str = "string") -> Column:
+    """D9 object access: one member of JSON text (``$.k``), typed; missing or invalid -> NULL."""
+    return F.get_json_object(text, path).try_cast(dtype)
+
+
 def _scrape_time(df: DataFrame) -> Column:
     """Typed scrape time, whichever form the bronze rows carry."""
     if "scraped_at" in df.columns:

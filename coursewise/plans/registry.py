@@ -165,6 +165,14 @@ def d9_rating_breakdown(spark, sf):
                     *[c.alias(n) for n, c in staging.rating_counts(F.col("rating_distribution")).items()])
 
 
+@register("d9_event_props", """
+SELECT event_id, CAST(TRY_CAST(json_extract_string(props, '$.k') AS INTEGER) AS BIGINT) AS k FROM events""")
+def d9_event_props(spark, sf):
+    """D9 (object access): a member of JSON object text."""
+    ev = read_table(spark, sf, "events")
+    return ev.select("event_id", staging.json_field(F.col("props"), "$.k", "int").alias("k"))
+
+
 @register("d10_nullif", O.with_(O.FX_COURSES) + """
 SELECT l_orderkey, l_linenumber, course_id, NULLIF(rating_distribution, 'None') AS rating_distribution
 FROM fx_courses""")
