@@ -1154,10 +1154,19 @@ def e6_list_sale_price(spark, sf):
     return parts.select("page_id", lp.alias("original_price"), sp.alias("discount_price"))
 
 
-@register("e7_page_payload")
+@register("e7_page_payload", O.with_(FX_PAGES) + """
+SELECT page_id,
+       (ln = 2 OR ln = 5 OR (ln = 3 AND P IS NOT NULL) OR (ln = 4 AND L IS NOT NULL)) AS has_payload,
+       CASE WHEN ln = 2 OR ln = 5 OR (ln = 3 AND P IS NOT NULL) OR (ln = 4 AND L IS NOT NULL)
+            THEN title END AS payload_title
+FROM fx_pages""")
 def e7_page_payload(spark, sf):
-    """The course payload JSON of each page (rows-only)."""
-    return P.with_page_parts(_course_pages(spark, sf)).select("page_id", P.payload_of_parts().alias("payload"))
+    """The course payload of each page (body JSON, next-data script or JSON-LD item),
+    reported as found / not found and the title it carries."""
+    payload = P.payload_of_parts()
+    return P.with_page_parts(_course_pages(spark, sf)).select(
+        "page_id", payload.isNotNull().alias("has_payload"),
+        F.get_json_object(payload, "$.title").alias("payload_title"))
 
 
 @register("e8_id_title", r"""
