@@ -103,12 +103,19 @@ def spread_scan(df, key: str | None = None):
 
     A parquet file with a single row group is read by a single task, so all
     work before the first shuffle would run on one core.  Inputs with fewer
-    splits than half the wanted count are spread round-robin.  On a cluster,
-    inputs have thousands of splits and this never fires.  Set the option to 0
-    to turn it off.
+    splits than half the wanted count, and at least
+    ``spark.coursewise.scan.spreadMinBytes`` (4 MB) in size, are spread
+    round-robin.  On a cluster, inputs have thousands of splits and this never
+    fires.  Set the option to 0 to turn it off.
     """
     spark = df.sparkSession
     want = int(spark.conf.get("spark.coursewise.scan.minPartitions", "0") or 0)
-    if want > 1 and _split_count(df, key) * 2 <= want:
+    if want <= 1 or not key or "://" in key or not os.path.exists(key):
+        return df
+    # small inputs end up broadcast or are cheap anyway; spreading them is a wasted shuffle
+    min_bytes = int(spark.conf.get("spark.coursewise.scan.spreadMinBytes", str(4 << 20)))
+    if os.path.getsize(key) < min_bytes:
+        return df
+    if _split_count(df, key) * 2 <= want:
         return df.repartition(want)
     return df
