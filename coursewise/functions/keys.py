@@ -4,13 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import TimestampNTZType, TimestampType
-
-from coursewise.functions.dates import timestamp_text
-
-
-def key_text(c: Column, is_timestamp: bool = False) -> Column:
-    return timestamp_text(c) if is_timestamp else c.cast("string")
 
 
 def hash_key(*parts: Column) -> Column:
@@ -24,7 +17,3 @@ def hash_key(*parts: Column) -> Column:
             pieces.append(F.lit("-"))
         pieces.append(p)
     return F.md5(F.concat(*pieces))
-
-
-def is_ts_type(dtype) -> bool:
-    return isinstance(dtype, (TimestampType, TimestampNTZType))

@@ -154,9 +154,6 @@ def parts_title(suffix: str = TITLE_SUFFIX) -> Column:
     return F.coalesce(F.nullif(F.get_json_object(F.col("__payload"), "$.title"), F.lit("")), tag)
 
 
-PART_COLS = ["__meta", "__ld_block", "__module_sq", "__module_dq", "__next", "__price_div", "__title_raw",
-             "__cid_text", "__ld", "__module", "__course"]
-
 
 def price_candidates_of_parts() -> Column:
     """E5 over ``with_page_parts`` columns."""

@@ -43,13 +43,6 @@ def W(spark, sf_dir) -> Warehouse:
     return Warehouse(spark, sf_dir)
 
 
-D = "CAST({0} AS DOUBLE) AS {0}"
-
-
-def dbl(*cols: str) -> str:
-    return ", ".join(D.format(c) for c in cols)
-
-
 # =============================================================================== D: staging
 
 @register("d1_trim", O.with_(O.FX_COURSES) + """
@@ -482,9 +475,6 @@ def g13_category_perf(spark, sf):
     return serving.category_performance(W(spark, sf).per_course)
 
 
-TIER_ORDER_SQL = "list_position([{}], {})"
-
-
 def _tier_list(labels):
     return ", ".join("'" + x + "'" for x in labels)
 
