@@ -232,16 +232,19 @@ GOLD_DIMS = (*O.COURSE_BASE, O.BEST_COURSE, O.DIMS)
 
 @register("f1_dim_category", O.with_(*GOLD_DIMS) + "SELECT category_id, category_name FROM dim_category")
 def f1_dim_category(spark, sf):
+    """distinct non-null categories numbered in byte order."""
     return W(spark, sf).dim_category
 
 
 @register("f2_dim_language", O.with_(*GOLD_DIMS) + "SELECT language_id, language_name FROM dim_language")
 def f2_dim_language(spark, sf):
+    """distinct non-null languages numbered in byte order."""
     return W(spark, sf).dim_language
 
 
 @register("f3_dim_level", O.with_(*GOLD_DIMS) + "SELECT level_id, level_name FROM dim_level")
 def f3_dim_level(spark, sf):
+    """distinct non-null levels numbered in byte order."""
     return W(spark, sf).dim_level
 
 
@@ -256,6 +259,7 @@ def f4_best_record(spark, sf):
 SELECT course_id, title, headline, course_url, published_date, duration_hours,
        CAST(list_price AS DOUBLE) AS list_price, category_id, language_id, level_id FROM dim_course""")
 def f5_dim_course(spark, sf):
+    """best record per course with category, language and level ids (J1, checked broadcast)."""
     return W(spark, sf).dim_course
 
 
@@ -271,11 +275,13 @@ SELECT CAST(unnest(generate_series(CAST(start_date AS TIMESTAMP), CAST(end_date
 
 @register("f6_date_bounds", O.with_(*O.COURSE_BASE, BOUNDS_SQL) + "SELECT start_date, end_date FROM bounds")
 def f6_date_bounds(spark, sf):
+    """earliest and latest of published, updated and scrape dates (A1)."""
     return marts.date_bounds(W(spark, sf).stg_courses)
 
 
 @register("f7_date_spine", O.with_(*O.COURSE_BASE, BOUNDS_SQL) + "SELECT date_day FROM spine")
 def f7_date_spine(spark, sf):
+    """one row per day between the bounds."""
     return marts.date_spine(marts.date_bounds(W(spark, sf).stg_courses))
 
 
@@ -287,6 +293,7 @@ SELECT date_day AS date_key, CAST(year(date_day) AS BIGINT) AS year, CAST(month(
        strftime(date_day, '%Y-%m') AS year_month
 FROM spine""")
 def f8_dim_date(spark, sf):
+    """F8: calendar attributes per day."""
     return W(spark, sf).dim_date
 
 
@@ -295,11 +302,13 @@ SELECT instructor_id, instructor_name, job_title FROM (
   SELECT *, row_number() OVER (PARTITION BY instructor_id ORDER BY total_students DESC NULLS LAST,
             course_id, instructor_name, job_title) AS rn FROM stg_instructors) WHERE rn = 1""")
 def f9_dim_instructor(spark, sf):
+    """per instructor, the row with most students."""
     return W(spark, sf).dim_instructor
 
 
 @register("f10_bridge", O.with_(*O.INSTR_BASE) + "SELECT DISTINCT course_id, instructor_id FROM stg_instructors")
 def f10_bridge(spark, sf):
+    """distinct (course, instructor) pairs (A2)."""
     return W(spark, sf).bridge_course_instructors
 
 
@@ -322,6 +331,7 @@ SELECT {O.hash_sql('course_id', 'scraped_at')} AS snapshot_id, course_id, num_st
        CAST(rating_5 AS BIGINT) AS rating_5, last_updated_date, scraped_at
 FROM best_course""")
 def f12_course_snapshot(spark, sf):
+    """snapshot fact: best record per course with an MD5 key."""
     return W(spark, sf).fct_course_snapshot
 
 
@@ -329,6 +339,7 @@ def f12_course_snapshot(spark, sf):
 SELECT course_id, scraped_at, CAST(list_price AS DOUBLE) AS list_price, CAST(sale_price AS DOUBLE) AS sale_price,
        {O.DISCOUNT} AS discount_percentage FROM stg_price_tracker""")
 def f13_discount_pct(spark, sf):
+    """discount percentage of each price row (exact HALF_UP)."""
     p = W(spark, sf).stg_price_tracker
     return p.select("course_id", "scraped_at", "list_price", "sale_price",
                     discount_percentage(F.col("list_price"), F.col("sale_price")).alias("discount_percentage"))
@@ -338,6 +349,7 @@ def f13_discount_pct(spark, sf):
 SELECT course_id, recorded_at, CAST(sale_price AS DOUBLE) AS sale_price, is_lowest_price_ever
 FROM fct_price_history""")
 def f14_all_time_low(spark, sf):
+    """all-time-low flag against the course's minimum positive price."""
     p = W(spark, sf).stg_price_tracker.select("course_id", F.col("scraped_at").alias("recorded_at"), "sale_price")
     return marts.lowest_price_flag(p)
 
@@ -347,6 +359,7 @@ SELECT history_id, course_id, title, course_url, CAST(list_price AS DOUBLE) AS l
        CAST(sale_price AS DOUBLE) AS sale_price, recorded_at, discount_percentage, is_lowest_price_ever
 FROM fct_price_history""")
 def f15_price_history(spark, sf):
+    """price-history fact (key, discount, all-time low)."""
     return W(spark, sf).fct_price_history
 
 
@@ -380,6 +393,7 @@ def j2_course_instructor(spark, sf):
 SELECT course_id, num_students, CAST(sale_price AS DOUBLE) AS sale_price, CAST(est_revenue AS DOUBLE) AS est_revenue
 FROM metrics""")
 def g3_est_revenue(spark, sf):
+    """Estimated revenue = students x sale price."""
     m = serving.course_metrics(serving.latest_courses(W(spark, sf).stg_courses))
     return m.select("course_id", "num_students", "sale_price", "est_revenue")
 
@@ -387,6 +401,7 @@ def g3_est_revenue(spark, sf):
 @register("g4_pct_review", O.with_(*O.GOLD_BASE) + """
 SELECT course_id, num_students, num_reviews, CAST(pct_h AS DOUBLE) / 100 AS pct_review FROM metrics""")
 def g4_pct_review(spark, sf):
+    """Reviews as a percent of students."""
     m = serving.course_metrics(serving.latest_courses(W(spark, sf).stg_courses))
     return m.select("course_id", "num_students", "num_reviews", "pct_review")
 
@@ -394,6 +409,7 @@ def g4_pct_review(spark, sf):
 @register("g5_price_tier", O.with_(*O.GOLD_BASE) + """
 SELECT course_id, CAST(sale_price AS DOUBLE) AS sale_price, price_tier FROM metrics""")
 def g5_price_tier(spark, sf):
+    """Price tier labels."""
     m = serving.course_metrics(serving.latest_courses(W(spark, sf).stg_courses))
     return m.select("course_id", "sale_price", "price_tier")
 
@@ -401,6 +417,7 @@ def g5_price_tier(spark, sf):
 @register("g6_duration_tier", O.with_(*O.GOLD_BASE) + """
 SELECT course_id, duration_hours, duration_tier FROM metrics""")
 def g6_duration_tier(spark, sf):
+    """Duration tier labels."""
     m = serving.course_metrics(serving.latest_courses(W(spark, sf).stg_courses))
     return m.select("course_id", "duration_hours", "duration_tier")
 
@@ -408,6 +425,7 @@ def g6_duration_tier(spark, sf):
 @register("g7_rating_tier", O.with_(*O.GOLD_BASE) + """
 SELECT course_id, CAST(rating AS DOUBLE) AS rating, rating_tier FROM metrics""")
 def g7_rating_tier(spark, sf):
+    """Rating tier labels."""
     m = serving.course_metrics(serving.latest_courses(W(spark, sf).stg_courses))
     return m.select("course_id", "rating", "rating_tier")
 
@@ -472,6 +490,7 @@ SELECT category, count(DISTINCT course_id) AS total_courses, CAST(sum(num_studen
        count(DISTINCT instructor_name) AS total_instructors, CAST(sum(est_revenue) AS DOUBLE) AS total_revenue
 FROM per_course WHERE category IS NOT NULL GROUP BY category""")
 def g13_category_perf(spark, sf):
+    """Courses, enrolments, instructors and revenue per category."""
     return serving.category_performance(W(spark, sf).per_course)
 
 
@@ -484,12 +503,14 @@ SELECT price_tier, count(DISTINCT course_id) AS course_count,
        CAST(list_position([{_tier_list(serving.PRICE_TIERS)}], price_tier) AS BIGINT) AS tier_order
 FROM per_course GROUP BY price_tier""")
 def g14_by_price(spark, sf):
+    """Courses per price tier in tier order."""
     return serving.courses_by_price_tier(W(spark, sf).per_course)
 
 
 @register("g15_by_level", O.with_(*O.GOLD_BASE) + """
 SELECT level, count(DISTINCT course_id) AS course_count FROM per_course WHERE level IS NOT NULL GROUP BY level""")
 def g15_by_level(spark, sf):
+    """Courses per non-null level."""
     return serving.courses_by_level(W(spark, sf).per_course)
 
 
@@ -497,6 +518,7 @@ def g15_by_level(spark, sf):
 SELECT rating_tier, count(DISTINCT course_id) AS course_count FROM per_course
 WHERE rating_tier <> 'No Rating' GROUP BY rating_tier""")
 def g16_by_rating(spark, sf):
+    """Courses per rating tier without the no-rating bucket."""
     return serving.courses_by_rating(W(spark, sf).per_course)
 
 
@@ -505,6 +527,7 @@ SELECT duration_tier, count(DISTINCT course_id) AS course_count,
        CAST(list_position([{_tier_list(serving.DURATION_TIERS)}], duration_tier) AS BIGINT) AS tier_order
 FROM per_course WHERE duration_tier <> 'Unknown' GROUP BY duration_tier""")
 def g17_by_duration(spark, sf):
+    """Courses per duration tier, unknown dropped, tier order."""
     return serving.courses_by_duration(W(spark, sf).per_course)
 
 
@@ -524,6 +547,7 @@ SELECT course_id, title, num_students, CAST(est_revenue AS DOUBLE) AS est_revenu
        course_url, instructor_name
 FROM per_course""")
 def g19_best_courses(spark, sf):
+    """Ranking by enrolments, no row cap."""
     return serving.best_courses(W(spark, sf).per_course)
 
 
@@ -541,6 +565,7 @@ def g20_search(spark, sf):
 SELECT total_courses, total_enroll, total_revenue, avg_rating FROM (""" + kpi_sql(
     "WHERE category = 'Brand#13' AND price_tier = 'Very High Price (> 1.5M)' AND rating_tier = 'Good (4 - 5)'") + ")")
 def g21_filtered_kpis(spark, sf):
+    """The ranking page's four KPIs after the G9 filters."""
     return serving.filtered_kpis(serving.apply_filters(W(spark, sf).per_course, **G9_ARGS))
 
 
@@ -560,11 +585,13 @@ def g2_price_history_enriched(spark, sf):
 
 @register("g22_price_type", PH + HIST_OUT + " FROM history WHERE list_price > 0")
 def g22_price_type(spark, sf):
+    """Paid courses' price history."""
     return serving.price_type_filter(W(spark, sf).price_history, "Paid")
 
 
 @register("g23_tracker_category", PH + HIST_OUT + " FROM history WHERE category = 'Brand#13'")
 def g23_tracker_category(spark, sf):
+    """Price history of one category."""
     return serving.tracker_category_filter(W(spark, sf).price_history, "Brand#13")
 
 
@@ -585,11 +612,13 @@ PH2 = O.with_(*O.ENRICHED, TOP2)
 SELECT course_id, CAST(last_price AS DOUBLE) AS last_price, CAST(previous_price AS DOUBLE) AS previous_price
 FROM dropped""")
 def g25_dropped_courses(spark, sf):
+    """Courses whose last positive price fell below the one before."""
     return serving.dropped_courses(W(spark, sf).price_history)
 
 
 @register("g24_drop_only", PH2 + HIST_OUT + " FROM history WHERE course_id IN (SELECT course_id FROM dropped)")
 def g24_drop_only(spark, sf):
+    """History rows of the dropped courses (J5 semi join)."""
     return serving.drop_only(W(spark, sf).price_history)
 
 
@@ -598,6 +627,7 @@ SELECT course_id, title, title || '  (ID: ' || CAST(course_id AS VARCHAR) || ')'
   SELECT course_id, title, row_number() OVER (PARTITION BY course_id ORDER BY recorded_at NULLS LAST, title) AS rn
   FROM history) WHERE rn = 1""")
 def g26_selector(spark, sf):
+    """Course picker entries labelled by title and id."""
     return serving.course_selector(W(spark, sf).price_history)
 
 
@@ -632,6 +662,7 @@ def g27_current_previous(spark, sf):
             ELSE discount_percentage END AS display_discount
 FROM cp""")
 def g28_display_discount(spark, sf):
+    """Displayed discount (drop vs previous, else stored)."""
     return serving.display_discount(W(spark, sf).current_previous)
 
 
@@ -643,6 +674,7 @@ SELECT course_id, title, CAST(current_price AS DOUBLE) AS current_price,
        CAST(CASE WHEN {DROPPED_SQL} THEN previous_price - current_price END AS DOUBLE) AS drop_amount
 FROM cp WHERE COALESCE({DROPPED_SQL}, false) OR (is_lowest_price_ever AND current_price > 0)""")
 def g29_price_alerts(spark, sf):
+    """Dropped or all-time-low courses with the drop amount."""
     return serving.price_alerts(W(spark, sf).current_previous)
 
 
@@ -656,11 +688,13 @@ WHERE c.npos <= 1 OR h.sale_price > 0)"""
 
 @register("g30_chart_series", O.with_(*O.ENRICHED, CHART) + HIST_OUT + " FROM chart")
 def g30_chart_series(spark, sf):
+    """Chart rows (positive prices when more than one)."""
     return serving.chart_series(W(spark, sf).price_history)
 
 
 @register("g31_lowest_points", O.with_(*O.ENRICHED, CHART) + HIST_OUT + " FROM chart WHERE is_lowest_price_ever")
 def g31_lowest_points(spark, sf):
+    """All-time-low markers of the chart rows."""
     return serving.lowest_points(W(spark, sf).price_history)
 
 
@@ -672,6 +706,7 @@ SELECT course_id, CAST(recorded_at AS DATE) AS recorded_date, CAST(list_price AS
        is_lowest_price_ever
 FROM (SELECT *, lag(sale_price) OVER (PARTITION BY course_id ORDER BY recorded_at) AS prev_price FROM history)""")
 def g32_history_drop(spark, sf):
+    """Per-row drop vs the previous row, newest first."""
     return serving.history_with_drop(W(spark, sf).price_history)
 
 
@@ -688,6 +723,7 @@ SELECT course_id, title, CAST(current_price AS DOUBLE) AS current_price, CAST({R
            '{serving.REASON_OTHER}') AS reasons
 FROM cp""")
 def g33_alert_reasons(spark, sf):
+    """Alert reason text and drop percent."""
     return serving.alert_reasons(W(spark, sf).current_previous)
 
 
@@ -695,6 +731,7 @@ def g33_alert_reasons(spark, sf):
 SELECT course_id, COALESCE({DROPPED_SQL} OR (is_lowest_price_ever AND current_price > 0), false) AS alert_eligible
 FROM cp""")
 def g34_alert_eligible(spark, sf):
+    """Whether an alert may be sent."""
     return serving.alert_eligible(W(spark, sf).current_previous)
 
 
