@@ -1479,9 +1479,55 @@ def s10_incremental_load(spark, sf):
     return incremental.read_raw_table(spark, raw, "price_tracker").select(*OFFER_COLS)
 
 
-@register("g35_alert_feed")
+G35_SQL = O.with_(O.FX_OFFERS) + f"""
+, obs AS (
+SELECT * FROM (
+  SELECT course_id, trim(title) AS title, COALESCE(original_price, 0) AS list_price,
+         COALESCE(discount_price, original_price, 0) AS sale_price, scraped_at,
+         row_number() OVER (PARTITION BY course_id, scraped_at ORDER BY l_orderkey, l_linenumber) AS rn
+  FROM fx_offers) WHERE rn = 1 AND title IS NOT NULL),
+hist AS (
+SELECT 0 AS batch_id, * FROM obs WHERE year(scraped_at) <= 1996
+UNION ALL SELECT 1 AS batch_id, * FROM obs),
+touched AS (
+SELECT DISTINCT CASE WHEN year(scraped_at) <= 1996 THEN 0 ELSE 1 END AS batch_id, course_id FROM obs),
+latest AS (
+SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY batch_id, course_id
+                                             ORDER BY scraped_at DESC NULLS LAST, sale_price) AS rl FROM hist)
+WHERE rl = 1),
+pos AS (
+SELECT batch_id, course_id, sale_price, row_number() OVER (PARTITION BY batch_id, course_id
+       ORDER BY scraped_at DESC NULLS LAST, sale_price) AS rp FROM hist WHERE sale_price > 0),
+mins AS (
+SELECT batch_id, course_id, min(sale_price) AS min_pos FROM hist WHERE sale_price > 0 GROUP BY batch_id, course_id),
+cp AS (
+SELECT l.batch_id, l.course_id, l.title, l.sale_price AS current_price, l.list_price,
+       COALESCE(l.sale_price > 0 AND l.sale_price <= m.min_pos, false) AS is_lowest_price_ever,
+       p.sale_price AS previous_price
+FROM latest l
+JOIN touched t ON l.batch_id = t.batch_id AND l.course_id = t.course_id
+LEFT JOIN pos p ON p.batch_id = l.batch_id AND p.course_id = l.course_id AND p.rp = 2
+LEFT JOIN mins m ON m.batch_id = l.batch_id AND m.course_id = l.course_id)
+SELECT CAST(batch_id AS BIGINT) AS batch_id, course_id, title, CAST(current_price AS DOUBLE) AS current_price,
+       CAST({REF} AS DOUBLE) AS reference_price,
+       CASE WHEN {REF} > 0 THEN {pct_change_sql(REF, 'current_price')}
+            WHEN list_price > 0 THEN {pct_change_sql('list_price', 'current_price')} ELSE 0 END AS drop_pct,
+       COALESCE(NULLIF(concat_ws(', ',
+           CASE WHEN {REF} <> 0 AND current_price < {REF} THEN '{serving.REASON_DROPPED}' END,
+           CASE WHEN is_lowest_price_ever THEN '{serving.REASON_LOWEST}' END), ''),
+           '{serving.REASON_OTHER}') AS reasons,
+       true AS alert_eligible,
+       COALESCE({DROPPED_SQL}, false) AS price_dropped,
+       (is_lowest_price_ever AND current_price > 0) AS all_time_low,
+       CAST(CASE WHEN {DROPPED_SQL} THEN previous_price - current_price END AS DOUBLE) AS drop_amount
+FROM cp
+WHERE COALESCE({DROPPED_SQL} OR (is_lowest_price_ever AND current_price > 0), false)"""
+
+
+@register("g35_alert_feed", G35_SQL)
 def g35_alert_feed(spark, sf):
-    """Alert rows produced by two landed price batches (rows-only)."""
+    """Alert rows of two landed price batches (years up to 1996, then the rest), from the
+    stream's per-course state."""
     root = work_dir(spark, "g35")
     landing = f"{root}/landing"
     schema = fixtures.fx_offers(spark, sf).schema
