@@ -10,6 +10,8 @@ plain jobs over the built tables.
 
 from __future__ import annotations
 
+import datetime
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
@@ -20,7 +22,7 @@ from coursewise.streaming import incremental
 
 
 def run_daily(spark: SparkSession, landing: str, root: str, schemas: dict[str, StructType],
-              export: bool = False) -> dict[str, object]:
+              export: bool = False, run_id: str | None = None) -> dict[str, object]:
     """Load new files, rebuild the marts and run the data-quality checks.
 
     ``schemas`` gives the bronze schema of each raw table present
@@ -29,6 +31,8 @@ def run_daily(spark: SparkSession, landing: str, root: str, schemas: dict[str, S
     """
     raw_dir, ckpt = f"{root}/raw", f"{root}/checkpoints"
     incremental.incremental_load(spark, landing, schemas, raw_dir, ckpt)
+    run_id = run_id or datetime.datetime.now(datetime.timezone.utc).strftime("%Y%m%d%H%M%S")
+    unloaded = incremental.record_unloaded(spark, landing, raw_dir, run_id)
     raw = {t: incremental.read_raw_table(spark, raw_dir, t) for t in schemas}
     w = Warehouse(spark, "", courses=raw.get("courses"), instructors=raw.get("instructors"),
                   offers=raw.get("price_tracker"))
@@ -36,7 +40,7 @@ def run_daily(spark: SparkSession, landing: str, root: str, schemas: dict[str, S
     paths = w.build(f"{root}/gold", tuple(marts))
     gold = {m: spark.read.parquet(paths[m]) for m in marts}
     checks = _checks(gold)
-    out: dict[str, object] = {"paths": paths, "checks": checks}
+    out: dict[str, object] = {"paths": paths, "checks": checks, "unloaded": unloaded}
     if export:
         out["export"] = files.export_csv(spark, gold, f"{root}/export")
     return out

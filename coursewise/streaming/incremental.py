@@ -79,3 +79,35 @@ def read_raw_table(spark: SparkSession, raw_dir: str, table: str) -> DataFrame:
 
 def read_ledger(spark: SparkSession, raw_dir: str) -> DataFrame:
     return spark.read.parquet(f"{raw_dir}/loaded_files_log")
+
+
+def unloaded_files(spark: SparkSession, landing: str, raw_dir: str) -> DataFrame:
+    """Landed parquet files that produced no ledger row (corrupt, unreadable or unroutable).
+
+    The listing is Spark's file index (``binaryFile`` without its content
+    column, so no file is read); the ledger side is an anti join (S7).
+    """
+    from coursewise.sources.ledger import pending_files
+    listing = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+                    .option("pathGlobFilter", "*.parquet").load(landing)
+                    .select(F.col("path").alias("filename")))
+    try:
+        ledger = read_ledger(spark, raw_dir).select("filename", "status")  # FAILED rows stay pending
+    except Exception:  # noqa: BLE001 - no ledger yet: every landed file is unloaded
+        return listing
+    return pending_files(listing, ledger)
+
+
+def record_unloaded(spark: SparkSession, landing: str, raw_dir: str, run_id: str) -> str:
+    """Write the unloaded files as FAILED ledger rows of this run (a report, not a retry).
+
+    The stream checkpoint has consumed them; a fixed file is re-delivered under a
+    new name and then loads like any other.
+    """
+    out = f"{raw_dir}/loaded_files_log/table=unloaded/batch_id={run_id}"
+    (unloaded_files(spark, landing, raw_dir)
+        .withColumn("row_count", F.lit(0))
+        .withColumn("loaded_at", F.current_timestamp())
+        .withColumn("status", F.lit("FAILED"))
+        .write.mode("overwrite").parquet(out))
+    return out

@@ -42,3 +42,9 @@ def test_corrupt_and_unroutable_files_are_skipped(spark):
     files.write_parquet(offers, f"{landing}/unrelated_notes.parquet")
     incremental.incremental_load(spark, landing, {"price_tracker": offers.schema}, raw, ckpt)
     assert incremental.read_raw_table(spark, raw, "price_tracker").count() == offers.count()
+    left = {r.filename.split("/")[-2] for r in incremental.unloaded_files(spark, landing, raw).collect()}
+    assert "PROD_tracker_g_p1-1_BAD_courses.parquet" in left and "unrelated_notes.parquet" in left
+    assert not any("_A_courses" in f for f in left)
+    incremental.record_unloaded(spark, landing, raw, "0")
+    failed = incremental.read_ledger(spark, raw).filter("status = 'FAILED'")
+    assert failed.count() == len([r for r in incremental.unloaded_files(spark, landing, raw).collect()])
