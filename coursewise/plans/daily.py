@@ -18,6 +18,7 @@ from pyspark.sql.types import StructType
 from coursewise.operators import quality
 from coursewise.plans.warehouse import Warehouse
 from coursewise.sources import files
+from coursewise.sources.ledger import load_report
 from coursewise.streaming import incremental
 
 
@@ -40,7 +41,8 @@ def run_daily(spark: SparkSession, landing: str, root: str, schemas: dict[str, S
     paths = w.build(f"{root}/gold", tuple(marts))
     gold = {m: spark.read.parquet(paths[m]) for m in marts}
     checks = _checks(gold)
-    out: dict[str, object] = {"paths": paths, "checks": checks, "unloaded": unloaded}
+    report = load_report(incremental.read_ledger(spark, raw_dir))
+    out: dict[str, object] = {"paths": paths, "checks": checks, "unloaded": unloaded, "report": report}
     if export:
         out["export"] = files.export_csv(spark, gold, f"{root}/export")
     return out

@@ -30,6 +30,9 @@ def test_daily_run_builds_gold_and_checks_pass(spark):
     assert spark.read.parquet(paths["dim_course"]).count() == ref.dim_course.count()
     assert out["export"].filter("row_count IS NULL").count() == 0
     assert spark.read.parquet(out["unloaded"]).count() == 0  # every landed file loaded
+    rep = {r.status: r for r in out["report"].collect()}
+    assert set(rep) == {"SUCCESS"}
+    assert rep["SUCCESS"].n_rows == courses.count() + inst.count() + offers.count()
     # a second run with no new files rebuilds the same gold
     again = run_daily(spark, landing, root, schemas)
     assert spark.read.parquet(again["paths"]["fct_course_snapshot"]).count() == \
