@@ -6,10 +6,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, packing
+from . import bpe, exact_dedup, packing, simhash, token_counts
 from .common import table
 
 WORD_BPE = "word_bpe_49k.json"
+PIECE_BPE = "piece_bpe_32k.model"
+TOKEN_LIMIT = 4096
 
 
 def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -17,6 +19,32 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_BPE))
 
 
+def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with the copy of its text that stays."""
+    return exact_dedup.exact_duplicates(table(spark, sf_dir, "documents"), keep="max")
+
+
+OP3_SQL = """
+WITH d AS (
+  SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
+g AS (SELECT t, max(doc_id) AS keep_id, count(*) AS group_size FROM d GROUP BY t)
+SELECT d.doc_id, g.keep_id, g.group_size, d.doc_id IS NOT DISTINCT FROM g.keep_id AS kept, sha256(d.t) AS text_sha256
+FROM d JOIN g ON d.t = g.t
+"""
+
+
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every text by the digest cache."""
+    counts = token_counts.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path(PIECE_BPE))
+    return counts.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
+
+
+def op7_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and near-duplicate component of every document."""
+    out = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), F.col("component").alias("component_id"))
+
+
 def op9_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every text encoded and decoded; digests of ids and decoded text."""
     out = bpe.encode_decode(table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_BPE))
@@ -25,5 +53,5 @@ def op9_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.sha2(F.col("decoded"), 256).alias("decoded_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op9_bpe_round_trip)}
-ORACLES: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op3_exact_dedup, op4_token_counts, op7_simhash_near_dedup, op9_bpe_round_trip)}
+ORACLES = {"op3_exact_dedup": OP3_SQL}
