@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, packing, simhash, token_counts
+from . import bpe, exact_dedup, language, line_dedup, packing, simhash, token_counts
 from .common import table
 
 WORD_BPE = "word_bpe_49k.json"
@@ -19,6 +19,26 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_BPE))
 
 
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without its cross-site boilerplate lines: lines cut, characters left, digest of the text."""
+    out = line_dedup.remove_boilerplate(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "lines_removed", F.char_length("text").cast("long").alias("n_chars_left"),
+                      F.sha2(F.col("text").cast("binary"), 256).alias("text_sha256"))
+
+
+OP2_SQL = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(source, '') AS site, text, string_split(text, chr(10)) AS parts FROM documents),
+l AS (SELECT r, site, unnest(parts) AS line, unnest(range(len(parts))) AS k FROM d),
+spread AS (SELECT trim(line, ' ') AS line FROM l WHERE trim(line, ' ') <> '' GROUP BY 1 HAVING count(DISTINCT site) >= {line_dedup.MIN_SITES}),
+m AS (SELECT l.r, l.k, l.line, s.line IS NOT NULL AS cut FROM l LEFT JOIN spread s ON trim(l.line, ' ') = s.line),
+c AS (SELECT r, count(*) FILTER (WHERE cut) AS n, coalesce(sum(length(line)) FILTER (WHERE cut), 0) AS size,
+        coalesce(string_agg(line, chr(10) ORDER BY k) FILTER (WHERE NOT cut), '') AS rest FROM m GROUP BY r),
+o AS (SELECT d.doc_id, d.text, c.n, c.rest, c.n > 0 AND c.size <= {line_dedup.MAX_SHARE} * length(d.text) AS touched FROM d LEFT JOIN c ON d.r = c.r),
+f AS (SELECT doc_id, CASE WHEN touched THEN n ELSE 0 END AS lines_removed, CASE WHEN touched THEN rest ELSE text END AS text FROM o)
+SELECT doc_id, lines_removed, length(text) AS n_chars_left, sha256(text) AS text_sha256 FROM f
+"""
+
+
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with the copy of its text that stays."""
     return exact_dedup.exact_duplicates(table(spark, sf_dir, "documents"), keep="max")
@@ -39,6 +59,14 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
 
 
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every page from its text, markup, address and host."""
+    model = language.fit(table(spark, sf_dir, "documents"))
+    html, url = F.col("html"), F.col("url")
+    found = language.identify(table(spark, sf_dir, "pages"), model, "page_id", language.page_text(html), *language.page_evidence(html, url))
+    return found.select("page_id", "lang", "posterior", "text_lang", language.accepted().alias("accepted"))
+
+
 def op7_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and near-duplicate component of every document."""
     out = simhash.near_duplicates(table(spark, sf_dir, "documents"))
@@ -53,5 +81,6 @@ def op9_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.sha2(F.col("decoded"), 256).alias("decoded_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op3_exact_dedup, op4_token_counts, op7_simhash_near_dedup, op9_bpe_round_trip)}
-ORACLES = {"op3_exact_dedup": OP3_SQL}
+QUERIES = {f.__name__: f for f in (
+    op1_best_fit_packing, op2_line_dedup, op3_exact_dedup, op4_token_counts, op6_language_id, op7_simhash_near_dedup, op9_bpe_round_trip)}
+ORACLES = {"op2_line_dedup": OP2_SQL, "op3_exact_dedup": OP3_SQL}
