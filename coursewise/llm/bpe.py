@@ -48,7 +48,7 @@ _CLASS = np.array([_SPACE if _WHITE_SPACE.fullmatch(c) else _LETTER if regex.ful
 _BASES = (0xD6E8FEB86659FD93, 0xA0761D6478BD642F)
 
 
-def _powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
+def powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
     """base^k and base^-k modulo 2^64 for k below n; base is odd."""
     up, down = np.full(n, base, np.uint64), np.full(n, pow(base, -1, 1 << 64), np.uint64)
     up[:1] = down[:1] = 1
@@ -174,7 +174,7 @@ class WordBpe:
         self._ranks = order.astype(np.int32)
         self._rank_of = dict(zip(self._pairs.tolist(), self._ranks.tolist(), strict=True))
         self._table = _WordTable(CACHE_WORDS)
-        self._powers = [_powers(base, 2 * BLOCK_CHARS) for base in _BASES]
+        self._powers = [powers(base, 2 * BLOCK_CHARS) for base in _BASES]
 
     # -- merging -----------------------------------------------------------
 
@@ -292,7 +292,7 @@ class WordBpe:
         hashes = []
         for base, (up, down) in zip(_BASES, self._powers, strict=True):
             if len(code) > len(up):  # a text of more than a block without white space
-                up, down = _powers(base, len(code))
+                up, down = powers(base, len(code))
             total = np.zeros(len(code) + 1, np.uint64)
             np.cumsum(code * up[:len(code)], out=total[1:])
             hashes.append((total[end] - total[start]) * down[start])

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, language, line_dedup, packing, simhash, token_counts
+from . import ann, bpe, exact_dedup, language, line_dedup, packing, quality, simhash, token_counts
 from .common import table
 
 WORD_BPE = "word_bpe_49k.json"
@@ -59,6 +59,11 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
 
 
+def op5_curve_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest vectors found for every vector whose id is divisible by 20."""
+    return ann.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every page from its text, markup, address and host."""
     model = language.fit(table(spark, sf_dir, "documents"))
@@ -81,6 +86,15 @@ def op9_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.sha2(F.col("decoded"), 256).alias("decoded_sha256"))
 
 
+def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document; held-out rows teach nothing."""
+    docs = table(spark, sf_dir, "documents")
+    model = quality.fit(docs, table(spark, sf_dir, "labels").where(~quality.held_out()))
+    scored = docs.select("doc_id", quality.held_out().alias("held_out"), quality.scores(model).alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= quality.THRESHOLD).cast("int"))
+
+
 QUERIES = {f.__name__: f for f in (
-    op1_best_fit_packing, op2_line_dedup, op3_exact_dedup, op4_token_counts, op6_language_id, op7_simhash_near_dedup, op9_bpe_round_trip)}
+    op1_best_fit_packing, op2_line_dedup, op3_exact_dedup, op4_token_counts, op5_curve_neighbours, op6_language_id,
+    op7_simhash_near_dedup, op9_bpe_round_trip, op10_quality_classifier)}
 ORACLES = {"op2_line_dedup": OP2_SQL, "op3_exact_dedup": OP3_SQL}
