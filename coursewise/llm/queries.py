@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, bpe, exact_dedup, language, line_dedup, packing, quality, simhash, token_counts
+from . import ann, bpe, chat, exact_dedup, language, line_dedup, packing, quality, simhash, token_counts
 from .common import table
 
 WORD_BPE = "word_bpe_49k.json"
@@ -78,6 +78,35 @@ def op7_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), F.col("component").alias("component_id"))
 
 
+def op8_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation's turns as linked, ordered and checked calls in canonical JSON."""
+    return chat.link_calls(*chat.turn_calls(table(spark, sf_dir, "conversations")), chat.TURN_TOOLS)
+
+
+OP8_SQL = """
+WITH RECURSIVE m AS (SELECT conv_id, turn, role, text, md5(conv_id::VARCHAR || ':' || turn::VARCHAR) AS own,
+    md5(conv_id::VARCHAR || ':' || (turn - 1)::VARCHAR) AS one_back, md5(conv_id::VARCHAR || ':' || (turn - 2)::VARCHAR) AS two_back FROM conversations),
+c AS (SELECT conv_id, turn, role, text, own, CASE WHEN turn >= 2 THEN two_back WHEN turn = 1 THEN one_back END AS after FROM m WHERE role IN ('user', 'system')),
+r AS (SELECT conv_id, turn, one_back AS own, text FROM m WHERE role = 'assistant'),
+p AS (SELECT c.*, q.own AS parent FROM c LEFT JOIN c q ON q.conv_id = c.conv_id AND q.own = c.after),
+l AS (SELECT conv_id, own, 0 AS level FROM p WHERE parent IS NULL
+      UNION ALL SELECT p.conv_id, p.own, l.level + 1 FROM l JOIN p ON p.conv_id = l.conv_id AND p.parent = l.own),
+j AS (SELECT p.conv_id, l.level, p.turn, p.own AS call_id,
+    CASE WHEN p.role = 'system' THEN CASE WHEN p.text IS NULL THEN '$.instructions: missing' WHEN p.text = '' THEN '$.instructions: too short' ELSE '' END
+         WHEN p.text IS NULL THEN '$.question: missing' WHEN p.text = '' THEN '$.question: too short' WHEN length(p.text) > 300 THEN '$.question: too long' ELSE '' END AS bad,
+    CASE WHEN p.after IS NOT NULL AND p.parent IS NULL THEN 'no call ' || p.after ELSE '' END AS dangling, r.own IS NOT NULL AS answered,
+    '{"after":[' || coalesce('"' || p.parent || '"', '') || '],"arguments":{' || CASE WHEN p.role = 'system'
+        THEN coalesce('"instructions":' || to_json(p.text)::VARCHAR, '') ELSE coalesce('"question":' || to_json(p.text)::VARCHAR || ',', '') || '"turn":' || p.turn END ||
+    '},"call_id":"' || p.own || '","name":"' || CASE WHEN p.role = 'system' THEN 'configure' ELSE 'answer' END || '","result":' || coalesce(to_json(r.text)::VARCHAR, 'null') || '}' AS json
+  FROM p JOIN l ON l.conv_id = p.conv_id AND l.own = p.own LEFT JOIN r ON r.conv_id = p.conv_id AND r.own = p.own)
+SELECT conv_id, level, turn, call_id, CASE WHEN bad <> '' THEN 'invalid' WHEN answered THEN 'ok' ELSE 'no_result' END AS status,
+    bad || CASE WHEN bad <> '' AND dangling <> '' THEN '; ' ELSE '' END || dangling AS errors, json FROM j
+UNION ALL
+SELECT conv_id, NULL, turn, own, 'orphan_result', '', '{"call_id":"' || own || '","result":' || coalesce(to_json(text)::VARCHAR, 'null') || '}'
+FROM r WHERE NOT EXISTS (SELECT 1 FROM c WHERE c.conv_id = r.conv_id AND c.own = r.own)
+"""
+
+
 def op9_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every text encoded and decoded; digests of ids and decoded text."""
     out = bpe.encode_decode(table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_BPE))
@@ -96,5 +125,5 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_best_fit_packing, op2_line_dedup, op3_exact_dedup, op4_token_counts, op5_curve_neighbours, op6_language_id,
-    op7_simhash_near_dedup, op9_bpe_round_trip, op10_quality_classifier)}
-ORACLES = {"op2_line_dedup": OP2_SQL, "op3_exact_dedup": OP3_SQL}
+    op7_simhash_near_dedup, op8_tool_calls, op9_bpe_round_trip, op10_quality_classifier)}
+ORACLES = {"op2_line_dedup": OP2_SQL, "op3_exact_dedup": OP3_SQL, "op8_tool_calls": OP8_SQL}
