@@ -19,7 +19,7 @@ from coursewise.llm.common import table, written
 def _with_ids(docs: DataFrame, ids: DataFrame) -> DataFrame:
     """The rows of ``docs`` whose doc_id is among ``ids``."""
     ids = ids.select(F.col("doc_id").alias("kept_id")).distinct()
-    return docs.join(ids, F.col("doc_id").eqNullSafe(F.col("kept_id")), "left_semi")
+    return docs.alias("d").join(ids.alias("k"), F.col("d.doc_id").eqNullSafe(F.col("k.kept_id")), "left_semi")
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -37,9 +37,10 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 2: lines that many sources share are cut out of the texts."""
-    cut = line_dedup.remove_boilerplate(docs, count_col="lines_removed")
-    size = {"n_chars": F.when(F.col("lines_removed") > 0, F.char_length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))}
-    return cut.withColumns(size).select(*docs.columns)
+    count = "_".join(["lines_removed", *docs.columns])  # longer than any column's name, so none of them is replaced
+    cut = line_dedup.remove_boilerplate(docs, count_col=count)
+    size = F.when(F.col(f"`{count}`") > 0, F.char_length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))
+    return cut.withColumn("n_chars", size).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
