@@ -20,7 +20,7 @@ def trim_text(df: DataFrame, cols: list[str]) -> DataFrame:
 
 def duration_hours(seconds: Column) -> Column:
     """Seconds -> hours, one decimal, HALF_UP on exact decimals."""
-    return F.round(seconds.try_cast("decimal(20,3)") / 3600, 1).cast("decimal(12,1)")
+    return F.round(seconds.try_cast("decimal(20,3)") / 3600, 1).try_cast("decimal(12,1)")
 
 
 def list_price(original: Column) -> Column:
@@ -34,15 +34,15 @@ def sale_price(discount: Column, original: Column) -> Column:
 
 
 def count_default(c: Column) -> Column:
-    """D5 (+Q2/Q3): NaN and NULL counts become 0."""
+    """D5 (+Q2/Q3): NULL, NaN and counts beyond a BIGINT become 0."""
     d = c.try_cast("double")
-    return F.coalesce(F.when(~F.isnan(d), d), F.lit(0.0)).cast("bigint")
+    return F.coalesce(F.when(~F.isnan(d), d).try_cast("bigint"), F.lit(0).cast("bigint"))
 
 
 def rating_round(c: Column) -> Column:
-    """Rating rounded to one decimal (NaN -> NULL first)."""
+    """Rating rounded to one decimal (NaN and values beyond the type -> NULL)."""
     d = c.try_cast("double")
-    return F.round(F.when(~F.isnan(d), d).cast("decimal(10,3)"), 1).cast("decimal(4,1)")
+    return F.round(F.when(~F.isnan(d), d).try_cast("decimal(10,3)"), 1).try_cast("decimal(4,1)")
 
 
 def none_to_null(c: Column, token: str = "None") -> Column:
@@ -75,6 +75,12 @@ def _scrape_time(df: DataFrame) -> Column:
     return parse_timestamp(F.col("_scraped_datetime"))
 
 
+def _json_text(df: DataFrame, col: str) -> Column:
+    """A column as JSON text, whether bronze carries it as text or nested."""
+    nested = isinstance(df.schema[col].dataType, (T.ArrayType, T.StructType, T.MapType))
+    return F.to_json(F.col(col)) if nested else F.col(col).cast("string")
+
+
 def dedupe(df: DataFrame, keys: list[str], tie_break: list[str] | None = None) -> DataFrame:
     """One row per key; remaining columns (or ``tie_break``) give a total order."""
     rest = tie_break if tie_break is not None else [c for c in df.columns if c not in keys]
@@ -112,7 +118,7 @@ def stg_courses(raw: DataFrame, tie_break: list[str] | None = None) -> DataFrame
         count_default(F.col("num_students")).alias("num_students"),
         count_default(F.col("num_reviews")).alias("num_reviews"),
         rating_round(F.col("avg_rating_score")).alias("rating"),
-        F.col("rating_distribution").cast("string").alias("rating_distribution"),
+        _json_text(raw, "rating_distribution").alias("rating_distribution"),
         F.col("_url").alias("course_url"),
         F.col("_category").alias("category"),
         _scrape_time(raw).alias("scraped_at"),

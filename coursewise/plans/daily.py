@@ -3,22 +3,20 @@
 The reference chains scrape, load, transform and test as scheduled shell
 steps.  Here the same chain is a handful of Spark calls on one session; any
 scheduler can call ``run_daily`` once per day.  Every step is incremental or
-idempotent: the loader consumes only new files (stream checkpoint), gold is
+idempotent: the loader takes only files without a successful load (ledger), gold is
 rebuilt by overwrite from silver written once, and checks and exports are
 plain jobs over the built tables.
 """
 
 from __future__ import annotations
 
-import datetime
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from coursewise.operators import quality
 from coursewise.plans.warehouse import Warehouse
 from coursewise.sources import files
-from coursewise.sources.ledger import load_report
+from coursewise.sources.ledger import load_report, upsert_ledger
 from coursewise.streaming import incremental
 
 
@@ -28,12 +26,12 @@ def run_daily(spark: SparkSession, landing: str, root: str, schemas: dict[str, S
 
     ``schemas`` gives the bronze schema of each raw table present
     (``courses``, ``instructors``, ``price_tracker``).  Returns the written
-    paths and the check results (DataFrames of offending keys; empty is good).
+    paths, the check results (DataFrames of offending keys; empty is good), the
+    files not loaded and the load report; ``export`` writes raw tables and marts as CSV.
     """
-    raw_dir, ckpt = f"{root}/raw", f"{root}/checkpoints"
-    incremental.incremental_load(spark, landing, schemas, raw_dir, ckpt)
-    run_id = run_id or datetime.datetime.now(datetime.timezone.utc).strftime("%Y%m%d%H%M%S")
-    unloaded = incremental.record_unloaded(spark, landing, raw_dir, run_id)
+    raw_dir = f"{root}/raw"
+    incremental.incremental_load(spark, landing, schemas, raw_dir, run_id)
+    unloaded = incremental.unloaded_files(spark, landing, raw_dir)
     raw = {t: incremental.read_raw_table(spark, raw_dir, t) for t in schemas}
     w = Warehouse(spark, "", courses=raw.get("courses"), instructors=raw.get("instructors"),
                   offers=raw.get("price_tracker"))
@@ -41,10 +39,10 @@ def run_daily(spark: SparkSession, landing: str, root: str, schemas: dict[str, S
     paths = w.build(f"{root}/gold", tuple(marts))
     gold = {m: spark.read.parquet(paths[m]) for m in marts}
     checks = _checks(gold)
-    report = load_report(incremental.read_ledger(spark, raw_dir))
+    report = load_report(upsert_ledger(incremental.read_ledger(spark, raw_dir)))
     out: dict[str, object] = {"paths": paths, "checks": checks, "unloaded": unloaded, "report": report}
     if export:
-        out["export"] = files.export_csv(spark, gold, f"{root}/export")
+        out["export"] = files.export_csv(spark, {f"raw_{t}": df for t, df in raw.items()} | gold, f"{root}/export")
     return out
 
 

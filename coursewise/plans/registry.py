@@ -1452,30 +1452,43 @@ OFFER_COLS = ["course_id", "title", "original_price", "discount_price", "_url",
 
 
 def _land_offers(spark, sf, landing: str, second: bool) -> None:
-    """Land the offers as two tracker batches (years up to 1996, then later years)."""
+    """Land the offers as two tracker batches (years up to 1996, then the rest)."""
     o = fixtures.fx_offers(spark, sf)
-    early = F.year("scraped_at") <= 1996
+    early = F.coalesce(F.year("scraped_at") <= 1996, F.lit(False))
     part = o.filter(~early) if second else o.filter(early)
     tag = "B" if second else "A"
     files.write_parquet(part, f"{landing}/PROD_tracker_group1_p1-1_{tag}_courses.parquet", "gzip")
 
 
+def _write_text(spark, path: str, text: str) -> None:
+    """A file that is not what its name says."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    out = p.getFileSystem(spark._jsc.hadoopConfiguration()).create(p, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+
+
 @register("s10_incremental_load", O.with_(O.FX_OFFERS) + """
 SELECT course_id, title, CAST(original_price AS DOUBLE) AS original_price,
        CAST(discount_price AS DOUBLE) AS discount_price, _url, _category, scraped_at, l_orderkey,
        CAST(l_linenumber AS BIGINT) AS l_linenumber FROM fx_offers""")
 def s10_incremental_load(spark, sf):
-    """Two landing runs (the second adds a file); each file is loaded exactly once."""
+    """Two landing runs over a tree of folders; a damaged file loads once it is repaired,
+    an empty file and names in capitals load too, and each file is loaded exactly once."""
     root = work_dir(spark, "s10")
-    landing, raw, ckpt = f"{root}/landing", f"{root}/raw", f"{root}/checkpoints"
-    schema = fixtures.fx_offers(spark, sf).schema
-    inst = fixtures.fx_instructors(spark, sf)
-    files.write_parquet(inst, f"{landing}/TEST_dashboard_group1_p1-1_A_instructors.parquet")
-    _land_offers(spark, sf, landing, second=False)
-    schemas = {"price_tracker": schema, "instructors": inst.schema}
-    incremental.incremental_load(spark, landing, schemas, raw, ckpt)
-    _land_offers(spark, sf, landing, second=True)
-    incremental.incremental_load(spark, landing, schemas, raw, ckpt)
+    landing, raw = f"{root}/landing", f"{root}/raw"
+    offers, inst = fixtures.fx_offers(spark, sf), fixtures.fx_instructors(spark, sf)
+    year = F.coalesce(F.year("scraped_at"), F.lit(0))
+    damaged = f"{landing}/tracker/2024/PROD_tracker_group1_p3-3_C_courses.parquet"
+    files.write_parquet(inst, f"{landing}/dashboard/TEST_dashboard_group1_p1-1_A_instructors.parquet")
+    files.write_parquet(offers.filter(year <= 1994), f"{landing}/tracker/PROD_tracker_group1_p1-1_A_courses.parquet", "gzip")
+    files.write_parquet(offers.filter(F.lit(False)), f"{landing}/tracker/PROD_tracker_group1_p4-4_D_courses.parquet")
+    _write_text(spark, f"{damaged}/part-0.parquet", "not a parquet file")
+    schemas = {"price_tracker": offers.schema, "instructors": inst.schema}
+    incremental.incremental_load(spark, landing, schemas, raw)
+    files.write_parquet(offers.filter((year > 1994) & (year <= 1996)), damaged)
+    files.write_parquet(offers.filter(year > 1996), f"{landing}/tracker/PROD_TRACKER_GROUP1_P2-2_B_COURSES.PARQUET", "gzip")
+    incremental.incremental_load(spark, landing, schemas, raw)
     return incremental.read_raw_table(spark, raw, "price_tracker").select(*OFFER_COLS)
 
 

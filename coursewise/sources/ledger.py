@@ -1,8 +1,7 @@
 """File routing and the load ledger.
 
 The ledger is a small table of (filename, loaded_at, row_count, status); the
-streaming loader (``streaming.incremental``) keeps its own checkpoint as the
-source of truth and writes the ledger as a report.
+loader (``streaming.incremental``) takes from it which files are still to load.
 """
 
 from __future__ import annotations

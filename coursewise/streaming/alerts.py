@@ -36,6 +36,11 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
 
 
+def _remove(spark: SparkSession, path: str) -> None:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def merge_state(state: DataFrame | None, obs: DataFrame) -> DataFrame:
     """New per-course state from the old state and a batch of price observations.
 
@@ -99,13 +104,21 @@ def _alert_writer(spark: SparkSession, out_dir: str, tie_break: list[str] | None
         new_state = spark.read.parquet(f"{out_dir}/state/v={batch_id}")
         alerts = alerts_from_state(new_state.join(touched, "course_id", "left_semi"))
         alerts.write.mode("overwrite").parquet(f"{out_dir}/alerts/batch_id={batch_id}")
+        if batch_id > 1:  # a replay needs the state before its own, nothing older
+            _remove(spark, f"{out_dir}/state/v={batch_id - 2}")
     return write
 
 
 def run_alert_feed(spark: SparkSession, landing_glob: str, schema: StructType, out_dir: str,
-                   checkpoint: str, tie_break: list[str] | None = None) -> None:
-    """Process every new price file once and stop (availableNow)."""
-    stream = spark.readStream.schema(schema).option("ignoreCorruptFiles", "true").parquet(landing_glob)
+                   checkpoint: str, tie_break: list[str] | None = None, max_files: int = 1000) -> None:
+    """Process every new price file once and stop (availableNow), at most ``max_files`` a batch.
+
+    A damaged file stops the feed and is named in the error; once it is
+    repaired the feed goes on with the same batch.  The loader's raw table
+    (``streaming.incremental``) holds whole files only.
+    """
+    stream = (spark.readStream.schema(schema).option("ignoreCorruptFiles", "false")
+                   .option("maxFilesPerTrigger", str(max_files)).parquet(landing_glob))
     q = (stream.writeStream.foreachBatch(_alert_writer(spark, out_dir, tie_break))
                .option("checkpointLocation", checkpoint)
                .trigger(availableNow=True).start())

@@ -1,113 +1,129 @@
 """Incremental loading of landed batch files.
 
-The reference lists the bucket, subtracts a ledger of loaded file names and
-loads the rest file by file.  Here each raw table is a Structured Streaming
-file source over a glob of its object names, run with
-``trigger(availableNow=True)``: the stream checkpoint records exactly which
-files were consumed (the source of truth), and ``foreachBatch`` writes
-
-* the batch's rows (with their ``_source_file``) to ``<raw>/<table>/batch_id=<n>`` and
-* one ledger row per file to ``<raw>/loaded_files_log/table=<t>/batch_id=<n>``
-
-with overwrite, so a batch replayed after a failure replaces its own output
-instead of duplicating it (Q23).  Corrupt files are skipped by the reader.
+Every run lists the landing tree at any depth, routes files by name and loads
+those without a SUCCESS row in the ledger.  A file is loaded whole or not at
+all: a batch of files is written as one Spark job, a batch that fails is
+halved until the damaged files stand alone, and these get a FAILED row and are
+tried again by the next run.  (A file-source stream would not do: its
+checkpoint never offers a consumed file again.)
+
+A batch goes to ``<raw>/<table>/load_id=<hash of its file names>``, then its
+ledger rows are appended.  Readers only see loads that the ledger names, so a
+run that dies between the two leaves nothing behind that counts, and the next
+run loads those files anew.
 """
 
 from __future__ import annotations
 
+import hashlib
+import uuid
+
+from py4j.protocol import Py4JError
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from coursewise.operators.cleaning import nan_to_null, normalize_columns
-from coursewise.sources.ledger import route_of
-
-# Object-name globs per raw table (routing refines "courses").
-TABLE_GLOBS = {
-    "instructors": "*_instructors.parquet",
-    "price_tracker": "*tracker*_courses.parquet",
-    "courses": "*_courses.parquet",
-}
-
-
-def _batch_writer(table: str, raw_dir: str):
-    def write(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        routed = batch.withColumn("__target", route_of(F.col("_source_file")))
-        rows = routed.filter(F.col("__target") == table).drop("__target")
-        out = f"{raw_dir}/{table}/batch_id={batch_id}"
-        # the source file stays on each row as provenance; the ledger is then
-        # counted from the written batch, so the batch is read from the landing
-        # zone once and never cached
-        nan_to_null(normalize_columns(rows)).write.mode("overwrite").parquet(out)
-        log = (spark.read.parquet(out).groupBy(F.col("_source_file").alias("filename"))
-                    .agg(F.count(F.lit(1)).cast("int").alias("row_count"))
-                    .withColumn("loaded_at", F.current_timestamp())
-                    .withColumn("status", F.lit("SUCCESS")))
-        log.write.mode("overwrite").parquet(f"{raw_dir}/loaded_files_log/table={table}/batch_id={batch_id}")
-    return write
-
-
-def load_table(spark: SparkSession, landing: str, table: str, schema: StructType, raw_dir: str,
-               checkpoint: str, max_files_per_trigger: int | None = 1000) -> None:
-    """Load every not-yet-seen file of one raw table, then stop.
-
-    ``availableNow`` honours ``maxFilesPerTrigger``, so a large backlog is
-    split into bounded micro-batches instead of one huge first batch.
-    """
-    reader = (spark.readStream.schema(schema).option("ignoreCorruptFiles", "true"))
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    stream = (reader.parquet(f"{landing.rstrip('/')}/{TABLE_GLOBS[table]}")
-                    .withColumn("_source_file", F.col("_metadata.file_path")))
-    q = (stream.writeStream.foreachBatch(_batch_writer(table, raw_dir))
-               .option("checkpointLocation", f"{checkpoint.rstrip('/')}/{table}")
-               .trigger(availableNow=True).start())
-    q.awaitTermination()
+from coursewise.operators.cleaning import nan_to_null, nested_to_json, normalize_columns
+from coursewise.sources.ledger import pending_files, route_of
 
-
-def incremental_load(spark: SparkSession, landing: str, schemas: dict[str, StructType], raw_dir: str,
-                     checkpoint: str) -> None:
-    """Load new files of each raw table (one stream per table, run to completion)."""
-    for table, schema in schemas.items():
-        load_table(spark, landing, table, schema, raw_dir, checkpoint)
+LEDGER_SCHEMA = ("filename string, target string, load_id string, run_id string, row_count int, "
+                 "loaded_at timestamp, status string")
+# file names of one batch pass through the driver; the next batch starts when they are recorded
+MAX_FILES_PER_BATCH = 1000
 
 
-def read_raw_table(spark: SparkSession, raw_dir: str, table: str) -> DataFrame:
-    return spark.read.option("mergeSchema", "true").parquet(f"{raw_dir}/{table}")
+def _ledger_path(raw_dir: str) -> str:
+    return f"{raw_dir.rstrip('/')}/loaded_files_log"
 
 
 def read_ledger(spark: SparkSession, raw_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{raw_dir}/loaded_files_log")
+    """Every ledger row ever written (S8 reduces them to the newest per file)."""
+    try:
+        return spark.read.schema(LEDGER_SCHEMA).parquet(_ledger_path(raw_dir))
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], LEDGER_SCHEMA)  # nothing was ever loaded
 
 
-def unloaded_files(spark: SparkSession, landing: str, raw_dir: str) -> DataFrame:
-    """Landed parquet files that produced no ledger row (corrupt, unreadable or unroutable).
+def landed_files(spark: SparkSession, landing: str) -> DataFrame:
+    """Parquet files below ``landing`` at any depth, whatever the case of their names, with their target.
 
     The listing is Spark's file index (``binaryFile`` without its content
-    column, so no file is read); the ledger side is an anti join (S7).
+    column, so no file is read).
     """
-    from coursewise.sources.ledger import pending_files
-    listing = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-                    .option("pathGlobFilter", "*.parquet").load(landing)
-                    .select(F.col("path").alias("filename")))
+    listing = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(landing)
+    return (listing.select(F.col("_metadata.file_path").alias("filename"), "path")
+                   .filter(F.lower("path").endswith(".parquet"))
+                   .withColumn("target", route_of(F.col("path"))))
+
+
+def unloaded_files(spark: SparkSession, landing: str, raw_dir: str) -> DataFrame:
+    """Landed files without a successful load: new, FAILED, or without a target."""
+    return pending_files(landed_files(spark, landing), read_ledger(spark, raw_dir))
+
+
+def _record(spark: SparkSession, raw_dir: str, table: str, names: list[str], counts: DataFrame | None,
+            load_id: str, run_id: str) -> None:
+    rows = spark.createDataFrame([(n,) for n in names], "filename string")
+    if counts is None:
+        rows = rows.withColumn("n", F.lit(0))
+    else:  # an empty file is loaded with 0 rows
+        rows = rows.join(counts, "filename", "left")
+    (rows.select("filename", F.lit(table).alias("target"), F.lit(load_id).alias("load_id"),
+                 F.lit(run_id).alias("run_id"), F.coalesce("n", F.lit(0)).cast("int").alias("row_count"),
+                 F.current_timestamp().alias("loaded_at"),
+                 F.lit("FAILED" if counts is None else "SUCCESS").alias("status"))
+         .coalesce(1).write.mode("append").parquet(_ledger_path(raw_dir)))
+
+
+def _load(spark: SparkSession, files: list[tuple[str, str]], table: str, schema: StructType, raw_dir: str,
+          run_id: str) -> None:
+    """Load files (name, path) as one batch, or halve it until the damaged ones stand alone."""
+    names = [n for n, _ in files]
+    load_id = hashlib.md5("\n".join(sorted(names)).encode()).hexdigest()
+    out = f"{raw_dir.rstrip('/')}/{table}/load_id={load_id}"
     try:
-        ledger = read_ledger(spark, raw_dir).select("filename", "status")  # FAILED rows stay pending
-    except Exception:  # noqa: BLE001 - no ledger yet: every landed file is unloaded
-        return listing
-    return pending_files(listing, ledger)
+        rows = (spark.read.schema(schema).option("ignoreCorruptFiles", "false").parquet(*[p for _, p in files])
+                     .withColumn("_source_file", F.col("_metadata.file_path")))
+        nan_to_null(nested_to_json(normalize_columns(rows))).write.mode("overwrite").parquet(out)
+    except (PySparkException, Py4JError):
+        if len(files) == 1:
+            _record(spark, raw_dir, table, names, None, load_id, run_id)
+            return
+        half = len(files) // 2
+        _load(spark, files[:half], table, schema, raw_dir, run_id)
+        _load(spark, files[half:], table, schema, raw_dir, run_id)
+        return
+    counts = spark.read.parquet(out).groupBy(F.col("_source_file").alias("filename")).agg(F.count(F.lit(1)).alias("n"))
+    _record(spark, raw_dir, table, names, counts, load_id, run_id)
+
+
+def load_table(spark: SparkSession, landing: str, table: str, schema: StructType, raw_dir: str, run_id: str,
+               max_files: int = MAX_FILES_PER_BATCH) -> None:
+    """Load every file of one raw table that has no SUCCESS row, each at most once in this run."""
+    while True:
+        tried = read_ledger(spark, raw_dir).filter(F.col("run_id") == run_id).select("filename")
+        batch = (unloaded_files(spark, landing, raw_dir).filter(F.col("target") == table)
+                 .join(tried, "filename", "left_anti").orderBy("filename").limit(max_files).collect())
+        if not batch:
+            return
+        _load(spark, [(r["filename"], r["path"]) for r in batch], table, schema, raw_dir, run_id)
 
 
-def record_unloaded(spark: SparkSession, landing: str, raw_dir: str, run_id: str) -> str:
-    """Write the unloaded files as FAILED ledger rows of this run (a report, not a retry).
+def incremental_load(spark: SparkSession, landing: str, schemas: dict[str, StructType], raw_dir: str,
+                     run_id: str | None = None, max_files: int = MAX_FILES_PER_BATCH) -> str:
+    """Load the new and the failed files of each raw table; returns the run's id."""
+    run_id = run_id or uuid.uuid4().hex
+    for table, schema in schemas.items():
+        load_table(spark, landing, table, schema, raw_dir, run_id, max_files)
+    return run_id
 
-    The stream checkpoint has consumed them; a fixed file is re-delivered under a
-    new name and then loads like any other.
-    """
-    out = f"{raw_dir}/loaded_files_log/table=unloaded/batch_id={run_id}"
-    (unloaded_files(spark, landing, raw_dir)
-        .withColumn("row_count", F.lit(0))
-        .withColumn("loaded_at", F.current_timestamp())
-        .withColumn("status", F.lit("FAILED"))
-        .write.mode("overwrite").parquet(out))
-    return out
+
+def read_raw_table(spark: SparkSession, raw_dir: str, table: str) -> DataFrame:
+    """The rows of every load that the ledger records as successful."""
+    loads = (read_ledger(spark, raw_dir).filter((F.col("target") == table) & (F.col("status") == "SUCCESS"))
+             .select("load_id").distinct())
+    rows = spark.read.option("mergeSchema", "true").parquet(f"{raw_dir.rstrip('/')}/{table}")
+    return rows.join(loads, "load_id", "left_semi").drop("load_id")

@@ -29,7 +29,9 @@ def test_daily_run_builds_gold_and_checks_pass(spark):
     assert spark.read.parquet(paths["fct_price_history"]).count() == ref.fct_price_history.count()
     assert spark.read.parquet(paths["dim_course"]).count() == ref.dim_course.count()
     assert out["export"].filter("row_count IS NULL").count() == 0
-    assert spark.read.parquet(out["unloaded"]).count() == 0  # every landed file loaded
+    counts = {r.table_name: r.row_count for r in out["export"].collect()}
+    assert counts["raw_price_tracker"] == offers.count() and counts["raw_courses"] == courses.count()
+    assert out["unloaded"].count() == 0  # every landed file loaded
     rep = {r.status: r for r in out["report"].collect()}
     assert set(rep) == {"SUCCESS"}
     assert rep["SUCCESS"].n_rows == courses.count() + inst.count() + offers.count()

@@ -1,10 +1,15 @@
 """Incremental loading: each landed file is loaded once; a rerun loads nothing new."""
 
+import glob
+import os
+import shutil
+
 from pyspark.sql import functions as F
 
+from coursewise.operators import staging
 from coursewise.plans import fixtures
 from coursewise.session import work_dir
-from coursewise.sources import files
+from coursewise.sources import files, ledger
 from coursewise.streaming import incremental
 
 SF = "/root/testdata/sf0.001"
@@ -12,55 +17,83 @@ SF = "/root/testdata/sf0.001"
 
 def test_second_run_loads_only_new_files(spark):
     root = work_dir(spark, "test-inc")
-    landing, raw, ckpt = f"{root}/landing", f"{root}/raw", f"{root}/ckpt"
+    landing, raw = f"{root}/landing", f"{root}/raw"
     offers = fixtures.fx_offers(spark, SF)
     early = F.year("scraped_at") <= 1995
     files.write_parquet(offers.filter(early), f"{landing}/PROD_tracker_g_p1-1_A_courses.parquet")
     schemas = {"price_tracker": offers.schema}
-    incremental.incremental_load(spark, landing, schemas, raw, ckpt)
+    incremental.incremental_load(spark, landing, schemas, raw)
     n1 = incremental.read_raw_table(spark, raw, "price_tracker").count()
-    incremental.incremental_load(spark, landing, schemas, raw, ckpt)       # idle run
+    incremental.incremental_load(spark, landing, schemas, raw)       # idle run
     assert incremental.read_raw_table(spark, raw, "price_tracker").count() == n1
-    files.write_parquet(offers.filter(~early), f"{landing}/PROD_tracker_g_p1-1_B_courses.parquet")
-    incremental.incremental_load(spark, landing, schemas, raw, ckpt)
+    files.write_parquet(offers.filter(~early), f"{landing}/deep/er/PROD_tracker_g_p1-1_B_courses.parquet")
+    incremental.incremental_load(spark, landing, schemas, raw, max_files=1)
     assert incremental.read_raw_table(spark, raw, "price_tracker").count() == offers.count()
     led = incremental.read_ledger(spark, raw)
     assert led.select("filename").distinct().count() == led.count()       # each file once
     assert led.agg(F.sum("row_count")).collect()[0][0] == offers.count()
 
 
-def test_corrupt_and_unroutable_files_are_skipped(spark):
-    import os
+def _status(spark, raw):
+    newest = ledger.upsert_ledger(incremental.read_ledger(spark, raw)).collect()
+    return {r["filename"].split("/")[-1]: (r["status"], r["row_count"]) for r in newest}
+
+
+def test_a_file_is_loaded_whole_or_failed_and_retried(spark):
     root = work_dir(spark, "test-inc-bad")
-    landing, raw, ckpt = f"{root}/landing", f"{root}/raw", f"{root}/ckpt"
+    landing, raw = f"{root}/landing", f"{root}/raw"
+    os.makedirs(f"{landing}/tracker")
     offers = fixtures.fx_offers(spark, SF)
-    files.write_parquet(offers, f"{landing}/PROD_tracker_g_p1-1_A_courses.parquet")
-    bad = f"{landing}/PROD_tracker_g_p1-1_BAD_courses.parquet"
-    os.makedirs(bad, exist_ok=True)
-    with open(f"{bad}/part-00000.parquet", "wb") as fh:
-        fh.write(b"not a parquet file")
-    files.write_parquet(offers, f"{landing}/unrelated_notes.parquet")
-    incremental.incremental_load(spark, landing, {"price_tracker": offers.schema}, raw, ckpt)
-    assert incremental.read_raw_table(spark, raw, "price_tracker").count() == offers.count()
-    left = {r.filename.split("/")[-2] for r in incremental.unloaded_files(spark, landing, raw).collect()}
-    assert "PROD_tracker_g_p1-1_BAD_courses.parquet" in left and "unrelated_notes.parquet" in left
-    assert not any("_A_courses" in f for f in left)
-    incremental.record_unloaded(spark, landing, raw, "0")
-    failed = incremental.read_ledger(spark, raw).filter("status = 'FAILED'")
-    assert failed.count() == len([r for r in incremental.unloaded_files(spark, landing, raw).collect()])
+    files.write_parquet(offers.coalesce(1), f"{root}/whole", "snappy")
+    whole = glob.glob(f"{root}/whole/part-*.parquet")[0]
+    for name in ("a_tracker_courses.parquet", "tracker/B_TRACKER_COURSES.PARQUET", "unrelated_notes.parquet"):
+        shutil.copy(whole, f"{landing}/{name}")
+    with open(whole, "rb") as f:
+        data = bytearray(f.read())
+    data[len(data) // 2:len(data) // 2 + 4000] = bytes(4000)  # damaged pages, footer intact
+    with open(f"{landing}/c_tracker_courses.parquet", "wb") as f:
+        f.write(data)
+    with open(f"{landing}/d_tracker_courses.parquet", "wb") as f:
+        f.write(b"not a parquet file")
+    files.write_parquet(offers.limit(0).coalesce(1), f"{root}/none")
+    shutil.copy(glob.glob(f"{root}/none/part-*.parquet")[0], f"{landing}/e_tracker_courses.parquet")
+    schemas, n = {"price_tracker": offers.schema}, offers.count()
+    for _ in range(2):  # a second run leaves the failed files counted once
+        incremental.incremental_load(spark, landing, schemas, raw)
+        assert incremental.read_raw_table(spark, raw, "price_tracker").count() == 2 * n
+        assert _status(spark, raw) == {
+            "a_tracker_courses.parquet": ("SUCCESS", n), "B_TRACKER_COURSES.PARQUET": ("SUCCESS", n),
+            "c_tracker_courses.parquet": ("FAILED", 0), "d_tracker_courses.parquet": ("FAILED", 0),
+            "e_tracker_courses.parquet": ("SUCCESS", 0)}
+        report = {r["status"]: r["n_files"] for r in ledger.load_report(ledger.upsert_ledger(incremental.read_ledger(spark, raw))).collect()}
+        assert report == {"SUCCESS": 3, "FAILED": 2}
+    left = {r.filename.split("/")[-1] for r in incremental.unloaded_files(spark, landing, raw).collect()}
+    assert left == {"c_tracker_courses.parquet", "d_tracker_courses.parquet", "unrelated_notes.parquet"}
+    shutil.copy(whole, f"{landing}/c_tracker_courses.parquet")  # repaired
+    incremental.incremental_load(spark, landing, schemas, raw)
+    assert incremental.read_raw_table(spark, raw, "price_tracker").count() == 3 * n
+    assert _status(spark, raw)["c_tracker_courses.parquet"] == ("SUCCESS", n)
 
 
-def test_replayed_batch_is_idempotent(spark):
-    """foreachBatch output is keyed by batch id: running a batch twice leaves one copy."""
+def test_a_load_that_the_ledger_does_not_name_does_not_count(spark):
     root = work_dir(spark, "test-replay")
-    raw = f"{root}/raw"
-    offers = fixtures.fx_offers(spark, SF).withColumn(
-        "_source_file", F.lit("file:/x/PROD_tracker_g_p1-1_A_courses.parquet/part-0.parquet"))
-    write = incremental._batch_writer("price_tracker", raw)
-    write(offers, 0)
-    write(offers, 0)  # replay after a failure
+    landing, raw = f"{root}/landing", f"{root}/raw"
+    offers = fixtures.fx_offers(spark, SF)
+    files.write_parquet(offers, f"{landing}/PROD_tracker_g_p1-1_A_courses.parquet")
+    files.write_parquet(offers.withColumn("_source_file", F.lit("x")), f"{raw}/price_tracker/load_id=died")
+    incremental.incremental_load(spark, landing, {"price_tracker": offers.schema}, raw)
     assert incremental.read_raw_table(spark, raw, "price_tracker").count() == offers.count()
-    assert incremental.read_ledger(spark, raw).count() == 1
+
+
+def test_nested_columns_are_loaded_as_json_and_their_counts_survive_staging(spark):
+    root = work_dir(spark, "test-nested")
+    landing, raw = f"{root}/landing", f"{root}/raw"
+    rows = fixtures.fx_courses(spark, SF).withColumn("rating_distribution", F.expr("array(named_struct('rating', 1, 'count', 7), named_struct('rating', 2, 'count', 9))"))
+    files.write_parquet(rows, f"{landing}/g_courses.parquet")
+    incremental.incremental_load(spark, landing, {"courses": rows.schema}, raw)
+    for bronze in (incremental.read_raw_table(spark, raw, "courses"), rows):
+        got = staging.stg_courses(bronze, fixtures.FIXTURE_TIE_BREAK)
+        assert got.count() > 0 and got.filter("rating_1 <> 7 or rating_2 <> 9 or rating_1 is null").count() == 0
 
 
 def test_replayed_alert_batch_is_idempotent(spark):
