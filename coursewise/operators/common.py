@@ -1,4 +1,4 @@
-"""Shared building blocks: best row per key, surrogate ids, checked broadcast."""
+"""Shared building blocks: best row per key, surrogate ids."""
 
 from __future__ import annotations
 
@@ -6,22 +6,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Rows a side may hold before we hint a broadcast (a two-column lookup of this
-# size is a few tens of MB); beyond it the planner (sort-merge join, AQE skew
-# splitting, AQE runtime broadcast) decides.
-BROADCAST_MAX_ROWS = 500_000
-# Rows one task may number with a global window before switching to the
-# range-partitioned numbering.
-SINGLE_TASK_MAX_ROWS = 2_000_000
-
-
 def top_n_per_key(df: DataFrame, keys: list[str], order: list[Column], n: int = 1,
                   rank_col: str | None = None) -> DataFrame:
     """The first ``n`` rows per key under a total order.
 
     ``row_number() <= n`` is planned as WindowGroupLimit: a partial limit runs
     before the shuffle, so even a key holding a third of the rows reaches the
-    exchange as at most ``n`` rows per map task.
+    exchange as at most ``n`` rows per map task.  That needs a shuffle to be
+    there: take the limit before a join on the same keys, not after it.
     """
     w = Window.partitionBy(*keys).orderBy(*order)
     rn = rank_col or "__rn"
@@ -34,49 +26,25 @@ def best_row(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
     return top_n_per_key(df, keys, order, 1)
 
 
-def checked_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Hint a broadcast only when the side is proven small (counted).
-
-    Used for dimension tables that are already materialised or tiny after a
-    DISTINCT.  Above the bound the DataFrame is returned unchanged and the
-    planner chooses (AQE still converts to a broadcast at runtime when the
-    shuffle output is small).
-    """
-    df = df.persist()  # counted once, then reused by the join
-    n = df.count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
-def sequential_ids(df: DataFrame, order_col: str, id_col: str,
-                   max_single_task_rows: int = SINGLE_TASK_MAX_ROWS) -> DataFrame:
-    """Ids 1..n in ascending ``order_col`` order over a DISTINCT set.
+def sequential_ids(df: DataFrame, order_col: str, id_col: str, within: list[str] | None = None) -> DataFrame:
+    """Ids 1..n in ascending byte order of a text column over a DISTINCT set (W2), per ``within`` group.
 
-    Small sets use a global ``row_number`` (one task, bounded by the count
-    check).  Larger sets are range-partitioned; each partition numbers its rows
-    locally and adds the row count of all earlier partitions, so no single task
-    sees more than one range.
+    Values are numbered within their two-byte prefix, which sorts like the
+    values do, and a prefix adds the number of values under smaller prefixes.
+    There are at most 65,793 prefixes per group, so the offsets are a bounded
+    table whatever the number of values.
     """
-    df = df.persist()  # the DISTINCT set is computed once for both the count and the ids
-    n = df.count()
-    if n <= max_single_task_rows:
-        w = Window.orderBy(F.col(order_col).asc_nulls_last())
-        return df.withColumn(id_col, F.row_number().over(w).cast("bigint"))
-    parts = max(1, -(-n // max_single_task_rows))  # each range holds about the single-task bound
-    ranged = (df.repartitionByRange(parts, F.col(order_col))
-                .sortWithinPartitions(order_col)
-                .withColumn("__pid", F.spark_partition_id())
-                .withColumn("__mid", F.monotonically_increasing_id()))
-    from coursewise.session import ensure_checkpoint_dir
-    ensure_checkpoint_dir(df.sparkSession)
-    ranged = ranged.checkpoint()  # pin range bounds and ids across re-computation
-    counts = ranged.groupBy("__pid").agg(F.count(F.lit(1)).alias("__n"),
-                                          F.min("__mid").alias("__first"))
-    offs = counts.withColumn(
-        "__off", F.sum("__n").over(Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)))
-    offs = F.broadcast(offs.select("__pid", "__first", F.coalesce("__off", F.lit(0)).alias("__off")))
-    return (ranged.join(offs, "__pid")
-                  .withColumn(id_col, (F.col("__mid") - F.col("__first") + F.col("__off") + 1).cast("bigint"))
-                  .drop("__pid", "__mid", "__first", "__off"))
+    keys = within or []
+    prefix = F.substring(F.col(order_col).cast("binary"), 1, 2)
+    rows = df.withColumn("__prefix", prefix)
+    rows = rows.withColumn("__rank", F.row_number().over(
+        Window.partitionBy(*keys, "__prefix").orderBy(F.col(order_col).asc_nulls_last())))
+    counts = rows.groupBy(*keys, "__prefix").agg(F.count(F.lit(1)).alias("__n"))
+    earlier = Window.partitionBy(*keys).orderBy(F.col("__prefix").asc_nulls_last()).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(*keys, "__prefix", F.coalesce(F.sum("__n").over(earlier), F.lit(0)).alias("__before"))
+    return (rows.join(offsets, [*keys, "__prefix"])
+                .withColumn(id_col, (F.col("__before") + F.col("__rank")).cast("bigint"))
+                .drop("__prefix", "__rank", "__before"))
 
 
 def to_output(df: DataFrame) -> DataFrame:

@@ -8,44 +8,36 @@ from pyspark.sql import functions as F
 from coursewise.functions.dates import timestamp_text
 from coursewise.functions.keys import hash_key
 from coursewise.functions.prices import discount_percentage
-from coursewise.operators.common import best_row, checked_broadcast, sequential_ids
+from coursewise.operators.common import best_row, sequential_ids
 
 
 # --------------------------------------------------------------------------- F1-F3
 
-def lookup_dim(stg: DataFrame, col: str, id_col: str, name_col: str) -> DataFrame:
-    """Distinct non-null values numbered 1..n in binary (byte) order."""
-    values = stg.select(F.col(col).alias(name_col)).filter(F.col(name_col).isNotNull()).distinct()
-    return sequential_ids(values, name_col, id_col).select(id_col, name_col)
-
-
 LOOKUPS = {"category": ("category_id", "category_name"),
            "language": ("language_id", "language_name"),
            "level": ("level_id", "level_name")}
 
 
-def lookup_dims(stg_courses: DataFrame) -> dict[str, DataFrame]:
-    """F1-F3 in one pass: the distinct (kind, value) pairs of all three lookup
-    columns are computed and cached once, then each dimension is numbered from
-    its slice (each count then reads the small cached set, not the courses)."""
-    pairs = F.array(*[F.struct(F.lit(k).alias("kind"), F.col(k).cast("string").alias("value")) for k in LOOKUPS])
-    vals = (stg_courses.select(F.explode(pairs).alias("kv")).select("kv.*")
-                       .filter(F.col("value").isNotNull()).distinct().persist())
-    return {k: sequential_ids(vals.filter(F.col("kind") == k).select(F.col("value").alias(name)), name, idc)
-               .select(idc, name)
-            for k, (idc, name) in LOOKUPS.items()}
+def lookup_dim(stg: DataFrame, col: str) -> DataFrame:
+    """Distinct non-null values of a lookup column numbered 1..n in binary (byte) order."""
+    id_col, name_col = LOOKUPS[col]
+    values = stg.select(F.col(col).cast("string").alias(name_col)).filter(F.col(name_col).isNotNull()).distinct()
+    return sequential_ids(values, name_col, id_col).select(id_col, name_col)
 
 
 def dim_category(stg_courses: DataFrame) -> DataFrame:
-    return lookup_dim(stg_courses, "category", "category_id", "category_name")
+    """categories."""
+    return lookup_dim(stg_courses, "category")
 
 
 def dim_language(stg_courses: DataFrame) -> DataFrame:
-    return lookup_dim(stg_courses, "language", "language_id", "language_name")
+    """languages."""
+    return lookup_dim(stg_courses, "language")
 
 
 def dim_level(stg_courses: DataFrame) -> DataFrame:
-    return lookup_dim(stg_courses, "level", "level_id", "level_name")
+    """levels."""
+    return lookup_dim(stg_courses, "level")
 
 
 # --------------------------------------------------------------------------- F4-F5, F12
@@ -60,16 +52,18 @@ def best_course_record(stg_courses: DataFrame) -> DataFrame:
                     [has_students.desc(), F.col("scraped_at").desc_nulls_last()])
 
 
+def with_lookup_id(courses: DataFrame, col: str, dim: DataFrame) -> DataFrame:
+    """Course rows with the id of one lookup value (J1); AQE broadcasts the lookup if it turns out small."""
+    id_col, name_col = LOOKUPS[col]
+    return courses.join(dim.select(F.col(id_col), F.col(name_col)), F.col(col) == F.col(name_col), "left").drop(name_col)
+
+
 def dim_course(stg_courses: DataFrame, categories: DataFrame | None = None,
                languages: DataFrame | None = None, levels: DataFrame | None = None) -> DataFrame:
     """best record per course with lookup ids (three left joins, J1)."""
-    best = best_course_record(stg_courses)
-    cat = checked_broadcast(categories if categories is not None else dim_category(stg_courses))
-    lang = checked_broadcast(languages if languages is not None else dim_language(stg_courses))
-    lvl = checked_broadcast(levels if levels is not None else dim_level(stg_courses))
-    out = (best.join(cat, best.category == cat.category_name, "left")
-               .join(lang, best.language == lang.language_name, "left")
-               .join(lvl, best.level == lvl.level_name, "left"))
+    out = best_course_record(stg_courses)
+    for col, dim in (("category", categories), ("language", languages), ("level", levels)):
+        out = with_lookup_id(out, col, dim if dim is not None else lookup_dim(stg_courses, col))
     return out.select("course_id", "title", "headline", "course_url", "published_date",
                       "duration_hours", "list_price", "category_id", "language_id", "level_id")
 
@@ -99,11 +93,14 @@ def date_spine(bounds: DataFrame) -> DataFrame:
     """one row per day between the bounds, inclusive.
 
     The span is bounded by the calendar (days between two dates), not by the
-    data volume.
+    data volume.  Years are spread out first and days within a year after it,
+    so a stray date far away makes many rows but no long array.
     """
-    return (bounds.filter(F.col("start_date").isNotNull() & F.col("end_date").isNotNull())
-                  .select(F.explode(F.sequence("start_date", "end_date",
-                                               F.expr("INTERVAL 1 DAY"))).alias("date_day")))
+    known = bounds.filter(F.col("start_date").isNotNull() & F.col("end_date").isNotNull())
+    years = known.select("start_date", "end_date", F.explode(F.sequence(F.year("start_date"), F.year("end_date"))).alias("y"))
+    first, last = F.make_date("y", F.lit(1), F.lit(1)), F.make_date("y", F.lit(12), F.lit(31))
+    return years.select(F.explode(F.sequence(F.greatest(first, "start_date"), F.least(last, "end_date"),
+                                             F.expr("INTERVAL 1 DAY"))).alias("date_day"))
 
 
 def dim_date(stg_courses: DataFrame, pad_names: bool = False) -> DataFrame:
@@ -143,14 +140,15 @@ def bridge_course_instructors(stg_instructors: DataFrame) -> DataFrame:
 # --------------------------------------------------------------------------- F13-F15
 
 def lowest_price_flag(prices: DataFrame, key: str = "course_id", price: str = "sale_price",
-                      flag: str = "is_lowest_price_ever") -> DataFrame:
+                      flag: str = "is_lowest_price_ever", of: DataFrame | None = None) -> DataFrame:
     """price > 0 and <= the course's minimum positive price over all time (Q19).
 
     Computed as a partial-aggregated MIN per course joined back, not as a
     window: a course holding a third of the rows is reduced map-side, and the
-    join is split by AQE's skew handling if it stays hot.
+    join is split by AQE's skew handling if it stays hot.  ``of`` gives the
+    rows that the minimum is taken over, if they are not ``prices``.
     """
-    lows = (prices.filter(F.col(price) > 0).groupBy(key)
+    lows = ((prices if of is None else of).filter(F.col(price) > 0).groupBy(key)
                   .agg(F.min(price).alias("__low")))
     joined = prices.join(lows, key, "left")
     return joined.withColumn(
@@ -158,22 +156,16 @@ def lowest_price_flag(prices: DataFrame, key: str = "course_id", price: str = "s
     ).drop("__low")
 
 
-def lowest_price_flag_running(prices: DataFrame, key: str = "course_id", price: str = "sale_price",
-                              time: str = "recorded_at",
-                              flag: str = "is_lowest_so_far") -> DataFrame:
-    """F14 variant: compare with the minimum positive price up to the row."""
-    from pyspark.sql import Window
-    w = Window.partitionBy(key).orderBy(time).rowsBetween(Window.unboundedPreceding, 0)
-    low = F.min(F.when(F.col(price) > 0, F.col(price))).over(w)
-    return prices.withColumn(flag, F.coalesce((F.col(price) > 0) & (F.col(price) <= low), F.lit(False)))
-
-
 PRICE_HISTORY_COLUMNS = ["history_id", "course_id", "title", "course_url", "list_price",
                          "sale_price", "recorded_at", "discount_percentage", "is_lowest_price_ever"]
 
 
 def fct_price_history(stg_price: DataFrame) -> DataFrame:
-    """price history with key, discount and all-time-low flag."""
+    """price history with key, discount and all-time-low flag.
+
+    The rows are read twice, for the minimum per course and for themselves:
+    pass written silver (``Warehouse`` does), or the de-duplication runs twice.
+    """
     base = stg_price.select(
         hash_key(F.col("course_id").cast("string"), timestamp_text(F.col("scraped_at"))).alias("history_id"),
         "course_id", "title", "course_url", "list_price", "sale_price",

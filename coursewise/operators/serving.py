@@ -13,10 +13,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from coursewise.functions import fmt
-from coursewise.functions.prices import MONEY
+from coursewise.functions.prices import MONEY, discount_percentage
 from coursewise.functions.tiers import (DURATION_TIERS, PRICE_TIERS, duration_tier, price_tier,
                                         rating_tier, tier_rank)
-from coursewise.operators.common import best_row, checked_broadcast, top_n_per_key
+from coursewise.operators.common import best_row, top_n_per_key
 
 # ============================================================================ courses
 
@@ -230,14 +230,12 @@ def price_history_enriched(fct_price_history: DataFrame, dim_course: DataFrame,
                            dim_category: DataFrame) -> DataFrame:
     """Price history with category name; titled rows.
 
-    dim_course has one row per course (a plain equi-join the planner sizes
-    at runtime); dim_category is small and broadcast after a count check.
+    The category name is looked up once per course, so history rows meet one
+    join; both lookups are plain equi-joins that AQE sizes at run time.
     """
-    d = dim_course.select("course_id", "category_id")
-    cat = checked_broadcast(dim_category.select("category_id", F.col("category_name").alias("category")))
-    out = (fct_price_history.filter(F.col("title").isNotNull())
-           .join(d, "course_id", "left")
-           .join(cat, "category_id", "left"))
+    names = dim_category.select("category_id", F.col("category_name").alias("category"))
+    d = dim_course.select("course_id", "category_id").join(names, "category_id", "left").select("course_id", "category")
+    out = fct_price_history.filter(F.col("title").isNotNull()).join(d, "course_id", "left")
     return out.select(*HISTORY_COLUMNS)
 
 
@@ -280,6 +278,8 @@ def dropped_courses(history: DataFrame) -> DataFrame:
 
     The two newest positive rows per course come from a ``row_number <= 2``
     group limit (partial limit before the shuffle), then one row per course.
+    ``history`` needs course_id, sale_price and recorded_at only: give it rows
+    that were not joined on course_id, or the limit cannot run ahead of a shuffle.
     """
     top2 = top_n_per_key(history.filter(F.col("sale_price") > 0), ["course_id"], _time_desc(), 2, "rn")
     pair = (top2.groupBy("course_id")
@@ -288,9 +288,10 @@ def dropped_courses(history: DataFrame) -> DataFrame:
     return pair.filter(F.col("last_price") < F.col("previous_price"))
 
 
-def drop_only(history: DataFrame) -> DataFrame:
-    """History rows of the courses found by G25 (J5, semi join)."""
-    return history.join(dropped_courses(history).select("course_id"), "course_id", "left_semi")
+def drop_only(history: DataFrame, prices: DataFrame | None = None) -> DataFrame:
+    """History rows of the courses found by G25 (J5, semi join), ``prices`` being its rows before any join."""
+    dropped = dropped_courses(history if prices is None else prices)
+    return history.join(dropped.select("course_id"), "course_id", "left_semi")
 
 
 def course_selector(history: DataFrame) -> DataFrame:
@@ -301,27 +302,34 @@ def course_selector(history: DataFrame) -> DataFrame:
     return first.select("course_id", "title", label.alias("label")).orderBy("title", "course_id")
 
 
-def current_and_previous_price(history: DataFrame, categories: DataFrame | None = None) -> DataFrame:
+def current_and_previous_price(prices: DataFrame, categories: DataFrame) -> DataFrame:
     """Per course the latest row (any price) and the second-latest positive price (Q20).
 
-    With ``categories`` (course_id, category) the history carries no category;
-    it is joined once to the per-course result, so the two window branches do
-    not each recompute the history's category join.
+    ``prices`` are price rows before any join (course_id, title, course_url,
+    list_price, sale_price, recorded_at); ``categories`` (course_id, category)
+    is joined once per course.  The latest titled row and the minimum positive
+    price of all rows are one partial aggregate, so a course with a third of
+    the rows is a few rows a task at the shuffle, and the all-time-low flag of
+    the latest row needs no join of rows.
     """
-    if categories is not None:
-        history = history.withColumn("category", F.lit(None).cast("string"))
-    latest = best_row(history, ["course_id"], _time_desc()).select(
-        "course_id", "title", "course_url", "category",
-        F.col("sale_price").alias("current_price"), "list_price", "discount_percentage",
-        "is_lowest_price_ever", F.col("recorded_at").alias("latest_at"))
-    top2 = top_n_per_key(history.filter(F.col("sale_price") > 0), ["course_id"], _time_desc(), 2, "rn")
+    titled = F.col("title").isNotNull()
+    positive = F.col("sale_price") > 0
+    # nulls sort first in a struct: the newest time wins, then the lowest price
+    newest = F.struct("recorded_at", (-F.col("sale_price")).alias("cheapest"))
+    row = F.struct("title", "course_url", "sale_price", "list_price", "recorded_at")
+    latest = (prices.groupBy("course_id")
+                    .agg(F.max(F.when(titled, F.struct(newest.alias("o"), row.alias("r")))).alias("first"),
+                         F.min(F.when(positive, F.col("sale_price"))).alias("low"))
+                    .filter(F.col("first").isNotNull())
+                    .select("course_id", "first.r.*", "low"))
+    top2 = top_n_per_key(prices.filter(titled & positive).select("course_id", "sale_price", "recorded_at"),
+                         ["course_id"], _time_desc(), 2, "rn")
     prev = top2.filter(F.col("rn") == 2).select("course_id", F.col("sale_price").alias("previous_price"))
-    out = latest.join(prev, "course_id", "left")
-    if categories is not None:
-        out = (out.drop("category").join(categories, "course_id", "left")
-                  .select("course_id", "title", "course_url", "category", "current_price", "list_price",
-                          "discount_percentage", "is_lowest_price_ever", "latest_at", "previous_price"))
-    return out
+    out = latest.join(prev, "course_id", "left").join(categories, "course_id", "left")
+    low = F.coalesce(positive & (F.col("sale_price") <= F.col("low")), F.lit(False))
+    return out.select("course_id", "title", "course_url", "category", F.col("sale_price").alias("current_price"), "list_price",
+                      discount_percentage(F.col("list_price"), F.col("sale_price")).alias("discount_percentage"),
+                      low.alias("is_lowest_price_ever"), F.col("recorded_at").alias("latest_at"), "previous_price")
 
 
 def _dropped(cp: DataFrame) -> Column:
@@ -351,20 +359,21 @@ def price_alerts(cp: DataFrame) -> DataFrame:
     return flagged.filter(F.col("price_dropped") | F.col("all_time_low"))
 
 
-def chart_series(history: DataFrame) -> DataFrame:
+def chart_series(history: DataFrame, prices: DataFrame | None = None) -> DataFrame:
     """Positive-price rows when a course has more than one, else all its rows.
 
-    The per-course count is a partial aggregate joined back 1:1 (skew-safe).
+    The per-course count is a partial aggregate joined back 1:1 (skew-safe);
+    ``prices`` are the history's rows before any join.
     """
-    n_pos = history.groupBy("course_id").agg(F.count_if(F.col("sale_price") > 0).alias("__npos"))
+    n_pos = (history if prices is None else prices).groupBy("course_id").agg(F.count_if(F.col("sale_price") > 0).alias("__npos"))
     return (history.join(n_pos, "course_id")
                    .filter((F.col("__npos") <= 1) | (F.col("sale_price") > 0))
                    .drop("__npos"))
 
 
-def lowest_points(history: DataFrame) -> DataFrame:
+def lowest_points(history: DataFrame, prices: DataFrame | None = None) -> DataFrame:
     """The all-time-low markers of the chart series."""
-    return chart_series(history).filter(F.col("is_lowest_price_ever"))
+    return chart_series(history, prices).filter(F.col("is_lowest_price_ever"))
 
 
 def lag_in_time(df: DataFrame, key: str, time: str, value: str, out: str,
@@ -389,13 +398,21 @@ def lag_in_time(df: DataFrame, key: str, time: str, value: str, out: str,
                 .drop("__b", "__rn", "__prev_in", "__prev_b"))
 
 
-def history_with_drop(history: DataFrame) -> DataFrame:
-    """Per row the drop versus the previous row when it fell, else the discount; newest first."""
-    h = lag_in_time(history, "course_id", "recorded_at", "sale_price", "prev_price")
+def history_with_drop(prices: DataFrame, of: DataFrame | None = None) -> DataFrame:
+    """Per row the drop versus the previous row when it fell, else the discount; newest first.
+
+    ``prices`` are price rows before any join, so that the windows by course
+    and month shuffle by both; ``of`` are the rows that the all-time low is
+    taken over (``prices`` if not given).
+    """
+    from coursewise.operators.marts import lowest_price_flag
+    rows = prices.select("course_id", "recorded_at", "list_price", "sale_price")
+    h = lowest_price_flag(lag_in_time(rows, "course_id", "recorded_at", "sale_price", "prev_price"), of=rows if of is None else of)
     fell = (F.col("prev_price").isNotNull() & (F.col("sale_price") > 0)
             & (F.col("prev_price") > F.col("sale_price")))
+    discount = discount_percentage(F.col("list_price"), F.col("sale_price"))
     pct = F.when(fell, _pct_change(F.col("prev_price"), F.col("sale_price"), 1)) \
-           .otherwise(F.round(F.col("discount_percentage").cast("decimal(20,1)"), 1))
+           .otherwise(F.round(discount.cast("decimal(20,1)"), 1))
     return (h.select("course_id", F.to_date("recorded_at").alias("recorded_date"), "list_price",
                      "sale_price", "prev_price", pct.cast("decimal(20,1)").alias("discount_percentage"),
                      "is_lowest_price_ever")

@@ -350,7 +350,7 @@ SELECT course_id, recorded_at, CAST(sale_price AS DOUBLE) AS sale_price, is_lowe
 FROM fct_price_history""")
 def f14_all_time_low(spark, sf):
     """all-time-low flag against the course's minimum positive price."""
-    p = W(spark, sf).stg_price_tracker.select("course_id", F.col("scraped_at").alias("recorded_at"), "sale_price")
+    p = W(spark, sf).prices.select("course_id", "recorded_at", "sale_price")
     return marts.lowest_price_flag(p)
 
 
@@ -613,13 +613,14 @@ SELECT course_id, CAST(last_price AS DOUBLE) AS last_price, CAST(previous_price
 FROM dropped""")
 def g25_dropped_courses(spark, sf):
     """Courses whose last positive price fell below the one before."""
-    return serving.dropped_courses(W(spark, sf).price_history)
+    return serving.dropped_courses(W(spark, sf).titled_prices)
 
 
 @register("g24_drop_only", PH2 + HIST_OUT + " FROM history WHERE course_id IN (SELECT course_id FROM dropped)")
 def g24_drop_only(spark, sf):
     """History rows of the dropped courses (J5 semi join)."""
-    return serving.drop_only(W(spark, sf).price_history)
+    w = W(spark, sf)
+    return serving.drop_only(w.price_history, w.titled_prices)
 
 
 @register("g26_selector", PH + """
@@ -628,7 +629,7 @@ SELECT course_id, title, title || '  (ID: ' || CAST(course_id AS VARCHAR) || ')'
   FROM history) WHERE rn = 1""")
 def g26_selector(spark, sf):
     """Course picker entries labelled by title and id."""
-    return serving.course_selector(W(spark, sf).price_history)
+    return serving.course_selector(W(spark, sf).titled_prices)
 
 
 CURPREV = """
@@ -689,13 +690,15 @@ WHERE c.npos <= 1 OR h.sale_price > 0)"""
 @register("g30_chart_series", O.with_(*O.ENRICHED, CHART) + HIST_OUT + " FROM chart")
 def g30_chart_series(spark, sf):
     """Chart rows (positive prices when more than one)."""
-    return serving.chart_series(W(spark, sf).price_history)
+    w = W(spark, sf)
+    return serving.chart_series(w.price_history, w.titled_prices)
 
 
 @register("g31_lowest_points", O.with_(*O.ENRICHED, CHART) + HIST_OUT + " FROM chart WHERE is_lowest_price_ever")
 def g31_lowest_points(spark, sf):
     """All-time-low markers of the chart rows."""
-    return serving.lowest_points(W(spark, sf).price_history)
+    w = W(spark, sf)
+    return serving.lowest_points(w.price_history, w.titled_prices)
 
 
 @register("g32_history_drop", PH + f"""
@@ -707,7 +710,8 @@ SELECT course_id, CAST(recorded_at AS DATE) AS recorded_date, CAST(list_price AS
 FROM (SELECT *, lag(sale_price) OVER (PARTITION BY course_id ORDER BY recorded_at) AS prev_price FROM history)""")
 def g32_history_drop(spark, sf):
     """Per-row drop vs the previous row, newest first."""
-    return serving.history_with_drop(W(spark, sf).price_history)
+    w = W(spark, sf)
+    return serving.history_with_drop(w.titled_prices, w.prices)
 
 
 REF = "COALESCE(previous_price, list_price)"

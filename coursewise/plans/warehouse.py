@@ -15,17 +15,19 @@ from pyspark.sql import DataFrame, SparkSession
 
 from coursewise.operators import marts, serving, staging
 from coursewise.plans import fixtures
+from coursewise.session import work_dir
 
 
 class Warehouse:
     def __init__(self, spark: SparkSession, sf_dir: str,
                  courses: DataFrame | None = None, instructors: DataFrame | None = None,
                  offers: DataFrame | None = None, tie_break: list[str] | None = None,
-                 silver: dict[str, DataFrame] | None = None, cache_silver: bool = False):
+                 silver: dict[str, DataFrame] | None = None, gold: dict[str, DataFrame] | None = None,
+                 cache_silver: bool = False):
         self.spark, self.sf_dir = spark, sf_dir
         self.cache_silver = cache_silver
         self._courses, self._instructors, self._offers = courses, instructors, offers
-        self._silver = silver or {}
+        self._silver, self._gold = silver or {}, gold or {}
         self.tie_break = tie_break if tie_break is not None else (
             fixtures.FIXTURE_TIE_BREAK if courses is None else None)
 
@@ -70,22 +72,31 @@ class Warehouse:
         return self._silver_frame("stg_price_tracker",
                                   lambda: staging.stg_price_tracker(self.raw_offers, self.tie_break))
 
-    # gold ---------------------------------------------------------------
     @cached_property
-    def lookup_dims(self) -> dict[str, DataFrame]:
-        return marts.lookup_dims(self.stg_courses)
+    def written_prices(self) -> DataFrame:
+        """Silver prices as a table: every mart and question on prices reads them more than once."""
+        if "stg_price_tracker" in self._silver:
+            return self._silver["stg_price_tracker"]
+        path = work_dir(self.spark, "silver-prices")
+        self.stg_price_tracker.write.parquet(path)
+        return self.spark.read.parquet(path)
+
+    # gold ---------------------------------------------------------------
+    def _lookup(self, col: str) -> DataFrame:
+        name = f"dim_{col}"
+        return self._gold[name] if name in self._gold else marts.lookup_dim(self.stg_courses, col)
 
-    @property
+    @cached_property
     def dim_category(self) -> DataFrame:
-        return self.lookup_dims["category"]
+        return self._lookup("category")
 
-    @property
+    @cached_property
     def dim_language(self) -> DataFrame:
-        return self.lookup_dims["language"]
+        return self._lookup("language")
 
-    @property
+    @cached_property
     def dim_level(self) -> DataFrame:
-        return self.lookup_dims["level"]
+        return self._lookup("level")
 
     @cached_property
     def dim_course(self) -> DataFrame:
@@ -109,7 +120,16 @@ class Warehouse:
 
     @cached_property
     def fct_price_history(self) -> DataFrame:
-        return marts.fct_price_history(self.stg_price_tracker)
+        return marts.fct_price_history(self.written_prices)
+
+    @cached_property
+    def prices(self) -> DataFrame:
+        """Price rows in the history's names, before its joins."""
+        return self.written_prices.withColumnRenamed("scraped_at", "recorded_at")
+
+    @cached_property
+    def titled_prices(self) -> DataFrame:
+        return self.prices.filter("title IS NOT NULL")
 
     # serving ------------------------------------------------------------
     @cached_property
@@ -128,15 +148,17 @@ class Warehouse:
 
     @cached_property
     def current_previous(self) -> DataFrame:
-        """G27 over the titled history; the category is joined once per course."""
-        lean = self.fct_price_history.filter("title IS NOT NULL").select(
-            *[c for c in serving.HISTORY_COLUMNS if c != "category"])
-        return serving.current_and_previous_price(lean, self.course_category)
+        """G27 over the price rows; the category is joined once per course."""
+        return serving.current_and_previous_price(self.prices, self.course_category)
 
     @cached_property
     def price_history_via_dims(self) -> DataFrame:
-        """The same rows through the gold dimensions (history -> dim_course -> dim_category)."""
-        return serving.price_history_enriched(self.fct_price_history, self.dim_course, self.dim_category)
+        """The same rows through the gold dimensions (history -> dim_course -> dim_category).
+
+        Of dim_course only the category id is needed, so only that lookup is joined.
+        """
+        courses = marts.with_lookup_id(self.course_category, "category", self.dim_category)
+        return serving.price_history_enriched(self.fct_price_history, courses, self.dim_category)
 
     MARTS = ("dim_category", "dim_language", "dim_level", "dim_course", "dim_date", "dim_instructor",
              "bridge_course_instructors", "fct_course_snapshot", "fct_price_history")
@@ -159,13 +181,15 @@ class Warehouse:
         from coursewise.sources.files import materialize
         root = target_dir.rstrip("/")
         src = self
-        out = {}
+        out, gold = {}, {}
         if materialize_silver:
             silver = {}
             for name in sorted({self.NEEDS[m] for m in names}):
                 out[name] = materialize(getattr(self, name), f"{root}/silver/{name}", "table")
                 silver[name] = self.spark.read.parquet(out[name])
-            src = Warehouse(self.spark, self.sf_dir, tie_break=self.tie_break, silver=silver)
-        for name in names:
+            # dim_course reads the lookups as they were just written
+            src = Warehouse(self.spark, self.sf_dir, tie_break=self.tie_break, silver=silver, gold=gold)
+        for name in sorted(names, key=lambda n: n == "dim_course"):
             out[name] = materialize(getattr(src, name), f"{root}/{name}", "table")
+            gold[name] = self.spark.read.parquet(out[name])
         return out

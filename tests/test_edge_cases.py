@@ -77,7 +77,7 @@ def test_price_path_previous_and_lowest(spark):
     rows += [(2, "b", Decimal(0), Decimal(50), _ts(1), "/c/2/")]            # one-row course, list 0
     rows += [(3, "c", Decimal(10), Decimal(0), _ts(d), "/c/3/") for d in (1, 2)]  # only zero prices
     h = _history(spark, rows)
-    cp = {r.course_id: r for r in serving.current_and_previous_price(h).collect()}
+    cp = {r.course_id: r for r in serving.current_and_previous_price(h.drop("category"), h.select("course_id", "category").distinct()).collect()}
     assert cp[1].current_price == 70 and cp[1].previous_price == 90  # Q20: previous positive
     assert cp[2].previous_price is None and cp[3].previous_price is None
     lows = {(r.course_id, r.recorded_at.day) for r in h.filter("is_lowest_price_ever").collect()}

@@ -70,10 +70,44 @@ def test_history_category_paths_agree(spark):
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
 
 
-def test_sequential_ids_distributed_path(spark):
+def test_sequential_ids_are_in_byte_order(spark):
     from coursewise.operators.common import sequential_ids
-    vals = spark.range(0, 5000).selectExpr("concat('v', lpad(cast(id AS string), 5, '0')) AS name")
-    out = sequential_ids(vals, "name", "id", max_single_task_rows=100)
-    rows = sorted((r.id, r.name) for r in out.collect())
-    assert [r[0] for r in rows] == list(range(1, 5001))
-    assert [r[1] for r in rows] == sorted(r[1] for r in rows)
+    names = [f"v{k:04}" for k in range(3000)] + ["", "a", "b", "ab", "é", "É", "z" * 40, "日本", "🙂"]
+    vals = spark.createDataFrame([(n,) for n in names], "name string")
+    rows = sorted((r.id, r.name) for r in sequential_ids(vals, "name", "id").collect())
+    assert rows == list(enumerate(sorted(names, key=str.encode), 1))
+    kinds = vals.withColumn("kind", F.length("name") % 2)
+    got = {(r.kind, r.name): r.id for r in sequential_ids(kinds, "name", "id", ["kind"]).collect()}
+    for kind in (0, 1):
+        own = sorted((n for n in names if len(n) % 2 == kind), key=str.encode)
+        assert [got[kind, n] for n in own] == list(range(1, len(own) + 1))
+
+
+def test_building_marts_runs_no_jobs(spark):
+    """Dimensions and the snapshot are lazy: nothing runs or stays cached while they are put together."""
+    w = Warehouse(spark, SF)
+    tracker, group = spark.sparkContext.statusTracker(), "building-marts"
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        for name in ("dim_category", "dim_language", "dim_level", "dim_course", "dim_date", "dim_instructor", "fct_course_snapshot"):
+            getattr(w, name)
+        assert list(tracker.getJobIdsForGroup(group)) == []
+    finally:
+        spark.sparkContext.setJobGroup("", "")
+    assert spark.sparkContext._jsc.getPersistentRDDs().isEmpty()
+
+
+def test_a_hot_course_is_limited_before_the_shuffle(spark):
+    """A third of the prices belong to one course: the top-2 limit has a shuffle between its halves, no join below."""
+    from coursewise.operators import serving
+    base = spark.range(3000).select(
+        F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")).alias("course_id"), F.lit("t").alias("title"), F.lit("u").alias("course_url"),
+        F.lit(9).cast("decimal(18,2)").alias("list_price"), (F.col("id") % 50).cast("decimal(18,2)").alias("sale_price"),
+        F.timestamp_seconds(F.col("id")).alias("recorded_at"))
+    cats = spark.range(1).select(F.lit(7).cast("bigint").alias("course_id"), F.lit("c").alias("category"))
+    got = serving.current_and_previous_price(base, cats)
+    hot = got.filter("course_id = 7").first()
+    assert (hot.current_price, hot.previous_price, hot.category) == (47, 44, "c")
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "WindowGroupLimit" in plan and plan.index("WindowGroupLimit") > plan.index("Join")
+    assert got.count() == 2000  # the row 7 itself is one of the hot course
