@@ -830,32 +830,39 @@ def s2_recursive_scan(spark, sf):
     """Parquet files at any depth under a root; other files ignored."""
     part = read_table(spark, sf, "part")
     root = work_dir(spark, "s2")
-    files.write_parquet(part.filter("p_size % 2 = 0"), f"{root}/even", "snappy")
-    files.write_parquet(part.filter("p_size % 2 = 1"), f"{root}/odd/deeper", "snappy")
+    even = F.coalesce(F.col("p_size") % 2 == 0, F.lit(False))
+    files.write_parquet(part.filter(even), f"{root}/even", "snappy")
+    files.write_parquet(part.filter(~even), f"{root}/odd/deeper", "snappy")
     files.write_csv(part, f"{root}/odd/not_parquet")
     return files.read_parquet_tree(spark, root, schema=part.schema).select(*PART_COLS)
 
 
-SUPP_SQL = "SELECT s_suppkey, s_name, CAST(s_nationkey AS BIGINT) AS s_nationkey, s_acctbal FROM supplier"
+CSV_SQL = """SELECT s_suppkey, 'say "' || s_name || '", ok' || chr(10) || '  next line ' AS s_name,
+       CAST(s_nationkey AS BIGINT) AS s_nationkey, s_acctbal FROM supplier"""
 
 
-@register("s3_csv_roundtrip", SUPP_SQL)
+def _awkward_suppliers(spark, sf):
+    """Suppliers whose names hold quotes, commas, line breaks and spaces at the end."""
+    name = F.concat(F.lit('say "'), "s_name", F.lit('", ok\n  next line '))
+    return read_table(spark, sf, "supplier").select("s_suppkey", name.alias("s_name"), "s_nationkey", "s_acctbal")
+
+
+@register("s3_csv_roundtrip", CSV_SQL)
 def s3_csv_roundtrip(spark, sf):
-    """S3: CSV with header read back with an explicit schema."""
-    supp = read_table(spark, sf, "supplier")
-    path = files.write_csv(supp, work_dir(spark, "s3"))
-    return files.read_csv(spark, path, supp.schema)
+    """S3: CSV with header read back with an explicit schema; quotes, commas and line breaks survive."""
+    supp = _awkward_suppliers(spark, sf)
+    return files.read_csv(spark, files.write_csv(supp, work_dir(spark, "s3")), supp.schema)
 
 
 @register("s4_csv_to_parquet", """
 SELECT 'part' AS table_name, count(*) AS row_count FROM part
-UNION ALL SELECT 'supplier', count(*) FROM supplier""")
+UNION ALL SELECT 'supplier', count(*) FROM supplier
+UNION ALL SELECT 'not_there', NULL""")
 def s4_csv_to_parquet(spark, sf):
-    """Named CSVs converted to named parquet targets, rows reported."""
+    """Named CSVs converted to named parquet targets, rows reported; a missing CSV is reported and skipped."""
     root = work_dir(spark, "s4")
-    mapping = {}
-    for name in ("part", "supplier"):
-        t = read_table(spark, sf, name)
+    mapping = {f"{root}/parquet/not_there": (f"{root}/csv/not_there", "a string")}
+    for name, t in (("part", read_table(spark, sf, "part")), ("supplier", _awkward_suppliers(spark, sf))):
         files.write_csv(t, f"{root}/csv/{name}")
         mapping[f"{root}/parquet/{name}"] = (f"{root}/csv/{name}", t.schema)
     rep = files.csv_to_parquet(spark, mapping)
@@ -928,8 +935,9 @@ def s9_append_raw(spark, sf):
     """Two appended batches, the second with an extra column; union by name."""
     part = read_table(spark, sf, "part")
     path = work_dir(spark, "s9")
-    ledger.append_raw(part.filter("p_size <= 25").drop("p_retailprice"), path)
-    ledger.append_raw(part.filter("p_size > 25"), path)
+    small = F.coalesce(F.col("p_size") <= 25, F.lit(True))
+    ledger.append_raw(part.filter(small).drop("p_retailprice"), path)
+    ledger.append_raw(part.filter(~small), path)
     return ledger.read_raw(spark, path).select(*PART_COLS)
 
 
@@ -944,10 +952,13 @@ def s11_load_report(spark, sf):
 @register("s13_export_csv", """
 SELECT 'nation' AS table_name, count(*) AS row_count FROM nation
 UNION ALL SELECT 'region', count(*) FROM region
-UNION ALL SELECT 'customer', count(*) FROM customer""")
+UNION ALL SELECT 'customer', count(*) FROM customer
+UNION ALL SELECT 'supplier', count(*) FROM supplier
+UNION ALL SELECT 'nested', NULL""")
 def s13_export_csv(spark, sf):
-    """Tables exported as CSV with header; rows written per table."""
+    """Tables exported as CSV with header; rows written per table, line breaks or not; one that CSV cannot hold is reported."""
     tables = {n: read_table(spark, sf, n) for n in ("nation", "region", "customer")}
+    tables |= {"supplier": _awkward_suppliers(spark, sf), "nested": read_table(spark, sf, "nation").select(F.struct("n_name").alias("n"))}
     return files.export_csv(spark, tables, work_dir(spark, "s13")).select("table_name", "row_count")
 
 
@@ -958,7 +969,7 @@ FROM fct_price_history""")
 def s14_materialize(spark, sf):
     """A mart materialised as a table (rebuild) and read back."""
     out = W(spark, sf).build(work_dir(spark, "s14"), ("fct_price_history",))
-    return spark.read.parquet(out["fct_price_history"])
+    return spark.read.parquet(out["fct_price_history"]).select(*marts.PRICE_HISTORY_COLUMNS)
 
 
 @register("s15_partitioned_layout", O.with_(O.FX_OFFERS) + """

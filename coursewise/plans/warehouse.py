@@ -12,6 +12,7 @@ from __future__ import annotations
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from coursewise.operators import marts, serving, staging
 from coursewise.plans import fixtures
@@ -171,7 +172,9 @@ class Warehouse:
 
     def build(self, target_dir: str, names: tuple[str, ...] = MARTS,
               materialize_silver: bool = True) -> dict[str, str]:
-        """Write each gold table (overwrite = rebuild and swap); return name -> path.
+        """Write each gold table (rebuild and swap); return name -> path.
+
+        The price history is partitioned by ``recorded_month``.
 
         With ``materialize_silver`` the three staging models are written first
         and every mart reads them back, so bronze is scanned and de-duplicated
@@ -190,6 +193,9 @@ class Warehouse:
             # dim_course reads the lookups as they were just written
             src = Warehouse(self.spark, self.sf_dir, tie_break=self.tie_break, silver=silver, gold=gold)
         for name in sorted(names, key=lambda n: n == "dim_course"):
-            out[name] = materialize(getattr(src, name), f"{root}/{name}", "table")
+            df, months = getattr(src, name), None
+            if name == "fct_price_history":  # questions on a span of time read its months only
+                df, months = df.withColumn("recorded_month", F.date_format("recorded_at", "yyyy-MM")), ["recorded_month"]
+            out[name] = materialize(df, f"{root}/{name}", "table", months)
             gold[name] = self.spark.read.parquet(out[name])
         return out

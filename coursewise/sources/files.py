@@ -7,6 +7,10 @@ wrote so callers can read the result back lazily.
 
 from __future__ import annotations
 
+import uuid
+
+from py4j.protocol import Py4JError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -38,10 +42,21 @@ def read_parquet_tree(spark: SparkSession, root: str, glob: str = "*.parquet",
     return df.withColumn("_source_file", F.col("_metadata.file_path")) if with_source else df
 
 
+# One dialect for both directions: quotes are doubled, a quoted value may hold commas and line
+# breaks, spaces are part of the value, and an empty value reads as NULL.
+CSV_DIALECT = {"quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": "false",
+               "ignoreTrailingWhiteSpace": "false", "encoding": "UTF-8"}
+
+
 def read_csv(spark: SparkSession, path: str, schema: StructType | str | None = None,
-             header: bool = True, mode: str = "PERMISSIVE") -> DataFrame:
-    """S3: CSV with a header; an explicit schema avoids the inference pass."""
-    reader = spark.read.option("header", str(header).lower()).option("mode", mode)
+             header: bool = True, mode: str = "PERMISSIVE", multi_line: bool = True) -> DataFrame:
+    """S3: CSV with a header; an explicit schema avoids the inference pass.
+
+    A file whose values may hold line breaks cannot be split: it is one task.
+    Turn ``multi_line`` off for huge files that are known to have none.
+    """
+    reader = (spark.read.options(**CSV_DIALECT).option("header", str(header).lower()).option("mode", mode)
+              .option("multiLine", str(multi_line).lower()))
     if schema is not None:
         reader = reader.schema(schema)
     else:
@@ -50,7 +65,7 @@ def read_csv(spark: SparkSession, path: str, schema: StructType | str | None = N
 
 
 def write_csv(df: DataFrame, path: str, header: bool = True, mode: str = "overwrite") -> str:
-    df.write.mode(mode).option("header", str(header).lower()).csv(path)
+    df.write.mode(mode).options(**CSV_DIALECT).option("header", str(header).lower()).csv(path)
     return path
 
 
@@ -64,63 +79,79 @@ def write_parquet(df: DataFrame, path: str, compression: str = "gzip", mode: str
     return path
 
 
+REPORT = "name string, path string, row_count bigint, error string"
+
+
+def _report(spark: SparkSession, name: str, path: str, count: DataFrame | None, error: str | None = None) -> DataFrame:
+    if count is None:
+        return spark.createDataFrame([(name, path, None, error)], REPORT)
+    return count.agg(F.count(F.lit(1)).alias("row_count")).select(
+        F.lit(name).alias("name"), F.lit(path).alias("path"), "row_count", F.lit(None).cast("string").alias("error"))
+
+
 def csv_to_parquet(spark: SparkSession, mapping: dict[str, tuple[str, StructType | str | None]],
                    compression: str = "snappy") -> DataFrame:
     """Convert named CSV sources to named parquet targets; report rows per target.
 
     ``mapping`` is target path -> (csv path, schema).  Each conversion is one
     distributed read + write; the report is read back from the written files.
+    A source that is missing or cannot be read is reported with a NULL count
+    and its error, and the others go on.
     """
-    reports = []
+    out = spark.createDataFrame([], REPORT)
     for target, (src, schema) in mapping.items():
-        write_parquet(read_csv(spark, src, schema), target, compression)
-        reports.append(spark.read.parquet(target).agg(F.count(F.lit(1)).alias("row_count"))
-                       .select(F.lit(src).alias("source"), F.lit(target).alias("target"), "row_count"))
-    out = reports[0]
-    for r in reports[1:]:
-        out = out.unionByName(r)
-    return out
+        try:
+            write_parquet(read_csv(spark, src, schema), target, compression)
+            out = out.unionByName(_report(spark, src, target, spark.read.parquet(target)))
+        except (PySparkException, Py4JError) as e:
+            out = out.unionByName(_report(spark, src, target, None, str(e).split("\n")[0]))
+    return out.withColumnsRenamed({"name": "source", "path": "target"})
 
 
 def export_csv(spark: SparkSession, tables: dict[str, DataFrame], out_dir: str,
                skip_errors: bool = True) -> DataFrame:
     """Each table -> CSV folder with header; report rows written per table.
 
-    A failing table is reported with a NULL count instead of stopping the
-    export (the reference skips it and goes on).
+    Rows are counted from the written files by the dialect they were written
+    in.  A failing table is reported with a NULL count and its error instead
+    of stopping the export (the reference skips it and goes on).
     """
-    from pyspark.sql.types import LongType, StringType, StructField
-    rows = []
+    out = spark.createDataFrame([], REPORT)
     for name, df in tables.items():
         path = f"{out_dir.rstrip('/')}/{name}"
         try:
             write_csv(df, path)
-            rows.append(spark.read.option("header", "true").csv(path)
-                        .agg(F.count(F.lit(1)).alias("row_count"))
-                        .select(F.lit(name).alias("table_name"), F.lit(path).alias("path"), "row_count"))
-        except Exception:  # noqa: BLE001 - reported, not raised
+            text = ", ".join(f"`{c}` string" for c in df.columns)
+            out = out.unionByName(_report(spark, name, path, read_csv(spark, path, text)))
+        except (PySparkException, Py4JError) as e:
             if not skip_errors:
                 raise
-            rows.append(spark.createDataFrame(
-                [(name, path, None)], StructType([StructField("table_name", StringType()),
-                                                  StructField("path", StringType()),
-                                                  StructField("row_count", LongType())])))
-    out = rows[0]
-    for r in rows[1:]:
-        out = out.unionByName(r)
-    return out
+            out = out.unionByName(_report(spark, name, path, None, str(e).split("\n")[0]))
+    return out.withColumnRenamed("name", "table_name")
 
 
-def materialize(df: DataFrame, name_or_path: str, kind: str = "view") -> str:
+def materialize(df: DataFrame, name_or_path: str, kind: str = "view", partition_by: list[str] | None = None) -> str:
     """A model as a temp view (staging default) or a rebuilt table (marts default).
 
-    ``table`` overwrites the folder in one job, which replaces the previous
-    build the way the warehouse's rebuild-and-swap does.
+    ``table`` builds beside the old table and then swaps the folders, so a
+    build that fails leaves the old table as it was, and a table may be rebuilt
+    from itself.  Partitions are balanced by size before they are written.
     """
     if kind == "view":
         df.createOrReplaceTempView(name_or_path)
         return name_or_path
-    df.write.mode("overwrite").parquet(name_or_path)
+    spark, path = df.sparkSession, name_or_path.rstrip("/")
+    new, old = (f"{path}__{tag}_{uuid.uuid4().hex[:8]}" for tag in ("new", "old"))
+    if partition_by:
+        df.hint("rebalance", *partition_by).write.partitionBy(*partition_by).parquet(new)
+    else:
+        df.write.parquet(new)
+    folder = spark._jvm.org.apache.hadoop.fs.Path
+    fs = folder(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    if fs.exists(folder(path)):
+        fs.rename(folder(path), folder(old))
+    fs.rename(folder(new), folder(path))
+    fs.delete(folder(old), True)
     return name_or_path
 
 
