@@ -7,6 +7,9 @@ so a batch of pages is one scan.  Malformed pages give NULL fields.
 
 from __future__ import annotations
 
+import re
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -15,9 +18,10 @@ from coursewise.functions.prices import clean_price
 
 # --------------------------------------------------------------------------- links
 
-ANCHOR_HREF = r'<a\s[^>]*?href="([^"]*)"'
-# Listing marker "All ... courses" opening the course section of a listing page.
-MARKER = r">\s*All [^<]*courses\s*<"
+# the href value of an anchor: in double quotes, single quotes or bare, tag and attribute in any case
+ANCHOR_HREF = r"""(?is)<a\s(?:[^>]*?\s)?href\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)"""
+# Listing marker "All ... courses" opening the course section of a listing page, and its tags.
+MARKER = r"(?s)<(?i:h1|h2|div|span)\b[^>]*>\s*All (?:[^<]* )?courses\s*<"
 
 
 def site_of(url: Column) -> Column:
@@ -35,19 +39,20 @@ def normalize_url(href: Column, base: Column) -> Column:
 def extract_links(pages: DataFrame, path_filter: str = "/course/", host_col: str | None = None) -> DataFrame:
     """Per page, the distinct sorted links whose href contains ``path_filter``.
 
-    When the page has an "All ... courses" marker only anchors after it count.
-    Relative links are resolved against the page's own site; the result must
-    stay on that site and under ``path_filter``.
+    When a heading, div or span reads "All ... courses" only anchors after it
+    count.  Relative links are resolved against the page's own site; the
+    result must stay on that site and under ``path_filter``.
     """
-    html = F.col("html")
-    pos = F.regexp_instr(html, F.lit(MARKER))
-    section = F.when(pos > 0, F.substring(html, pos, 1 << 30)).otherwise(html)
     base = F.col(host_col) if host_col else site_of(F.col("url"))
-    hrefs = F.regexp_extract_all(section, F.lit(ANCHOR_HREF), 1)
-    links = F.filter(F.transform(F.filter(hrefs, lambda h: h.contains(path_filter)),
-                                 lambda h: normalize_url(h, base)),
-                     lambda u: u.startswith(F.concat(base, F.lit(path_filter))))
-    return (pages.select("page_id", F.explode(F.array_sort(F.array_distinct(links))).alias("link")))
+    at = pages.select("page_id", F.col("html").alias("__html"), base.alias("__base"),
+                      F.regexp_instr("html", F.lit(MARKER)).alias("__pos"))
+    section = F.when(F.col("__pos") > 0, F.expr("substring(__html, __pos)")).otherwise(F.col("__html"))
+    hrefs = F.transform(F.regexp_extract_all(section, F.lit(ANCHOR_HREF), 1),
+                        lambda h: _unescape(F.regexp_replace(h, "^[\"']|[\"']$", "")))
+    site = F.col("__base")
+    links = F.filter(F.transform(F.filter(hrefs, lambda h: h.contains(path_filter)), lambda h: normalize_url(h, site)),
+                     lambda u: u.startswith(F.concat(site, F.lit(path_filter))))
+    return at.select("page_id", F.explode(F.array_sort(F.array_distinct(links))).alias("link"))
 
 
 def dedupe_links(links: DataFrame, col: str = "link") -> DataFrame:
@@ -57,165 +62,172 @@ def dedupe_links(links: DataFrame, col: str = "link") -> DataFrame:
 
 # --------------------------------------------------------------------------- prices
 
-# Where prices live on a course page.
-META_PRICE_PROPERTY = "product:price"
-PRICE_TEXT_PURPOSE = "course-price-text"
-ITEM_TYPES = ["Course", "Product"]
-# Suffix the site appends to page titles (cut from extracted titles).
-TITLE_SUFFIX = " | Courses"
+@dataclass(frozen=True)
+class Site:
+    """What a site calls things on its course pages; set it once for a real site."""
 
-_LD_ITEM = "struct<`@type`:string,offers:string,name:string>"
+    meta_price: str = "product:price"
+    price_text: str = "course-price-text"
+    title_suffix: str = " | Courses"
+
+
+SITE = Site()
+# JSON-LD item types that describe a course, and the members read from one.
+ITEM_TYPES = ["Course", "Product"]
+_LD_MEMBERS = ["@type", "name", "description", "inLanguage", "educationalLevel", "datePublished",
+               "hasCourseInstance", "provider", "author", "aggregateRating", "offers"]
+_LD_ITEM = "struct<" + ",".join(f"`{m}`:string" for m in _LD_MEMBERS) + ">"
+# Where a course, its reviews and its prices are found in the page's JSON.
+COURSE_PATHS = ["$.serverSideProps.course", "$.componentProps.course", "$.portal_data.course"]
+REVIEW_PATHS = ["$.serverSideProps.reviewsRatings", "$.componentProps.reviews"]
+PRICE_PATHS = ["$.price_text_data.amount", "$.price_text_data.list_price.amount",
+               "$.discount.list_price.amount", "$.base_price.amount"]
 
 
 def _unescape(c: Column) -> Column:
-    """The few HTML entities that appear inside attribute JSON."""
+    """The few HTML entities that appear inside attribute values."""
     for ent, ch in (("&quot;", '"'), ("&#34;", '"'), ("&#39;", "'"), ("&lt;", "<"), ("&gt;", ">"),
                     ("&amp;", "&")):
         c = F.replace(c, F.lit(ent), F.lit(ch))
     return c
 
 
-def json_ld(html: Column) -> Column:
-    return F.regexp_extract(html, r'<script[^>]*type="application/ld\+json"[^>]*>(.*?)</script>', 1)
+def _found(html: Column, pattern: str, group: int = 1) -> Column:
+    """A group of the first match, NULL without one."""
+    return F.nullif(F.regexp_extract(html, pattern, group), F.lit(""))
 
 
-def json_ld_items(html: Column) -> Column:
-    """Items of the JSON-LD block: a list, an ``@graph`` or a single object."""
-    block = F.trim(json_ld(html))
-    return (F.when(block.startswith("["), F.from_json(block, f"array<{_LD_ITEM}>"))
-             .when(block.contains('"@graph"'),
-                   F.from_json(block, f"struct<`@graph`:array<{_LD_ITEM}>>").getField("@graph"))
-             .when(block.startswith("{"), F.array(F.from_json(block, _LD_ITEM))))
+def _attr(name: str, value: str) -> str:
+    return rf"""{name}\s*=\s*["']{re.escape(value)}["']"""
 
 
-def module_json(html: Column) -> Column:
-    """The page payload held in the body's ``data-module-args`` attribute."""
-    raw = F.regexp_extract(html, r"<body[^>]*data-module-args='([^']*)'", 1)
-    raw = F.when(raw == "", F.regexp_extract(html, r'<body[^>]*data-module-args="([^"]*)"', 1)).otherwise(raw)
-    return F.when(raw != "", _unescape(raw))
+def _script(attribute: str) -> str:
+    return rf"(?is)<script\b[^>]*{attribute}[^>]*>(.*?)</script"
 
 
-def module_course(payload: Column) -> Column:
-    return F.coalesce(*[F.get_json_object(payload, p) for p in
-                        ("$.serverSideProps.course", "$.componentProps.course", "$.portal_data.course")])
+def _body_attr(html: Column, name: str) -> Column:
+    """An attribute of the body tag, in either kind of quotes."""
+    return F.coalesce(_found(html, rf"(?is)<body\b[^>]*\s{name}\s*=\s*'([^']*)'"),
+                      _found(html, rf'(?is)<body\b[^>]*\s{name}\s*=\s*"([^"]*)"'))
+
+
+def _element(html: Column, attribute: str, tag: str = r"\w+") -> Column:
+    """The text of the first element with an attribute: inner tags cut out."""
+    inner = _found(html, rf"(?is)<({tag})\b[^>]*{attribute}[^>]*>(.*?)</\1\s*>", 2)
+    return F.regexp_replace(inner, "(?s)<[^>]*>", "")
+
+
+def _json(text: Column, path: str) -> Column:
+    """A JSON member that says something: empty text, list and object count as missing (Q22)."""
+    got = F.get_json_object(text, path)
+    return F.when(~got.isin("", "{}", "[]"), got)
 
 
 def _arr(*cols: Column) -> Column:
     return F.filter(F.array(*cols), lambda x: x.isNotNull())
 
 
-def with_page_parts(pages: DataFrame, meta_property: str = META_PRICE_PROPERTY) -> DataFrame:
-    """Extract each page block once, then parse the blocks.
+def _title_text(title: Column, site: Site) -> Column:
+    return F.trim(F.replace(F.replace(title, F.lit(site.title_suffix), F.lit("")), F.lit("&trade;"), F.lit("™")))
+
 
-    Level 1 runs every regular expression over the HTML exactly once (meta
-    price, JSON-LD block, payload attribute, next-data script, price text,
-    title tag, ``courseId`` text); level 2 parses those short strings.  The
-    second projection references level-1 columns several times, so Catalyst
-    keeps the projections apart instead of re-inlining the HTML scans.
+def _ld_instructors(item: Column) -> Column:
+    """A JSON-LD item's people as payload instructors: the instance's instructors, else the provider, else the authors."""
+    def named(text):
+        people = F.from_json(text, "array<struct<name:string>>")
+        return F.transform(F.filter(people, lambda p: p.isNotNull()), lambda p: F.struct(F.coalesce(p["name"], F.lit("")).alias("title")))
+
+    of_course = named(F.get_json_object(item["hasCourseInstance"], "$.instructor"))
+    provider = _json(item["provider"], "$.name")
+    return F.coalesce(F.when(F.size(of_course) > 0, of_course),
+                      F.when(provider.isNotNull(), F.array(F.struct(provider.alias("title")))), named(item["author"]))
+
+
+def with_page_parts(pages: DataFrame, site: Site = SITE) -> DataFrame:
+    """Every block of a page cut out once, then parsed.
+
+    The first projection runs each regular expression over the HTML once; the
+    others read the short strings it gives.  They reference earlier columns
+    several times, so Catalyst keeps the projections apart instead of
+    re-inlining the HTML scans.  Blocks may span lines.
     """
     html = F.col("html")
-    lvl1 = pages.withColumns({
-        "__meta": F.regexp_extract(html, r'<meta[^>]*property="' + meta_property.replace(".", r"\.")
-                                   + r'"[^>]*content="([^"]*)"', 1),
-        "__ld_block": F.trim(json_ld(html)),
-        "__module_sq": F.regexp_extract(html, r"<body[^>]*data-module-args='([^']*)'", 1),
-        "__module_dq": F.regexp_extract(html, r'<body[^>]*data-module-args="([^"]*)"', 1),
-        "__next": F.regexp_extract(html, r'<script[^>]*id="__NEXT_DATA__"[^>]*>(.*?)</script>', 1),
-        "__price_div": F.regexp_extract(html, r'<div[^>]*data-purpose="' + PRICE_TEXT_PURPOSE
-                                        + r'"[^>]*>(.*?)</div>', 1),
-        "__title_raw": F.when(html.rlike(r"<title.*?>(.*?)</title>"),
-                              F.regexp_extract(html, r"<title.*?>(.*?)</title>", 1)),
-        "__cid_text": F.regexp_extract(html, r"courseId[^\d]*(\d{5,8})", 1),
+    cut = pages.withColumns({
+        "__meta": _found(html, rf"""(?is)<meta\b[^>]*{_attr("property", site.meta_price)}[^>]*content\s*=\s*["']([^"']*)["']"""),
+        "__ld_block": F.trim(F.regexp_replace(_found(html, _script(_attr("type", "application/ld+json"))), r"^\s+|\s+$", "")),
+        "__module": _unescape(_body_attr(html, "data-module-args")),
+        "__clp_id": _body_attr(html, "data-clp-course-id"),
+        "__next": _found(html, _script(_attr("id", "__NEXT_DATA__"))),
+        "__price_blocks": F.regexp_extract_all(html, F.lit(rf"(?is)<div\b[^>]*{_attr('data-purpose', site.price_text)}[^>]*>(.*?)</div"), 1),
+        "__title_tag": _title_text(F.when(html.rlike(r"<title.*?>(.*?)</title>"), F.regexp_extract(html, r"<title.*?>(.*?)</title>", 1)), site),
+        "__title_dom": _title_text(F.regexp_extract(html, r"(?is)<title\b[^>]*>(.*?)</title", 1), site),
+        "__cid_text": _found(html, r"courseId[^\d]*(\d{5,8})"),
+        "__students": F.coalesce(_element(html, _attr("data-purpose", "enrollment")), _element(html, r"""class\s*=\s*["'][^"']*enrollment-count""")),
+        "__rating": _element(html, _attr("data-purpose", "rating-number")),
+        "__reviews": _element(html, _attr("data-purpose", "rating"), "a"),
+    })
+    block, module, nxt = F.col("__ld_block"), F.col("__module"), F.col("__next")
+    items = (F.when(block.startswith("["), F.from_json(block, f"array<{_LD_ITEM}>"))
+              .when(block.contains('"@graph"'), F.from_json(block, f"struct<`@graph`:array<{_LD_ITEM}>>").getField("@graph"))
+              .when(block.startswith("{"), F.array(F.from_json(block, _LD_ITEM))))
+    parsed = cut.withColumns({
+        "__ld": F.filter(items, lambda it: it["@type"].isin(*ITEM_TYPES)),
+        "__course": F.coalesce(*[_json(module, p) for p in COURSE_PATHS]),
+        "__module_reviews": F.coalesce(*[_json(module, p) for p in REVIEW_PATHS]),
+        # the next-data script speaks for a page without a body payload only
+        "__next_course": F.when(module.isNull(), _json(nxt, "$.props.pageProps.course")),
+        "__next_reviews": F.when(module.isNull(), _json(nxt, "$.props.pageProps.reviews")),
+        "__next_id": F.when(module.isNull(), _json(nxt, "$.props.pageProps.course_id")),
     })
-    block = F.col("__ld_block")
-    raw = F.when(F.col("__module_sq") != "", F.col("__module_sq")).otherwise(F.col("__module_dq"))
-    lvl2 = lvl1.withColumns({
-        "__ld": F.filter(
-            F.when(block.startswith("["), F.from_json(block, f"array<{_LD_ITEM}>"))
-             .when(block.contains('"@graph"'),
-                   F.from_json(block, f"struct<`@graph`:array<{_LD_ITEM}>>").getField("@graph"))
-             .when(block.startswith("{"), F.array(F.from_json(block, _LD_ITEM))),
-            lambda it: it.getField("@type").isin(*ITEM_TYPES)),
-        "__module": F.when(raw != "", _unescape(raw)),
+    parsed = parsed.withColumn("__item", F.get("__ld", F.lit(0)))
+    it = F.col("__item")
+    from_ld = F.to_json(F.struct(
+        it["name"].alias("title"), it["description"].alias("headline"), _ld_instructors(it).alias("visibleInstructors"),
+        F.get_json_object(it["hasCourseInstance"], "$.courseWorkload").alias("estimatedContentLength_text"),
+        it["inLanguage"].alias("localeSimpleEnglishTitle"), it["educationalLevel"].alias("instructionalLevel"),
+        it["datePublished"].alias("lastUpdateDate")))
+    ld_reviews = F.to_json(F.struct(F.get_json_object(it["aggregateRating"], "$.ratingValue").alias("averageRating"),
+                                    F.get_json_object(it["aggregateRating"], "$.ratingCount").alias("numberOfReviews")))
+    own = F.coalesce("__course", "__next_course")
+    return parsed.withColumns({
+        "__row": F.monotonically_increasing_id(),  # see course_records
+        "__payload": F.coalesce(own, F.when(it.isNotNull(), from_ld)),
+        "__review_data": F.when(own.isNull() & it.isNotNull(), ld_reviews).otherwise(F.coalesce("__module_reviews", "__next_reviews")),
     })
-    return lvl2.withColumn("__course", module_course(F.col("__module")))
 
 
 def parts_course_id() -> Column:
     """E8 over page parts: payload id, else the ``courseId`` text."""
-    t = F.col("__cid_text")
-    return F.coalesce(F.get_json_object(F.col("__module"), "$.course_id"), F.when(t != "", t))
+    return F.coalesce(_json(F.col("__module"), "$.course_id"), F.col("__next_id"), F.col("__cid_text"))
 
 
-def parts_title(suffix: str = TITLE_SUFFIX) -> Column:
+def parts_title() -> Column:
     """E8 over page parts: payload title, else the title tag without the site suffix."""
-    tag = F.trim(F.replace(F.replace(F.col("__title_raw"), F.lit(suffix), F.lit("")), F.lit("&trade;"),
-                           F.lit("™")))
-    return F.coalesce(F.nullif(F.get_json_object(F.col("__payload"), "$.title"), F.lit("")), tag)
-
+    return F.coalesce(_json(F.col("__payload"), "$.title"), F.col("__title_tag"))
 
 
 def price_candidates_of_parts() -> Column:
-    """E5 over ``with_page_parts`` columns."""
-    meta_p = F.when(F.col("__meta") != "", clean_price(F.col("__meta")))
-
+    """E5 over page parts: meta tag, JSON-LD offers (> 0), body payload and every visible price text (> 0)."""
     def offer_prices(it):
-        o = F.trim(it.getField("offers"))
+        o = F.trim(it["offers"])
         lst = F.when(o.startswith("["), F.from_json(o, "array<struct<price:string>>")) \
                .otherwise(F.array(F.from_json(o, "struct<price:string>")))
         return F.transform(F.coalesce(lst, F.array().cast("array<struct<price:string>>")),
-                           lambda x: x.getField("price").try_cast("double"))
+                           lambda x: x["price"].try_cast("double"))
 
     items = F.coalesce(F.col("__ld"), F.array().cast(f"array<{_LD_ITEM}>"))
     ld = F.filter(F.flatten(F.transform(items, offer_prices)), lambda p: p > 0)
-    course = F.col("__course")
-    mod = _arr(*[F.get_json_object(course, p).try_cast("double") for p in
-                 ("$.price_text_data.amount", "$.price_text_data.list_price.amount",
-                  "$.discount.list_price.amount", "$.base_price.amount")])
-    spans = F.regexp_extract_all(F.col("__price_div"), F.lit(r"<span[^>]*>([^<]*)</span>"), 1)
-    vis = F.filter(F.transform(F.filter(spans, lambda s: s.rlike(r"\d")), lambda s: clean_price(s)),
-                   lambda p: p.isNotNull() & (p > 0))
-    return F.concat(_arr(meta_p), ld, mod, vis)
+    module = _arr(*[F.get_json_object("__course", p).try_cast("double") for p in PRICE_PATHS])
+    spans = F.flatten(F.transform("__price_blocks", lambda b: F.regexp_extract_all(b, F.lit(r"(?is)<span\b[^>]*>(.*?)</span"), 1)))
+    texts = F.transform(spans, lambda t: F.trim(F.regexp_replace(t, "(?s)<[^>]*>", "")))
+    visible = F.filter(F.transform(F.filter(texts, lambda t: t.rlike(r"\d")), clean_price),
+                       lambda p: p.isNotNull() & (p > 0))
+    return F.concat(_arr(clean_price(F.col("__meta"))), ld, module, visible)
 
 
 def payload_of_parts() -> Column:
-    """E7 over ``with_page_parts`` columns."""
-    nxt = F.col("__next")
-    from_next = F.when(nxt != "", F.get_json_object(nxt, "$.props.pageProps.course"))
-    items = F.col("__ld")
-    from_ld = F.when(F.size(items) > 0, F.to_json(F.struct(F.get(items, 0).getField("name").alias("title"))))
-    return F.coalesce(F.col("__course"), from_next, from_ld)
-
-
-def price_candidates(html: Column, meta_property: str = META_PRICE_PROPERTY) -> Column:
-    """E5: candidate prices from the meta tag, JSON-LD offers (> 0), module JSON
-    (price text, discount list price, base price) and visible price text (> 0).
-
-    Column form for a single use; jobs over many fields use ``with_page_parts``.
-    """
-    meta = F.regexp_extract(html, r'<meta[^>]*property="' + meta_property.replace(".", r"\.")
-                            + r'"[^>]*content="([^"]*)"', 1)
-    meta_p = F.when(meta != "", clean_price(meta))
-    items = F.filter(json_ld_items(html), lambda it: it.getField("@type").isin(*ITEM_TYPES))
-
-    def offer_prices(it):
-        o = F.trim(it.getField("offers"))
-        lst = F.when(o.startswith("["), F.from_json(o, "array<struct<price:string>>")) \
-               .otherwise(F.array(F.from_json(o, "struct<price:string>")))
-        return F.transform(F.coalesce(lst, F.array().cast("array<struct<price:string>>")),
-                           lambda x: x.getField("price").try_cast("double"))
-
-    ld = F.filter(F.flatten(F.transform(F.coalesce(items, F.array().cast(f"array<{_LD_ITEM}>")), offer_prices)),
-                  lambda p: p > 0)
-    course = module_course(module_json(html))
-    mod = _arr(*[F.get_json_object(course, p).try_cast("double") for p in
-                 ("$.price_text_data.amount", "$.price_text_data.list_price.amount",
-                  "$.discount.list_price.amount", "$.base_price.amount")])
-    block = F.regexp_extract(html, r'<div[^>]*data-purpose="' + PRICE_TEXT_PURPOSE + r'"[^>]*>(.*?)</div>', 1)
-    spans = F.regexp_extract_all(block, F.lit(r"<span[^>]*>([^<]*)</span>"), 1)
-    vis = F.filter(F.transform(F.filter(spans, lambda s: s.rlike(r"\d")), lambda s: clean_price(s)),
-                   lambda p: p.isNotNull() & (p > 0))
-    return F.concat(_arr(meta_p), ld, mod, vis)
+    """E7 over page parts: body JSON, else the next-data script, else a JSON-LD course."""
+    return F.col("__payload")
 
 
 def list_and_sale_price(cands: Column) -> tuple[Column, Column]:
@@ -229,35 +241,7 @@ def list_and_sale_price(cands: Column) -> tuple[Column, Column]:
 
 
 
-def page_payload(html: Column) -> Column:
-    """Course payload: body attribute JSON, else the next-data script, else a JSON-LD Course/Product."""
-    nxt = F.regexp_extract(html, r'<script[^>]*id="__NEXT_DATA__"[^>]*>(.*?)</script>', 1)
-    from_next = F.when(nxt != "", F.get_json_object(nxt, "$.props.pageProps.course"))
-    items = F.filter(json_ld_items(html), lambda it: it.getField("@type").isin(*ITEM_TYPES))
-    from_ld = F.when(F.size(items) > 0, F.to_json(F.struct(F.get(items, 0).getField("name").alias("title"))))
-    return F.coalesce(module_course(module_json(html)), from_next, from_ld)
-
-
-def course_id_of(html: Column) -> Column:
-    """Course id from the payload, else ``courseId`` followed by 5-8 digits."""
-    from_payload = F.get_json_object(module_json(html), "$.course_id")
-    from_text = F.regexp_extract(html, r"courseId[^\d]*(\d{5,8})", 1)
-    return F.coalesce(from_payload, F.when(from_text != "", from_text))
-
-
-def title_tag(html: Column, suffix: str = TITLE_SUFFIX) -> Column:
-    """``<title>`` text with the site suffix cut; NULL without a title tag."""
-    t = F.regexp_extract(html, r"<title.*?>(.*?)</title>", 1)
-    from_tag = F.trim(F.replace(F.replace(t, F.lit(suffix), F.lit("")), F.lit("&trade;"), F.lit("™")))
-    return F.when(html.rlike(r"<title.*?>(.*?)</title>"), from_tag)
-
-
-def title_of(html: Column, suffix: str = TITLE_SUFFIX) -> Column:
-    """Title from the payload, else ``<title>`` with the site suffix cut."""
-    from_payload = F.get_json_object(page_payload(html), "$.title")
-    return F.coalesce(F.nullif(from_payload, F.lit("")), title_tag(html, suffix))
-
-
+# Members of an instructor in the payload, under all their names.
 INSTRUCTOR = T.StructType([T.StructField(n, t) for n, t in [
     ("id", T.StringType()), ("display_name", T.StringType()), ("title", T.StringType()),
     ("job_title", T.StringType()), ("total_num_students", T.DoubleType()), ("num_students", T.DoubleType()),
@@ -279,6 +263,7 @@ def _nz(*cols: Column) -> Column:
 def instructors_of(payload: Column) -> Column:
     """The first non-empty of four instructor list locations, fields under their aliases."""
     arr_t = T.ArrayType(INSTRUCTOR)
+    # Where the list of instructors may be
     locs = ["$.instructors.instructors_info", "$.visible_instructors", "$.visibleInstructors", "$.instructors"]
     lists = [F.from_json(F.get_json_object(payload, p), arr_t) for p in locs]
     chosen = F.coalesce(*[F.when(F.size(x) > 0, x) for x in lists], F.array().cast(arr_t))
@@ -297,44 +282,45 @@ def _digits(text: Column) -> Column:
     return F.when(num != "", F.translate(num, ",.", "")).try_cast("bigint")
 
 
-def counts_from_text(html: Column, payload: Column | None = None) -> dict[str, Column]:
-    """Students, rating and reviews from the payload, else from page text."""
-    payload = payload if payload is not None else page_payload(html)
-    enr = F.regexp_extract(html, r'data-purpose="enrollment"[^>]*>([^<]*)<', 1)
-    rat = F.regexp_extract(html, r'data-purpose="rating-number"[^>]*>([^<]*)<', 1)
-    rev = F.regexp_extract(html, r'<a[^>]*data-purpose="rating"[^>]*>([^<]*)<', 1)
-    rating_text = F.regexp_extract(rat, r"([\d\.]+)", 1)
+def counts_of_parts() -> dict[str, Column]:
+    """E10 over page parts: students, rating and reviews from the payload, the review data, or page text."""
+    payload, reviews = F.col("__payload"), F.col("__review_data")
+
+    def number(text, path, dtype):
+        return F.get_json_object(text, path).try_cast(dtype)
+
     return {
-        "num_students": F.coalesce(_nz(F.get_json_object(payload, "$.numStudents").try_cast("bigint"),
-                                       F.get_json_object(payload, "$.num_students").try_cast("bigint")),
-                                   _digits(enr)),
-        "avg_rating_score": F.coalesce(_nz(F.get_json_object(payload, "$.rating").try_cast("double")),
-                                       F.when(rating_text != "", rating_text).try_cast("double")),
-        "num_reviews": F.coalesce(_nz(F.get_json_object(payload, "$.numReviews").try_cast("bigint"),
-                                      F.get_json_object(payload, "$.num_reviews").try_cast("bigint")),
-                                  _digits(rev)),
+        "num_students": F.coalesce(_nz(number(payload, "$.numStudents", "bigint"), number(payload, "$.num_students", "bigint")),
+                                   _digits(F.col("__students"))),
+        "avg_rating_score": F.coalesce(_nz(number(payload, "$.rating", "double"), number(reviews, "$.averageRating", "double")),
+                                       _found(F.col("__rating"), r"([\d\.]+)").try_cast("double")),
+        "num_reviews": F.coalesce(_nz(number(payload, "$.numReviews", "bigint"), number(payload, "$.num_reviews", "bigint"),
+                                      number(reviews, "$.numberOfReviews", "bigint")), _digits(F.col("__reviews"))),
     }
 
 
 def iso_duration_seconds(text: Column) -> Column:
-    """``PT#H#M#S`` -> seconds (missing parts are 0; other text -> NULL)."""
-    def part(u):
-        v = F.regexp_extract(text, r"(\d+)" + u, 1)
-        return F.coalesce(F.when(v != "", v.cast("bigint")), F.lit(0))
-    return F.when(text.startswith("PT"), part("H") * 3600 + part("M") * 60 + part("S"))
+    """``PT#H#M#S`` -> seconds (missing parts are 0; other text, or more than fits a BIGINT -> NULL)."""
+    def part(unit, seconds):
+        v = F.regexp_extract(text, r"(\d+)" + unit, 1)
+        return F.when(v == "", F.lit(0).cast("bigint")).otherwise(F.try_multiply(v.try_cast("bigint"), F.lit(seconds).cast("bigint")))
+    return F.when(text.startswith("PT"), F.try_add(F.try_add(part("H", 3600), part("M", 60)), part("S", 1)))
 
 
 # --------------------------------------------------------------------------- records
 
 def course_records(pages: DataFrame, category_col: str = "category",
-                   stamp: Column | None = None) -> DataFrame:
-    """Full nested course record (course_data + instructors) per page."""
-    parts = with_page_parts(pages).withColumn("__payload", payload_of_parts())
+                   stamp: Column | None = None, site: Site = SITE) -> DataFrame:
+    """Full nested course record (course_data + instructors) per page with a payload."""
+    # asking for the row number too keeps the filter above the parsing: pushed
+    # down to the scan it would bring a copy of every expression along
+    parts = with_page_parts(pages, site).filter(F.col("__payload").isNotNull() & (F.col("__row") >= 0))
     parts = parts.withColumn("__cands", price_candidates_of_parts())
-    html, payload = F.col("html"), F.col("__payload")
+    payload, reviews = F.col("__payload"), F.col("__review_data")
     list_p, sale_p = list_and_sale_price(F.col("__cands"))
-    counts = counts_from_text(html, payload)
-    dur = F.coalesce(F.get_json_object(payload, "$.contentLengthVideo").try_cast("double"),
+    counts = counts_of_parts()
+    dur = F.coalesce(_nz(F.get_json_object(payload, "$.contentLengthVideo").try_cast("double"),
+                         F.get_json_object(payload, "$.content_length_video").try_cast("double")),
                      iso_duration_seconds(F.get_json_object(payload, "$.estimatedContentLength_text"))
                      .cast("double"))
     stamp = stamp if stamp is not None else F.date_format(F.current_timestamp(), "yyyy-MM-dd HH:mm")
@@ -342,19 +328,18 @@ def course_records(pages: DataFrame, category_col: str = "category",
         parts_course_id().alias("course_id"), parts_title().alias("title"),
         F.get_json_object(payload, "$.headline").alias("headline"),
         F.get_json_object(payload, "$.localeSimpleEnglishTitle").alias("language"),
-        F.coalesce(F.get_json_object(payload, "$.instructionalLevel"),
+        F.coalesce(_json(payload, "$.instructionalLevel"),
                    F.get_json_object(payload, "$.instructional_level_simple")).alias("level"),
         dur.alias("course_duration_seconds"),
-        F.coalesce(F.get_json_object(payload, "$.publishedDate"), F.get_json_object(payload, "$.published_time"),
+        F.coalesce(_json(payload, "$.publishedDate"), _json(payload, "$.published_time"),
                    F.get_json_object(payload, "$.lastUpdateDate")).alias("publishes_date"),
-        F.coalesce(F.get_json_object(payload, "$.lastUpdateDate"),
+        F.coalesce(_json(payload, "$.lastUpdateDate"),
                    F.get_json_object(payload, "$.last_update_date")).alias("lasted_updated_date"),
         list_p.alias("original_price"), sale_p.alias("discount_price"),
         counts["num_students"].cast("double").alias("num_students"),
         counts["num_reviews"].cast("double").alias("num_reviews"),
         counts["avg_rating_score"].alias("avg_rating_score"),
-        rating_dist_json(F.get_json_object(F.col("__module"), "$.serverSideProps.reviewsRatings.ratingDistribution"))
-        .alias("rating_distribution"),
+        rating_dist_json(F.get_json_object(reviews, "$.ratingDistribution")).alias("rating_distribution"),
         F.col("url").alias("_url"),
         (F.col(category_col) if category_col in pages.columns else F.lit(None).cast("string")).alias("_category"),
         stamp.alias("_scraped_datetime"),
@@ -362,12 +347,21 @@ def course_records(pages: DataFrame, category_col: str = "category",
     return parts.select("page_id", course.alias("course_data"), instructors_of(payload).alias("instructors"))
 
 
-def price_records(pages: DataFrame) -> DataFrame:
-    """Price-only record (id, title, list and sale price) per page with an id."""
-    parts = with_page_parts(pages).withColumn("__payload", payload_of_parts())
-    parts = parts.withColumn("__cands", price_candidates_of_parts())
+def price_records(pages: DataFrame, site: Site = SITE) -> DataFrame:
+    """Price-only record (id, title, list and sale price) per page with an id.
+
+    The body's id attribute comes first (its title is the title tag, N/A
+    without one), then the ``courseId`` text, then the body payload or the
+    next-data course.
+    """
+    parts = with_page_parts(pages, site).withColumn("__cands", price_candidates_of_parts())
     list_p, sale_p = list_and_sale_price(F.col("__cands"))
-    out = parts.select("page_id", parts_course_id().alias("course_id"), parts_title().alias("title"),
+    module, clp = F.col("__module"), F.col("__clp_id")
+    next_course = F.col("__next_course")
+    cid = F.coalesce(clp, F.col("__cid_text"), _json(module, "$.course_id"), _json(next_course, "$.id"))
+    title = F.when(clp.isNotNull(), F.coalesce(F.nullif(F.col("__title_dom"), F.lit("")), F.lit("N/A"))).otherwise(
+        F.coalesce(F.nullif(F.col("__title_tag"), F.lit("")), _json(module, "$.title"), _json(next_course, "$.title"), F.col("__title_tag")))
+    out = parts.select("page_id", cid.alias("course_id"), title.alias("title"),
                        list_p.alias("original_price"), sale_p.alias("discount_price"))
     return out.filter(F.col("course_id").isNotNull())
 

@@ -1097,8 +1097,8 @@ from coursewise.operators import pages as P  # noqa: E402
 E1_SQL = r"""
 WITH src AS (
   SELECT page_id, regexp_extract(url, '^(https?://[^/?#]+)', 1) AS base,
-         CASE WHEN regexp_matches(html, '>\s*All [^<]*courses\s*<')
-              THEN substr(html, strpos(html, regexp_extract(html, '>\s*All [^<]*courses\s*<', 0)))
+         CASE WHEN regexp_matches(html, '<(h1|h2|div|span)\b[^>]*>\s*All [^<]*courses\s*<')
+              THEN substr(html, strpos(html, regexp_extract(html, '<(h1|h2|div|span)\b[^>]*>\s*All [^<]*courses\s*<', 0)))
               ELSE html END AS section
   FROM pages),
 hrefs AS (SELECT page_id, base, unnest(regexp_extract_all(section, '<a\s[^>]*?href="([^"]*)"', 1)) AS href FROM src),
@@ -1220,8 +1220,7 @@ FROM pages""")
 def e8_id_title(spark, sf):
     """Course id and title of the driver's web pages."""
     pg = read_table(spark, sf, "pages")
-    return pg.select("page_id", P.course_id_of(F.col("html")).alias("course_id"),
-                     P.title_of(F.col("html")).alias("title"))
+    return P.with_page_parts(pg).select("page_id", P.parts_course_id().alias("course_id"), P.parts_title().alias("title"))
 
 
 @register("e9_instructors", O.with_(FX_PAGES) + """
@@ -1241,9 +1240,8 @@ SELECT page_id, CAST(l_quantity * 1000 AS BIGINT) + ln AS num_students,
        CAST(l_orderkey % 100000 AS BIGINT) AS num_reviews FROM fx_pages""")
 def e10_counts(spark, sf):
     """Students, rating and reviews from page text."""
-    pg = _course_pages(spark, sf)
-    c = P.counts_from_text(F.col("html"))
-    return pg.select("page_id", *[v.alias(k) for k, v in c.items()])
+    pg = P.with_page_parts(_course_pages(spark, sf))
+    return pg.select("page_id", *[v.alias(k) for k, v in P.counts_of_parts().items()])
 
 
 @register("e11_iso_duration", """
@@ -1267,7 +1265,8 @@ SELECT page_id, course_id, title, original_price, discount_price,
        CAST(CAST(l_orderkey % 100000 AS BIGINT) AS DOUBLE) AS num_reviews,
        CAST(CAST(l_quantity / 10 AS DECIMAL(4,1)) AS DOUBLE) AS avg_rating_score,
        CAST(CASE WHEN ln = 5 THEN 1 ELSE 0 END AS BIGINT) AS n_instructors
-FROM fx_prices""")
+FROM fx_prices
+WHERE ln = 2 OR ln = 5 OR (ln = 3 AND P IS NOT NULL) OR (ln = 4 AND L IS NOT NULL)""")
 def e12_course_records(spark, sf):
     """Full nested course records (flattened here for comparison)."""
     rec = P.course_records(_course_pages(spark, sf))

@@ -174,7 +174,10 @@ def test_pages_sources(spark):
     got = [(r.l, r.s) for r in parts.select(lp.alias("l"), sp.alias("s")).orderBy("page_id").collect()]
     assert got == [(1000, 1000), (5, 5), (7, 7), (9, 3), (2000, 1500), (None, None), (None, None)]
     recs = pages.price_records(df).orderBy("page_id").collect()
-    assert [(r.course_id, r.title) for r in recs] == [("123456", "Mod")]
+    # a price record takes its title from the title tag or the payload's own level, not from the course in it
+    assert [(r.course_id, r.title) for r in recs] == [("123456", None)]
+    full = pages.course_records(df).orderBy("page_id").collect()
+    assert [(r.page_id, r.course_data.course_id, r.course_data.title) for r in full] == [(1, None, None), (2, None, None), (3, "123456", "Mod")]
 
 
 def test_links_marker_and_normalization(spark):
