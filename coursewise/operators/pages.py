@@ -128,7 +128,8 @@ def _arr(*cols: Column) -> Column:
 
 
 def _title_text(title: Column, site: Site) -> Column:
-    return F.trim(F.replace(F.replace(title, F.lit(site.title_suffix), F.lit("")), F.lit("&trade;"), F.lit("™")))
+    plain = F.replace(F.replace(title, F.lit(site.title_suffix), F.lit("")), F.lit("&trade;"), F.lit("™"))
+    return F.regexp_replace(plain, r"^\s+|\s+$", "")
 
 
 def _ld_instructors(item: Column) -> Column:

@@ -199,3 +199,72 @@ def fx_course_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit(PAGE_SITE + "/course/"), cid, F.lit("/")).alias("url"),
         F.col("p_brand").alias("category"),
         html.alias("html"))
+
+
+# Page forms, one per part in turn; K stands for the part key, S for its size, I for the page's course id.
+PAGE_FORMS = [
+    """<html><head>
+<title>T0 K | Courses</title>
+<script type='application/ld+json'>
+{
+  "@context": "x", "@type": "Course", "name": "Name K", "description": "About K",
+  "inLanguage": "en", "educationalLevel": "Beginner", "datePublished": "2024-01-02",
+  "hasCourseInstance": {"courseWorkload": "PTSH30M", "instructor": [{"name": "Ann K"}, {"name": "Bob"}]},
+  "aggregateRating": {"ratingValue": 4.5, "ratingCount": S},
+  "offers": {"price": "K.5"}
+}
+</script></head><body>courseId = I</body></html>""",
+    """<html><title>T1 K | Courses</title><body><script id="__NEXT_DATA__" type="application/json">
+{"props": {"pageProps": {"course_id": "I",
+  "course": {"id": 7, "title": "Next K", "numStudents": S, "content_length_video": S},
+  "reviews": {"averageRating": 3.5, "numberOfReviews": S, "ratingDistribution": [{"rating": 1, "count": S}]}}}}
+</script></body></html>""",
+    """<html><body class=a data-module-args="{&quot;course_id&quot;:&quot;I&quot;,&quot;title&quot;:&quot;Root K&quot;,&quot;componentProps&quot;:{
+&quot;course&quot;:{&quot;title&quot;:&quot;Mod K&quot;,&quot;num_students&quot;:S},&quot;reviews&quot;:{&quot;averageRating&quot;:2.5,&quot;numberOfReviews&quot;:K}}}"></body></html>""",
+    """<html><head><title>
+  Attr K | Courses
+</title></head><BODY class="x" data-clp-course-id="I">
+<div data-purpose="course-price-text">
+<span>Now</span>
+<span><b>1,0</b>00</span></div>
+<DIV class='p' data-purpose='course-price-text'><SPAN>₫20</SPAN></DIV></BODY></html>""",
+    """<html><body data-module-args='{"course_id":"I","portal_data":{"course":{"title":"Por K"}}}'>
+<p class="big enrollment-count x">
+<span>S,000</span> students</p><span data-purpose='rating-number'><i>4</i>.7</span>
+<a href="#r" data-purpose="rating">(
+<b>K</b> ratings)</a></body></html>""",
+    """<html><title>None</title><body>nothing here</body></html>""",
+    """<html><title>T6 K | Courses</title><script type="application/ld+json">[{"@type":"WebSite"},
+{"@type":"Product","name":"","provider":{"name":"School K"},"offers":[{"price":10},{"price":"20"}]}]</script><body>var courseId=I;</body></html>""",
+    """<html><script type="application/ld+json">{"@graph":[{"@type":"Course","name":"Big K","author":[{"name":"Au K"}],
+"hasCourseInstance":{"courseWorkload":"PT99999999999999999999H"}}]}</script><body>courseId:I</body></html>""",
+]
+
+
+def fx_page_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Course pages in every form the extraction knows, one per part: blocks over several lines,
+    JSON-LD or an id attribute alone, two price blocks, tags within numbers, no payload at all."""
+    part = read_table(spark, sf_dir, "part")
+    key = F.col("p_partkey")
+    html = F.lit(None).cast("string")
+    for i, form in enumerate(PAGE_FORMS):
+        # the letters stand alone or between signs in the forms, never inside a word
+        text = F.regexp_replace(F.lit(form), r"\bK\b", key.cast("string"))
+        text = F.regexp_replace(text, r"\bI\b", (key + 2 * PAGE_ID_BASE).cast("string"))
+        text = F.regexp_replace(text, r"\bS\b|(?<=PT)S(?=H)", F.col("p_size").cast("string"))
+        html = F.when(key % len(PAGE_FORMS) == i, text).otherwise(html)
+    return part.select(key.alias("page_id"), F.concat(F.lit(PAGE_SITE + "/course/"), key.cast("string"), F.lit("/")).alias("url"),
+                       F.col("p_brand").alias("category"), html.alias("html"))
+
+
+def fx_listing_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Listing pages, one per supplier: with a marker in a heading, in a paragraph (which is none) or without one;
+    links in double and single quotes, capitals, absolute, elsewhere, with a query."""
+    supp = read_table(spark, sf_dir, "supplier")
+    k = F.col("s_suppkey").cast("string")
+    marker = F.element_at(F.array(F.lit("<h2 class='m'>\n All Python courses</h2>"), F.lit("<p>All Python courses</p>"), F.lit("")),
+                          (F.col("s_suppkey") % 3 + 1).cast("int"))
+    html = F.concat(F.lit('<html><body><a class="n" href="/course/first-'), k, F.lit('/">x</a>'), marker,
+                    F.lit("<A data-x='1' HREF='/course/second-"), k, F.lit("?a=1&amp;b=2'>y</A><a\nhref=\"" + PAGE_SITE + "/course/third-"), k,
+                    F.lit('//">z</a><a href="https://other.example.com/course/x/">o</a><a href="/about/">a</a><a data-href="/course/no/">n</a></body></html>'))
+    return supp.select(F.col("s_suppkey").alias("page_id"), F.lit(PAGE_SITE + "/list?p=1").alias("url"), html.alias("html"))

@@ -1282,6 +1282,55 @@ def e13_price_records(spark, sf):
     return P.price_records(_course_pages(spark, sf))
 
 
+@register("e1_listing_links", f"""
+SELECT s_suppkey AS page_id, '{fixtures.PAGE_SITE}/course/' || x || '-' || CAST(s_suppkey AS VARCHAR) || '/' AS link
+FROM supplier, (VALUES ('first'), ('second'), ('third')) t(x) WHERE x <> 'first' OR s_suppkey % 3 <> 0""")
+def e1_listing_links(spark, sf):
+    """Course links of listing pages with and without the marker, quotes and capitals of every kind."""
+    return P.extract_links(fixtures.fx_listing_pages(spark, sf))
+
+
+FORMS_SQL = """
+WITH f AS (SELECT p_partkey AS page_id, p_partkey % 8 AS kind, CAST(p_partkey AS VARCHAR) AS k, CAST(p_size AS BIGINT) AS size,
+                  CAST(p_partkey + 200000 AS VARCHAR) AS own_id FROM part)
+"""
+
+
+@register("e12_page_forms", FORMS_SQL + """
+SELECT page_id, own_id AS course_id,
+       CASE kind WHEN 0 THEN 'Name ' WHEN 1 THEN 'Next ' WHEN 2 THEN 'Mod ' WHEN 4 THEN 'Por ' WHEN 6 THEN 'T6 ' ELSE 'Big ' END || k AS title,
+       CASE WHEN kind = 0 THEN 'About ' || k END AS headline, CASE WHEN kind = 0 THEN 'en' END AS language,
+       CASE WHEN kind = 0 THEN 'Beginner' END AS level, CASE WHEN kind = 0 THEN '2024-01-02' END AS publishes_date,
+       CAST(CASE kind WHEN 0 THEN size * 3600 + 1800 WHEN 1 THEN size END AS DOUBLE) AS course_duration_seconds,
+       CAST(CASE kind WHEN 0 THEN page_id + 0.5 WHEN 6 THEN 20 END AS DOUBLE) AS original_price,
+       CAST(CASE kind WHEN 0 THEN page_id + 0.5 WHEN 6 THEN 10 END AS DOUBLE) AS discount_price,
+       CAST(CASE kind WHEN 1 THEN size WHEN 2 THEN size WHEN 4 THEN size * 1000 END AS DOUBLE) AS num_students,
+       CAST(CASE kind WHEN 0 THEN size WHEN 1 THEN size WHEN 2 THEN page_id WHEN 4 THEN page_id END AS DOUBLE) AS num_reviews,
+       CAST(CASE kind WHEN 0 THEN 4.5 WHEN 1 THEN 3.5 WHEN 2 THEN 2.5 WHEN 4 THEN 4.7 END AS DOUBLE) AS avg_rating_score,
+       CASE WHEN kind = 1 THEN '[{"rating":1,"count":' || CAST(size AS VARCHAR) || '}]' END AS rating_distribution,
+       CAST(CASE kind WHEN 0 THEN 2 WHEN 6 THEN 1 WHEN 7 THEN 1 ELSE 0 END AS BIGINT) AS n_instructors,
+       CASE kind WHEN 0 THEN 'Ann ' || k WHEN 6 THEN 'School ' || k WHEN 7 THEN 'Au ' || k END AS first_instructor
+FROM f WHERE kind NOT IN (3, 5)""")
+def e12_page_forms(spark, sf):
+    """Records of pages in every form, those without a payload left out."""
+    rec = P.course_records(fixtures.fx_page_forms(spark, sf))
+    names = ["course_id", "title", "headline", "language", "level", "publishes_date", "course_duration_seconds", "original_price",
+             "discount_price", "num_students", "num_reviews", "avg_rating_score", "rating_distribution"]
+    return rec.select("page_id", *[f"course_data.{c}" for c in names], F.size("instructors").cast("bigint").alias("n_instructors"),
+                      F.get(F.col("instructors"), F.lit(0))["name"].alias("first_instructor"))
+
+
+@register("e13_page_forms", FORMS_SQL + """
+SELECT page_id, CASE kind WHEN 1 THEN '7' ELSE own_id END AS course_id,
+       CASE kind WHEN 0 THEN 'T0 ' || k WHEN 1 THEN 'T1 ' || k WHEN 2 THEN 'Root ' || k WHEN 3 THEN 'Attr ' || k WHEN 6 THEN 'T6 ' || k END AS title,
+       CAST(CASE kind WHEN 0 THEN page_id + 0.5 WHEN 3 THEN 1000 WHEN 6 THEN 20 END AS DOUBLE) AS original_price,
+       CAST(CASE kind WHEN 0 THEN page_id + 0.5 WHEN 3 THEN 20 WHEN 6 THEN 10 END AS DOUBLE) AS discount_price
+FROM f WHERE kind <> 5""")
+def e13_page_forms(spark, sf):
+    """Price records of pages in every form, id attribute first."""
+    return P.price_records(fixtures.fx_page_forms(spark, sf))
+
+
 @register("e14_rating_json", """
 SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber,
        CASE l_linenumber % 3 WHEN 0 THEN NULL
@@ -1407,6 +1456,32 @@ def v3_relationship(spark, sf):
                                       read_table(spark, sf, "customer"), "o_custkey", "c_custkey")
 
 
+@register("v3_orphans", """
+SELECT o_custkey, count(*) AS n_rows FROM orders
+WHERE o_custkey IS NOT NULL AND o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_nationkey < 12) GROUP BY o_custkey""")
+def v3_orphans(spark, sf):
+    """V3: orders whose customer is not among those of the first nations."""
+    few = read_table(spark, sf, "customer").filter("c_nationkey < 12")
+    return quality.check_relationship(read_table(spark, sf, "orders"), few, "o_custkey", "c_custkey")
+
+
+@register("v5_out_of_range", """
+SELECT 'rating' AS column_name, count(*) FILTER (WHERE l_linenumber <= 2) AS rejects FROM lineitem
+UNION ALL SELECT 'students', count(*) FILTER (WHERE l_linenumber <= 2) FROM lineitem
+UNION ALL SELECT 'duration', count(*) FILTER (WHERE l_linenumber = 1) FROM lineitem""")
+def v5_out_of_range(spark, sf):
+    """V5 over D5, D6 and E11: values beyond their types are NULL (or the default) and counted, never an error."""
+    ln, q = F.col("l_linenumber"), F.col("l_quantity")
+    raw = read_table(spark, sf, "lineitem").select(
+        F.when(ln == 1, F.lit(1000.0)).when(ln == 2, F.lit(1e9)).otherwise(q / 10).alias("rating"),
+        F.when(ln == 1, F.lit("Infinity")).when(ln == 2, F.lit("1e20")).otherwise(q.cast("string")).alias("students"),
+        F.when(ln == 1, F.lit("PT" + "9" * 30 + "H")).otherwise(F.lit("PT5M")).alias("duration"))
+    count = staging.count_default(F.col("students"))
+    return quality.cast_rejects(raw, {"rating": ("rating", staging.rating_round(F.col("rating"))),
+                                      "students": ("students", F.when(count > 0, count)),
+                                      "duration": ("duration", P.iso_duration_seconds(F.col("duration")))})
+
+
 @register("v4_accepted_values", """
 SELECT o_orderstatus, count(*) AS n_rows FROM orders
 WHERE o_orderstatus IS NOT NULL AND o_orderstatus NOT IN ('F', 'O') GROUP BY o_orderstatus""")
