@@ -26,6 +26,9 @@ SAMPLE_ROWS = 1000
 BUCKETS = 1 << 13
 #: A text counts as at most this many independent trigrams: neighbours are not independent.
 EVIDENCE = 60
+#: Share of a text that may be anything (names, keys, numbers' neighbours): what an unknown language costs a known one
+#: is at most this factor a trigram, so that a short text with one odd word is not taken for an unknown language.
+NOISE = 0.1
 #: Rows of the parent level that a host, domain or top-level domain is smoothed with.
 STRENGTH = 20.0
 MIN_POSTERIOR = 0.5
@@ -94,6 +97,7 @@ def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lan
     for r in counted.collect():
         counts[languages.index(r["lang"]), r["bucket"]] = r["n"]
     p = (counts + 0.5) / (counts + 0.5).sum(axis=1, keepdims=True)
+    p = (1 - NOISE) * p + NOISE / BUCKETS
     return TextModel((*languages, UNKNOWN), np.log(np.vstack([p, np.full(BUCKETS, 1 / BUCKETS)])))
 
 
