@@ -1,8 +1,7 @@
 """Operator 8: tool-call linking.
 
 Calls and results meet in a join on their identifier, calls are ordered by
-what they wait for (a level per call, peeled off round by round), arguments
-are checked against the tools' schemas, and every call is written as canonical
+what they wait for (a level per call), arguments are checked against the tools' schemas, and every call is written as canonical
 JSON.  All output is a row per call or result, so that no conversation has to
 fit in one task.
 """
@@ -82,19 +81,57 @@ def schema_errors(value: Any, schema: Mapping[str, Any], at: str = "$") -> list[
     return out
 
 
-def levels(nodes: DataFrame, edges: DataFrame) -> DataFrame:
-    """(conv_id, call_id, level) by peeling: level 0 waits for nothing, level n for a call of level n-1 at most.
+#: Waits of one conversation that are ordered inside a task; longer conversations are ordered by joins.
+TASK_EDGES = 100_000
+
+
+def _order(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Levels of the calls that wait for others, for whole conversations: a call is placed when all it waits for are."""
+    rows: list[tuple[Any, str, str]] = []
+    kind = pa.null()
+    for batch in batches:
+        kind = batch.schema.field("conv_id").type
+        rows += zip(*(batch.column(c).to_pylist() for c in ("conv_id", "call_id", "parent")), strict=True)
+    waits: dict[tuple[Any, str], int] = {}
+    followers: dict[tuple[Any, str], list[tuple[Any, str]]] = {}
+    for conv, call, parent in rows:
+        waits[conv, call] = waits.get((conv, call), 0) + 1
+        followers.setdefault((conv, parent), []).append((conv, call))
+    level = {key: 0 for key in followers if key not in waits}
+    ready, placed = list(level), []
+    while ready:
+        key = ready.pop()
+        for follower in followers.get(key, ()):
+            waits[follower] -= 1
+            level[follower] = max(level.get(follower, 0), level[key] + 1)
+            if not waits[follower]:
+                ready.append(follower)
+                placed.append((*follower, follower))
+    for i in range(0, len(placed), 10_000):
+        part = placed[i:i + 10_000]
+        yield pa.RecordBatch.from_pydict({"conv_id": [p[0] for p in part], "call_id": [p[1] for p in part], "level": [level[p[2]] for p in part]},
+                                         schema=pa.schema([("conv_id", kind), ("call_id", pa.string()), ("level", pa.int32())]))
+
+
+def levels(nodes: DataFrame, edges: DataFrame, task_edges: int = TASK_EDGES) -> DataFrame:
+    """(conv_id, call_id, level): level 0 waits for nothing, level n for a call of level n-1 at most.
 
     ``edges`` has conv_id, call_id and parent, all among ``nodes``.  Calls in
-    or behind a cycle have no row.  There are as many rounds as the longest
-    chain has calls; a round joins the edges that are left, and only whether
-    some were taken off reaches the driver.
+    or behind a cycle have no row.  Conversations of up to ``task_edges``
+    waits are ordered within tasks, many at a time; longer ones by peeling
+    off, round by round and with joins, the edges whose parent is placed, in
+    as many rounds as the longest chain has calls.
     """
     spark = nodes.sparkSession
     path = work_dir(spark, "levels")
     key = ["conv_id", "call_id"]
     left = written(edges.select(*key, "parent").distinct(), "edges")
     nodes.select(*key).join(left.select(*key).distinct(), key, "left_anti").withColumn("level", F.lit(0)).write.parquet(path)
+    long = written(left.groupBy("conv_id").count().where(F.col("count") > task_edges).select("conv_id"), "long_conversations")
+    schema = f"conv_id {left.schema['conv_id'].dataType.simpleString()}, call_id string, level int"
+    whole = left.join(long, "conv_id", "left_anti").repartition("conv_id")
+    whole.mapInArrow(_order, schema).write.mode("append").parquet(path)
+    left = written(left.join(long, "conv_id", "left_semi"), "edges")
     level = 0
     while not left.isEmpty():
         free = spark.read.parquet(path).where(F.col("level") == level).select("conv_id", F.col("call_id").alias("parent"))

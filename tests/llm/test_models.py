@@ -196,15 +196,21 @@ def test_linked_calls(spark):
     assert empty.count() == 0
 
 
-def test_levels_are_longest_chains(spark):
+@pytest.mark.parametrize("task_edges", [0, 30, 1000])
+def test_levels_are_longest_chains(spark, task_edges):
     rng = random.Random(6)
-    nodes = [(1, f"n{k:02}") for k in range(40)]
-    edges = [(1, f"n{a:02}", f"n{b:02}") for a in range(40) for b in range(a) if rng.random() < 0.05]
-    got = {r["call_id"]: r["level"] for r in chat.levels(spark.createDataFrame(nodes, "conv_id bigint, call_id string"), spark.createDataFrame(edges, "conv_id bigint, call_id string, parent string")).collect()}
+    nodes = [(conv, f"n{k:02}") for conv in (1, 2, 3) for k in range(30)]
+    edges = [(conv, f"n{a:02}", f"n{b:02}") for conv in (1, 2) for a in range(30) for b in range(a) if rng.random() < 0.05 * conv]
     want = {}
-    for _, n in nodes:
-        want[n] = max([want[p] + 1 for _, c, p in edges if c == n], default=0)
-    assert got == want
+    for conv, n in nodes:
+        want[conv, n] = max([want[conv, p] + 1 for k, c, p in edges if (k, c) == (conv, n)], default=0)
+    loop = [(3, "n01", "n02"), (3, "n02", "n01"), (3, "n03", "n02"), (3, "n04", "n05")]
+    for n in ("n01", "n02", "n03"):
+        del want[3, n]
+    want[3, "n04"] = 1
+    frame = spark.createDataFrame(edges + loop, "conv_id bigint, call_id string, parent string")
+    got = chat.levels(spark.createDataFrame(nodes, "conv_id bigint, call_id string"), frame, task_edges).collect()
+    assert len(got) == len(want) and {(r["conv_id"], r["call_id"]): r["level"] for r in got} == want
 
 
 def test_canonical_json():
