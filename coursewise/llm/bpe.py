@@ -28,11 +28,11 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import BLOCK_CHARS, blocks
+from .common import BLOCK_CHARS, blocks, text_batches
 
 SHORT_WORD = 64
 #: Words kept per Python worker; the cache starts anew when it is full.
-CACHE_WORDS = 1 << 20
+CACHE_WORDS = 1 << 19
 
 # Fixed value: the pattern by which the vocabulary's file cuts words
 WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
@@ -405,6 +405,7 @@ def encode_decode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col:
     passed through as they are (null, repeated rows: one result per row), other
     columns of ``docs`` are not read.
     """
+    text_batches(docs.sparkSession)
     text = F.col(text_col) if isinstance(text_col, str) else text_col
     rows = docs.select(F.col(id_col).alias("id"), text.cast("string").alias("text"))
     id_type = rows.schema["id"].dataType.simpleString()

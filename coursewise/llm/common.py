@@ -9,7 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 from coursewise.session import work_dir
 
 #: Text handled at once inside a task, in characters.  It bounds a task's memory, not the input.
-BLOCK_CHARS = 1 << 20
+BLOCK_CHARS = 1 << 19
+#: Whole texts that go to a Python worker at once.
+BATCH_ROWS = 1000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -29,6 +31,17 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def text_batches(spark: SparkSession) -> None:
+    """Let batches to Python hold at most ``BATCH_ROWS`` rows from now on in this session.
+
+    Spark's default of 10,000 rows is made for numbers; with texts it takes
+    tens of megabytes in the worker, in its copies and beside the heap.
+    """
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= BATCH_ROWS:
+        spark.conf.set(key, str(BATCH_ROWS))
+
+
 def blocks(texts: Sequence[str | None], limit: int = BLOCK_CHARS) -> Iterator[tuple[int, int]]:
     """Consecutive (start, stop) row ranges of about ``limit`` characters; every row is in one range."""
     start = size = 0

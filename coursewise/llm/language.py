@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import BLOCK_CHARS, written
+from .common import BLOCK_CHARS, text_batches, written
 
 #: Labelled rows per language that the text models are fitted on (expected number; chosen by a hash of the id).
 SAMPLE_ROWS = 1000
@@ -72,6 +72,7 @@ def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lan
     Rows without language or text teach nothing.  What reaches the driver is a
     count per language and bucket, whatever the size of the table.
     """
+    text_batches(labelled.sparkSession)
     rows = labelled.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang")).where("lang is not null and text is not null")
     sizes = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(50).collect()}
     if not sizes:
@@ -157,6 +158,7 @@ def identify(rows: DataFrame, model: TextModel, id_col: str, text: Column, decla
     as one host.  Null and repeated ids give a result per row, an empty table
     none; other columns are not read.
     """
+    text_batches(rows.sparkSession)
     languages = model.languages
     n = len(languages)
     source = rows.select(F.col(id_col).alias("id"), text.cast("string").alias("text"), _named(declared, languages).alias("declared"),

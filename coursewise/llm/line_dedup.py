@@ -11,7 +11,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import text_batches, written
 
 MIN_SITES = 10
 MAX_SHARE = 0.5
@@ -69,6 +69,7 @@ def remove_boilerplate(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     one site of its own.  Rows that repeat id and text are treated alike, and
     an empty table stays empty.
     """
+    text_batches(docs.sparkSession)
     digest = F.unhex(F.md5(F.col(text_col).cast("binary")))
     keyed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(id_col).alias("id"), digest.alias("digest"))
     lines = docs.select(F.col(id_col).alias("id"), digest.alias("digest"), F.coalesce(F.col(site_col).cast("string"), F.lit("")).alias("site"),

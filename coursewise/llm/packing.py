@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .bpe import vocabulary
-from .common import BLOCK_CHARS, blocks, written
+from .common import BLOCK_CHARS, blocks, text_batches, written
 
 MAX_TOKENS = 4096
 END_ID = 1
@@ -105,6 +105,7 @@ def best_fit_plan(histogram: dict[int, int], capacity: int) -> np.ndarray:
 def pieces(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text",
            max_tokens: int = MAX_TOKENS, end_id: int = END_ID, with_ids: bool = False) -> DataFrame:
     """One row per piece: id, piece, start, length, ids_crc32 (and ids), with its rank among its task's pieces of that length."""
+    text_batches(docs.sparkSession)
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     schema = (f"id {rows.schema['id'].dataType.simpleString()}, piece int, start bigint, length bigint, ids_crc32 bigint, "
               "task int, task_rank bigint" + ", ids array<int>" * with_ids)

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .bpe import powers
-from .common import BLOCK_CHARS, blocks
+from .common import BLOCK_CHARS, blocks, text_batches
 
 #: Bound of the labelled sample that the classifier is fitted on (expected rows, chosen by a hash of the id).
 SAMPLE_ROWS = 6000
@@ -208,6 +208,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     Label rows with a null id or label teach nothing; an id that is repeated
     teaches once per row.  Only features of the sample reach the driver.
     """
+    text_batches(docs.sparkSession)
     known = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("double").alias("label")).where("id is not null and label is not null")
     share = min(1.0, sample_rows / max(1, known.count()))
     chosen = known.where(F.pmod(F.xxhash64("id"), F.lit(1 << 30)) < share * (1 << 30))

@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import BLOCK_CHARS, written
+from .common import BLOCK_CHARS, text_batches, written
 from .components import components
 
 SHINGLE_WORDS = 3
@@ -65,6 +65,7 @@ def fingerprint(text: str | None, shingle_words: int = SHINGLE_WORDS, seed: int
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                  shingle_words: int = SHINGLE_WORDS, seed: int = SEED) -> DataFrame:
     """(id, fp bigint) of every row; null texts count as empty, other columns are not read."""
+    text_batches(docs.sparkSession)
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from coursewise.session import work_dir
 
-from .common import blocks
+from .common import blocks, text_batches
 
 CACHE_SCHEMA = "tokenizer string, digest binary, n_tokens bigint"
 
@@ -59,6 +59,7 @@ def token_counts(docs: DataFrame, path: str, cache: str | None = None, id_col: s
     empty table gives none, other columns are not read.
     """
     spark = docs.sparkSession
+    text_batches(spark)
     cache = cache or work_dir(spark, "token_cache")
     spark.createDataFrame([], CACHE_SCHEMA).write.mode("append").parquet(cache)  # so that it can be read
     version = tokenizer_digest(path)
