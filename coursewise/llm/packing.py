@@ -161,7 +161,8 @@ def pack(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "te
     # at most max_tokens rows, whatever the size of the corpus
     histogram = {r["length"]: r["n"] for r in per_task.groupBy("length").agg(F.sum("n").alias("n")).collect()}
     plan = spark.sparkContext.broadcast(best_fit_plan(histogram, max_tokens))
-    ranked = cut.join(per_task.drop("n"), ["length", "task"]).withColumn("rank", F.col("before") + F.col("task_rank"))
+    # a row a task and length grows with the corpus: merged, never broadcast
+    ranked = cut.join(per_task.drop("n").hint("merge"), ["length", "task"]).withColumn("rank", F.col("before") + F.col("task_rank"))
     columns = ["id", "piece", "start", "length", "ids_crc32"] + ["ids"] * with_ids
     fields = {f.name: f.dataType.simpleString() for f in ranked.schema}
 
