@@ -3,6 +3,8 @@
 Each line hash gets a HyperLogLog sketch of the sites it occurs on; sketches
 of map tasks merge in the aggregation.  Lines whose estimate lies near the
 threshold get an exact distinct count; the others are decided by the sketch.
+Given groups of copies, the lines that pass are counted again, exactly, with
+one site a group: copies of one text do not make its own lines boilerplate.
 """
 
 from __future__ import annotations
@@ -20,6 +22,11 @@ LG_K = 12
 BAND_ERRORS = 5
 
 
+def text_digest(text: Column) -> Column:
+    """What the texts of ``remove_boilerplate`` and their groups of copies are known by."""
+    return F.unhex(F.md5(text.cast("binary")))
+
+
 def _line_hash(line: Column) -> Column:
     return F.unhex(F.md5(F.trim(line).cast("binary")))
 
@@ -40,6 +47,19 @@ def boilerplate_lines(lines: DataFrame, min_sites: int = MIN_SITES, lg_k: int =
     return spread.where(F.col("sites") > min_sites + band).select("hash").union(exact.where(F.col("count") >= min_sites).select("hash"))
 
 
+def group_sites(texts: DataFrame, copies: DataFrame) -> DataFrame:
+    """(digest, site) from texts (digest, site) and their groups (digest, component): one site for all texts of a group.
+
+    Of a group's sites it is the one with the fewest groups (then the first by
+    name), so that a site that copies from all others does not stand for them.
+    """
+    pairs = written(texts.distinct().join(copies, "digest").select("component", "site").distinct(), "group_sites")
+    sizes = written(pairs.groupBy("site").agg(F.count(F.lit(1)).alias("groups")), "site_sizes")
+    chosen = pairs.join(sizes, "site").groupBy("component").agg(F.min(F.struct("groups", "site")).alias("least"))
+    chosen = written(chosen.select("component", "least.site"), "chosen_sites")
+    return written(copies.join(chosen, "component").select("digest", "site"), "text_sites")
+
+
 def _strip(text: pd.Series, lines: pd.Series, max_share: pd.Series) -> pd.DataFrame:
     """The texts without the lines of those numbers, unless they hold more than their share of the characters."""
     out, count = [], []
@@ -56,13 +76,16 @@ def _strip(text: pd.Series, lines: pd.Series, max_share: pd.Series) -> pd.DataFr
 
 def remove_boilerplate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", site_col: str = "source",
                        min_sites: int = MIN_SITES, max_share: float = MAX_SHARE, lg_k: int = LG_K,
-                       count_col: str = "lines_removed") -> DataFrame:
+                       count_col: str = "lines_removed", copies: DataFrame | None = None) -> DataFrame:
     """``docs`` with cross-site boilerplate lines cut out of the text, and the number of lines cut.
 
     A line is a piece between newlines, compared without spaces at its ends;
     blank lines are never cut.  A document whose characters are
     boilerplate for more than ``max_share`` is a copy of a widely copied text,
     not a text with a frame around it: it is left whole for duplicate removal.
+    ``copies`` (digest, component) tells that better: a line's spread is then
+    counted with one site a component (a text under no component counts by
+    none), and with a ``max_share`` of 1 every line that still passes is cut.
 
     Rows and columns stay as they are (a column named ``count_col`` is
     replaced); a null text stays null, an empty one empty, a null site counts as
@@ -70,13 +93,19 @@ def remove_boilerplate(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     an empty table stays empty.
     """
     text_batches(docs.sparkSession)
-    digest = F.unhex(F.md5(F.col(text_col).cast("binary")))
+    digest, site = text_digest(F.col(text_col)), F.coalesce(F.col(site_col).cast("string"), F.lit(""))
     keyed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(id_col).alias("id"), digest.alias("digest"))
-    lines = docs.select(F.col(id_col).alias("id"), digest.alias("digest"), F.coalesce(F.col(site_col).cast("string"), F.lit("")).alias("site"),
+    lines = docs.select(F.col(id_col).alias("id"), digest.alias("digest"), site.alias("site"),
                         F.posexplode(F.split(F.col(text_col), "\n", -1)).alias("number", "line"))
     lines = lines.where(F.trim("line") != "").select("id", "digest", "site", "number", _line_hash(F.col("line")).alias("hash"))
     flagged = written(boilerplate_lines(lines.select("hash", "site"), min_sites, lg_k), "boilerplate")
     hits = lines.select("id", "digest", "number", "hash").join(flagged, "hash", "left_semi")
+    if copies is not None:
+        hits = written(hits, "shared_lines")
+        # null texts have no lines
+        sites = group_sites(docs.select(digest.alias("digest"), site.alias("site")), written(copies.select("digest", "component").where("digest is not null").distinct(), "copies"))
+        spread = hits.select("hash", "digest").distinct().join(sites, "digest").groupBy("hash", "site").count().groupBy("hash").count()
+        hits = hits.join(written(spread.where(F.col("count") >= min_sites).select("hash"), "boilerplate"), "hash", "left_semi")
     cut = hits.groupBy("id", "digest").agg(F.collect_set("number").alias("numbers"))
     cut = written(cut, "cut_lines").withColumnsRenamed({"id": "i", "digest": "d"})
     joined = keyed.join(cut, F.col("id").eqNullSafe(F.col("i")) & F.col("digest").eqNullSafe(F.col("d")), "left")

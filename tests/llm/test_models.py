@@ -302,6 +302,28 @@ def test_pipeline_stages_over_odd_rows(spark, make_docs, tmp_path):
         assert stage(spark, docs.limit(0), sf).count() == 0, name
 
 
+def test_line_stage_cuts_every_shared_line_and_leaves_copies_whole(spark, make_docs, tmp_path):
+    import corpus_pipeline
+
+    rng = random.Random(6)
+    frame = "Licensed under the Apache License, Version 2.0."
+    short = [(i, f"own words {i}\n{frame}", "en", f"s{i}") for i in range(12)]
+    mirrored = [(50 + i, f"page {i} of a site that is mirrored\nframe of the mirrored sites", "en", site) for i in range(12) for site in (f"s{i}", "a mirror")]
+    own = "\n".join(f"{j} " + sentence(rng, "de", 30) for j in range(8))
+    exact = [(100 + i, own, "de", f"s{i}") for i in range(12)]
+    other = "\n".join(f"{j} " + sentence(rng, "fr", 400) for j in range(8))
+    near = [(200 + i, f"{other}\ncopy{i}", "fr", f"s{i}") for i in range(12)]
+    one_site = [(300 + i, f"text {i} on one site\nframe of one site only", "en", "s3") for i in range(12)] + [(320 + i, "frame of one site only", "en", f"s{i}") for i in range(12)]
+    docs = make_docs(short + mirrored + exact + near + one_site + [(400, None, None, None)])
+    got = {}
+    for r in corpus_pipeline.line_stage(spark, docs, str(tmp_path)).collect():
+        got.setdefault(r["doc_id"], set()).add((r["text"], r["n_chars"]))
+    whole = lambda t: {(t, len(t))}
+    assert all(got[i] == whole(f"own words {i}") for i in range(12))
+    assert all(got[50 + i] == whole(f"page {i} of a site that is mirrored") for i in range(12))
+    assert all(got[i] == whole(t) for i, t, *_ in exact + near + one_site) and got[400] == {(None, None)}
+
+
 def test_pipeline_run(spark):
     import corpus_pipeline
 
