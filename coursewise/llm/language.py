@@ -66,21 +66,35 @@ class TextModel:
         return total * (min(n, EVIDENCE) / n) if n else total
 
 
+def _code(column: Column) -> Column:
+    """The language of a code: its first letters in lower case (fr of fr-CA), the whole code if it has none; null for none or ``und``."""
+    code = F.lower(F.trim(column.cast("string")))
+    first = F.regexp_extract(code, r"^([\p{L}\p{M}]+)", 1)
+    code = F.when(first != "", first).otherwise(code)
+    return F.when((code != "") & (code != UNKNOWN), code)
+
+
+def _index(code: Column, languages: Sequence[str]) -> Column:
+    """The place of a code among ``languages``; null for none of them."""
+    at = F.array_position(F.array(*map(F.lit, languages)).cast("array<string>"), code)
+    return F.when(at > 0, (at - 1).cast("int"))
+
+
 def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", sample_rows: int = SAMPLE_ROWS) -> TextModel:
     """Trigram models from about ``sample_rows`` rows of each language of ``labelled``.
 
-    Rows without language or text teach nothing.  What reaches the driver is a
-    count per language and bucket, whatever the size of the table.
+    Every language that has labelled rows is fitted; EN and fr-CA count as en
+    and fr.  Rows without language or text teach nothing.  What reaches the
+    driver is a count per language and bucket, whatever the size of the table.
     """
     text_batches(labelled.sparkSession)
-    rows = labelled.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang")).where("lang is not null and text is not null")
-    sizes = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(50).collect()}
+    rows = labelled.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), _code(F.col(lang_col)).alias("lang")).where("lang is not null and text is not null")
+    sizes = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
     if not sizes:
         return TextModel((UNKNOWN,), np.full((1, BUCKETS), -math.log(BUCKETS)))
-    share = F.lit(None).cast("double")
-    for lang, n in sizes.items():
-        share = F.when(F.col("lang") == lang, F.lit(min(1.0, sample_rows / n))).otherwise(share)
-    chosen = rows.where(F.pmod(F.xxhash64("id"), F.lit(1 << 30)) < share * (1 << 30))
+    languages = sorted(sizes)
+    shares = F.array(*[F.lit(min(1.0, sample_rows / sizes[lang])) for lang in languages])
+    chosen = rows.where(F.pmod(F.xxhash64("id"), F.lit(1 << 30)) < F.get(shares, _index(F.col("lang"), languages)) * (1 << 30))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         totals: dict[str, np.ndarray] = {}
@@ -93,10 +107,9 @@ def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lan
             yield pa.RecordBatch.from_arrays([pa.array([lang] * len(at)), pa.array(at), pa.array(n[at])], ["lang", "bucket", "n"])
 
     counted = chosen.select("lang", "text").mapInArrow(count, "lang string, bucket bigint, n bigint").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
-    languages = sorted(sizes)
-    counts = np.zeros((len(languages), BUCKETS))
+    counts, at = np.zeros((len(languages), BUCKETS)), {lang: i for i, lang in enumerate(languages)}
     for r in counted.collect():
-        counts[languages.index(r["lang"]), r["bucket"]] = r["n"]
+        counts[at[r["lang"]], r["bucket"]] = r["n"]
     p = (counts + 0.5) / (counts + 0.5).sum(axis=1, keepdims=True)
     p = (1 - NOISE) * p + NOISE / BUCKETS
     return TextModel((*languages, UNKNOWN), np.log(np.vstack([p, np.full(BUCKETS, 1 / BUCKETS)])))
@@ -113,11 +126,7 @@ def _confusion(rows: DataFrame, column: str, languages: Sequence[str]) -> np.nda
 
 def _named(column: Column, languages: Sequence[str]) -> Column:
     """The index of the language that a code such as fr or fr-CA names; null for none or another."""
-    code = F.lower(F.regexp_extract(F.coalesce(column.cast("string"), F.lit("")), "^([A-Za-z]+)", 1))
-    out = F.lit(None).cast("int")
-    for i, lang in enumerate(languages[:-1]):
-        out = F.when(code == lang, F.lit(i)).otherwise(out)
-    return out
+    return _index(_code(column), languages[:-1])
 
 
 def host_priors(votes: DataFrame, n: int, strength: float = STRENGTH) -> DataFrame:
@@ -136,7 +145,7 @@ def host_priors(votes: DataFrame, n: int, strength: float = STRENGTH) -> DataFra
 
     def smooth(level: DataFrame, key: str, above: Column) -> DataFrame:
         own = F.array(*[F.col(f"n{i}").cast("double") for i in range(n)])
-        size = sum((F.col(f"n{i}") for i in range(1, n)), F.col("n0"))
+        size = F.aggregate(own, F.lit(0.0), lambda a, b: a + b)
         return level.select(key, *([F.col(c) for c in level.columns if c == "top" and c != key]),
                             F.zip_with(own, above, lambda a, b: (a + strength * b) / (size + strength)).alias(f"{key}_prior"))
 

@@ -151,6 +151,25 @@ def test_nothing_to_learn_from(spark):
     assert language.fit(spark.createDataFrame([], "doc_id int, text string, lang string")).languages == (language.UNKNOWN,)
 
 
+def test_every_labelled_language_is_fitted_and_named(spark):
+    letters = [chr(ord("a") + i) for i in range(26)]
+    rng = random.Random(2)
+    codes = [f"{a}{b}" for a in "xyz" for b in letters]
+    words = {c: ["".join(rng.choices(letters, k=6)) for _ in range(6)] for c in codes}
+    text = lambda c: " ".join(rng.choices(words[c], k=30))
+    spelled = [lambda c: c, str.upper, lambda c: f"{c}-CA", lambda c: f" {c}_Hans"]
+    rows = [(i, text(c), spelled[i % 4](c), "h.org") for i, c in enumerate(codes * 8)] + [(9000 + i, text("xa"), lang, "h.org") for i, lang in enumerate(["und", "", " ", None])]
+    rows += [(9100, "ein wort", "中文", None), (9101, "noch eins", "हिन्दी", None), (9102, "und eins", "12", None)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, host string")
+    fitted = language.fit(docs)
+    assert fitted.languages == (*sorted([*codes, "中文", "हिन्दी", "12"]), language.UNKNOWN)
+    got = language.identify(docs, fitted, "doc_id", F.col("text"), F.col("lang"), F.lit(None).cast("string"), F.col("host")).where("doc_id < 9000").withColumn("ok", language.accepted())
+    assert {(r["doc_id"], r["lang"], r["ok"]) for r in got.collect()} == {(i, codes[i % len(codes)], True) for i in range(len(codes) * 8)}
+    named = spark.createDataFrame([(c,) for c in ("XA", "xa-Latn", "en", "", None, "und", "中文")], "c string").select(language._named(F.col("c"), fitted.languages).alias("n"))
+    at = {lang: i for i, lang in enumerate(fitted.languages)}
+    assert [r["n"] for r in named.collect()] == [at["xa"], at["xa"], None, None, None, None, at["中文"]]
+
+
 def test_page_parts(spark):
     page = "<!DOCTYPE html><HTML class=a lang='fr-CA'><head><script>var t='<p>';</script><style>p{}</style></head><body><!-- no <p> --><p>Un&eacute; <b>deux</b></p></body></html>"
     rows = [(page, "https://u@www.site.de:80/x/y"), ("<p>plain", "http://a.example.com/fr/9?p=1"), ("", "no url"), (None, None), ("<html><head lang=en>", "http://h.co.uk")]
