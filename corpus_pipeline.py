@@ -2,24 +2,33 @@
 
 Every stage takes (spark, docs, sf_dir) and decides on all rows that the stage
 before it kept; all but the last return the columns of ``documents``.  Rows
-that share a doc_id stand or fall together, null ids count as one id; null
-texts count as empty, and an empty table runs through as an empty table.
+are told apart by what a stage decides on, not by doc_id alone: rows that
+share an id, or have none, stand or fall each by its own text.  Null texts
+count as empty, and an empty table runs through as an empty table.
 """
 
 from __future__ import annotations
 
+import functools
+
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from coursewise.llm import language, line_dedup, packing, quality, simhash
 from coursewise.llm.common import table, written
 
 
-def _with_ids(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose doc_id is among ``ids``."""
-    ids = ids.select(F.col("doc_id").alias("kept_id")).distinct()
-    return docs.alias("d").join(ids.alias("k"), F.col("d.doc_id").eqNullSafe(F.col("k.kept_id")), "left_semi")
+def _key(*columns: str) -> Column:
+    """What rows are told apart by: doc_id (null ids come last in order), digest of the text, and the columns."""
+    return F.struct(F.col("doc_id").isNull().alias("unidentified"), "doc_id", line_dedup.text_digest(F.col("text")).alias("digest"), *columns)
+
+
+def _with_keys(docs: DataFrame, key: Column, keys: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose key is among ``keys`` (column key); nulls are equal."""
+    kept = keys.select("key").distinct().alias("k")
+    same = [key[f].eqNullSafe(F.col("k.key")[f]) for f in keys.schema["key"].dataType.names]
+    return docs.alias("d").join(kept, functools.reduce(lambda a, b: a & b, same), "left_semi")
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -31,8 +40,10 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 6: documents without a known language go; the lang column is the declaration, the source the host."""
     model = language.fit(docs)
-    found = language.identify(docs, model, "doc_id", F.col("text"), F.col("lang"), F.lit(None).cast("string"), F.col("source"))
-    return _with_ids(docs, found.where(language.accepted()))
+    key = _key("lang", "source")  # rows of one key have the same evidence
+    rows = docs.select(key.alias("key"), "text", "lang", "source")
+    found = language.identify(rows, model, "key", F.col("text"), F.col("lang"), F.lit(None).cast("string"), F.col("source"))
+    return _with_keys(docs, key, found.where(language.accepted()))
 
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -45,9 +56,15 @@ def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 7: of each component the document with the smallest id stays."""
-    found = simhash.near_duplicates(docs)
-    return _with_ids(docs, found.where(F.col("doc_id").eqNullSafe(F.col("component"))))
+    """Operator 7: of each component one row stays, that with the smallest id, then text digest, then other columns."""
+    found = simhash.near_duplicates(docs.select(_key().alias("key"), "text"), "key")
+    stay = written(found.where("key = component").groupBy("key").count(), "stay")
+    kept = _with_keys(docs, _key(), stay.where("count = 1"))
+    # rows that repeat id and text are few or fall together before they are shuffled
+    repeated = _with_keys(docs, _key(), written(stay.where("count > 1"), "repeated"))
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    one = repeated.groupBy(_key().alias("key")).agg(F.min(F.struct(*columns)).alias("row"))
+    return kept.union(one.select(*[F.col(f"row.`{c}`") for c in docs.columns]))
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

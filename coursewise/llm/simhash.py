@@ -148,8 +148,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """(id, fp bigint, component) of every row of ``docs``; component is the smallest id reachable over links.
 
     Copies share a fingerprint and are linked once, as a class.  Null and empty
-    texts have fingerprint zero and link like any other.  Rows that repeat an
-    id get the same component; a null id is never a component unless nothing
+    texts have fingerprint zero and link like any other.  Rows that repeat id
+    and text get the same component, other texts under the id their own; a null id is never a component unless nothing
     else is reachable, and then the component is null.  An empty table gives
     no rows; columns other than id and text are not read.
     """

@@ -343,6 +343,26 @@ def test_line_stage_cuts_every_shared_line_and_leaves_copies_whole(spark, make_d
     assert all(got[i] == whole(t) for i, t, *_ in exact + near + one_site) and got[400] == {(None, None)}
 
 
+def test_stages_decide_by_row_where_ids_repeat_or_are_missing(spark, make_docs, tmp_path):
+    import corpus_pipeline
+
+    rng = random.Random(7)
+    texts = [sentence(rng, lang, 60) for lang in ["en", "de", "fr"] * 8]
+    foreign = "Быстрая коричневая лиса прыгает через ленивую собаку и бежит дальше по дороге"
+    rows = [(i, t, ["en", "de", "fr"][i % 3], "s1") for i, t in enumerate(texts)]
+    odd = [(None, foreign, None, "s1"), (None, "123 !!", None, None), (None, None, None, None), (3, foreign, None, "s1"), (None, texts[0] + "!", "en", "s1")]
+    got = corpus_pipeline.language_stage(spark, make_docs(rows + odd), str(tmp_path))
+    assert sorted(map(repr, (r[:4] for r in got.collect()))) == sorted(map(repr, rows + odd[-1:]))
+
+    alone = sentence(rng, "de", 50), sentence(rng, "fr", 50), sentence(rng, "en", 50)
+    again = [rows[2], (2, texts[2], "xx", "s9"), (2, alone[0], "de", "s1"), (9, texts[1].replace(" ", "  "), "de", "s1"), (None, texts[4], "de", "s1"),
+             (None, alone[1], "fr", "s1"), (None, alone[1], "fr", "s1"), (None, alone[1].replace(" ", "  "), "fr", "s1"), (None, alone[2], "en", None), (50, None, None, None), (50, "", None, None)]
+    got = [tuple(r[:4]) for r in corpus_pipeline.near_duplicate_stage(spark, make_docs(rows + again), str(tmp_path)).collect()]
+    near = [r for r in got if r[0] == 50 or r[0] is None and r[1].split() == alone[1].split()]
+    assert len(near) == 2 and {r[0] for r in near} == {50, None}
+    assert sorted(map(repr, (r for r in got if r not in near))) == sorted(map(repr, [*rows, again[2], again[8]]))
+
+
 def test_pipeline_run(spark):
     import corpus_pipeline
 
