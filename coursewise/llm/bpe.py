@@ -10,7 +10,8 @@ scans would cost the square of its length.
 
 A block of texts is cut into words with array operations over its code points.
 Words that were merged before come from a bounded per-process cache: a hash
-table of word hashes whose entries name a slice of one id buffer.
+table of word hashes whose entries name slices of an id buffer and of a
+spelling buffer; a hit counts only if the spelling is the same.
 """
 
 from __future__ import annotations
@@ -71,8 +72,8 @@ def _byte_chars() -> dict[int, str]:
 class _WordTable:
     """Word hashes -> slices of an id buffer; linear probing over arrays.
 
-    A word is known by two independent 64-bit hashes, so equal entries are
-    equal words but for a chance of about 2^-128 a pair.
+    A word is found by two 64-bit hashes; ``spelled`` compares code points, so
+    words that share both hashes are told apart, by chance or by design.
     """
 
     def __init__(self, limit: int) -> None:
@@ -87,6 +88,9 @@ class _WordTable:
         self._first, self._second = np.empty((2, 1 << 14), np.uint64)
         self._start, self._length = np.empty((2, 1 << 14), np.int64)
         self._ids = np.empty(1 << 16, np.int32)
+        self._chars_used = 0
+        self._chars_start, self._chars_length = np.empty((2, 1 << 14), np.int64)
+        self._chars = np.empty(1 << 16, np.uint32)
 
     def _home(self, first: np.ndarray) -> np.ndarray:
         return ((first * np.uint64(0x9E3779B97F4A7C15)) >> self._shift).astype(np.int64)
@@ -104,18 +108,33 @@ class _WordTable:
             left, at = left[~same], (at[~same] + 1) & self._mask
         return out
 
-    def add(self, first: np.ndarray, second: np.ndarray, length: np.ndarray, ids: np.ndarray) -> None:
-        """Append words that are not there yet, each once."""
+    def spelled(self, entry: np.ndarray, code: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """Whether each entry is the word ``code[start:end]``; no word is empty."""
+        size = end - start
+        same = self._chars_length[entry] == size
+        at = np.flatnonzero(same)
+        if len(at):
+            equal = self._chars[_ranges(self._chars_start[entry[at]], size[at])] == code[_ranges(start[at], size[at])]
+            same[at] = np.logical_and.reduceat(equal, np.cumsum(size[at]) - size[at])
+        return same
+
+    def add(self, first: np.ndarray, second: np.ndarray, size: np.ndarray, chars: np.ndarray, length: np.ndarray, ids: np.ndarray) -> None:
+        """Append words (``size`` code points each in ``chars``, ``length`` ids each) whose hashes are not there yet, each once."""
         k, n = self.count, len(first)
         while k + n > len(self._first):
-            self._first, self._second, self._start, self._length = (
-                np.concatenate([x, np.empty_like(x)]) for x in (self._first, self._second, self._start, self._length))
+            self._first, self._second, self._start, self._length, self._chars_start, self._chars_length = (
+                np.concatenate([x, np.empty_like(x)]) for x in (self._first, self._second, self._start, self._length, self._chars_start, self._chars_length))
         while self._used + len(ids) > len(self._ids):
             self._ids = np.concatenate([self._ids, np.empty_like(self._ids)])
-        self._first[k:k + n], self._second[k:k + n], self._length[k:k + n] = first, second, length
+        while self._chars_used + len(chars) > len(self._chars):
+            self._chars = np.concatenate([self._chars, np.empty_like(self._chars)])
+        self._first[k:k + n], self._second[k:k + n], self._length[k:k + n], self._chars_length[k:k + n] = first, second, length, size
         self._start[k:k + n] = self._used + np.cumsum(length) - length
         self._ids[self._used:self._used + len(ids)] = ids
         self._used += len(ids)
+        self._chars_start[k:k + n] = self._chars_used + np.cumsum(size) - size
+        self._chars[self._chars_used:self._chars_used + len(chars)] = chars
+        self._chars_used += len(chars)
         self.count += n
         entry, at = np.arange(k, k + n, dtype=np.int32), self._home(first)
         while len(entry):
@@ -294,45 +313,53 @@ class WordBpe:
             if len(code) > len(up):  # a text of more than a block without white space
                 up, down = powers(base, len(code))
             total = np.zeros(len(code) + 1, np.uint64)
-            np.cumsum(code * up[:len(code)], out=total[1:])
+            np.cumsum((code + np.uint32(1)) * up[:len(code)], out=total[1:])  # one more, so that U+0000 counts
             hashes.append((total[end] - total[start]) * down[start])
         count, flat = [np.empty(0, np.int64)], [np.empty(0, np.int32)]
         step = CACHE_WORDS // 2
         for i in range(0, len(start), step):
-            got = self._word_ids(block, start[i:i + step], end[i:i + step], *(h[i:i + step] for h in hashes))
+            got = self._word_ids(block, code, start[i:i + step], end[i:i + step], *(h[i:i + step] for h in hashes))
             count.append(got[0])
             flat.append(got[1])
         size = np.fromiter(map(len, texts), np.int64, len(texts)) + 1
         owner = np.searchsorted(np.cumsum(size), start, "right")
         return np.bincount(owner, np.concatenate(count), len(texts)).astype(np.int64), np.concatenate(flat)
 
-    def _word_ids(self, block: str, start: np.ndarray, end: np.ndarray, one: np.ndarray, two: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def _word_ids(self, block: str, code: np.ndarray, start: np.ndarray, end: np.ndarray, one: np.ndarray, two: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(ids per word, flat ids); words come from the cache, new ones are merged and kept."""
+        entry = np.full(len(start), -1, np.int64)
+        at = np.flatnonzero(end - start <= SHORT_WORD)
+        entry[at] = self._entries(block, code, start[at], end[at], one[at], two[at])
+        known, other = np.flatnonzero(entry >= 0), np.flatnonzero(entry < 0)
+        if not len(other):
+            return self._table.ids(entry)
+        # long words are merged each time, since nothing that large is kept, and so are words whose hashes another word has
+        lengths, parts = np.empty(len(start), np.int64), []
+        words = [block[a:b].encode() for a, b in zip(start[other].tolist(), end[other].tolist(), strict=True)]
+        for rows, (count, ids) in ((known, self._table.ids(entry[known])), (other, self.merge(words))):
+            lengths[rows] = count
+            parts.append((rows, count, ids))
+        begin, out = np.cumsum(lengths) - lengths, np.empty(int(lengths.sum()), np.int32)
+        for rows, count, ids in parts:
+            out[_ranges(begin[rows], count)] = ids
+        return lengths, out
+
+    def _entries(self, block: str, code: np.ndarray, start: np.ndarray, end: np.ndarray, one: np.ndarray, two: np.ndarray) -> np.ndarray:
+        """The cache entry of each word, new words being merged and added; -1 for a word whose hashes another word has."""
         table = self._table
         if table.count + len(start) > table.limit:
             table.clear()
-        short = end - start <= SHORT_WORD
-        if not short.all():  # long words are merged each time: nothing that large is kept
-            lengths, parts = np.empty(len(start), np.int64), []
-            for keep, part in ((True, short), (False, ~short)):
-                at = np.flatnonzero(part)
-                got = self._word_ids(block, start[at], end[at], one[at], two[at]) if keep else self.merge(
-                    [block[a:b].encode() for a, b in zip(start[at].tolist(), end[at].tolist(), strict=True)])
-                lengths[at] = got[0]
-                parts.append((at, *got))
-            begin, out = np.cumsum(lengths) - lengths, np.empty(int(lengths.sum()), np.int32)
-            for at, count, ids in parts:
-                out[_ranges(begin[at], count)] = ids
-            return lengths, out
         entry = table.find(one, two)
         new = np.flatnonzero(entry < 0)
         if len(new):
             new = new[np.lexsort((two[new], one[new]))]
             fresh = np.append(True, (one[new[1:]] != one[new[:-1]]) | (two[new[1:]] != two[new[:-1]]))
             pick = new[fresh]
-            table.add(one[pick], two[pick], *self.merge([block[a:b].encode() for a, b in zip(start[pick].tolist(), end[pick].tolist(), strict=True)]))
+            size = end[pick] - start[pick]
+            merged = self.merge([block[a:b].encode() for a, b in zip(start[pick].tolist(), end[pick].tolist(), strict=True)])
+            table.add(one[pick], two[pick], size, code[_ranges(start[pick], size)], *merged)
             entry[new] = table.find(one[new], two[new])
-        return table.ids(entry)
+        return np.where(table.spelled(entry, code, start, end), entry, -1)
 
     def _other_ids(self, text: str) -> np.ndarray:
         """Ids of a text that holds added tokens or other letters: the library cuts it into words, the merges are ours."""

@@ -16,7 +16,7 @@ PIECE = public_tokenizers.path("piece_bpe_32k.model")
 
 ODD = ["", None, "Hello <|endoftext|>World<|startoftext|>", "<|ENDOFTEXT|> a", "ΣΑΣ ὈΔΥΣΣΕΎΣ İI", "a\x1cb \x1f c", "日本語 テキスト🙂🙂 naïve café",
        "x" * 5000, "ab" * 300 + " 12345 don't we'll I'M 'tis ''s rock'n'roll 're", "é ́x Å", " x  y\u0085z᠎w q", "¹²³ ªº µ ǅ ß ẞ",
-       "<|endoftext|", "<|endoftext|><|endoftext|>x", " \n\t", "'s", "a's", "!'s", "' s", "1's2"]
+       "<|endoftext|", "<|endoftext|><|endoftext|>x", "!\0", "!", "\0", "\0\0 a\0b\0", "!\0\0", " \n\t", "'s", "a's", "!'s", "' s", "1's2"]
 
 
 @pytest.fixture(scope="module")
@@ -40,13 +40,25 @@ def test_odd_texts_encode_as_the_library_does(own, library):
 
 
 @settings(max_examples=150, deadline=None)
-@given(st.lists(st.text(st.sampled_from("abcdeé'st ll.,<|>123\n\tÀΣßя日́revmd"), max_size=60), max_size=4))
+@given(st.lists(st.text(st.sampled_from("abcdeé'st ll.,<|>123\n\tÀΣßя日́revmd\0!"), max_size=60), max_size=4))
 def test_any_text_encodes_and_decodes_as_the_library_does(own, library, texts):
     for text, ids in zip(texts, ids_of(own, texts)):
         assert ids == library.encode(text, add_special_tokens=False).ids
         assert own.decode(np.array(ids, int)) == library.decode(ids, skip_special_tokens=False)
 
 
+@pytest.mark.parametrize("texts", [["!", "!\0"], ["!\0", "!"], ["!\0\0", "\0!", "!", "\0"]])
+def test_null_characters_make_other_words_in_any_order(library, texts):
+    assert ids_of(bpe.WordBpe(WORD), texts) == [library.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def test_words_with_the_same_hashes_are_told_apart(library, monkeypatch):
+    monkeypatch.setattr(bpe, "_BASES", (1, 1))  # now words of the same letters in any order share both hashes
+    texts = ["listen silent tinsel", "silent enlist listen", "abc", "acb bca abc cab", "no on no on"]
+    for order in (texts, texts[::-1]):
+        assert ids_of(bpe.WordBpe(WORD), order) == [library.encode(t, add_special_tokens=False).ids for t in order]
+
+
 def test_a_full_cache_changes_nothing(library, monkeypatch):
     monkeypatch.setattr(bpe, "CACHE_WORDS", 64)
     small = bpe.WordBpe(WORD)
