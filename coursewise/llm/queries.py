@@ -6,11 +6,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, bpe, chat, exact_dedup, language, line_dedup, packing, quality, simhash, token_counts
+from . import alignment, ann, bpe, chat, exact_dedup, language, line_dedup, packing, quality, simhash, token_counts
 from .common import table
 
 WORD_BPE = "word_bpe_49k.json"
 PIECE_BPE = "piece_bpe_32k.model"
+BYTE_BPE = "byte_bpe_50k.json"
 TOKEN_LIMIT = 4096
 
 
@@ -123,7 +124,13 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.withColumn("predicted", (F.col("score") >= quality.THRESHOLD).cast("int"))
 
 
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text's tokens of two tokenizers in groups that cover the same bytes, and how usual their links are."""
+    return alignment.align_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_BPE), public_tokenizers.path(PIECE_BPE))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_best_fit_packing, op2_line_dedup, op3_exact_dedup, op4_token_counts, op5_curve_neighbours, op6_language_id,
-    op7_simhash_near_dedup, op8_tool_calls, op9_bpe_round_trip, op10_quality_classifier)}
+    op7_simhash_near_dedup, op8_tool_calls, op9_bpe_round_trip, op10_quality_classifier,
+    op13_token_alignment)}
 ORACLES = {"op2_line_dedup": OP2_SQL, "op3_exact_dedup": OP3_SQL, "op8_tool_calls": OP8_SQL}
