@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import alignment, ann, bpe, chat, exact_dedup, language, line_dedup, packing, quality, simhash, token_counts
+from . import alignment, ann, bpe, chat, exact_dedup, language, lattice, lexical, line_dedup, packing, quality, simhash, token_counts
 from .common import table
 
 WORD_BPE = "word_bpe_49k.json"
@@ -124,6 +124,32 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.withColumn("predicted", (F.col("score") >= quality.THRESHOLD).cast("int"))
 
 
+def op11_dual_tree_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 10 best documents of all for every benchmark item."""
+    return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+_TERMS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+OP11_SQL = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_TERMS} AS words FROM documents),
+n AS (SELECT r, doc_id, len(words) AS n FROM d WHERE len(words) > 0),
+c AS (SELECT count(*) AS docs, sum(n)::BIGINT AS terms FROM n),
+i AS (SELECT item_id, text, term, count(*) AS qtf FROM (SELECT item_id, text, unnest({_TERMS}) AS term FROM (SELECT DISTINCT item_id, text FROM benchmark)) GROUP BY ALL),
+f AS (SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(words) AS term FROM d) WHERE term IN (SELECT term FROM i) GROUP BY ALL),
+w AS (SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * df + 1)))::BIGINT AS weight FROM (SELECT term, count(*) AS df FROM f GROUP BY term), c),
+s AS (SELECT i.item_id, i.text, n.doc_id, f.r, sum(i.qtf * w.weight * ((1000000000 * f.tf) // (1000 * f.tf + 8 * (100 - 75 + (75 * n.n * c.docs) // c.terms))))::BIGINT AS score
+  FROM i JOIN f USING (term) JOIN w USING (term) JOIN n ON n.r = f.r, c GROUP BY ALL),
+o AS (SELECT item_id, doc_id, score, row_number() OVER (PARTITION BY item_id, text ORDER BY score DESC, doc_id NULLS LAST) AS rank FROM s WHERE score > 0)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM o WHERE rank <= {lexical.K}
+"""
+
+
+def op12_lattice_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and near-duplicate component of every vector."""
+    found = lattice.near_duplicate_vectors(table(spark, sf_dir, "embeddings"))
+    return found.select("vec_id", "n_links", F.col("component").alias("component_id"), "kept")
+
+
 def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every text's tokens of two tokenizers in groups that cover the same bytes, and how usual their links are."""
     return alignment.align_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_BPE), public_tokenizers.path(PIECE_BPE))
@@ -132,5 +158,5 @@ def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     op1_best_fit_packing, op2_line_dedup, op3_exact_dedup, op4_token_counts, op5_curve_neighbours, op6_language_id,
     op7_simhash_near_dedup, op8_tool_calls, op9_bpe_round_trip, op10_quality_classifier,
-    op13_token_alignment)}
-ORACLES = {"op2_line_dedup": OP2_SQL, "op3_exact_dedup": OP3_SQL, "op8_tool_calls": OP8_SQL}
+    op11_dual_tree_search, op12_lattice_dedup, op13_token_alignment)}
+ORACLES = {"op2_line_dedup": OP2_SQL, "op3_exact_dedup": OP3_SQL, "op8_tool_calls": OP8_SQL, "op11_dual_tree_search": OP11_SQL}

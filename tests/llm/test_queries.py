@@ -29,7 +29,7 @@ def rows(spark, name, *columns):
 @pytest.mark.parametrize("name", sorted(queries.ORACLES))
 def test_sql_oracles(spark, name):
     con = duckdb.connect()
-    for table in ("documents", "conversations"):
+    for table in ("documents", "conversations", "benchmark"):
         con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SF}/{table}.parquet'")
     want = con.execute(queries.ORACLES[name])
     columns = [d[0] for d in want.description]
@@ -41,7 +41,7 @@ def test_sql_oracles(spark, name):
 def test_every_query_is_registered_with_the_entry():
     import __spark_entry__ as entry
 
-    assert {f"op{n}" for n in range(1, 11)} == {name.split("_")[0] for name in queries.QUERIES}
+    assert {f"op{n}" for n in range(1, 14)} == {name.split("_")[0] for name in queries.QUERIES}
     assert set(queries.QUERIES) | {"pipeline"} <= set(entry.queries())
     assert set(queries.ORACLES) <= set(entry.oracle_sql())
 
