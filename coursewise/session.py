@@ -9,7 +9,9 @@ when it is unset on a local master (tests, benchmarks) do we create one.
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -48,15 +50,22 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     return spark
 
 
+#: Local folders made here, by application: the setting cannot be changed once an application runs.
+_LOCAL_DIRS: dict[str, str] = {}
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder, creating a local one only in local mode."""
+    """Return the shared checkpoint folder, creating a local one only in local mode; that one goes when Python ends."""
     conf = spark.sparkContext.getConf()
     path = conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
     if not path:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
-        path = tempfile.mkdtemp(prefix="coursewise-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", path)
+        app = spark.sparkContext.applicationId
+        if app not in _LOCAL_DIRS:
+            _LOCAL_DIRS[app] = tempfile.mkdtemp(prefix="coursewise-ckpt-")
+            atexit.register(shutil.rmtree, _LOCAL_DIRS[app], ignore_errors=True)
+        path = _LOCAL_DIRS[app]
     if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
         spark.sparkContext.setCheckpointDir(path)
     return path
