@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from coursewise.functions import markup
 from coursewise.functions.prices import clean_price
 
 # --------------------------------------------------------------------------- links
@@ -21,7 +22,11 @@ from coursewise.functions.prices import clean_price
 # the href value of an anchor: in double quotes, single quotes or bare, tag and attribute in any case
 ANCHOR_HREF = r"""(?is)<a\s(?:[^>]*?\s)?href\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)"""
 # Listing marker "All ... courses" opening the course section of a listing page, and its tags.
-MARKER = r"(?s)<(?i:h1|h2|div|span)\b[^>]*>\s*All (?:[^<]* )?courses\s*<"
+# An element's text is that of its pieces between tags, each without white space around it: "All " has to begin the
+# first piece and " courses" to end the last one, within the element.
+MARKER = (r"(?s)<(?<tag>(?i:h1|h2|div|span))\b[^>]*>(?:\s|<(?!/?\k<tag>\b)[^>]*>)*"
+          r"(?:All (?:[^<]* )?courses|All [^<]*[^<\s][^<]*<(?:(?!</?\k<tag>\b).)*>[^<]*[^<\s][^<]* courses)"
+          r"\s*(?:</(?!\k<tag>\b)[^>]*>\s*)*</\k<tag>\b")
 
 
 def site_of(url: Column) -> Column:
@@ -45,10 +50,10 @@ def extract_links(pages: DataFrame, path_filter: str = "/course/", host_col: str
     """
     base = F.col(host_col) if host_col else site_of(F.col("url"))
     at = pages.select("page_id", F.col("html").alias("__html"), base.alias("__base"),
-                      F.regexp_instr("html", F.lit(MARKER)).alias("__pos"))
-    section = F.when(F.col("__pos") > 0, F.expr("substring(__html, __pos)")).otherwise(F.col("__html"))
+                      _found(F.col("html"), f"({MARKER}.*)").alias("__section"))
+    section = F.coalesce("__section", "__html")
     hrefs = F.transform(F.regexp_extract_all(section, F.lit(ANCHOR_HREF), 1),
-                        lambda h: _unescape(F.regexp_replace(h, "^[\"']|[\"']$", "")))
+                        lambda h: markup.unescape(F.regexp_replace(h, "^[\"']|[\"']$", "")))
     site = F.col("__base")
     links = F.filter(F.transform(F.filter(hrefs, lambda h: h.contains(path_filter)), lambda h: normalize_url(h, site)),
                      lambda u: u.startswith(F.concat(site, F.lit(path_filter))))
@@ -84,14 +89,6 @@ PRICE_PATHS = ["$.price_text_data.amount", "$.price_text_data.list_price.amount"
                "$.discount.list_price.amount", "$.base_price.amount"]
 
 
-def _unescape(c: Column) -> Column:
-    """The few HTML entities that appear inside attribute values."""
-    for ent, ch in (("&quot;", '"'), ("&#34;", '"'), ("&#39;", "'"), ("&lt;", "<"), ("&gt;", ">"),
-                    ("&amp;", "&")):
-        c = F.replace(c, F.lit(ent), F.lit(ch))
-    return c
-
-
 def _found(html: Column, pattern: str, group: int = 1) -> Column:
     """A group of the first match, NULL without one."""
     return F.nullif(F.regexp_extract(html, pattern, group), F.lit(""))
@@ -105,18 +102,6 @@ def _script(attribute: str) -> str:
     return rf"(?is)<script\b[^>]*{attribute}[^>]*>(.*?)</script"
 
 
-def _body_attr(html: Column, name: str) -> Column:
-    """An attribute of the body tag, in either kind of quotes."""
-    return F.coalesce(_found(html, rf"(?is)<body\b[^>]*\s{name}\s*=\s*'([^']*)'"),
-                      _found(html, rf'(?is)<body\b[^>]*\s{name}\s*=\s*"([^"]*)"'))
-
-
-def _element(html: Column, attribute: str, tag: str = r"\w+") -> Column:
-    """The text of the first element with an attribute: inner tags cut out."""
-    inner = _found(html, rf"(?is)<({tag})\b[^>]*{attribute}[^>]*>(.*?)</\1\s*>", 2)
-    return F.regexp_replace(inner, "(?s)<[^>]*>", "")
-
-
 def _json(text: Column, path: str) -> Column:
     """A JSON member that says something: empty text, list and object count as missing (Q22)."""
     got = F.get_json_object(text, path)
@@ -152,21 +137,22 @@ def with_page_parts(pages: DataFrame, site: Site = SITE) -> DataFrame:
     several times, so Catalyst keeps the projections apart instead of
     re-inlining the HTML scans.  Blocks may span lines.
     """
-    html = F.col("html")
-    cut = pages.withColumns({
-        "__meta": _found(html, rf"""(?is)<meta\b[^>]*{_attr("property", site.meta_price)}[^>]*content\s*=\s*["']([^"']*)["']"""),
+    html, shown = F.col("html"), F.col("__shown")
+    cut = pages.withColumn("__shown", markup.visible(html)).withColumns({
+        "__meta": markup.attribute(markup.first_tag(html, markup.opening("property", re.escape(site.meta_price), "meta")), "content"),
         "__ld_block": F.trim(F.regexp_replace(_found(html, _script(_attr("type", "application/ld+json"))), r"^\s+|\s+$", "")),
-        "__module": _unescape(_body_attr(html, "data-module-args")),
-        "__clp_id": _body_attr(html, "data-clp-course-id"),
+        "__body": markup.first_tag(html, r"(?is)<body(?=[\s/>])"),
         "__next": _found(html, _script(_attr("id", "__NEXT_DATA__"))),
-        "__price_blocks": F.regexp_extract_all(html, F.lit(rf"(?is)<div\b[^>]*{_attr('data-purpose', site.price_text)}[^>]*>(.*?)</div"), 1),
+        "__price_blocks": markup.elements(shown, markup.opening("data-purpose", re.escape(site.price_text), "div")),
         "__title_tag": _title_text(F.when(html.rlike(r"<title.*?>(.*?)</title>"), F.regexp_extract(html, r"<title.*?>(.*?)</title>", 1)), site),
-        "__title_dom": _title_text(F.regexp_extract(html, r"(?is)<title\b[^>]*>(.*?)</title", 1), site),
+        "__title_dom": _title_text(markup.unescape(F.regexp_extract(html, r"(?is)<title\b[^>]*>(.*?)</title", 1)), site),
         "__cid_text": _found(html, r"courseId[^\d]*(\d{5,8})"),
-        "__students": F.coalesce(_element(html, _attr("data-purpose", "enrollment")), _element(html, r"""class\s*=\s*["'][^"']*enrollment-count""")),
-        "__rating": _element(html, _attr("data-purpose", "rating-number")),
-        "__reviews": _element(html, _attr("data-purpose", "rating"), "a"),
+        "__students": markup.text(F.coalesce(markup.first_element(shown, markup.opening("data-purpose", "enrollment")),
+                                             markup.first_element(shown, markup.opening("class", r"[^\"'>]*enrollment-count[^\"'>]*")))),
+        "__rating": markup.text(markup.first_element(shown, markup.opening("data-purpose", "rating-number"))),
+        "__reviews": markup.text(markup.first_element(shown, markup.opening("data-purpose", "rating", "a"))),
     })
+    cut = cut.withColumns({"__module": markup.attribute(F.col("__body"), "data-module-args"), "__clp_id": markup.attribute(F.col("__body"), "data-clp-course-id")})
     block, module, nxt = F.col("__ld_block"), F.col("__module"), F.col("__next")
     items = (F.when(block.startswith("["), F.from_json(block, f"array<{_LD_ITEM}>"))
               .when(block.contains('"@graph"'), F.from_json(block, f"struct<`@graph`:array<{_LD_ITEM}>>").getField("@graph"))
@@ -219,8 +205,8 @@ def price_candidates_of_parts() -> Column:
     items = F.coalesce(F.col("__ld"), F.array().cast(f"array<{_LD_ITEM}>"))
     ld = F.filter(F.flatten(F.transform(items, offer_prices)), lambda p: p > 0)
     module = _arr(*[F.get_json_object("__course", p).try_cast("double") for p in PRICE_PATHS])
-    spans = F.flatten(F.transform("__price_blocks", lambda b: F.regexp_extract_all(b, F.lit(r"(?is)<span\b[^>]*>(.*?)</span"), 1)))
-    texts = F.transform(spans, lambda t: F.trim(F.regexp_replace(t, "(?s)<[^>]*>", "")))
+    spans = F.flatten(F.transform("__price_blocks", lambda b: markup.elements(b, r"(?is)<span(?=[\s/>])")))
+    texts = F.transform(spans, lambda t: markup.text(t, strip=True))
     visible = F.filter(F.transform(F.filter(texts, lambda t: t.rlike(r"\d")), clean_price),
                        lambda p: p.isNotNull() & (p > 0))
     return F.concat(_arr(clean_price(F.col("__meta"))), ld, module, visible)

@@ -238,12 +238,18 @@ PAGE_FORMS = [
 {"@type":"Product","name":"","provider":{"name":"School K"},"offers":[{"price":10},{"price":"20"}]}]</script><body>var courseId=I;</body></html>""",
     """<html><script type="application/ld+json">{"@graph":[{"@type":"Course","name":"Big K","author":[{"name":"Au K"}],
 "hasCourseInstance":{"courseWorkload":"PT99999999999999999999H"}}]}</script><body>courseId:I</body></html>""",
+    """<html><head><meta data-x="a > b" content="99&#46;5" name=price property='product:price'><title>T8 K | Courses</title></head>
+<body data-x='<div data-purpose="enrollment">9</div>' data-module-args='{"course_id":"I","componentProps":{"course":{"title":"Caf&eacute; &#x27;K&#x27; &amp;amp; &hearts;"}}}'>
+<div data-purpose="course-price-text"><div class="old"><span>was</span><div><span>₫ <span>1,50</span>0</span></div></div><!-- <span>7</span> --><span>Free</span></div>
+<div class="c" data-purpose=enrollment><div>total</div><div>1&#44;S students</div></div>
+<span data-purpose="rating-number"><span>Rated</span> <span>4.K</span></span></body></html>""",
 ]
 
 
 def fx_page_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Course pages in every form the extraction knows, one per part: blocks over several lines,
-    JSON-LD or an id attribute alone, two price blocks, tags within numbers, no payload at all."""
+    JSON-LD or an id attribute alone, two price blocks, tags within numbers, no payload at all, attributes in
+    another order, elements within elements of the same name, and references of every kind."""
     part = read_table(spark, sf_dir, "part")
     key = F.col("p_partkey")
     html = F.lit(None).cast("string")
@@ -258,12 +264,13 @@ def fx_page_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def fx_listing_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Listing pages, one per supplier: with a marker in a heading, in a paragraph (which is none) or without one;
-    links in double and single quotes, capitals, absolute, elsewhere, with a query."""
+    """Listing pages, one per supplier: with a marker in a heading, around and between tags, in a paragraph (which
+    is none) or without one; links in double and single quotes, capitals, absolute, elsewhere, with a query."""
     supp = read_table(spark, sf_dir, "supplier")
     k = F.col("s_suppkey").cast("string")
-    marker = F.element_at(F.array(F.lit("<h2 class='m'>\n All Python courses</h2>"), F.lit("<p>All Python courses</p>"), F.lit("")),
-                          (F.col("s_suppkey") % 3 + 1).cast("int"))
+    marker = F.element_at(F.array(F.lit("<h2 class='m'>\n All Python courses</h2>"), F.lit("<p>All Python courses</p>"), F.lit(""),
+                                  F.lit("<div>🙂<p>All</p></div><div><b>All the</b> best <i>Python courses</i></div>"), F.lit("<H1><b> All courses </b></H1>")),
+                          (F.col("s_suppkey") % 5 + 1).cast("int"))
     html = F.concat(F.lit('<html><body><a class="n" href="/course/first-'), k, F.lit('/">x</a>'), marker,
                     F.lit("<A data-x='1' HREF='/course/second-"), k, F.lit("?a=1&amp;b=2'>y</A><a\nhref=\"" + PAGE_SITE + "/course/third-"), k,
                     F.lit('//">z</a><a href="https://other.example.com/course/x/">o</a><a href="/about/">a</a><a data-href="/course/no/">n</a></body></html>'))
