@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -16,16 +16,42 @@ def normalize_columns(df: DataFrame) -> DataFrame:
     return df.toDF(*[normalize_name(c) for c in df.columns])
 
 
+NESTED = (T.StructType, T.ArrayType, T.MapType)
+
+
+def reconcile(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """C1 over files of differing columns: declared columns in their types and order, then the others as text.
+
+    Names are normalised first; of columns whose names become the same the
+    first non-null value counts.  A declared column that is missing is NULL; a
+    value that its declared type cannot hold is an error.  Columns that are
+    declared as nested are text here: give them as JSON (C2).
+    """
+    own: dict[str, list[str]] = {}
+    for c in df.columns:
+        own.setdefault(normalize_name(c), []).append(c)
+
+    def merged(name: str, kind: str) -> Column:
+        return F.coalesce(*(F.col(_quoted(c)).cast(kind) for c in own.get(name, [])), F.lit(None).cast(kind)).alias(name)
+
+    declared = {normalize_name(f.name): "string" if isinstance(f.dataType, NESTED) else f.dataType.simpleString() for f in schema.fields}
+    extra = [n for n in own if n not in declared]
+    return df.select(*(merged(n, kind) for n, kind in declared.items()), *(merged(n, "string") for n in extra))
+
+
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
 def nested_to_json(df: DataFrame) -> DataFrame:
     """Struct / array / map columns -> JSON text (chosen from the schema)."""
-    nested = (T.StructType, T.ArrayType, T.MapType)
-    return df.withColumns({f.name: F.to_json(F.col(f"`{f.name}`"))
-                           for f in df.schema.fields if isinstance(f.dataType, nested)})
+    return df.withColumns({f.name: F.to_json(F.col(_quoted(f.name)))
+                           for f in df.schema.fields if isinstance(f.dataType, NESTED)})
 
 
 def nan_to_null(df: DataFrame) -> DataFrame:
     """NaN -> NULL in every floating-point column (Q2/Q3)."""
-    return df.withColumns({f.name: F.when(~F.isnan(F.col(f"`{f.name}`")), F.col(f"`{f.name}`"))
+    return df.withColumns({f.name: F.when(~F.isnan(F.col(_quoted(f.name))), F.col(_quoted(f.name)))
                            for f in df.schema.fields
                            if isinstance(f.dataType, (T.DoubleType, T.FloatType))})
 

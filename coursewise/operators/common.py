@@ -6,6 +6,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from coursewise.operators.skew import with_range
+
+
 def top_n_per_key(df: DataFrame, keys: list[str], order: list[Column], n: int = 1,
                   rank_col: str | None = None) -> DataFrame:
     """The first ``n`` rows per key under a total order.
@@ -27,24 +30,23 @@ def best_row(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
 
 
 def sequential_ids(df: DataFrame, order_col: str, id_col: str, within: list[str] | None = None) -> DataFrame:
-    """Ids 1..n in ascending byte order of a text column over a DISTINCT set (W2), per ``within`` group.
+    """Ids 1..n in ascending byte order of a text column over a DISTINCT set (W2), per ``within`` group, NULL last.
 
-    Values are numbered within their two-byte prefix, which sorts like the
-    values do, and a prefix adds the number of values under smaller prefixes.
-    There are at most 65,793 prefixes per group, so the offsets are a bounded
-    table whatever the number of values.
+    The order is cut into balanced ranges (``skew.with_range``), values are
+    numbered within their range, and a range adds the number of values in the
+    ranges before it: however alike values are, no task numbers all of them.
+    The offsets are one row a range.
     """
     keys = within or []
-    prefix = F.substring(F.col(order_col).cast("binary"), 1, 2)
-    rows = df.withColumn("__prefix", prefix)
+    rows = with_range(df.withColumn("__last", F.col(order_col).isNull()), [*keys, "__last", order_col], "__range")
     rows = rows.withColumn("__rank", F.row_number().over(
-        Window.partitionBy(*keys, "__prefix").orderBy(F.col(order_col).asc_nulls_last())))
-    counts = rows.groupBy(*keys, "__prefix").agg(F.count(F.lit(1)).alias("__n"))
-    earlier = Window.partitionBy(*keys).orderBy(F.col("__prefix").asc_nulls_last()).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(*keys, "__prefix", F.coalesce(F.sum("__n").over(earlier), F.lit(0)).alias("__before"))
-    return (rows.join(offsets, [*keys, "__prefix"])
+        Window.partitionBy(*keys, "__range").orderBy(F.col(order_col).asc_nulls_last())))
+    counts = rows.groupBy(*keys, "__range").agg(F.count(F.lit(1)).alias("__n"))
+    earlier = Window.partitionBy(*keys).orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(*keys, "__range", F.coalesce(F.sum("__n").over(earlier), F.lit(0)).alias("__before"))
+    return (rows.join(offsets, [*keys, "__range"])
                 .withColumn(id_col, (F.col("__before") + F.col("__rank")).cast("bigint"))
-                .drop("__prefix", "__rank", "__before"))
+                .drop("__range", "__rank", "__before", "__last"))
 
 
 def to_output(df: DataFrame) -> DataFrame:

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from coursewise.functions.dates import timestamp_text
 from coursewise.functions.keys import hash_key
 from coursewise.functions.prices import discount_percentage
 from coursewise.operators.common import best_row, sequential_ids
+from coursewise.operators.skew import lookup_join
 
 
 # --------------------------------------------------------------------------- F1-F3
@@ -144,16 +145,19 @@ def lowest_price_flag(prices: DataFrame, key: str = "course_id", price: str = "s
     """price > 0 and <= the course's minimum positive price over all time (Q19).
 
     Computed as a partial-aggregated MIN per course joined back, not as a
-    window: a course holding a third of the rows is reduced map-side, and the
-    join is split by AQE's skew handling if it stays hot.  ``of`` gives the
+    window: a course holding a third of the rows is reduced map-side, and its
+    rows are dealt out for the join (``skew.lookup_join``).  ``of`` gives the
     rows that the minimum is taken over, if they are not ``prices``.
     """
     lows = ((prices if of is None else of).filter(F.col(price) > 0).groupBy(key)
                   .agg(F.min(price).alias("__low")))
-    joined = prices.join(lows, key, "left")
-    return joined.withColumn(
-        flag, F.coalesce((F.col(price) > 0) & (F.col(price) <= F.col("__low")), F.lit(False))
-    ).drop("__low")
+    joined = lookup_join(prices, lows, key)
+    return joined.withColumn(flag, at_lowest(F.col(price), F.col("__low"))).drop("__low")
+
+
+def at_lowest(price: Column, low: Column) -> Column:
+    """F14 for one row: a positive price that is at the course's minimum positive price."""
+    return F.coalesce((price > 0) & (price <= low), F.lit(False))
 
 
 PRICE_HISTORY_COLUMNS = ["history_id", "course_id", "title", "course_url", "list_price",

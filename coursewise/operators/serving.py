@@ -17,6 +17,7 @@ from coursewise.functions.prices import MONEY, discount_percentage
 from coursewise.functions.tiers import (DURATION_TIERS, PRICE_TIERS, duration_tier, price_tier,
                                         rating_tier, tier_rank)
 from coursewise.operators.common import best_row, top_n_per_key
+from coursewise.operators.skew import lag_in_range, lookup_join
 
 # ============================================================================ courses
 
@@ -231,12 +232,19 @@ def price_history_enriched(fct_price_history: DataFrame, dim_course: DataFrame,
     """Price history with category name; titled rows.
 
     The category name is looked up once per course, so history rows meet one
-    join; both lookups are plain equi-joins that AQE sizes at run time.
+    join, which deals out the rows of courses that have many.
     """
+    return _with_category(fct_price_history, category_names(dim_course, dim_category))
+
+
+def category_names(dim_course: DataFrame, dim_category: DataFrame) -> DataFrame:
+    """(course_id, category) through the surrogate key."""
     names = dim_category.select("category_id", F.col("category_name").alias("category"))
-    d = dim_course.select("course_id", "category_id").join(names, "category_id", "left").select("course_id", "category")
-    out = fct_price_history.filter(F.col("title").isNotNull()).join(d, "course_id", "left")
-    return out.select(*HISTORY_COLUMNS)
+    return dim_course.select("course_id", "category_id").join(names, "category_id", "left").select("course_id", "category")
+
+
+def _with_category(fct_price_history: DataFrame, categories: DataFrame) -> DataFrame:
+    return lookup_join(fct_price_history.filter(F.col("title").isNotNull()), categories, "course_id").select(*HISTORY_COLUMNS)
 
 
 def price_history_with_category(fct_price_history: DataFrame, stg_courses: DataFrame) -> DataFrame:
@@ -245,9 +253,27 @@ def price_history_with_category(fct_price_history: DataFrame, stg_courses: DataF
     category directly gives the same rows while skipping the dimension build
     (and its sizing pass).  Used when the gold dimensions are not materialised."""
     from coursewise.operators.marts import best_course_record
-    cat = best_course_record(stg_courses).select("course_id", "category")
-    out = fct_price_history.filter(F.col("title").isNotNull()).join(cat, "course_id", "left")
-    return out.select(*HISTORY_COLUMNS)
+    return _with_category(fct_price_history, best_course_record(stg_courses).select("course_id", "category"))
+
+
+def price_tracker(prices: DataFrame, categories: DataFrame, *more: DataFrame) -> DataFrame:
+    """G2 with F14 straight from price rows: ``HISTORY_COLUMNS``, ``n_positive`` and the columns of ``more``.
+
+    ``prices`` are price rows before any join; what a course adds to its rows
+    (minimum and number of positive prices, category, and the further tables
+    of ``more``, all one row a course) is put together first, so rows meet one
+    join on the course, in which courses with many rows are dealt out.
+    """
+    from coursewise.operators.marts import at_lowest
+    titled, positive = F.col("title").isNotNull(), F.col("sale_price") > 0
+    lookup = prices.groupBy("course_id").agg(F.min(F.when(positive, F.col("sale_price"))).alias("__low"), F.count_if(titled & positive).alias("n_positive"))
+    for table in (categories, *more):
+        lookup = lookup.join(table, "course_id", "left")
+    rows = lookup_join(prices.filter(titled).select("course_id", "title", "course_url", "list_price", "sale_price", "recorded_at"), lookup, "course_id")
+    rows = rows.withColumns({"discount_percentage": discount_percentage(F.col("list_price"), F.col("sale_price")),
+                             "is_lowest_price_ever": at_lowest(F.col("sale_price"), F.col("__low"))})
+    extra = [c for table in more for c in table.columns if c != "course_id"]
+    return rows.select(*HISTORY_COLUMNS, "n_positive", *extra)
 
 
 def ordered_history(history: DataFrame) -> DataFrame:
@@ -289,9 +315,15 @@ def dropped_courses(history: DataFrame) -> DataFrame:
 
 
 def drop_only(history: DataFrame, prices: DataFrame | None = None) -> DataFrame:
-    """History rows of the courses found by G25 (J5, semi join), ``prices`` being its rows before any join."""
+    """History rows of the courses found by G25 (J5), ``prices`` being its rows before any join."""
     dropped = dropped_courses(history if prices is None else prices)
-    return history.join(dropped.select("course_id"), "course_id", "left_semi")
+    return lookup_join(history, dropped.select("course_id"), "course_id", "inner")
+
+
+def tracker_drop_only(prices: DataFrame, categories: DataFrame) -> DataFrame:
+    """G24 straight from price rows: whether a course dropped is one more column of the one lookup."""
+    dropped = dropped_courses(prices.filter(F.col("title").isNotNull())).select("course_id", F.lit(True).alias("dropped"))
+    return price_tracker(prices, categories, dropped).filter("dropped").select(*HISTORY_COLUMNS)
 
 
 def course_selector(history: DataFrame) -> DataFrame:
@@ -362,13 +394,13 @@ def price_alerts(cp: DataFrame) -> DataFrame:
 def chart_series(history: DataFrame, prices: DataFrame | None = None) -> DataFrame:
     """Positive-price rows when a course has more than one, else all its rows.
 
-    The per-course count is a partial aggregate joined back 1:1 (skew-safe);
-    ``prices`` are the history's rows before any join.
+    The per-course count is a partial aggregate that rows look up; ``prices``
+    are the history's rows before any join.  A ``price_tracker`` has it already.
     """
-    n_pos = (history if prices is None else prices).groupBy("course_id").agg(F.count_if(F.col("sale_price") > 0).alias("__npos"))
-    return (history.join(n_pos, "course_id")
-                   .filter((F.col("__npos") <= 1) | (F.col("sale_price") > 0))
-                   .drop("__npos"))
+    if "n_positive" not in history.columns:
+        n_pos = (history if prices is None else prices).groupBy("course_id").agg(F.count_if(F.col("sale_price") > 0).alias("n_positive"))
+        history = lookup_join(history, n_pos, "course_id", "inner")
+    return history.filter((F.col("n_positive") <= 1) | (F.col("sale_price") > 0)).drop("n_positive")
 
 
 def lowest_points(history: DataFrame, prices: DataFrame | None = None) -> DataFrame:
@@ -376,38 +408,17 @@ def lowest_points(history: DataFrame, prices: DataFrame | None = None) -> DataFr
     return chart_series(history, prices).filter(F.col("is_lowest_price_ever"))
 
 
-def lag_in_time(df: DataFrame, key: str, time: str, value: str, out: str,
-                bucket: str = "month") -> DataFrame:
-    """Previous ``value`` per key in time order, without one task per hot key.
-
-    Rows are windowed per (key, time bucket); the first row of a bucket takes
-    the last value of the key's previous bucket from a one-row-per-bucket
-    table, itself windowed per key (buckets per key, far fewer than rows).
-    """
-    b = F.date_trunc(bucket, F.col(time))
-    w_in = Window.partitionBy(key, "__b").orderBy(F.col(time).asc_nulls_first())
-    rows = (df.withColumn("__b", b)
-              .withColumn("__rn", F.row_number().over(w_in))
-              .withColumn("__prev_in", F.lag(value).over(w_in)))
-    last = top_n_per_key(rows.select(key, "__b", time, value), [key, "__b"],
-                         [F.col(time).desc_nulls_last()], 1)
-    w_b = Window.partitionBy(key).orderBy(F.col("__b").asc_nulls_first())
-    edges = last.select(key, "__b", F.lag(value).over(w_b).alias("__prev_b"))
-    return (rows.join(edges, [key, "__b"], "left")
-                .withColumn(out, F.when(F.col("__rn") == 1, F.col("__prev_b")).otherwise(F.col("__prev_in")))
-                .drop("__b", "__rn", "__prev_in", "__prev_b"))
-
-
 def history_with_drop(prices: DataFrame, of: DataFrame | None = None) -> DataFrame:
     """Per row the drop versus the previous row when it fell, else the discount; newest first.
 
-    ``prices`` are price rows before any join, so that the windows by course
-    and month shuffle by both; ``of`` are the rows that the all-time low is
-    taken over (``prices`` if not given).
+    ``prices`` are price rows before any join; the row before is found in
+    balanced ranges of course and time (W4), so that no task holds a whole
+    course.  ``of`` are the rows that the all-time low is taken over (``prices``
+    if not given).
     """
     from coursewise.operators.marts import lowest_price_flag
     rows = prices.select("course_id", "recorded_at", "list_price", "sale_price")
-    h = lowest_price_flag(lag_in_time(rows, "course_id", "recorded_at", "sale_price", "prev_price"), of=rows if of is None else of)
+    h = lowest_price_flag(lag_in_range(rows, ["course_id"], "recorded_at", "sale_price", "prev_price"), of=rows if of is None else of)
     fell = (F.col("prev_price").isNotNull() & (F.col("sale_price") > 0)
             & (F.col("prev_price") > F.col("sale_price")))
     discount = discount_percentage(F.col("list_price"), F.col("sale_price"))

@@ -5,13 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from coursewise.operators.serving import lag_in_time
+from coursewise.operators.skew import lag_in_range
 
 
 def student_growth(stg_courses: DataFrame) -> DataFrame:
     """H1: change of the student count between consecutive snapshots of a course."""
     snaps = stg_courses.select("course_id", "scraped_at", "num_students")
-    lagged = lag_in_time(snaps, "course_id", "scraped_at", "num_students", "prev_students")
+    lagged = lag_in_range(snaps, ["course_id"], "scraped_at", "num_students", "prev_students")
     return lagged.withColumn("growth", F.col("num_students") - F.col("prev_students"))
 
 

@@ -140,7 +140,12 @@ class Warehouse:
     @cached_property
     def price_history(self) -> DataFrame:
         """History rows with their course category (the price tracker's base table)."""
-        return serving.price_history_with_category(self.fct_price_history, self.stg_courses)
+        return self.price_tracker.select(*serving.HISTORY_COLUMNS)
+
+    @cached_property
+    def price_tracker(self) -> DataFrame:
+        """The same with the number of positive prices per course."""
+        return serving.price_tracker(self.prices, self.course_category)
 
     @cached_property
     def course_category(self) -> DataFrame:
@@ -159,7 +164,8 @@ class Warehouse:
         Of dim_course only the category id is needed, so only that lookup is joined.
         """
         courses = marts.with_lookup_id(self.course_category, "category", self.dim_category)
-        return serving.price_history_enriched(self.fct_price_history, courses, self.dim_category)
+        names = serving.category_names(courses, self.dim_category)
+        return serving.price_tracker(self.prices, names).select(*serving.HISTORY_COLUMNS)
 
     MARTS = ("dim_category", "dim_language", "dim_level", "dim_course", "dim_date", "dim_instructor",
              "bridge_course_instructors", "fct_course_snapshot", "fct_price_history")
@@ -172,9 +178,9 @@ class Warehouse:
 
     def build(self, target_dir: str, names: tuple[str, ...] = MARTS,
               materialize_silver: bool = True) -> dict[str, str]:
-        """Write each gold table (rebuild and swap); return name -> path.
+        """Publish a new version of each gold table; return name -> folder of that version.
 
-        The price history is partitioned by ``recorded_month``.
+        ``files.read_table`` finds the newest version below ``target_dir``.  The price history is partitioned by ``recorded_month``.
 
         With ``materialize_silver`` the three staging models are written first
         and every mart reads them back, so bronze is scanned and de-duplicated
