@@ -618,9 +618,9 @@ def g25_dropped_courses(spark, sf):
 
 @register("g24_drop_only", PH2 + HIST_OUT + " FROM history WHERE course_id IN (SELECT course_id FROM dropped)")
 def g24_drop_only(spark, sf):
-    """History rows of the dropped courses (J5 semi join)."""
+    """History rows of the dropped courses."""
     w = W(spark, sf)
-    return serving.drop_only(w.price_history, w.titled_prices)
+    return serving.tracker_drop_only(w.prices, w.course_category)
 
 
 @register("g26_selector", PH + """
@@ -690,15 +690,13 @@ WHERE c.npos <= 1 OR h.sale_price > 0)"""
 @register("g30_chart_series", O.with_(*O.ENRICHED, CHART) + HIST_OUT + " FROM chart")
 def g30_chart_series(spark, sf):
     """Chart rows (positive prices when more than one)."""
-    w = W(spark, sf)
-    return serving.chart_series(w.price_history, w.titled_prices)
+    return serving.chart_series(W(spark, sf).price_tracker)
 
 
 @register("g31_lowest_points", O.with_(*O.ENRICHED, CHART) + HIST_OUT + " FROM chart WHERE is_lowest_price_ever")
 def g31_lowest_points(spark, sf):
     """All-time-low markers of the chart rows."""
-    w = W(spark, sf)
-    return serving.lowest_points(w.price_history, w.titled_prices)
+    return serving.lowest_points(W(spark, sf).price_tracker)
 
 
 @register("g32_history_drop", PH + f"""
@@ -1284,29 +1282,29 @@ def e13_price_records(spark, sf):
 
 @register("e1_listing_links", f"""
 SELECT s_suppkey AS page_id, '{fixtures.PAGE_SITE}/course/' || x || '-' || CAST(s_suppkey AS VARCHAR) || '/' AS link
-FROM supplier, (VALUES ('first'), ('second'), ('third')) t(x) WHERE x <> 'first' OR s_suppkey % 3 <> 0""")
+FROM supplier, (VALUES ('first'), ('second'), ('third')) t(x) WHERE x <> 'first' OR s_suppkey % 5 IN (1, 2)""")
 def e1_listing_links(spark, sf):
     """Course links of listing pages with and without the marker, quotes and capitals of every kind."""
     return P.extract_links(fixtures.fx_listing_pages(spark, sf))
 
 
 FORMS_SQL = """
-WITH f AS (SELECT p_partkey AS page_id, p_partkey % 8 AS kind, CAST(p_partkey AS VARCHAR) AS k, CAST(p_size AS BIGINT) AS size,
+WITH f AS (SELECT p_partkey AS page_id, p_partkey % 9 AS kind, CAST(p_partkey AS VARCHAR) AS k, CAST(p_size AS BIGINT) AS size,
                   CAST(p_partkey + 200000 AS VARCHAR) AS own_id FROM part)
 """
 
 
 @register("e12_page_forms", FORMS_SQL + """
 SELECT page_id, own_id AS course_id,
-       CASE kind WHEN 0 THEN 'Name ' WHEN 1 THEN 'Next ' WHEN 2 THEN 'Mod ' WHEN 4 THEN 'Por ' WHEN 6 THEN 'T6 ' ELSE 'Big ' END || k AS title,
+       CASE kind WHEN 0 THEN 'Name ' WHEN 1 THEN 'Next ' WHEN 2 THEN 'Mod ' WHEN 4 THEN 'Por ' WHEN 6 THEN 'T6 ' WHEN 7 THEN 'Big ' ELSE 'Café ''' END || k || CASE kind WHEN 8 THEN ''' &amp; ♥' ELSE '' END AS title,
        CASE WHEN kind = 0 THEN 'About ' || k END AS headline, CASE WHEN kind = 0 THEN 'en' END AS language,
        CASE WHEN kind = 0 THEN 'Beginner' END AS level, CASE WHEN kind = 0 THEN '2024-01-02' END AS publishes_date,
        CAST(CASE kind WHEN 0 THEN size * 3600 + 1800 WHEN 1 THEN size END AS DOUBLE) AS course_duration_seconds,
-       CAST(CASE kind WHEN 0 THEN page_id + 0.5 WHEN 6 THEN 20 END AS DOUBLE) AS original_price,
-       CAST(CASE kind WHEN 0 THEN page_id + 0.5 WHEN 6 THEN 10 END AS DOUBLE) AS discount_price,
-       CAST(CASE kind WHEN 1 THEN size WHEN 2 THEN size WHEN 4 THEN size * 1000 END AS DOUBLE) AS num_students,
+       CAST(CASE kind WHEN 0 THEN page_id + 0.5 WHEN 6 THEN 20 WHEN 8 THEN 1500 END AS DOUBLE) AS original_price,
+       CAST(CASE kind WHEN 0 THEN page_id + 0.5 WHEN 6 THEN 10 WHEN 8 THEN 99.5 END AS DOUBLE) AS discount_price,
+       CAST(CASE kind WHEN 1 THEN size WHEN 2 THEN size WHEN 4 THEN size * 1000 WHEN 8 THEN CAST('1' || size AS BIGINT) END AS DOUBLE) AS num_students,
        CAST(CASE kind WHEN 0 THEN size WHEN 1 THEN size WHEN 2 THEN page_id WHEN 4 THEN page_id END AS DOUBLE) AS num_reviews,
-       CAST(CASE kind WHEN 0 THEN 4.5 WHEN 1 THEN 3.5 WHEN 2 THEN 2.5 WHEN 4 THEN 4.7 END AS DOUBLE) AS avg_rating_score,
+       CAST(CASE kind WHEN 0 THEN 4.5 WHEN 1 THEN 3.5 WHEN 2 THEN 2.5 WHEN 4 THEN 4.7 WHEN 8 THEN CAST('4.' || k AS DOUBLE) END AS DOUBLE) AS avg_rating_score,
        CASE WHEN kind = 1 THEN '[{"rating":1,"count":' || CAST(size AS VARCHAR) || '}]' END AS rating_distribution,
        CAST(CASE kind WHEN 0 THEN 2 WHEN 6 THEN 1 WHEN 7 THEN 1 ELSE 0 END AS BIGINT) AS n_instructors,
        CASE kind WHEN 0 THEN 'Ann ' || k WHEN 6 THEN 'School ' || k WHEN 7 THEN 'Au ' || k END AS first_instructor
@@ -1322,9 +1320,9 @@ def e12_page_forms(spark, sf):
 
 @register("e13_page_forms", FORMS_SQL + """
 SELECT page_id, CASE kind WHEN 1 THEN '7' ELSE own_id END AS course_id,
-       CASE kind WHEN 0 THEN 'T0 ' || k WHEN 1 THEN 'T1 ' || k WHEN 2 THEN 'Root ' || k WHEN 3 THEN 'Attr ' || k WHEN 6 THEN 'T6 ' || k END AS title,
-       CAST(CASE kind WHEN 0 THEN page_id + 0.5 WHEN 3 THEN 1000 WHEN 6 THEN 20 END AS DOUBLE) AS original_price,
-       CAST(CASE kind WHEN 0 THEN page_id + 0.5 WHEN 3 THEN 20 WHEN 6 THEN 10 END AS DOUBLE) AS discount_price
+       CASE kind WHEN 0 THEN 'T0 ' || k WHEN 1 THEN 'T1 ' || k WHEN 2 THEN 'Root ' || k WHEN 3 THEN 'Attr ' || k WHEN 6 THEN 'T6 ' || k WHEN 8 THEN 'T8 ' || k END AS title,
+       CAST(CASE kind WHEN 0 THEN page_id + 0.5 WHEN 3 THEN 1000 WHEN 6 THEN 20 WHEN 8 THEN 1500 END AS DOUBLE) AS original_price,
+       CAST(CASE kind WHEN 0 THEN page_id + 0.5 WHEN 3 THEN 20 WHEN 6 THEN 10 WHEN 8 THEN 99.5 END AS DOUBLE) AS discount_price
 FROM f WHERE kind <> 5""")
 def e13_page_forms(spark, sf):
     """Price records of pages in every form, id attribute first."""
@@ -1560,10 +1558,11 @@ def _write_text(spark, path: str, text: str) -> None:
 @register("s10_incremental_load", O.with_(O.FX_OFFERS) + """
 SELECT course_id, title, CAST(original_price AS DOUBLE) AS original_price,
        CAST(discount_price AS DOUBLE) AS discount_price, _url, _category, scraped_at, l_orderkey,
-       CAST(l_linenumber AS BIGINT) AS l_linenumber FROM fx_offers""")
+       CAST(l_linenumber AS BIGINT) AS l_linenumber FROM fx_offers""".replace("scraped_at, l_orderkey,", "scraped_at, l_orderkey, CASE WHEN year(scraped_at) > 1996 THEN 'late' END AS batch_note,"))
 def s10_incremental_load(spark, sf):
-    """Two landing runs over a tree of folders; a damaged file loads once it is repaired,
-    an empty file and names in capitals load too, and each file is loaded exactly once."""
+    """Two landing runs over a tree of folders; a damaged file loads once it is repaired, an empty file
+    and names in capitals load too, a file with other column names and one more column keeps its columns,
+    and each file is loaded exactly once."""
     root = work_dir(spark, "s10")
     landing, raw = f"{root}/landing", f"{root}/raw"
     offers, inst = fixtures.fx_offers(spark, sf), fixtures.fx_instructors(spark, sf)
@@ -1576,9 +1575,10 @@ def s10_incremental_load(spark, sf):
     schemas = {"price_tracker": offers.schema, "instructors": inst.schema}
     incremental.incremental_load(spark, landing, schemas, raw)
     files.write_parquet(offers.filter((year > 1994) & (year <= 1996)), damaged)
-    files.write_parquet(offers.filter(year > 1996), f"{landing}/tracker/PROD_TRACKER_GROUP1_P2-2_B_COURSES.PARQUET", "gzip")
+    late = offers.filter(year > 1996).withColumnsRenamed({"course_id": "Course ID", "title": " Title"}).withColumn("Batch Note", F.lit("late"))
+    files.write_parquet(late, f"{landing}/tracker/PROD_TRACKER_GROUP1_P2-2_B_COURSES.PARQUET", "gzip")
     incremental.incremental_load(spark, landing, schemas, raw)
-    return incremental.read_raw_table(spark, raw, "price_tracker").select(*OFFER_COLS)
+    return incremental.read_raw_table(spark, raw, "price_tracker").select(*OFFER_COLS, "batch_note")
 
 
 G35_SQL = O.with_(O.FX_OFFERS) + f"""
@@ -1633,10 +1633,12 @@ def g35_alert_feed(spark, sf):
     root = work_dir(spark, "g35")
     landing = f"{root}/landing"
     schema = fixtures.fx_offers(spark, sf).schema
-    glob = f"{landing}/*tracker*_courses.parquet"
     for second in (False, True):
         _land_offers(spark, sf, landing, second)
-        stream_alerts.run_alert_feed(spark, glob, schema, f"{root}/out", f"{root}/checkpoint",
+        if not second:  # a damaged file beside the others
+            _write_text(spark, f"{landing}/deep/PROD_TRACKER_group1_p9-9_X_COURSES.parquet", "not a parquet file")
+        # each run has a checkpoint of its own: what was applied is known without it
+        stream_alerts.run_alert_feed(spark, landing, schema, f"{root}/raw", f"{root}/out", f"{root}/checkpoint-{second}",
                                      tie_break=["l_orderkey", "l_linenumber"])
     return stream_alerts.read_alerts(spark, f"{root}/out")
 

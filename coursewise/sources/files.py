@@ -130,29 +130,81 @@ def export_csv(spark: SparkSession, tables: dict[str, DataFrame], out_dir: str,
     return out.withColumnRenamed("name", "table_name")
 
 
+def _fs(spark: SparkSession, path: str):
+    """(file system, folder class) for a path of any store that Spark can write to."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path
+    return folder(path).getFileSystem(spark._jsc.hadoopConfiguration()), folder
+
+
+def delete_files(spark: SparkSession, paths: list[str]) -> None:
+    """Delete files or folders; what is gone already is passed over."""
+    for path in paths:
+        fs, folder = _fs(spark, path)
+        fs.delete(folder(path), True)
+
+
+def _versions(spark: SparkSession, path: str, kind: str) -> list[str]:
+    """Names in ``<path>/<kind>``, oldest version first."""
+    fs, folder = _fs(spark, path)
+    at = folder(f"{path}/{kind}")
+    return sorted(f.getPath().getName() for f in fs.listStatus(at)) if fs.exists(at) else []
+
+
+def publish(df: DataFrame, path: str, partition_by: list[str] | None = None) -> str:
+    """Write ``df`` as the next version of the table at ``path`` and make it the current one; returns its folder.
+
+    A version is an immutable folder ``data/<version>``; it is current once the
+    empty file ``current/<version>`` exists and no later one does.  That file
+    is made last and nothing is renamed or overwritten, so whatever fails
+    before leaves the old version and whatever fails after it the new one.
+    The version before stays for readers that are still at it; older ones go.
+    """
+    spark, path = df.sparkSession, path.rstrip("/")
+    named = _versions(spark, path, "current")
+    version = f"{int(named[-1].split('-')[0]) + 1 if named else 1:010d}-{uuid.uuid4().hex[:8]}"
+    data = f"{path}/data/{version}"
+    if partition_by:
+        df.hint("rebalance", *partition_by).write.partitionBy(*partition_by).parquet(data)
+    else:
+        df.write.parquet(data)
+    _mark(spark, f"{path}/current/{version}")
+    if named:
+        old = {kind: [v for v in _versions(spark, path, kind) if v < named[-1]] for kind in ("current", "data")}
+        delete_files(spark, [f"{path}/{kind}/{v}" for kind, versions in old.items() for v in versions])
+    return data
+
+
+def _mark(spark: SparkSession, path: str) -> None:
+    """Make an empty file that is not there yet: one step on every store."""
+    fs, folder = _fs(spark, path)
+    fs.create(folder(path), False).close()
+
+
+def resolve(spark: SparkSession, path: str) -> str:
+    """The folder of a published table's current version."""
+    named = _versions(spark, path.rstrip("/"), "current")
+    if not named:
+        raise FileNotFoundError(f"no version of {path} was ever published")
+    return f"{path.rstrip('/')}/data/{named[-1]}"
+
+
+def read_table(spark: SparkSession, path: str) -> DataFrame:
+    """The current version of a published table."""
+    return spark.read.parquet(resolve(spark, path))
+
+
 def materialize(df: DataFrame, name_or_path: str, kind: str = "view", partition_by: list[str] | None = None) -> str:
     """A model as a temp view (staging default) or a rebuilt table (marts default).
 
-    ``table`` builds beside the old table and then swaps the folders, so a
-    build that fails leaves the old table as it was, and a table may be rebuilt
-    from itself.  Partitions are balanced by size before they are written.
+    A ``table`` is published as a new version (``publish``) and the folder of
+    that version is returned; others find it by ``read_table``.  A build that
+    fails leaves the old version, and a table may be rebuilt from itself.
+    Partitions are balanced by size before they are written.
     """
     if kind == "view":
         df.createOrReplaceTempView(name_or_path)
         return name_or_path
-    spark, path = df.sparkSession, name_or_path.rstrip("/")
-    new, old = (f"{path}__{tag}_{uuid.uuid4().hex[:8]}" for tag in ("new", "old"))
-    if partition_by:
-        df.hint("rebalance", *partition_by).write.partitionBy(*partition_by).parquet(new)
-    else:
-        df.write.parquet(new)
-    folder = spark._jvm.org.apache.hadoop.fs.Path
-    fs = folder(path).getFileSystem(spark._jsc.hadoopConfiguration())
-    if fs.exists(folder(path)):
-        fs.rename(folder(path), folder(old))
-    fs.rename(folder(new), folder(path))
-    fs.delete(folder(old), True)
-    return name_or_path
+    return publish(df, name_or_path, partition_by)
 
 
 def batch_layout(df: DataFrame, job: str, mode: str, group: str, first_page: int, last_page: int,

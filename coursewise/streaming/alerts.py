@@ -1,23 +1,29 @@
 """Price-alert feed over newly landed price batches.
 
-The reference's manual "send mail" button becomes a table sink.  The alert
-rules only need, per course: the latest observation, the two newest positive
-prices and the minimum positive price.  That is kept as a one-row-per-course
-state table, so a micro-batch costs O(batch + courses) instead of re-reading
-the whole price history:
-
-* state for batch ``n`` is written to ``<out>/state/v=<n>`` from ``v=<n-1>``
-  merged with the batch (row_number group limits per course, partial MIN);
-* alerts for the courses the batch touched go to ``<out>/alerts/batch_id=<n>``.
-
-Both outputs are overwritten by batch id, so a replayed batch reproduces the
-same result instead of duplicating it.  (Stream batch ids are consecutive.)
-An observation of a (course, time) already seen in an earlier batch counts as
-a new observation; within a batch, duplicates are removed as in staging.
+The reference's manual "send mail" button becomes a table sink.  Files come in
+through the loader (S10), so a damaged one is recorded and tried again while
+the others go on; the feed is a stream over the loader's ledger, one load a
+micro-batch.  The alert rules only need, per course: the latest observation,
+the two newest positive prices and the minimum positive price.
+
+* ``<out>/state/n=<n>`` holds the new state of the courses that batch ``n``
+  touched and of no others, dealt out in buckets of courses: a batch reads the
+  buckets of its courses and writes a row a course.  Every ``FULL_EVERY``
+  batches the state is written whole, and what is older goes.
+* ``<out>/alerts/batch_id=<n>`` holds the alerts of the courses it touched.
+* ``<out>/applied/batch_id=<n>`` names the load, and is written last: a batch
+  counts from then on.
+
+Which loads are applied decides what is done, not the stream's checkpoint: a
+batch that is replayed, or a feed that goes on with a new checkpoint, finds its
+loads applied and its state as it was.  An observation of a (course, time)
+already seen in an earlier batch counts as a new observation; within a batch,
+duplicates are removed as in staging.
 """
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -25,20 +31,20 @@ from pyspark.sql.types import StructType
 from coursewise.functions.prices import discount_percentage
 from coursewise.operators import serving, staging
 from coursewise.operators.common import best_row, top_n_per_key
+from coursewise.sources.files import delete_files
+from coursewise.streaming import incremental
 
 STATE_COLUMNS = ["course_id", "title", "course_url", "latest_at", "latest_sale", "latest_list",
                  "p1_at", "p1_price", "p2_at", "p2_price", "min_pos"]
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+#: Folders that courses are dealt out to, and batches after which the state is written whole.
+BUCKETS, FULL_EVERY = 64, 20
+TABLE = "price_tracker"
 
 
-def _remove(spark: SparkSession, path: str) -> None:
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+def _bucket():
+    return F.pmod(F.xxhash64("course_id"), F.lit(BUCKETS)).cast("int").alias("bucket")
 
 
 def merge_state(state: DataFrame | None, obs: DataFrame) -> DataFrame:
@@ -93,37 +99,82 @@ def alerts_from_state(state: DataFrame) -> DataFrame:
             .filter("alert_eligible"))
 
 
-def _alert_writer(spark: SparkSession, out_dir: str, tie_break: list[str] | None):
-    def write(batch: DataFrame, batch_id: int) -> None:
-        obs = staging.stg_price_tracker(batch, tie_break).filter(F.col("title").isNotNull())
-        prev = f"{out_dir}/state/v={batch_id - 1}"
-        state = spark.read.parquet(prev) if batch_id > 0 and _exists(spark, prev) else None
-        touched = obs.select("course_id").distinct()
-        merged = merge_state(state, obs)  # every course of the old state carries over
-        merged.write.mode("overwrite").parquet(f"{out_dir}/state/v={batch_id}")
-        new_state = spark.read.parquet(f"{out_dir}/state/v={batch_id}")
-        alerts = alerts_from_state(new_state.join(touched, "course_id", "left_semi"))
-        alerts.write.mode("overwrite").parquet(f"{out_dir}/alerts/batch_id={batch_id}")
-        if batch_id > 1:  # a replay needs the state before its own, nothing older
-            _remove(spark, f"{out_dir}/state/v={batch_id - 2}")
-    return write
-
-
-def run_alert_feed(spark: SparkSession, landing_glob: str, schema: StructType, out_dir: str,
-                   checkpoint: str, tie_break: list[str] | None = None, max_files: int = 1000) -> None:
-    """Process every new price file once and stop (availableNow), at most ``max_files`` a batch.
-
-    A damaged file stops the feed and is named in the error; once it is
-    repaired the feed goes on with the same batch.  The loader's raw table
-    (``streaming.incremental``) holds whole files only.
+def _applied(spark: SparkSession, out_dir: str) -> DataFrame:
+    """(load_id, courses, full, batch_id) of the batches that count; a batch without courses has no state of its own."""
+    schema = "load_id string, courses boolean, full boolean, batch_id int"
+    try:
+        return spark.read.schema(schema).parquet(f"{out_dir}/applied")
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
+
+
+def _span(spark: SparkSession, out_dir: str) -> tuple[int, list[int], int]:
+    """(first, the batches that the current state is made of, next): ``first`` wrote the state whole."""
+    done = _applied(spark, out_dir)
+    first, last = done.agg(F.coalesce(F.max(F.when(F.col("full"), F.col("batch_id"))), F.lit(0)), F.coalesce(F.max("batch_id"), F.lit(-1))).first()
+    parts = done.filter((F.col("batch_id") >= first) & F.col("courses")).select("batch_id").orderBy("batch_id").collect()  # FULL_EVERY at most
+    return first, [r["batch_id"] for r in parts], last + 1
+
+
+def read_state(spark: SparkSession, out_dir: str, buckets: list[int] | None = None) -> DataFrame | None:
+    """The newest state of every course, or of the courses in some buckets; None before the first batch."""
+    parts = _span(spark, out_dir)[1]
+    if not parts:
+        return None
+    rows = spark.read.option("basePath", f"{out_dir}/state").parquet(*[f"{out_dir}/state/n={n}" for n in parts])
+    if buckets is not None:
+        rows = rows.filter(F.col("bucket").isin(buckets))  # folders: nothing else is read
+    return best_row(rows, ["course_id"], [F.col("n").desc()]).select(*STATE_COLUMNS)
+
+
+def apply_load(spark: SparkSession, out_dir: str, load_id: str, rows: DataFrame, tie_break: list[str] | None = None) -> None:
+    """Bring one load's price rows into the state and write their alerts; a load that was applied is passed over."""
+    if not _applied(spark, out_dir).filter(F.col("load_id") == load_id).isEmpty():
+        return
+    first, parts, n = _span(spark, out_dir)
+    obs = staging.stg_price_tracker(rows, tie_break).filter(F.col("title").isNotNull())
+    touched = obs.select("course_id").distinct()
+    near = [r["bucket"] for r in touched.select(_bucket()).distinct().collect()]  # at most BUCKETS numbers
+    full = bool(near and parts) and n - first >= FULL_EVERY
+    if near:
+        state = read_state(spark, out_dir, near)
+        merged = merge_state(state.join(touched, "course_id", "left_semi") if state is not None else None, obs)
+        if full:
+            merged = merged.unionByName(read_state(spark, out_dir).join(touched, "course_id", "left_anti"))
+        path = f"{out_dir}/state/n={n}"
+        # overwritten, if a run died before it could say that the batch counts
+        merged.select("*", _bucket()).repartition("bucket").write.mode("overwrite").partitionBy("bucket").parquet(path)
+        new = spark.read.parquet(path).drop("bucket").join(touched, "course_id", "left_semi")
+        alerts_from_state(new).write.mode("overwrite").parquet(f"{out_dir}/alerts/batch_id={n}")
+    done = spark.createDataFrame([(load_id, bool(near), full)], "load_id string, courses boolean, full boolean")
+    done.coalesce(1).write.mode("overwrite").parquet(f"{out_dir}/applied/batch_id={n}")
+    if full:
+        delete_files(spark, [f"{out_dir}/state/n={k}" for k in parts])
+
+
+def run_alert_feed(spark: SparkSession, landing: str, schema: StructType, raw_dir: str, out_dir: str,
+                   checkpoint: str, tie_break: list[str] | None = None, max_files: int = incremental.MAX_FILES_PER_BATCH) -> None:
+    """Load every new price file below ``landing`` and apply every new load, then stop (availableNow).
+
+    A damaged file gets a FAILED row in the ledger and is tried again by the
+    next run; it does not hold back the others.
     """
-    stream = (spark.readStream.schema(schema).option("ignoreCorruptFiles", "false")
-                   .option("maxFilesPerTrigger", str(max_files)).parquet(landing_glob))
-    q = (stream.writeStream.foreachBatch(_alert_writer(spark, out_dir, tie_break))
-               .option("checkpointLocation", checkpoint)
-               .trigger(availableNow=True).start())
-    q.awaitTermination()
+    incremental.incremental_load(spark, landing, {TABLE: schema}, raw_dir, max_files=max_files)
+
+    def write(batch: DataFrame, _: int) -> None:
+        loads = batch.filter((F.col("target") == TABLE) & (F.col("status") == "SUCCESS")).select("load_id").distinct().orderBy("load_id")
+        for load in loads.collect():  # a ledger file holds the files of one load
+            apply_load(spark, out_dir, load["load_id"], incremental.read_raw_table(spark, raw_dir, TABLE, [load["load_id"]]), tie_break)
+
+    # files that a compaction has replaced are missing, but their rows are in the new one
+    ledger = spark.readStream.schema(incremental.LEDGER_SCHEMA).option("maxFilesPerTrigger", "1").option("ignoreMissingFiles", "true").parquet(incremental.ledger_path(raw_dir))
+    query = ledger.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    query.awaitTermination()
 
 
 def read_alerts(spark: SparkSession, out_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{out_dir}/alerts")
+    """The alerts of the batches that count."""
+    done = _applied(spark, out_dir).select("batch_id").distinct()
+    return spark.read.parquet(f"{out_dir}/alerts").join(done, "batch_id", "left_semi")

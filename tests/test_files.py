@@ -32,13 +32,49 @@ def test_missing_csv_is_reported_and_the_rest_converted(spark):
 
 
 def test_failed_rebuild_leaves_the_old_table(spark):
-    path = f"{work_dir(spark, 'test-swap')}/t"
+    path = f"{work_dir(spark, 'test-publish')}/t"
     files.materialize(spark.range(5), path, "table")
     with pytest.raises(Exception):
         files.materialize(spark.range(5).select(F.raise_error(F.lit("no")).cast("bigint").alias("id")), path, "table")
-    assert spark.read.parquet(path).count() == 5
-    files.materialize(spark.read.parquet(path).filter("id > 1"), path, "table")  # rebuilt from itself
-    assert sorted(r.id for r in spark.read.parquet(path).collect()) == [2, 3, 4]
+    assert files.read_table(spark, path).count() == 5
+    files.materialize(files.read_table(spark, path).filter("id > 1"), path, "table")  # rebuilt from itself
+    assert sorted(r.id for r in files.read_table(spark, path).collect()) == [2, 3, 4]
+
+
+@pytest.mark.parametrize("step, left", [("_mark", 5), ("delete_files", 7)])
+def test_a_crash_at_any_step_leaves_the_old_or_the_new_version(spark, monkeypatch, step, left):
+    path = f"{work_dir(spark, 'test-crash')}/t"
+    for n in (3, 5):
+        files.publish(spark.range(n), path)
+
+    def stop(*_):
+        raise OSError("crash")
+
+    with monkeypatch.context() as m:
+        m.setattr(files, step, stop)
+        with pytest.raises(OSError):
+            files.publish(spark.range(7), path)
+    assert files.read_table(spark, path).count() == left
+    files.publish(spark.range(8), path)
+    assert files.read_table(spark, path).count() == 8
+
+
+def test_a_store_that_refuses_renames_is_no_matter(spark):
+    """Folders that cannot be renamed into: publishing only ever makes new files and folders."""
+    path = f"{work_dir(spark, 'test-rename')}/t"
+    files.publish(spark.range(4), path)
+    before = files.resolve(spark, path)
+    reader = spark.read.parquet(before)  # at work while the table is rebuilt
+    files.publish(spark.range(6), path)
+    assert files.resolve(spark, path) != before
+    assert reader.count() == 4 and files.read_table(spark, path).count() == 6
+    files.publish(spark.range(2), path)
+    assert len(files._versions(spark, path, "data")) == len(files._versions(spark, path, "current")) == 2
+
+
+def test_a_table_that_was_never_published_is_not_there(spark):
+    with pytest.raises(FileNotFoundError):
+        files.read_table(spark, f"{work_dir(spark, 'test-none')}/t")
 
 
 def test_history_is_pruned_by_month(spark):
