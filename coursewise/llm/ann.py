@@ -34,6 +34,8 @@ DIMENSIONS, BITS = 8, 4
 #: Distinct vectors that the cell borders of the curves are fitted on (expected number).
 SAMPLE_ROWS = 4096
 _BLOCK, _QUERIES = 4096, 1024
+#: Pairs of a unit whose exact scores are compared at once.
+_PLAY = 1 << 16
 
 
 def hilbert_index(cells: np.ndarray, bits: int) -> np.ndarray:
@@ -184,10 +186,20 @@ def nearest(vectors: DataFrame, queries: Column, k: int = K, id_col: str = "vec_
         near = q @ c.T
         top = min(k + 1, len(c))
         best = np.argpartition(-near, top - 1, axis=1)[:, :top]
-        # every equal to the last kept one stays in play for ties: the smaller id has to win
+        # every equal to the last kept one is in play for ties: the smaller id has to win
         edge = np.take_along_axis(near, best, axis=1).min(axis=1)
-        row, col = np.nonzero(near >= edge[:, None] - 1e-12 * np.abs(edge)[:, None])
-        return pd.DataFrame({"qid": left["qid"].to_numpy()[row], "cid": ids[col], "score": (q[row] * c[col]).sum(axis=1)})
+        play = near >= edge[:, None] - 1e-12 * np.abs(edge)[:, None]
+        ends, parts, i = np.cumsum(play.sum(axis=1)), [], 0
+        while i < len(q):  # so many queries at a time that what is tied stays bounded
+            j = max(i + 1, int(np.searchsorted(ends, (ends[i - 1] if i else 0) + _PLAY, "right")))
+            row, col = np.nonzero(play[i:j])
+            score = (q[i + row] * c[col]).sum(axis=1)
+            order = np.lexsort((ids[col], -score, row))
+            place = np.arange(len(order)) - np.searchsorted(row, np.arange(j - i))[row[order]]
+            keep = order[place < top]
+            parts.append(pd.DataFrame({"qid": left["qid"].to_numpy()[i + row[keep]], "cid": ids[col[keep]], "score": score[keep]}))
+            i = j
+        return pd.concat(parts)
 
     found = asks.groupBy("curve", "block", "part").cogroup(data.groupBy("d_curve", "d_block", "d_part")).applyInPandas(meet, "qid bigint, cid bigint, score double")
     found = found.groupBy("qid", "cid").agg(F.max("score").alias("score"))

@@ -8,6 +8,7 @@ fit in one task.
 
 from __future__ import annotations
 
+import itertools
 import json
 import math
 from collections.abc import Iterator, Mapping
@@ -81,24 +82,42 @@ def schema_errors(value: Any, schema: Mapping[str, Any], at: str = "$") -> list[
     return out
 
 
-#: Waits of one conversation that are ordered inside a task; longer conversations are ordered by joins.
+#: Waits of one conversation that are ordered inside a task; longer conversations are ordered by joins, to the same levels.
 TASK_EDGES = 100_000
 
 
 def _order(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Levels of the calls that wait for others, for whole conversations: a call is placed when all it waits for are."""
-    rows: list[tuple[Any, str, str]] = []
-    kind = pa.null()
-    for batch in batches:
-        kind = batch.schema.field("conv_id").type
-        rows += zip(*(batch.column(c).to_pylist() for c in ("conv_id", "call_id", "parent")), strict=True)
-    waits: dict[tuple[Any, str], int] = {}
-    followers: dict[tuple[Any, str], list[tuple[Any, str]]] = {}
-    for conv, call, parent in rows:
-        waits[conv, call] = waits.get((conv, call), 0) + 1
-        followers.setdefault((conv, parent), []).append((conv, call))
+    """Levels of the calls that wait for others, one conversation after the other (rows come sorted by conversation)."""
+    kind = [pa.null()]
+
+    def rows() -> Iterator[tuple[Any, str, str]]:
+        for batch in batches:
+            kind[0] = batch.schema.field("conv_id").type
+            yield from zip(*(batch.column(c).to_pylist() for c in ("conv_id", "call_id", "parent")), strict=True)
+
+    done: list[tuple[Any, str, int]] = []
+
+    def out(least: int) -> Iterator[pa.RecordBatch]:
+        while len(done) >= least:
+            part, done[:10_000] = done[:10_000], []
+            yield pa.RecordBatch.from_pydict(dict(zip(("conv_id", "call_id", "level"), zip(*part, strict=True), strict=True)),
+                                             schema=pa.schema([("conv_id", kind[0]), ("call_id", pa.string()), ("level", pa.int32())]))
+
+    for conv, edges in itertools.groupby(rows(), key=lambda r: r[0]):
+        done += [(conv, call, level) for call, level in _placed([(call, parent) for _, call, parent in edges])]
+        yield from out(10_000)
+    yield from out(1)
+
+
+def _placed(edges: list[tuple[str, str]]) -> Iterator[tuple[str, int]]:
+    """(call, level) of the calls of a conversation that wait for others: a call is placed when all it waits for are."""
+    waits: dict[str, int] = {}
+    followers: dict[str, list[str]] = {}
+    for call, parent in edges:
+        waits[call] = waits.get(call, 0) + 1
+        followers.setdefault(parent, []).append(call)
     level = {key: 0 for key in followers if key not in waits}
-    ready, placed = list(level), []
+    ready = list(level)
     while ready:
         key = ready.pop()
         for follower in followers.get(key, ()):
@@ -106,11 +125,7 @@ def _order(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             level[follower] = max(level.get(follower, 0), level[key] + 1)
             if not waits[follower]:
                 ready.append(follower)
-                placed.append((*follower, follower))
-    for i in range(0, len(placed), 10_000):
-        part = placed[i:i + 10_000]
-        yield pa.RecordBatch.from_pydict({"conv_id": [p[0] for p in part], "call_id": [p[1] for p in part], "level": [level[p[2]] for p in part]},
-                                         schema=pa.schema([("conv_id", kind), ("call_id", pa.string()), ("level", pa.int32())]))
+                yield follower, level[follower]
 
 
 def levels(nodes: DataFrame, edges: DataFrame, task_edges: int = TASK_EDGES) -> DataFrame:
@@ -129,7 +144,7 @@ def levels(nodes: DataFrame, edges: DataFrame, task_edges: int = TASK_EDGES) ->
     nodes.select(*key).join(left.select(*key).distinct(), key, "left_anti").withColumn("level", F.lit(0)).write.parquet(path)
     long = written(left.groupBy("conv_id").count().where(F.col("count") > task_edges).select("conv_id"), "long_conversations")
     schema = f"conv_id {left.schema['conv_id'].dataType.simpleString()}, call_id string, level int"
-    whole = left.join(long, "conv_id", "left_anti").repartition("conv_id")
+    whole = left.join(long, "conv_id", "left_anti").repartition("conv_id").sortWithinPartitions("conv_id")
     whole.mapInArrow(_order, schema).write.mode("append").parquet(path)
     left = written(left.join(long, "conv_id", "left_semi"), "edges")
     level = 0
@@ -230,14 +245,24 @@ TURN_TOOLS = {
 
 def turn_calls(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Plain conversations as calls and results: a system turn configures, a user turn asks, an assistant turn is the
-    result of the turn before it, and a call waits for the one two turns before (the second turn's for the first's)."""
+    result of the turn before it, and a call waits for the one two turns before (the second turn's for the first's).
+
+    Roles count in any case.  A turn of another or no role, or without a
+    number or conversation, can be linked to nothing: it is a result without
+    an identifier, which ``link_calls`` reports as unidentified.
+    """
+    conversations = conversations.select("conv_id", "turn", F.lower("role").alias("role"), "text")
+
     def name(back: int) -> Any:
-        return F.md5(F.concat_ws(":", F.col("conv_id").cast("string"), (F.col("turn") - back).cast("string")).cast("binary"))
+        return F.md5(F.concat(F.col("conv_id").cast("string"), F.lit(":"), (F.col("turn") - back).cast("string")).cast("binary"))
 
+    known = F.col("conv_id").isNotNull() & F.col("turn").isNotNull()
     arguments = F.when(F.col("role") == "system", F.to_json(F.struct(F.col("text").alias("instructions")))).otherwise(
         F.to_json(F.struct(F.col("text").alias("question"), "turn")))
     after = F.when(F.col("turn") >= 2, F.array(name(2))).when(F.col("turn") == 1, F.array(name(1))).otherwise(F.array().cast("array<string>"))
-    calls = conversations.where("role in ('user', 'system')").select(
+    calls = conversations.where(known & F.col("role").isin("user", "system")).select(
         "conv_id", "turn", name(0).alias("call_id"), F.when(F.col("role") == "system", F.lit("configure")).otherwise(F.lit("answer")).alias("name"),
         arguments.alias("arguments"), after.alias("after"))
-    return calls, conversations.where("role = 'assistant'").select("conv_id", "turn", name(1).alias("call_id"), F.col("text").alias("content"))
+    linked = known & F.coalesce(F.col("role") == "assistant", F.lit(False))
+    others = conversations.where(linked | ~known | ~F.coalesce(F.col("role").isin("user", "system", "assistant"), F.lit(False)))
+    return calls, others.select("conv_id", "turn", F.when(linked, name(1)).alias("call_id"), F.col("text").alias("content"))

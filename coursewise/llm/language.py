@@ -23,6 +23,8 @@ from .common import BLOCK_CHARS, text_batches, written
 
 #: Labelled rows per language that the text models are fitted on (expected number; chosen by a hash of the id).
 SAMPLE_ROWS = 1000
+#: Labelled rows that a language needs to be fitted, so that misspelt labels do not become languages.
+MIN_ROWS = 3
 BUCKETS = 1 << 13
 #: A text counts as at most this many independent trigrams: neighbours are not independent.
 EVIDENCE = 60
@@ -50,10 +52,14 @@ _ASCII = {c: " " for c in range(128) if not chr(c).isalpha()}
 
 @dataclass(frozen=True)
 class TextModel:
-    """Log probabilities (language x bucket); the last language is ``UNKNOWN``, uniform over buckets."""
+    """Log probabilities (language x bucket); the last language is ``UNKNOWN``, uniform over buckets.
+
+    ``left_out`` counts the labels that had too few rows to be fitted, and their rows.
+    """
 
     languages: tuple[str, ...]
     log_p: np.ndarray
+    left_out: tuple[int, int] = (0, 0)
 
     def evidence(self, text: str | None) -> np.ndarray:
         """Log likelihood of the text per language, scaled to at most ``EVIDENCE`` trigrams; zeros without letters."""
@@ -80,21 +86,29 @@ def _index(code: Column, languages: Sequence[str]) -> Column:
     return F.when(at > 0, (at - 1).cast("int"))
 
 
-def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", sample_rows: int = SAMPLE_ROWS) -> TextModel:
+def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", sample_rows: int = SAMPLE_ROWS,
+        min_rows: int = MIN_ROWS) -> TextModel:
     """Trigram models from about ``sample_rows`` rows of each language of ``labelled``.
 
-    Every language that has labelled rows is fitted; EN and fr-CA count as en
-    and fr.  Rows without language or text teach nothing.  What reaches the
-    driver is a count per language and bucket, whatever the size of the table.
+    Every language that has at least ``min_rows`` labelled rows is fitted (0
+    fits all); EN and fr-CA count as en and fr.  How many labels have fewer,
+    and on how many rows, is kept in the model: such rows have no model of
+    their own and come out as whatever else fits, or as ``und``.  Rows without
+    language or text teach nothing, rows that repeat id and text teach alike.  What
+    reaches the driver is a count per fitted language and bucket, 64 KB a
+    language, whatever the size of the table and the number of other labels.
     """
     text_batches(labelled.sparkSession)
     rows = labelled.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), _code(F.col(lang_col)).alias("lang")).where("lang is not null and text is not null")
-    sizes = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
+    counted = written(rows.groupBy("lang").count(), "label_counts")
+    left_out = counted.where(F.col("count") < min_rows).agg(F.count(F.lit(1)), F.coalesce(F.sum("count"), F.lit(0))).first()
+    sizes = {r["lang"]: r["count"] for r in counted.where(F.col("count") >= min_rows).collect()}
     if not sizes:
-        return TextModel((UNKNOWN,), np.full((1, BUCKETS), -math.log(BUCKETS)))
+        return TextModel((UNKNOWN,), np.full((1, BUCKETS), -math.log(BUCKETS)), tuple(left_out))
     languages = sorted(sizes)
     shares = F.array(*[F.lit(min(1.0, sample_rows / sizes[lang])) for lang in languages])
-    chosen = rows.where(F.pmod(F.xxhash64("id"), F.lit(1 << 30)) < F.get(shares, _index(F.col("lang"), languages)) * (1 << 30))
+    # drawn by id and text: many rows under one id are drawn one by one
+    chosen = rows.where(F.pmod(F.xxhash64("id", "text"), F.lit(1 << 30)) < F.get(shares, _index(F.col("lang"), languages)) * (1 << 30))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         totals: dict[str, np.ndarray] = {}
@@ -112,7 +126,7 @@ def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lan
         counts[at[r["lang"]], r["bucket"]] = r["n"]
     p = (counts + 0.5) / (counts + 0.5).sum(axis=1, keepdims=True)
     p = (1 - NOISE) * p + NOISE / BUCKETS
-    return TextModel((*languages, UNKNOWN), np.log(np.vstack([p, np.full(BUCKETS, 1 / BUCKETS)])))
+    return TextModel((*languages, UNKNOWN), np.log(np.vstack([p, np.full(BUCKETS, 1 / BUCKETS)])), tuple(left_out))
 
 
 def _confusion(rows: DataFrame, column: str, languages: Sequence[str]) -> np.ndarray:

@@ -19,12 +19,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .bpe import powers
-from .common import BLOCK_CHARS, blocks, text_batches
+from .common import BLOCK_CHARS, blocks, text_batches, written
 
-#: Bound of the labelled sample that the classifier is fitted on (expected rows, chosen by a hash of the id).
+#: Bound of the labelled sample that the classifier is fitted on (expected rows, chosen by a hash of id and text).
 SAMPLE_ROWS = 6000
-#: Passages of one labelled document that the fit looks at, evenly spaced; scoring always takes all.
-FIT_PASSAGES = 256
 PASSAGE_WORDS = 64
 HIDDEN = 16
 EPOCHS = 30
@@ -145,6 +143,18 @@ class AttentionModel:
         z = _sums(a[:, None] * h, counts)
         return h, t, u, a, doc, z, _sigmoid(z @ p["c"] + p["d"])
 
+    def gradient(self, x: np.ndarray, counts: np.ndarray, labels: np.ndarray) -> dict[str, np.ndarray]:
+        """Gradient of the mean log loss of labelled bags by every weight."""
+        p = self.weights
+        h, t, u, a, doc, z, score = self.forward(x, counts)
+        dl = (score - labels) / len(counts)
+        dz = dl[:, None] * p["c"]
+        da = (h * dz[doc]).sum(axis=1)
+        de = a * (da - _sums(a * da, counts)[doc])
+        dt, du = (de[:, None] * p["w"] * k for k in (u * (1 - t * t), t * u * (1 - u)))
+        dh = (a[:, None] * dz[doc] + dt @ p["V"].T + du @ p["U"].T) * (1 - h * h)
+        return {"W": x.T @ dh, "b": dh.sum(axis=0), "V": h.T @ dt, "U": h.T @ du, "w": (t * u).T @ de, "c": z.T @ dl, "d": dl.sum()}
+
     def scaled(self, features: np.ndarray) -> np.ndarray:
         return np.clip((features - self.mean) / self.scale, -5, 5)
 
@@ -183,18 +193,9 @@ def train(features: np.ndarray, counts: np.ndarray, labels: np.ndarray, epochs:
         for i in range(0, len(order), 128):
             pick = order[i:i + 128]
             x, n, y = np.concatenate([bags[k] for k in pick]), counts[pick], labels[pick]
-            h, t, u, a, doc, z, score = model.forward(x, n)
-            p = weights
-            dl = (score - y) / len(pick)
-            dz = dl[:, None] * p["c"]
-            da = (h * dz[doc]).sum(axis=1)
-            de = a * (da - _sums(a * da, n)[doc])
-            dt, du = (de[:, None] * p["w"] * k for k in (u * (1 - t * t), t * u * (1 - u)))
-            dh = (a[:, None] * dz[doc] + dt @ p["V"].T + du @ p["U"].T) * (1 - h * h)
-            grad = {"W": x.T @ dh, "b": dh.sum(axis=0), "V": h.T @ dt, "U": h.T @ du, "w": (t * u).T @ de, "c": z.T @ dl, "d": dl.sum()}
             step += 1
-            for k, g in grad.items():
-                g = g + 1e-4 * p[k] * (k != "d")
+            for k, g in model.gradient(x, n, y).items():
+                g = g + 1e-4 * weights[k] * (k != "d")
                 m[k] = 0.9 * m[k] + 0.1 * g
                 s[k] = 0.999 * s[k] + 0.001 * g * g
                 weights[k] = weights[k] - rate * (m[k] / (1 - 0.9 ** step)) / (np.sqrt(s[k] / (1 - 0.999 ** step)) + 1e-8)
@@ -205,15 +206,23 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         sample_rows: int = SAMPLE_ROWS) -> AttentionModel:
     """The model learned from about ``sample_rows`` rows of ``labels`` and the texts of ``docs`` with their ids.
 
-    Label rows with a null id or label teach nothing; an id that is repeated
-    teaches once per row.  Only features of the sample reach the driver.
+    Labels with a null id or label teach nothing; an id and label that are
+    repeated count once, other labels of an id teach each for itself.  Rows
+    under one id are drawn one by one, by their text (rows that repeat it
+    once), so an id with a third of all rows is a third of the sample at most.
+    All passages of a drawn text teach, however long it is.  Without
+    documents or labels, or with one class only, the score is that class's
+    smoothed share.  Only features of the sample reach the driver.
     """
     text_batches(docs.sparkSession)
     known = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("double").alias("label")).where("id is not null and label is not null")
-    share = min(1.0, sample_rows / max(1, known.count()))
-    chosen = known.where(F.pmod(F.xxhash64("id"), F.lit(1 << 30)) < share * (1 << 30))
-    # at most about sample_rows rows
-    sample = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).join(F.broadcast(chosen), "id").select("id", "text", "label")
+    known = written(known.distinct(), "known_labels")
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
+    per_id = rows.groupBy("id").agg(F.count(F.lit(1)).alias("rows")).join(known, "id")
+    share = min(1.0, sample_rows / max(1, per_id.agg(F.sum("rows")).first()[0] or 0))
+    # drawn before they are joined: about sample_rows rows of all that have a label
+    drawn = rows.where(F.pmod(F.xxhash64("id", "text"), F.lit(1 << 30)) < share * (1 << 30)).dropDuplicates(["id", "text"])
+    sample = drawn.join(known, "id").select("id", "text", "label")
     id_type = sample.schema["id"].dataType.simpleString()
 
     def bags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -221,7 +230,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
             kept = []
             features, counts = encode(batch.column("text").to_pylist())
             for x in np.split(features, np.cumsum(counts)[:-1]) if len(counts) else ():
-                kept.append(x[np.unique(np.linspace(0, len(x) - 1, FIT_PASSAGES).astype(int))].astype("<f4").tobytes())
+                kept.append(x.astype("<f4").tobytes())
             yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("label"), pa.array(kept, pa.binary())], ["id", "label", "bag"])
 
     rows = sample.mapInArrow(bags, f"id {id_type}, label double, bag binary").orderBy("id", "label", "bag").collect()
@@ -232,7 +241,10 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
 
 
 def scores(model: AttentionModel, text_col: str = "text") -> Column:
-    """The score of a text column, between 0 and 1; null counts as empty, ties and repeats get equal scores."""
+    """The score of a text column, between 0 and 1; null counts as empty, ties and repeats get equal scores.
+
+    Whole texts are scored, very long ones in pieces; an empty table has no scores.
+    """
     def run(texts: pd.Series) -> pd.Series:
         return pd.Series(model.score(texts.where(texts.notna(), None).tolist()), dtype="float64")
 

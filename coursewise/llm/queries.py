@@ -27,15 +27,18 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.sha2(F.col("text").cast("binary"), 256).alias("text_sha256"))
 
 
+_BLANKS = "' ' || chr(9) || chr(13) || chr(11) || chr(12)"
 OP2_SQL = f"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(source, '') AS site, text, string_split(text, chr(10)) AS parts FROM documents),
-l AS (SELECT r, site, unnest(parts) AS line, unnest(range(len(parts))) AS k FROM d),
-spread AS (SELECT trim(line, ' ') AS line FROM l WHERE trim(line, ' ') <> '' GROUP BY 1 HAVING count(DISTINCT site) >= {line_dedup.MIN_SITES}),
-m AS (SELECT l.r, l.k, l.line, s.line IS NOT NULL AS cut FROM l LEFT JOIN spread s ON trim(l.line, ' ') = s.line),
-c AS (SELECT r, count(*) FILTER (WHERE cut) AS n, coalesce(sum(length(line)) FILTER (WHERE cut), 0) AS size,
-        coalesce(string_agg(line, chr(10) ORDER BY k) FILTER (WHERE NOT cut), '') AS rest FROM m GROUP BY r),
-o AS (SELECT d.doc_id, d.text, c.n, c.rest, c.n > 0 AND c.size <= {line_dedup.MAX_SHARE} * length(d.text) AS touched FROM d LEFT JOIN c ON d.r = c.r),
-f AS (SELECT doc_id, CASE WHEN touched THEN n ELSE 0 END AS lines_removed, CASE WHEN touched THEN rest ELSE text END AS text FROM o)
+l AS (SELECT r, text, site, trim(line, {_BLANKS}) AS own, line, k FROM (SELECT r, text, site, unnest(parts) AS line, unnest(range(len(parts))) AS k FROM d)),
+wide AS (SELECT own FROM l WHERE own <> '' GROUP BY own HAVING count(DISTINCT site) >= {line_dedup.MIN_SITES}),
+t AS (SELECT DISTINCT text, site FROM l WHERE own IN (SELECT own FROM wide)),
+z AS (SELECT site, count(*) AS texts FROM t GROUP BY site),
+one AS (SELECT text, arg_min(t.site, (texts, t.site)) AS site FROM t JOIN z ON t.site = z.site GROUP BY text),
+spread AS (SELECT own FROM l JOIN one ON l.text = one.text WHERE own IN (SELECT own FROM wide) GROUP BY own HAVING count(DISTINCT one.site) >= {line_dedup.MIN_SITES}),
+m AS (SELECT l.r, l.k, l.line, s.own IS NOT NULL AS cut FROM l LEFT JOIN spread s ON l.own = s.own),
+c AS (SELECT r, count(*) FILTER (WHERE cut) AS n, coalesce(string_agg(line, chr(10) ORDER BY k) FILTER (WHERE NOT cut), '') AS rest FROM m GROUP BY r),
+f AS (SELECT d.doc_id, coalesce(c.n, 0) AS lines_removed, CASE WHEN c.n > 0 THEN c.rest ELSE d.text END AS text FROM d LEFT JOIN c ON d.r = c.r)
 SELECT doc_id, lines_removed, length(text) AS n_chars_left, sha256(text) AS text_sha256 FROM f
 """
 
@@ -55,8 +58,8 @@ FROM d JOIN g ON d.t = g.t
 
 
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Tokens of every text by the digest cache."""
-    counts = token_counts.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path(PIECE_BPE))
+    """Tokens of every text by the digest cache, which earlier runs on this cluster have filled."""
+    counts = token_counts.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path(PIECE_BPE), token_counts.shared_cache(spark))
     return counts.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
 
 
@@ -85,10 +88,11 @@ def op8_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 OP8_SQL = """
-WITH RECURSIVE m AS (SELECT conv_id, turn, role, text, md5(conv_id::VARCHAR || ':' || turn::VARCHAR) AS own,
+WITH RECURSIVE m AS (SELECT conv_id, turn, lower(role) AS role, text, md5(conv_id::VARCHAR || ':' || turn::VARCHAR) AS own,
     md5(conv_id::VARCHAR || ':' || (turn - 1)::VARCHAR) AS one_back, md5(conv_id::VARCHAR || ':' || (turn - 2)::VARCHAR) AS two_back FROM conversations),
-c AS (SELECT conv_id, turn, role, text, own, CASE WHEN turn >= 2 THEN two_back WHEN turn = 1 THEN one_back END AS after FROM m WHERE role IN ('user', 'system')),
-r AS (SELECT conv_id, turn, one_back AS own, text FROM m WHERE role = 'assistant'),
+c AS (SELECT conv_id, turn, role, text, own, CASE WHEN turn >= 2 THEN two_back WHEN turn = 1 THEN one_back END AS after FROM m WHERE role IN ('user', 'system') AND own IS NOT NULL),
+r AS (SELECT conv_id, turn, one_back AS own, text FROM m WHERE role = 'assistant' AND one_back IS NOT NULL),
+u AS (SELECT DISTINCT conv_id, turn, text FROM m WHERE own IS NULL OR role IS NULL OR role NOT IN ('user', 'system', 'assistant')),
 p AS (SELECT c.*, q.own AS parent FROM c LEFT JOIN c q ON q.conv_id = c.conv_id AND q.own = c.after),
 l AS (SELECT conv_id, own, 0 AS level FROM p WHERE parent IS NULL
       UNION ALL SELECT p.conv_id, p.own, l.level + 1 FROM l JOIN p ON p.conv_id = l.conv_id AND p.parent = l.own),
@@ -105,6 +109,8 @@ SELECT conv_id, level, turn, call_id, CASE WHEN bad <> '' THEN 'invalid' WHEN an
 UNION ALL
 SELECT conv_id, NULL, turn, own, 'orphan_result', '', '{"call_id":"' || own || '","result":' || coalesce(to_json(text)::VARCHAR, 'null') || '}'
 FROM r WHERE NOT EXISTS (SELECT 1 FROM c WHERE c.conv_id = r.conv_id AND c.own = r.own)
+UNION ALL
+SELECT conv_id, NULL, turn, NULL, 'unidentified', '', '{"call_id":null,"result":' || coalesce(to_json(text)::VARCHAR, 'null') || '}' FROM u
 """
 
 

@@ -14,10 +14,10 @@ from collections.abc import Iterator
 from typing import Any
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from coursewise.session import work_dir
+from coursewise.session import ensure_checkpoint_dir, work_dir
 
 from .common import blocks, text_batches
 
@@ -50,13 +50,20 @@ def tokenizer_digest(path: str) -> str:
         return hashlib.sha256(f.read() + version.encode()).hexdigest()
 
 
+def shared_cache(spark: SparkSession) -> str:
+    """The cache that all runs with the same ``spark.checkpoint.dir`` read and add to."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/coursewise/token_cache"
+
+
 def token_counts(docs: DataFrame, path: str, cache: str | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, n_bytes, n_tokens) of every row, with misses appended to the cache table at ``cache``.
 
     ``cache`` is a shared folder that holds earlier counts, or is made; without
-    one the cache lives for this call below ``spark.checkpoint.dir``.  Null
-    counts as empty text.  Null and repeated ids give a result per row, an
-    empty table gives none, other columns are not read.
+    one the cache lives for this call below ``spark.checkpoint.dir``.  Runs may
+    share it at the same time: a digest that two of them add counts once.  Null
+    counts as empty text.  Very long texts are encoded whole, one at a time.
+    Null and repeated ids give a result per row, an empty table gives none,
+    other columns are not read.
     """
     spark = docs.sparkSession
     text_batches(spark)
@@ -68,7 +75,8 @@ def token_counts(docs: DataFrame, path: str, cache: str | None = None, id_col: s
         "id", "text", F.unhex(F.sha2(F.col("text").cast("binary"), 256)).alias("digest"))
 
     def stored() -> DataFrame:
-        return spark.read.schema(CACHE_SCHEMA).parquet(cache).where(F.col("tokenizer") == version).select("digest", "n_tokens")
+        own = spark.read.schema(CACHE_SCHEMA).parquet(cache).where(F.col("tokenizer") == version)
+        return own.groupBy("digest").agg(F.min("n_tokens").alias("n_tokens"))
 
     misses = rows.groupBy("digest").agg(F.min("id").alias("id")).join(stored(), "digest", "left_anti")
     # one row a digest stands for its copies; digest and id together spread a text that a third of the rows share

@@ -161,8 +161,8 @@ def test_every_labelled_language_is_fitted_and_named(spark):
     rows = [(i, text(c), spelled[i % 4](c), "h.org") for i, c in enumerate(codes * 8)] + [(9000 + i, text("xa"), lang, "h.org") for i, lang in enumerate(["und", "", " ", None])]
     rows += [(9100, "ein wort", "中文", None), (9101, "noch eins", "हिन्दी", None), (9102, "und eins", "12", None)]
     docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, host string")
-    fitted = language.fit(docs)
-    assert fitted.languages == (*sorted([*codes, "中文", "हिन्दी", "12"]), language.UNKNOWN)
+    fitted = language.fit(docs, min_rows=0)
+    assert fitted.languages == (*sorted([*codes, "中文", "हिन्दी", "12"]), language.UNKNOWN) and fitted.left_out == (0, 0)
     got = language.identify(docs, fitted, "doc_id", F.col("text"), F.col("lang"), F.lit(None).cast("string"), F.col("host")).where("doc_id < 9000").withColumn("ok", language.accepted())
     assert {(r["doc_id"], r["lang"], r["ok"]) for r in got.collect()} == {(i, codes[i % len(codes)], True) for i in range(len(codes) * 8)}
     named = spark.createDataFrame([(c,) for c in ("XA", "xa-Latn", "en", "", None, "und", "中文")], "c string").select(language._named(F.col("c"), fitted.languages).alias("n"))
@@ -232,6 +232,32 @@ def test_levels_are_longest_chains(spark, task_edges):
     assert len(got) == len(want) and {(r["conv_id"], r["call_id"]): r["level"] for r in got} == want
 
 
+def test_every_turn_has_a_row(spark):
+    rows = [(1, 0, "user", "hello"), (1, 1, "Assistant", "hi"), (1, 2, "tool", "42"), (1, 3, None, "who"), (1, None, "user", "a"), (1, None, "user", "b"), (None, 0, "user", "lost"),
+            (2, 0, "SYSTEM", "be brief"), (2, 1, "user", ""), (2, 2, "assistant", None), (3, 4, "assistant", "alone"), (4, 0, "", "no role")]
+    frame = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string").withColumn("name", F.lit("x"))
+    got = sorted(((r["conv_id"], r["turn"], r["status"], r["json"]) for r in chat.link_calls(*chat.turn_calls(frame), chat.TURN_TOOLS).collect()), key=repr)
+    assert [(c, t, s) for c, t, s, _ in got] == sorted([
+        (1, 0, "ok"), (1, 2, "unidentified"), (1, 3, "unidentified"), (1, None, "unidentified"), (1, None, "unidentified"), (None, 0, "unidentified"),
+        (2, 0, "no_result"), (2, 1, "invalid"), (3, 4, "orphan_result"), (4, 0, "unidentified")], key=repr)
+    text = " ".join(j for *_, j in got)
+    assert all(f'"{t}"' in text for _, _, _, t in rows if t)  # no turn's text is missing
+
+
+def test_every_turn_has_a_row_by_sql(spark):
+    import duckdb
+
+    from coursewise.llm import queries
+    rows = [(1, 0, "user", "hello"), (1, 1, "Assistant", "hi"), (1, 2, "tool", "42"), (1, 3, None, "who"), (1, None, "user", "a"), (1, None, "user", "b"), (None, 0, "user", "lost"), (5, 0, "User", "x")]
+    con = duckdb.connect()
+    con.execute("CREATE TABLE conversations (conv_id BIGINT, turn BIGINT, role VARCHAR, text VARCHAR)")
+    con.executemany("INSERT INTO conversations VALUES (?, ?, ?, ?)", rows)
+    want = con.execute(queries.OP8_SQL)
+    frame = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string")
+    got = chat.link_calls(*chat.turn_calls(frame), chat.TURN_TOOLS).select(*[d[0] for d in want.description])
+    assert sorted(map(tuple, got.collect()), key=repr) == sorted(want.fetchall(), key=repr)
+
+
 def test_canonical_json():
     assert chat.canonical_json({"b": [1.0, 2.5, True, None], "a": {"é": " \n", "z": -0.0}}) == '{"a":{"z":0,"é":" \\n"},"b":[1,2.5,true,null]}'
     with pytest.raises(ValueError):
@@ -281,6 +307,79 @@ def test_held_out_accuracy(spark):
     assert got[1] > 0.99 and got[0] < 0.05
 
 
+def test_junk_labels_are_counted_and_do_not_become_languages(spark):
+    rng = random.Random(8)
+    rows = [(i, sentence(rng, lang, 12), lang) for i, lang in enumerate(["en", "de"] * 40)]
+    rows += [(1000 + k, sentence(rng, "en", 12), f"junk{chr(97 + k % 26)}{chr(97 + k // 26 % 26)}{chr(97 + k // 676)}") for k in range(5000)]
+    model = language.fit(spark.createDataFrame(rows, "doc_id bigint, text string, lang string"))
+    assert model.languages == ("de", "en", language.UNKNOWN) and model.left_out == (5000, 5000) and model.log_p.shape == (3, language.BUCKETS)
+
+
+def test_a_labelled_id_with_a_third_of_the_rows_is_drawn_row_by_row(spark):
+    rows = spark.range(3000).select(F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")).alias("doc_id"), F.format_string("text %d of many words", F.col("id")).alias("text"))
+    rows = rows.union(spark.range(2000).select(F.lit(8).cast("bigint"), F.lit("one text")))
+    labels = spark.range(3000).select(F.col("id").alias("doc_id"), (F.col("id") % 2).cast("int").alias("quality"))
+    seen = []
+    train, quality.train = quality.train, lambda features, counts, y, *a: seen.append((len(counts), len(y))) or train(features, counts, y, 1)
+    try:
+        quality.fit(rows, labels.union(labels.limit(100)), sample_rows=500)
+    finally:
+        quality.train = train
+    assert 150 < seen[0][0] == seen[0][1] < 500  # of 5,000 rows with a label; the 1,999 repeated ones count once
+
+
+def plain_score(model, texts):
+    """The forward pass, passage by passage and number by number."""
+    p, out = model.weights, []
+    for text in texts:
+        features, _ = quality.encode([text])
+        hidden, gates = [], []
+        for x in model.scaled(features):
+            h = [math.tanh(sum(x[i] * p["W"][i, j] for i in range(len(x))) + p["b"][j]) for j in range(quality.HIDDEN)]
+            t = [math.tanh(sum(h[i] * p["V"][i, j] for i in range(len(h)))) for j in range(len(h))]
+            u = [1 / (1 + math.exp(-sum(h[i] * p["U"][i, j] for i in range(len(h))))) for j in range(len(h))]
+            hidden.append(h)
+            gates.append(sum(a * b * c for a, b, c in zip(t, u, p["w"])))
+        weight = [math.exp(g - max(gates)) for g in gates]
+        z = [sum(w * h[j] for w, h in zip(weight, hidden)) / sum(weight) for j in range(quality.HIDDEN)]
+        out.append(1 / (1 + math.exp(-(sum(a * b for a, b in zip(z, p["c"])) + float(p["d"])))))
+    return out
+
+
+def small_model(seed=1):
+    rng = np.random.default_rng(seed)
+    counts = rng.integers(1, 6, 60)
+    x = rng.normal(size=(counts.sum(), quality.FEATURES))
+    return quality.train(x, counts, rng.integers(0, 2, 60).astype(float), epochs=2), x, counts, rng.integers(0, 2, 60).astype(float)
+
+
+def test_scores_equal_the_plain_forward_pass(spark, make_docs):
+    model = small_model()[0]
+    texts = [None, "", "one", "Some words, and MORE! " * 200, "#$%& 1 2 3\n" * 90, "é ü ß " * 70]
+    got = {r["doc_id"]: r["score"] for r in make_docs([(i, t, None, None) for i, t in enumerate(texts)]).select("doc_id", quality.scores(model).alias("score")).collect()}
+    assert [got[i] for i in range(len(texts))] == pytest.approx(plain_score(model, texts), abs=1e-9)
+
+
+def test_gradients_equal_numeric_ones():
+    model, x, counts, y = small_model()
+
+    def loss():
+        s = model.forward(x, counts)[-1]
+        return -np.mean(y * np.log(s) + (1 - y) * np.log(1 - s))
+
+    for name, g in model.gradient(x, counts, y).items():
+        w = model.weights[name] = np.array(model.weights[name], float)
+        flat, want = w.reshape(-1), np.zeros(w.size)
+        for i in range(w.size):
+            keep = flat[i]
+            flat[i] = keep + 1e-5
+            up = loss()
+            flat[i] = keep - 1e-5
+            want[i] = (up - loss()) / 2e-5
+            flat[i] = keep
+        assert np.allclose(np.ravel(g), want, atol=1e-7), name
+
+
 # -- pipeline ---------------------------------------------------------------------
 
 

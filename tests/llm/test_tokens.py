@@ -164,3 +164,20 @@ def test_packed_documents(spark, make_docs, library):
     lengths = [n for ids in want.values() for n in [16] * (len(ids) // 16) + [len(ids) % 16] * (len(ids) % 16 > 0)]
     assert len(bins) == naive_best_fit(lengths, 16)[0]
     assert packing.pack(make_docs([]), WORD).count() == 0
+
+
+def test_a_cache_that_two_runs_filled_counts_once(spark, make_docs, tmp_path):
+    docs, cache = make_docs([(1, "some text", None, None), (2, "", None, None), (3, "some text", None, None), (4, "word " * 30_000, None, None)]), str(tmp_path / "cache")
+    want = sorted(map(tuple, token_counts.token_counts(docs, PIECE, cache).collect()))
+    spark.read.parquet(cache).write.mode("append").parquet(cache)  # another run added the same rows
+    assert sorted(map(tuple, token_counts.token_counts(docs, PIECE, cache).collect())) == want and len(want) == 4
+
+
+def test_the_query_finds_what_an_earlier_run_stored(spark):
+    from coursewise.llm import queries
+
+    first = queries.op4_token_counts(spark, "/root/testdata/sf0.001").collect()
+    stored = spark.read.parquet(token_counts.shared_cache(spark))
+    n = stored.count()
+    assert sorted(queries.op4_token_counts(spark, "/root/testdata/sf0.001").collect()) == sorted(first)
+    assert n == spark.read.parquet(token_counts.shared_cache(spark)).count() >= len({r.n_bytes for r in first})
