@@ -50,7 +50,7 @@ def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 2: lines that many sources share are cut out of the texts, a group of near copies (operator 7) counting as one source."""
     count = "_".join(["lines_removed", *docs.columns])  # longer than any column's name, so none of them is replaced
     texts = docs.select(line_dedup.text_digest(F.col("text")).alias("digest"), "text")
-    cut = line_dedup.remove_boilerplate(docs, max_share=1.0, count_col=count, copies=simhash.near_duplicates(texts, "digest"))
+    cut = line_dedup.remove_boilerplate(docs, count_col=count, copies=simhash.near_duplicates(texts, "digest"))
     size = F.when(F.col(f"`{count}`") > 0, F.char_length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))
     return cut.withColumn("n_chars", size).select(*[F.col(f"`{c}`") for c in docs.columns])
 
