@@ -11,7 +11,7 @@ import uuid
 
 from py4j.protocol import Py4JError
 from pyspark.errors import PySparkException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -52,8 +52,9 @@ def read_csv(spark: SparkSession, path: str, schema: StructType | str | None = N
              header: bool = True, mode: str = "PERMISSIVE", multi_line: bool = True) -> DataFrame:
     """S3: CSV with a header; an explicit schema avoids the inference pass.
 
-    A file whose values may hold line breaks cannot be split: it is one task.
-    Turn ``multi_line`` off for huge files that are known to have none.
+    A file whose values may hold line breaks cannot be split by this reader: it
+    is one task.  ``read_csv_split`` reads large files with sound quoting; turn
+    ``multi_line`` off for files that are known to have no such breaks.
     """
     reader = (spark.read.options(**CSV_DIALECT).option("header", str(header).lower()).option("mode", mode)
               .option("multiLine", str(multi_line).lower()))
@@ -64,6 +65,45 @@ def read_csv(spark: SparkSession, path: str, schema: StructType | str | None = N
     return reader.csv(path)
 
 
+def read_csv_split(spark: SparkSession, path: str, schema: StructType | str, header: bool = True) -> DataFrame:
+    """S3 for large files: several tasks read one file though quoted values hold line breaks.
+
+    Lines are read in blocks.  A line is inside a value when an odd number of
+    quotes stands before it in the file: quotes are counted per block, summed
+    over the blocks before (one row a block), and counted on within the block.
+    Lines that begin and end outside of values are records; the others are put
+    together by the line that their record begins with, which may be in an
+    earlier block.
+
+    Quotes have to be paired, as ``write_csv`` and the common writers leave
+    them; a lone quote inside a bare value is for ``read_csv``.
+    """
+    text = spark.read.option("lineSep", "\n").text(path)
+    lines = text.select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+                        F.monotonically_increasing_id().alias("at"), (F.regexp_count("value", F.lit('"')) % 2).alias("odd"))
+    before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = lines.groupBy("file", "block").agg(F.sum("odd").alias("odd"))
+    blocks = blocks.select("file", "block", F.coalesce(F.sum("odd").over(before), F.lit(0)).alias("__odd"))
+    in_block = Window.partitionBy("file", "block").orderBy("at")
+    earlier = in_block.rowsBetween(Window.unboundedPreceding, -1)
+    rows = lines.join(blocks, ["file", "block"]).withColumns({
+        "inside": (F.col("__odd") + F.coalesce(F.sum("odd").over(earlier), F.lit(0))) % 2 == 1,
+        "first": (F.col("block") == 0) & F.lag("at").over(in_block).isNull()})
+    begins = F.max(F.when(~F.col("inside"), F.col("at")))
+    rows = rows.withColumn("__own", begins.over(in_block.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    ends = rows.groupBy("file", "block").agg(begins.alias("last"))
+    ends = ends.select("file", "block", F.last("last", ignorenulls=True).over(before).alias("__last"))
+    whole = ~F.col("inside") & (F.col("odd") == 0)
+    single = rows.filter(whole).select("value", "first")
+    parts = rows.filter(~whole).join(ends, ["file", "block"]).withColumn("record", F.coalesce("__own", "__last"))
+    pieces = F.array_sort(F.collect_list(F.struct("at", "value")))
+    several = parts.groupBy("record").agg(F.array_join(F.transform(pieces, lambda x: x["value"]), "\n").alias("value"), F.max("first").alias("first"))
+    records = single.unionByName(several.select("value", "first")).select(F.regexp_replace("value", "\r$", "").alias("value"), "first")
+    records = records.filter((F.col("value") != "") & ~(F.col("first") & F.lit(header)))
+    ddl = schema if isinstance(schema, str) else ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+    return records.select(F.from_csv("value", F.lit(ddl), CSV_DIALECT).alias("row")).select("row.*")
+
+
 def write_csv(df: DataFrame, path: str, header: bool = True, mode: str = "overwrite") -> str:
     df.write.mode(mode).options(**CSV_DIALECT).option("header", str(header).lower()).csv(path)
     return path
@@ -122,7 +162,7 @@ def export_csv(spark: SparkSession, tables: dict[str, DataFrame], out_dir: str,
         try:
             write_csv(df, path)
             text = ", ".join(f"`{c}` string" for c in df.columns)
-            out = out.unionByName(_report(spark, name, path, read_csv(spark, path, text)))
+            out = out.unionByName(_report(spark, name, path, read_csv_split(spark, path, text)))
         except (PySparkException, Py4JError) as e:
             if not skip_errors:
                 raise

@@ -22,6 +22,26 @@ def test_csv_keeps_awkward_text(spark):
     assert [bool(r.error) for r in sorted(report, key=lambda r: r.table_name)] == [True, False]
 
 
+@pytest.mark.parametrize("size", [200, 3000, 1 << 27])
+def test_one_csv_file_is_read_by_several_tasks(spark, size):
+    long = "line one\nline, two \"quoted\"\n\n" * 40  # a value longer than a block
+    rows = [(k, [f"plain {k}", 'say "hi", ok', "two\nlines", "", None, long, "\n", '"', "a\rb", "  x  ", "é\n🙂"][k % 11], k * 1.5) for k in range(400)]
+    df = spark.createDataFrame(rows, "k int, `a text` string, v double")
+    path = files.write_csv(df.coalesce(1), work_dir(spark, "test-split"))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes"), spark.conf.get("spark.sql.files.openCostInBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(size))
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        want = sorted(map(tuple, files.read_csv(spark, path, df.schema).collect()))
+        assert sorted(map(tuple, files.read_csv_split(spark, path, df.schema).collect())) == want and len(want) == 400
+        assert spark.read.text(path).rdd.getNumPartitions() > 20 or size > 200
+        bare = files.write_csv(df.coalesce(1), work_dir(spark, "test-split"), header=False)
+        assert files.read_csv_split(spark, bare, df.schema, header=False).count() == 400
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before[0])
+        spark.conf.set("spark.sql.files.openCostInBytes", before[1])
+
+
 def test_missing_csv_is_reported_and_the_rest_converted(spark):
     root = work_dir(spark, "test-convert")
     df = spark.createDataFrame([(1, "a\nb")], "k int, t string")
