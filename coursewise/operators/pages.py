@@ -24,9 +24,9 @@ ANCHOR_HREF = r"""(?is)<a\s(?:[^>]*?\s)?href\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""
 # Listing marker "All ... courses" opening the course section of a listing page, and its tags.
 # An element's text is that of its pieces between tags, each without white space around it: "All " has to begin the
 # first piece and " courses" to end the last one, within the element.
-MARKER = (r"(?s)<(?<tag>(?i:h1|h2|div|span))\b[^>]*>(?:\s|<(?!/?\k<tag>\b)[^>]*>)*"
+MARKER = (r"(?s)<(?<tag>(?i:h1|h2|div|span))\b[^>]*+>(?:\s++|<(?!/?\k<tag>\b)[^>]*+>)*+"
           r"(?:All (?:[^<]* )?courses|All [^<]*[^<\s][^<]*<(?:(?!</?\k<tag>\b).)*>[^<]*[^<\s][^<]* courses)"
-          r"\s*(?:</(?!\k<tag>\b)[^>]*>\s*)*</\k<tag>\b")
+          r"\s*+(?:</(?!\k<tag>\b)[^>]*+>\s*+)*+</\k<tag>\b")
 
 
 def site_of(url: Column) -> Column:

@@ -13,6 +13,11 @@ SF = "/root/testdata/sf0.001"
 TIE = ["l_orderkey", "l_linenumber"]
 
 
+@pytest.fixture(autouse=True)
+def few_buckets(monkeypatch):
+    monkeypatch.setattr(alerts, "BUCKETS", 4)
+
+
 def _feed(spark, root, offers, checkpoint="ckpt"):
     alerts.run_alert_feed(spark, f"{root}/landing", offers.schema, f"{root}/raw", f"{root}/out", f"{root}/{checkpoint}", tie_break=TIE)
 
