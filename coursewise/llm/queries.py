@@ -58,8 +58,8 @@ FROM d JOIN g ON d.t = g.t
 
 
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Tokens of every text by the digest cache, which earlier runs on this cluster have filled."""
-    counts = token_counts.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path(PIECE_BPE), token_counts.shared_cache(spark))
+    """Tokens of every text by the digest cache, which earlier runs over these tables have filled."""
+    counts = token_counts.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path(PIECE_BPE), token_counts.shared_cache(spark, sf_dir))
     return counts.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
 
 

@@ -50,9 +50,9 @@ def tokenizer_digest(path: str) -> str:
         return hashlib.sha256(f.read() + version.encode()).hexdigest()
 
 
-def shared_cache(spark: SparkSession) -> str:
-    """The cache that all runs with the same ``spark.checkpoint.dir`` read and add to."""
-    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/coursewise/token_cache"
+def shared_cache(spark: SparkSession, corpus: str) -> str:
+    """The cache that all runs over ``corpus`` (the place of its tables) with the same ``spark.checkpoint.dir`` read and add to."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/coursewise/token_cache-{hashlib.sha256(corpus.rstrip('/').encode()).hexdigest()[:16]}"
 
 
 def token_counts(docs: DataFrame, path: str, cache: str | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -63,6 +63,26 @@ def test_fewer_candidates_than_asked_for_and_none(spark):
     assert empty.count() == 0 and empty.columns == ["query_id", "rank", "vec_id", "score"]
 
 
+def test_recall_of_the_windows(spark, monkeypatch):
+    """Blocks far smaller than the windows, so that the curves decide what meets."""
+    monkeypatch.setattr(ann, "_BLOCK", 64)
+    monkeypatch.setattr(ann, "_QUERIES", 32)
+    rows = [(r["vec_id"], r["embedding"]) for r in spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet").collect()]
+    frame = spark.createDataFrame(rows, "vec_id bigint, embedding array<float>")
+    got = found(ann.nearest(frame, F.col("vec_id") % 20 == 0))
+    want = brute_force(rows, 20, lambda i: i % 20 == 0)
+    hits = sum(len({j for j, _ in got[q]} & {j for j, _ in want[q]}) for q in want)
+    assert 0.9 <= hits / sum(map(len, want.values())) < 1
+
+
+def test_equal_scores_are_bounded_and_in_order_of_ids(spark):
+    """Vectors of two values each: very many tie, and the smaller ids win."""
+    rng = np.random.default_rng(9)
+    rows = [(int(i), (2.0 * rng.integers(0, 2, 12) - 1).tolist()) for i in rng.permutation(3000)]
+    frame = spark.createDataFrame(rows, "vec_id bigint, embedding array<float>")
+    assert found(ann.nearest(frame, F.col("vec_id") % 100 == 0, window=1.0)) == brute_force(rows, 20, lambda i: i % 100 == 0)
+
+
 def test_recall_on_the_given_table(spark):
     table = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet")
     rows = [(r["vec_id"], r["embedding"]) for r in table.select("vec_id", "embedding").collect()]

@@ -177,7 +177,7 @@ def test_the_query_finds_what_an_earlier_run_stored(spark):
     from coursewise.llm import queries
 
     first = queries.op4_token_counts(spark, "/root/testdata/sf0.001").collect()
-    stored = spark.read.parquet(token_counts.shared_cache(spark))
+    stored = spark.read.parquet(token_counts.shared_cache(spark, "/root/testdata/sf0.001"))
     n = stored.count()
     assert sorted(queries.op4_token_counts(spark, "/root/testdata/sf0.001").collect()) == sorted(first)
-    assert n == spark.read.parquet(token_counts.shared_cache(spark)).count() >= len({r.n_bytes for r in first})
+    assert n == spark.read.parquet(token_counts.shared_cache(spark, "/root/testdata/sf0.001")).count() >= len({r.n_bytes for r in first})
