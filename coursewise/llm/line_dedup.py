@@ -94,9 +94,9 @@ def remove_boilerplate(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     flagged = written(boilerplate_lines(lines.select("hash", "site"), min_sites, lg_k), "boilerplate")
     hits = lines.select("id", "digest", "number", "hash").join(flagged, "hash", "left_semi")
     hits = written(hits, "shared_lines")
-    # only texts that hold such a line count, and null texts have none
-    sited = docs.select(digest.alias("digest"), site.alias("site")).join(hits.select("digest").distinct(), "digest", "left_semi")
-    texts = written(sited.distinct(), "text_sites")
+    # only texts that hold such a line count, and null texts have none; a text's many copies are a row a site before the join
+    sited = docs.select(digest.alias("digest"), site.alias("site")).distinct()
+    texts = written(sited.join(hits.select("digest").distinct(), "digest", "left_semi"), "text_sites")
     groups = copies.select("digest", "component").distinct() if copies is not None else texts.select("digest", F.col("digest").alias("component")).distinct()
     sites = group_sites(texts, written(groups.where("digest is not null"), "copies"))
     spread = hits.select("hash", "digest").distinct().join(sites, "digest").groupBy("hash", "site").agg(F.count(F.lit(1)).alias("rows"))
@@ -106,9 +106,12 @@ def remove_boilerplate(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     cut = written(cut, "cut_lines").withColumnsRenamed({"id": "i", "digest": "d"})
     joined = keyed.join(cut, F.col("id").eqNullSafe(F.col("i")) & F.col("digest").eqNullSafe(F.col("d")), "left")
     text = F.col(f"row.`{text_col}`")
-    parts = F.split(text, "\n", -1)
-    kept = F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), F.col("numbers"))  # in order
-    rest = F.array_join(F.transform(kept, lambda i: F.get(parts, i)), "\n")
+
+    def cut_out(parts: Column) -> Column:
+        kept = F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), F.col("numbers"))  # in order
+        return F.array_join(F.transform(kept, lambda i: F.get(parts, i)), "\n")
+
+    rest = F.get(F.transform(F.array(F.split(text, "\n", -1)), cut_out), F.lit(0))  # split once a text
     columns = [F.when(F.col("numbers").isNull(), text).otherwise(rest).alias(c) if c == text_col else F.col(f"row.`{c}`")
                for c in docs.columns if c != count_col]
     return joined.select(*columns, F.coalesce(F.size("numbers"), F.lit(0)).cast("long").alias(count_col))
