@@ -250,7 +250,9 @@ def fx_page_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Course pages in every form the extraction knows, one per part: blocks over several lines,
     JSON-LD or an id attribute alone, two price blocks, tags within numbers, no payload at all, attributes in
     another order, elements within elements of the same name, and references of every kind."""
-    part = read_table(spark, sf_dir, "part")
+    # a small file makes many pages: the rows are dealt out before they become pages, or a few tasks would parse them all
+    part = read_table(spark, sf_dir, "part").select("p_partkey", "p_size", "p_brand")
+    part = part.repartition(max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions"))), *part.columns)
     key = F.col("p_partkey")
     html = F.lit(None).cast("string")
     for i, form in enumerate(PAGE_FORMS):
