@@ -897,8 +897,9 @@ def s6_route_files(spark, sf):
                         f"{root}/tracker/PROD_tracker_group1_p1-2_20240101_000000_courses.parquet")
     files.write_parquet(read_table(spark, sf, "part"), f"{root}/misc/notes_other.parquet")
     landed = spark.read.option("recursiveFileLookup", "true").option("mergeSchema", "true").parquet(root)
-    routed = ledger.route_by_filename(landed.select(F.col("_metadata.file_path").alias("_source_file")))
-    return routed.groupBy("target").agg(F.count(F.lit(1)).alias("row_count"))
+    # a file is routed once, not each of its rows
+    per_file = landed.groupBy(F.col("_metadata.file_path").alias("_source_file")).agg(F.count(F.lit(1)).alias("n"))
+    return ledger.route_by_filename(per_file).groupBy("target").agg(F.sum("n").alias("row_count"))
 
 
 @register("s7_pending_files", O.with_(O.FX_LISTING, O.FX_LEDGER) + """

@@ -39,3 +39,19 @@ def test_words_of_pages_are_found_in_any_case(spark):
     rows = spark.createDataFrame([("<META PROPERTY='Product:Price' CONTENT='5'>",), ("<meta>",), (None,)], "html string")
     got = rows.select(markup.if_has(F.col("html"), "product:PRICE", F.lit(1)).alias("x")).collect()
     assert [r.x for r in got] == [1, None, None]
+
+
+def test_files_are_counted_before_they_are_routed(spark, tmp_path, monkeypatch):
+    from coursewise.plans import registry
+    from coursewise.sources import ledger
+
+    _tables(spark, tmp_path,
+            lineitem=([], "l_orderkey bigint, l_linenumber int, l_partkey bigint, l_suppkey bigint, l_quantity double, l_discount double, "
+                          "l_extendedprice double, l_shipdate date, l_returnflag string, l_tax double"),
+            part=([(k, "p", "t", "b", 1) for k in range(50)], "p_partkey bigint, p_name string, p_type string, p_brand string, p_size int"),
+            orders=([], "o_orderkey bigint, o_orderdate date"), supplier=([], "s_suppkey bigint, s_name string, s_nationkey bigint"),
+            nation=([], "n_nationkey bigint, n_name string"))
+    routed, route = [], ledger.route_by_filename
+    monkeypatch.setattr(ledger, "route_by_filename", lambda df: routed.append(df.count()) or route(df))
+    got = {r.target: r.row_count for r in registry.QUERIES["s6_route_files"](spark, str(tmp_path)).collect()}
+    assert got[None] == 50 and routed[0] < 50
