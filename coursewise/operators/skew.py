@@ -16,6 +16,8 @@ MAX_RANGES = 1 << 14
 SKETCH_ITEMS, HEAVY_KEYS = 10_000, 1000
 #: Salts for a partition's worth of rows of a heavy key: several, as salts fall on partitions by chance.
 FINE = 8
+#: Column that, with the key, says where a row lies after ``placed``.
+PLACE = "__place"
 
 
 def _partitions(df: DataFrame) -> int:
@@ -73,13 +75,41 @@ def lookup_join(rows: DataFrame, lookup: DataFrame, key: str, how: str = "left")
     only their lookup rows are repeated once a salt; rows without a key are
     dealt out too.  All other keys join as they are.
     """
-    parts = _partitions(rows)
-    sketch = rows.agg(F.count(key).alias("n"), F.expr(f"approx_top_k(`{key}`, {HEAVY_KEYS}, {SKETCH_ITEMS})").alias("top"))
-    share = F.floor(F.lit(parts) * F.col("x.count") / F.col("n")).cast("int") * FINE
-    heavy = sketch.select("n", F.explode("top").alias("x")).select(F.col("x.item").alias("item"), share.alias("salts")).filter("salts >= 1 AND item IS NOT NULL")
-    heavy = heavy.agg(F.map_from_entries(F.collect_list(F.struct("item", "salts"))).alias("salts"))
+    heavy, parts = _heavy_salts(rows, key), _partitions(rows)
     salts = F.coalesce(F.try_element_at("__heavy", F.col(key)), F.lit(1))
     any_row = F.xxhash64(*rows.columns)
     salted = rows.withColumn("__heavy", heavy.scalar()).withColumn("__salt", F.pmod(any_row, F.when(F.col(key).isNull(), F.lit(parts * FINE)).otherwise(salts)).cast("int"))
     spread = lookup.withColumn("__heavy", heavy.scalar()).withColumn("__salt", F.explode(F.sequence(F.lit(0), salts - 1)))
     return salted.drop("__heavy").join(spread.drop("__heavy"), [key, "__salt"], how).drop("__salt")
+
+
+def _heavy_salts(rows: DataFrame, key: str) -> DataFrame:
+    """One row ``salts``: for each key with more rows than a partition should hold, how many salts they are dealt out over."""
+    sketch = rows.agg(F.count(key).alias("n"), F.expr(f"approx_top_k(`{key}`, {HEAVY_KEYS}, {SKETCH_ITEMS})").alias("top"))
+    share = F.floor(F.lit(_partitions(rows)) * F.col("x.count") / F.col("n")).cast("int") * FINE
+    heavy = sketch.select("n", F.explode("top").alias("x")).select(F.col("x.item").alias("item"), share.alias("salts")).filter("salts >= 1 AND item IS NOT NULL")
+    return heavy.agg(F.map_from_entries(F.collect_list(F.struct("item", "salts"))).alias("salts"))
+
+
+def placed(rows: DataFrame, key: str, within: list[str], seen: DataFrame | None = None) -> DataFrame:
+    """``rows`` shuffled once so that those of a key lie together, with ``PLACE``: later steps by key need no other shuffle.
+
+    Rows of a heavy key, and rows without one, are dealt out by ``within``:
+    rows that share both lie together always.  A window by key, ``PLACE`` and
+    ``within`` stays where the rows are, and a best row by key leaves one row
+    a key (a few for a heavy one) before it shuffles.  ``seen`` gives the rows
+    that heavy keys are looked for in, if ``rows`` are costly to read twice.
+    The partitions are as many as set, never fewer: rows get wider after this.
+    """
+    heavy = _heavy_salts(rows if seen is None else seen, key)
+    salts = F.when(F.col(key).isNull(), F.lit(_partitions(rows) * FINE)).otherwise(F.coalesce(F.try_element_at("__heavy", F.col(key)), F.lit(1)))
+    at = F.pmod(F.xxhash64(*within), salts).cast("int")
+    return rows.withColumn("__heavy", heavy.scalar()).withColumn(PLACE, at).drop("__heavy").repartition(_partitions(rows), key, PLACE)
+
+
+def placed_join(rows: DataFrame, lookup: DataFrame, key: str, within: list[str], seen: DataFrame | None = None) -> DataFrame:
+    """Inner join on ``key`` that leaves the rows ``placed``; the lookup rows of a heavy key are repeated once a place."""
+    heavy = _heavy_salts(rows if seen is None else seen, key)
+    places = F.sequence(F.lit(0), F.coalesce(F.try_element_at("__heavy", F.col(key)), F.lit(1)) - 1)
+    spread = lookup.withColumn("__heavy", heavy.scalar()).withColumn(PLACE, F.explode(places)).drop("__heavy")
+    return placed(rows, key, within, seen).join(spread, [key, PLACE])

@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 from coursewise.functions.dates import parse_date, parse_timestamp
 from coursewise.functions.prices import MONEY
 from coursewise.operators.common import best_row
+from coursewise.operators.skew import PLACE, placed
 
 # --------------------------------------------------------------------------- D1-D7, D9-D12
 
@@ -81,10 +82,19 @@ def _json_text(df: DataFrame, col: str) -> Column:
     return F.to_json(F.col(col)) if nested else F.col(col).cast("string")
 
 
+def _place(raw: DataFrame) -> list[str]:
+    """The column of bronze rows that lie together by course and typed scrape time, if they do."""
+    return [PLACE] if PLACE in raw.columns else []
+
+
 def dedupe(df: DataFrame, keys: list[str], tie_break: list[str] | None = None) -> DataFrame:
-    """One row per key; remaining columns (or ``tie_break``) give a total order."""
-    rest = tie_break if tie_break is not None else [c for c in df.columns if c not in keys]
-    return best_row(df, keys, [F.col(c).asc_nulls_last() for c in rest])
+    """One row per key; remaining columns (or ``tie_break``) give a total order.
+
+    Rows that ``skew.placed`` has brought together by the keys stay there.
+    """
+    at = [PLACE] if PLACE in df.columns else []
+    rest = tie_break if tie_break is not None else [c for c in df.columns if c not in [*keys, *at]]
+    return best_row(df, [*keys, *at], [F.col(c).asc_nulls_last() for c in rest])
 
 
 def valid_instructor(df: DataFrame, col: str = "instructor_id") -> DataFrame:
@@ -122,7 +132,7 @@ def stg_courses(raw: DataFrame, tie_break: list[str] | None = None) -> DataFrame
         F.col("_url").alias("course_url"),
         F.col("_category").alias("category"),
         _scrape_time(raw).alias("scraped_at"),
-        *[F.col(c) for c in (tie_break or [])],
+        *[F.col(c) for c in (tie_break or [])], *_place(raw),
     )
     one = dedupe(typed, ["course_id", "scraped_at"], tie_break)
     return one.withColumns(rating_counts(F.col("rating_distribution"))).select(*STG_COURSES_COLUMNS)
@@ -154,8 +164,8 @@ def stg_instructors(raw: DataFrame) -> DataFrame:
 STG_PRICE_COLUMNS = ["course_id", "title", "list_price", "sale_price", "scraped_at", "course_url"]
 
 
-def stg_price_tracker(raw: DataFrame, tie_break: list[str] | None = None) -> DataFrame:
-    """Price offers -> one typed row per (course, scrape time)."""
+def stg_price_tracker(raw: DataFrame, tie_break: list[str] | None = None, place: bool = False) -> DataFrame:
+    """Price offers -> one typed row per (course, scrape time); ``place``: a course's rows are to lie together."""
     typed = raw.select(
         F.col("course_id"),
         F.trim("title").alias("title"),
@@ -163,6 +173,8 @@ def stg_price_tracker(raw: DataFrame, tie_break: list[str] | None = None) -> Dat
         sale_price(F.col("discount_price"), F.col("original_price")).alias("sale_price"),
         _scrape_time(raw).alias("scraped_at"),
         F.col("_url").alias("course_url"),
-        *[F.col(c) for c in (tie_break or [])],
+        *[F.col(c) for c in (tie_break or [])], *_place(raw),
     )
+    if place:  # by the typed time: texts of the same time may differ
+        typed = placed(typed.drop(PLACE), "course_id", ["scraped_at"])
     return dedupe(typed, ["course_id", "scraped_at"], tie_break).select(*STG_PRICE_COLUMNS)

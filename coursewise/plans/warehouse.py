@@ -35,7 +35,7 @@ class Warehouse:
     # bronze -------------------------------------------------------------
     @cached_property
     def raw_courses(self) -> DataFrame:
-        return self._courses if self._courses is not None else fixtures.fx_courses(self.spark, self.sf_dir)
+        return self._courses if self._courses is not None else fixtures.fx_courses(self.spark, self.sf_dir, place=True)
 
     @cached_property
     def raw_instructors(self) -> DataFrame:
@@ -44,7 +44,7 @@ class Warehouse:
 
     @cached_property
     def raw_offers(self) -> DataFrame:
-        return self._offers if self._offers is not None else fixtures.fx_offers(self.spark, self.sf_dir)
+        return self._offers if self._offers is not None else fixtures.fx_offers(self.spark, self.sf_dir, place=True)
 
     # silver -------------------------------------------------------------
     def _silver_frame(self, name: str, build) -> DataFrame:
