@@ -82,10 +82,18 @@ class Warehouse:
         self.stg_price_tracker.write.parquet(path)
         return self.spark.read.parquet(path)
 
+    def _written_courses(self, *columns: str) -> DataFrame:
+        """Some columns of silver courses as a table, for a mart that reads them more than once."""
+        if "stg_courses" in self._silver:
+            return self._silver["stg_courses"]
+        path = work_dir(self.spark, "silver-courses")
+        self.stg_courses.select(*columns).write.parquet(path)
+        return self.spark.read.parquet(path)
+
     # gold ---------------------------------------------------------------
-    def _lookup(self, col: str) -> DataFrame:
+    def _lookup(self, col: str, courses: DataFrame | None = None) -> DataFrame:
         name = f"dim_{col}"
-        return self._gold[name] if name in self._gold else marts.lookup_dim(self.stg_courses, col)
+        return self._gold[name] if name in self._gold else marts.lookup_dim(self.stg_courses if courses is None else courses, col)
 
     @cached_property
     def dim_category(self) -> DataFrame:
@@ -101,7 +109,8 @@ class Warehouse:
 
     @cached_property
     def dim_course(self) -> DataFrame:
-        return marts.dim_course(self.stg_courses, self.dim_category, self.dim_language, self.dim_level)
+        courses = self._written_courses(*marts.DIM_COURSE_INPUT)
+        return marts.dim_course(courses, *(self._lookup(col, courses) for col in ("category", "language", "level")))
 
     @cached_property
     def dim_date(self) -> DataFrame:
@@ -163,8 +172,10 @@ class Warehouse:
 
         Of dim_course only the category id is needed, so only that lookup is joined.
         """
-        courses = marts.with_lookup_id(self.course_category, "category", self.dim_category)
-        names = serving.category_names(courses, self.dim_category)
+        silver = self._written_courses("course_id", "category", "num_students", "scraped_at")
+        categories = self._lookup("category", silver)
+        courses = marts.with_lookup_id(marts.best_course_record(silver).select("course_id", "category"), "category", categories)
+        names = serving.category_names(courses, categories)
         return serving.price_tracker(self.prices, names).select(*serving.HISTORY_COLUMNS)
 
     MARTS = ("dim_category", "dim_language", "dim_level", "dim_course", "dim_date", "dim_instructor",

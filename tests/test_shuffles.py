@@ -83,6 +83,11 @@ def test_instructors_are_added_up_by_keys(spark, tables, plan):
     assert not any("s_name" in k and "l_partkey" in k for k in re.findall(r"Exchange hashpartitioning\((.*?)\)", plan(got)))
 
 
+def test_marts_that_read_courses_often_read_them_written(spark, tables, plan):
+    w = Warehouse(spark, tables)
+    assert "lineitem" not in plan(w.dim_course) and "lineitem" not in plan(w.price_history_via_dims)
+
+
 def test_a_heavy_key_is_dealt_out_and_its_groups_stay_whole(spark):
     n = 30_000
     rows = spark.range(n).select("id", F.when(F.col("id") % 3 == 0, 7).when(F.col("id") % 3 == 1, None).otherwise(F.col("id")).alias("k"), (F.col("id") % 500).alias("t"))
