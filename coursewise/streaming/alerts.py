@@ -31,6 +31,7 @@ from pyspark.sql.types import StructType
 from coursewise.functions.prices import discount_percentage
 from coursewise.operators import serving, staging
 from coursewise.operators.common import best_row, top_n_per_key
+from coursewise.session import work_dir
 from coursewise.sources.files import delete_files
 from coursewise.streaming import incremental
 
@@ -134,7 +135,10 @@ def apply_load(spark: SparkSession, out_dir: str, load_id: str, rows: DataFrame,
     if not _applied(spark, out_dir).filter(F.col("load_id") == load_id).isEmpty():
         return
     first, parts, n = _span(spark, out_dir)
-    obs = staging.stg_price_tracker(rows, tie_break).filter(F.col("title").isNotNull())
+    # staged once, a course's rows together: all that follows reads them several times and shuffles a few rows a course
+    staged = work_dir(spark, "alert-prices")
+    staging.stg_price_tracker(rows, tie_break, place=True).filter(F.col("title").isNotNull()).write.parquet(staged)
+    obs = spark.read.parquet(staged)
     touched = obs.select("course_id").distinct()
     near = [r["bucket"] for r in touched.select(_bucket()).distinct().collect()]  # at most BUCKETS numbers
     full = bool(near and parts) and n - first >= FULL_EVERY
@@ -146,12 +150,13 @@ def apply_load(spark: SparkSession, out_dir: str, load_id: str, rows: DataFrame,
         path = f"{out_dir}/state/n={n}"
         # overwritten, if a run died before it could say that the batch counts
         merged.select("*", _bucket()).repartition("bucket").write.mode("overwrite").partitionBy("bucket").parquet(path)
-        new = spark.read.parquet(path).drop("bucket").join(touched, "course_id", "left_semi")
+        new = spark.read.parquet(path).drop("bucket")
+        if full:  # a whole state holds other courses too
+            new = new.join(touched, "course_id", "left_semi")
         alerts_from_state(new).write.mode("overwrite").parquet(f"{out_dir}/alerts/batch_id={n}")
     done = spark.createDataFrame([(load_id, bool(near), full)], "load_id string, courses boolean, full boolean")
     done.coalesce(1).write.mode("overwrite").parquet(f"{out_dir}/applied/batch_id={n}")
-    if full:
-        delete_files(spark, [f"{out_dir}/state/n={k}" for k in parts])
+    delete_files(spark, [staged, *(f"{out_dir}/state/n={k}" for k in parts if full)])
 
 
 def run_alert_feed(spark: SparkSession, landing: str, schema: StructType, raw_dir: str, out_dir: str,

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from coursewise.operators import marts, serving, skew, staging
 from coursewise.plans import fixtures
 from coursewise.plans.warehouse import Warehouse
+from coursewise.streaming import alerts
 
 DAY = datetime.datetime(1996, 1, 1)
 
@@ -95,3 +96,12 @@ def test_a_heavy_key_is_dealt_out_and_its_groups_stay_whole(spark):
     assert max(r["count"] for r in at.groupBy("part").count().collect()) < 0.35 * n
     assert at.groupBy("k", "t").agg(F.count_distinct("part").alias("c")).filter("c > 1").count() == 0
     assert at.filter(f"k <> 7 AND {skew.PLACE} <> 0").count() == 0 and at.count() == n
+
+
+def test_alert_prices_are_staged_once(spark, tables, tmp_path, monkeypatch):
+    seen, merge = [], alerts.merge_state
+    monkeypatch.setattr(alerts, "merge_state", lambda state, obs: seen.append(obs._jdf.queryExecution().toString()) or merge(state, obs))
+    for load in ("a", "b"):
+        alerts.apply_load(spark, str(tmp_path), load, fixtures.fx_offers(spark, tables), fixtures.FIXTURE_TIE_BREAK)
+    assert len(seen) == 2 and not any("Window" in p or "lineitem" in p for p in seen)
+    assert alerts.read_state(spark, str(tmp_path)).count() == Warehouse(spark, tables).titled_prices.select("course_id").distinct().count()
