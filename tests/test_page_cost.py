@@ -55,3 +55,25 @@ def test_files_are_counted_before_they_are_routed(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(ledger, "route_by_filename", lambda df: routed.append(df.count()) or route(df))
     got = {r.target: r.row_count for r in registry.QUERIES["s6_route_files"](spark, str(tmp_path)).collect()}
     assert got[None] == 50 and routed[0] < 50
+
+
+def _shop(spark, root):
+    rows = [(k, k % 50, 3, k % 7 + 1, float(k % 9 + 1), 100.0 + k, k % 3 / 10, k % 2 / 10) for k in range(210)]
+    _tables(spark, root,
+            lineitem=(rows, "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, l_extendedprice double, l_discount double, l_tax double"),
+            part=([(k, f"name {k}", "type", "Brand#1", k % 12, 10.0) for k in range(50)], "p_partkey bigint, p_name string, p_type string, p_brand string, p_size int, p_retailprice double"))
+    return str(root)
+
+
+def _optimized(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_payload_members_are_read_once_and_other_pages_left_early(spark, tmp_path):
+    from coursewise.plans import registry
+
+    df = registry.QUERIES["e12_course_records"](spark, _shop(spark, tmp_path))
+    plan = _optimized(df)
+    assert plan.count(", $.numStudents)") == 1
+    assert plan.index("rating-number") < plan.index("isnotnull(__payload")
+    assert df.count() == 105  # 30 pages each of line numbers 2, 3 and 5, 15 of line number 4 with a list price
