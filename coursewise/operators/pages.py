@@ -361,8 +361,8 @@ def price_records(pages: DataFrame, site: Site = SITE) -> DataFrame:
     title = F.when(clp.isNotNull(), F.coalesce(F.nullif(F.col("__title_dom"), F.lit("")), F.lit("N/A"))).otherwise(
         F.coalesce(F.nullif(F.col("__title_tag"), F.lit("")), _json(module, "$.title"), _json(next_course, "$.title"), F.col("__title_tag")))
     out = parts.select("page_id", cid.alias("course_id"), title.alias("title"),
-                       list_p.alias("original_price"), sale_p.alias("discount_price"))
-    return out.filter(F.col("course_id").isNotNull())
+                       list_p.alias("original_price"), sale_p.alias("discount_price"), "__row")
+    return _above(out, F.col("course_id").isNotNull()).drop("__row")
 
 
 def rating_dist_json(dist: Column) -> Column:

@@ -69,6 +69,10 @@ def _optimized(df):
     return df._jdf.queryExecution().optimizedPlan().toString()
 
 
+def _joins(df):
+    return "".join(line for line in _optimized(df).splitlines() if "Join " in line)
+
+
 def test_payload_members_are_read_once_and_other_pages_left_early(spark, tmp_path):
     from coursewise.plans import registry
 
@@ -77,3 +81,10 @@ def test_payload_members_are_read_once_and_other_pages_left_early(spark, tmp_pat
     assert plan.count(", $.numStudents)") == 1
     assert plan.index("rating-number") < plan.index("isnotnull(__payload")
     assert df.count() == 105  # 30 pages each of line numbers 2, 3 and 5, 15 of line number 4 with a list price
+
+
+def test_pages_are_not_parsed_in_the_join_of_a_price_merge(spark, tmp_path):
+    from coursewise.plans import registry
+
+    df = registry.QUERIES["e15_merge_price"](spark, _shop(spark, tmp_path))
+    assert "regexp" not in _joins(df) and df.count() == 210
