@@ -88,3 +88,10 @@ def test_pages_are_not_parsed_in_the_join_of_a_price_merge(spark, tmp_path):
 
     df = registry.QUERIES["e15_merge_price"](spark, _shop(spark, tmp_path))
     assert "regexp" not in _joins(df) and df.count() == 210
+
+
+def test_pages_are_not_parsed_in_the_join_of_price_records(spark, tmp_path):
+    from coursewise.plans import registry
+
+    df = registry.QUERIES["e13_price_records"](spark, _shop(spark, tmp_path))
+    assert "regexp" not in _joins(df) and df.count() == 210
