@@ -9,6 +9,7 @@ the gold tables (overwrite = rebuild and swap) below a target folder.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,6 +20,23 @@ from coursewise.plans import fixtures
 from coursewise.session import work_dir
 
 
+class _Later:
+    """A frame that is put together when it is first used: a mart that writes its input writes nothing before."""
+
+    def __init__(self, build: Callable[[], DataFrame]):
+        self._build = build
+
+    @cached_property
+    def _frame(self) -> DataFrame:
+        return self._build()
+
+    def __getattr__(self, name: str):
+        return getattr(self._frame, name)
+
+    def __getitem__(self, item):
+        return self._frame[item]
+
+
 class Warehouse:
     def __init__(self, spark: SparkSession, sf_dir: str,
                  courses: DataFrame | None = None, instructors: DataFrame | None = None,
@@ -109,8 +127,10 @@ class Warehouse:
 
     @cached_property
     def dim_course(self) -> DataFrame:
-        courses = self._written_courses(*marts.DIM_COURSE_INPUT)
-        return marts.dim_course(courses, *(self._lookup(col, courses) for col in ("category", "language", "level")))
+        def build() -> DataFrame:
+            courses = self._written_courses(*marts.DIM_COURSE_INPUT)
+            return marts.dim_course(courses, *(self._lookup(col, courses) for col in ("category", "language", "level")))
+        return _Later(build)
 
     @cached_property
     def dim_date(self) -> DataFrame:
